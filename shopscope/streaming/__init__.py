@@ -1,0 +1,8 @@
+"""Streaming operators: none.
+
+The workload is a batch workflow over two static yearly extracts, run by
+hand; it has no watermarks, windows over event time, state or late data.
+Nothing here to match, so this package is intentionally empty. The batch
+operators are plain DataFrame functions and run unchanged inside
+``foreachBatch`` if a micro-batch feed is ever wanted.
+"""
