@@ -261,3 +261,383 @@ ORACLE["country_contribution"] = q(f"""SELECT c.country, {M('sum(f.revenue)')} A
   rank() OVER (ORDER BY sum(f.revenue) DESC) AS country_rank
 FROM fact_sales f JOIN dim_customer c ON f.customer_id = c.customer_id
 GROUP BY c.country ORDER BY sum(f.revenue) DESC, c.country LIMIT 15""")
+
+
+# ============================================================ operators
+def RE(num: str, den: str, places: int, **kw) -> str:
+    return R(num, den, places, half_even=True, **kw)
+
+
+def ME(expr: str, scale: int = 2) -> str:
+    return f"CAST(round_even({expr}, {scale}) AS DECIMAL(38,{scale}))"
+
+
+HOME = "NATION_2"
+AUDIT_YEAR = 1998
+RAW_COLS = ["invoice", "stock_code", "description", "quantity", "invoice_ts", "price",
+            "customer_id", "country"]
+CANCEL = "coalesce(starts_with(invoice, 'C'), false)"
+SUSPICIOUS = f"(coalesce(quantity < 0, false) AND NOT {CANCEL})"
+
+# ---- audit
+ORACLE["dq_null_audit"] = q("\nUNION ALL\n".join(
+    f"""SELECT {i} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count,
+  {RE(f'count(*) FILTER (WHERE {c} IS NULL)', 'count(*)', 2, mult=100)} AS null_pct, count(*) AS total_rows
+FROM raw_sales""" for i, c in enumerate(RAW_COLS)))
+
+_RULES = [("null_customer", "customer_id IS NULL"), ("cancellation", CANCEL),
+          ("negative_quantity", "quantity < 0"), ("non_positive_price", "price <= 0"),
+          ("negative_quantity_without_c", SUSPICIOUS), ("null_description", "description IS NULL")]
+ORACLE["dq_rule_counts"] = q("\nUNION ALL\n".join(
+    [f"""SELECT {i} AS rule_no, '{r}' AS rule, count(*) FILTER (WHERE {c}) AS rows,
+  {RE(f'count(*) FILTER (WHERE {c})', 'count(*)', 2, mult=100)} AS pct_of_total FROM raw_sales"""
+     for i, (r, c) in enumerate(_RULES)]
+    + [f"""SELECT 6 AS rule_no, 'duplicate_rows' AS rule, CAST(count(*) - (SELECT count(*) FROM dedup) AS BIGINT) AS rows,
+  {RE('count(*) - (SELECT count(*) FROM dedup)', 'count(*)', 2, mult=100)} AS pct_of_total FROM raw_sales"""]))
+
+ORACLE["dq_duplicates"] = q(f"""SELECT {', '.join(RAW_COLS)}, count(*) AS copies FROM raw_sales
+GROUP BY {', '.join(RAW_COLS)} HAVING count(*) > 1""")
+
+ORACLE["dq_prefix_counts"] = q(f"""SELECT substr(invoice, 1, 1) AS invoice_prefix, count(*) AS rows
+FROM raw_sales WHERE {SUSPICIOUS} GROUP BY 1""")
+
+ORACLE["dq_date_range"] = q("""SELECT min(invoice_ts) AS earliest, max(invoice_ts) AS latest,
+  CAST(date_sub('day', min(invoice_ts), max(invoice_ts)) AS BIGINT) AS span_days FROM raw_sales""")
+
+ORACLE["dq_year_counts"] = q("""SELECT CAST(year(invoice_ts) AS INTEGER) AS year, count(*) AS rows
+FROM raw_sales GROUP BY 1""")
+
+ORACLE["dq_month_counts"] = q(f"""SELECT CAST(month(invoice_ts) AS INTEGER) AS month, count(*) AS rows
+FROM raw_sales WHERE year(invoice_ts) = {AUDIT_YEAR} GROUP BY 1""")
+
+ORACLE["dq_country_distribution"] = q(f"""SELECT country, count(*) AS rows,
+  {RE('count(*)', '(SELECT count(*) FROM raw_sales)', 2, mult=100)} AS pct_of_rows
+FROM raw_sales GROUP BY country ORDER BY count(*) DESC, country LIMIT 10""")
+
+ORACLE["dq_country_summary"] = q(f"""SELECT count(DISTINCT country) AS distinct_countries,
+  count(*) FILTER (WHERE country = '{HOME}') AS home_rows,
+  count(*) - count(*) FILTER (WHERE country = '{HOME}') AS other_rows,
+  {RE(f"count(*) FILTER (WHERE country = '{HOME}')", 'count(*)', 2, mult=100)} AS home_pct FROM raw_sales""")
+
+# ---- cleaning
+ORACLE["clean_sales"] = q("SELECT * FROM clean_sales")
+
+ORACLE["clean_funnel"] = q(f"""SELECT step_no, step, CAST(rows_after + rows_removed AS BIGINT) AS rows_before,
+  rows_removed, rows_after,
+  {R('rows_removed', 'raw_n', 2, mult=100)} AS removed_pct_of_raw,
+  {R('rows_after', 'raw_n', 2, mult=100)} AS retention_pct
+FROM (
+  SELECT *, CAST(raw_n - sum(rows_removed) OVER (ORDER BY step_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS rows_after
+  FROM (
+    SELECT s.step_no, s.step, t.raw_n,
+      CAST(CASE WHEN s.step_no = 1 THEN t.raw_n - t.nd WHEN s.step_no = 7 THEN 0 ELSE coalesce(c.c, 0) END AS BIGINT) AS rows_removed
+    FROM (VALUES (1, 'duplicate'), (2, 'cancellation'), (3, 'stock_adjustment'), (4, 'non_positive_price'),
+                 (5, 'null_customer'), (6, 'near_zero_revenue'), (7, 'kept')) s(step_no, step)
+    CROSS JOIN (SELECT (SELECT count(*) FROM raw_sales) AS raw_n, (SELECT count(*) FROM dedup) AS nd) t
+    LEFT JOIN (SELECT step_no, count(*) AS c FROM stepped GROUP BY step_no) c ON c.step_no = s.step_no))""")
+
+GUEST = """guest AS (SELECT *, CAST(quantity * price AS DECIMAL(18,4)) AS revenue FROM raw_sales
+  WHERE customer_id IS NULL AND quantity > 0 AND price > 0)"""
+
+
+def qg(body: str) -> str:
+    return f"WITH {BASE},\n{GUEST}\n{body}"
+
+
+ORACLE["guest_summary"] = qg(f"""SELECT count(*) AS guest_rows, {M('coalesce(sum(revenue), 0)')} AS guest_revenue,
+  {R('sum(revenue)', 'count(*)', 2, num_scale=4)} AS mean_line_revenue,
+  min(invoice_ts) AS first_ts, max(invoice_ts) AS last_ts FROM guest""")
+
+ORACLE["guest_countries"] = qg("""SELECT country, count(*) AS guest_rows FROM guest GROUP BY country
+ORDER BY count(*) DESC, country LIMIT 10""")
+
+ORACLE["revenue_impact"] = qg(f"""SELECT {M('identified')} AS identified_revenue, {M('guest')} AS guest_revenue,
+  {M('identified + guest')} AS total_revenue,
+  {R('guest', 'identified + guest', 2, num_scale=4, den_scale=4, mult=100)} AS guest_pct
+FROM (SELECT coalesce((SELECT sum(revenue) FROM clean_sales), 0) AS identified,
+             coalesce((SELECT sum(revenue) FROM guest), 0) AS guest)""")
+
+IBF = "ibf AS (SELECT *, CAST(quantity * price AS DECIMAL(18,4)) AS revenue FROM stepped WHERE step_no >= 6)"
+ORACLE["revenue_stats"] = f"""WITH {BASE},
+{IBF}
+SELECT min(revenue) AS min_revenue, max(revenue) AS max_revenue, count(*) AS rows,
+  CAST(sum(revenue) AS DECIMAL(38,4)) AS total_revenue,
+  {R('sum(revenue)', 'count(*)', 2, num_scale=4)} AS mean_revenue,
+  count(*) FILTER (WHERE revenue = 0) AS zero_revenue_rows,
+  count(*) FILTER (WHERE revenue < 0.01) AS rows_below_0_01,
+  count(*) FILTER (WHERE revenue < 0.10) AS rows_below_0_10,
+  count(DISTINCT customer_id) FILTER (WHERE revenue >= 0.01) AS customers,
+  count(DISTINCT invoice) FILTER (WHERE revenue >= 0.01) AS invoices,
+  count(DISTINCT stock_code) FILTER (WHERE revenue >= 0.01) AS products
+FROM ibf"""
+
+ORACLE["smallest_revenue_lines"] = f"""WITH {BASE},
+{IBF}
+SELECT invoice, stock_code, quantity, price, revenue, invoice_ts FROM ibf
+ORDER BY revenue, invoice, stock_code, invoice_ts, quantity, price LIMIT 5"""
+
+# ---- RFM
+ORACLE["rfm_base"] = q("SELECT customer_id, recency, frequency, monetary FROM rfm_base")
+ORACLE["rfm_segments_table"] = q("SELECT * FROM rfm_segments")
+ORACLE["segment_distribution"] = q(f"""SELECT segment, count(*) AS customer_count,
+  {RE('count(*)', '(SELECT count(*) FROM rfm_segments)', 2, mult=100)} AS customer_pct
+FROM rfm_segments GROUP BY segment""")
+ORACLE["segment_revenue"] = q(f"""SELECT segment, count(*) AS customer_count, {ME('sum(monetary)')} AS total_revenue,
+  {RE('sum(monetary)', 'count(*)', 2, num_scale=2)} AS avg_revenue,
+  {RE('sum(recency)', 'count(*)', 2)} AS avg_recency,
+  {RE('sum(frequency)', 'count(*)', 2)} AS avg_frequency,
+  {RE('sum(monetary)', '(SELECT sum(monetary) FROM rfm_segments)', 2, num_scale=2, den_scale=2, mult=100)} AS revenue_pct
+FROM rfm_segments GROUP BY segment""")
+ORACLE["rfm_scatter_points"] = q("""SELECT customer_id, recency, monetary, segment,
+  CAST(frequency * 3 AS BIGINT) AS marker_size FROM rfm_segments""")
+
+# ---- cohorts (clean lines)
+COH = """cl_mo AS (SELECT *, year(invoice_ts) * 12 + month(invoice_ts) - 1 AS mo FROM clean_sales),
+cust_months AS (SELECT DISTINCT customer_id, mo FROM cl_mo),
+cust_first AS (SELECT customer_id, min(mo) AS cmo FROM cust_months GROUP BY customer_id),
+coh_counts AS (SELECT f.cmo, CAST(m.mo - f.cmo AS INTEGER) AS cohort_index, count(*) AS customers
+  FROM cust_months m JOIN cust_first f ON m.customer_id = f.customer_id GROUP BY f.cmo, m.mo - f.cmo),
+coh_matrix AS (
+  SELECT strftime(make_date(CAST(c.cmo // 12 AS BIGINT), CAST(c.cmo % 12 + 1 AS BIGINT), 1), '%Y-%m') AS cohort_month,
+         c.cohort_index, c.customers, s.customers AS cohort_size,
+         """ + RE("c.customers", "s.customers", 3) + """ AS retention_rate
+  FROM coh_counts c JOIN coh_counts s ON s.cmo = c.cmo AND s.cohort_index = 0)"""
+
+
+def qc(body: str) -> str:
+    return f"WITH {BASE},\n{COH}\n{body}"
+
+
+LABEL = "strftime(make_date(CAST({o} // 12 AS BIGINT), CAST({o} % 12 + 1 AS BIGINT), 1), '%Y-%m')"
+ORACLE["cohort_assign"] = qc(f"""SELECT l.invoice, l.stock_code, l.customer_id, l.invoice_ts,
+  {LABEL.format(o='l.mo')} AS invoice_month, {LABEL.format(o='f.cmo')} AS cohort_month,
+  CAST(l.mo - f.cmo AS INTEGER) AS cohort_index
+FROM cl_mo l JOIN cust_first f ON l.customer_id = f.customer_id""")
+ORACLE["cohort_counts"] = qc(f"""SELECT {LABEL.format(o='cmo')} AS cohort_month, cohort_index, customers FROM coh_counts""")
+ORACLE["cohort_retention_matrix"] = qc("SELECT * FROM coh_matrix")
+ORACLE["avg_retention_curve"] = qc(f"""SELECT cohort_index, count(retention_rate) AS cohorts,
+  {RE('sum(retention_rate)', 'count(retention_rate)', 2, num_scale=3, mult=100)} AS avg_retention_pct
+FROM coh_matrix GROUP BY cohort_index""")
+_mil = ",\n  ".join(
+    RE(f"sum(retention_rate) FILTER (WHERE cohort_index = {i})",
+       f"count(retention_rate) FILTER (WHERE cohort_index = {i})", 2, num_scale=3, mult=100)
+    + f" AS avg_month{i}_pct" for i in (1, 3, 6, 12))
+ORACLE["cohort_milestones"] = qc(f"""SELECT * FROM
+  (SELECT count(*) AS cohorts, sum(cohort_size) AS customers, max(cohort_size) AS largest_cohort_size,
+          min(cohort_size) AS smallest_cohort_size FROM coh_matrix WHERE cohort_index = 0) a,
+  (SELECT cohort_month AS best_month1_cohort, retention_rate AS best_month1_rate FROM coh_matrix
+     WHERE cohort_index = 1 ORDER BY retention_rate DESC, cohort_month LIMIT 1) b,
+  (SELECT cohort_month AS worst_month1_cohort, retention_rate AS worst_month1_rate FROM coh_matrix
+     WHERE cohort_index = 1 ORDER BY retention_rate, cohort_month LIMIT 1) w,
+  (SELECT {_mil} FROM coh_matrix) m,
+  (SELECT {RE('sum(mean)', 'count(mean)', 2, num_scale=6)} AS avg_month1_12_pct FROM (
+     SELECT {R('sum(retention_rate)', 'count(retention_rate)', 6, num_scale=3, mult=100)} AS mean
+     FROM coh_matrix WHERE cohort_index BETWEEN 1 AND 12 GROUP BY cohort_index)) l""")
+ORACLE["cohort_curve"] = qc("""SELECT cohort_month, cohort_index, retention_rate,
+  coalesce(cohort_index = (SELECT cohort_index FROM coh_matrix WHERE cohort_month = (SELECT min(cohort_month) FROM coh_matrix)
+      AND cohort_index > 0 ORDER BY retention_rate DESC, cohort_index LIMIT 1), false) AS is_peak
+FROM coh_matrix WHERE cohort_month = (SELECT min(cohort_month) FROM coh_matrix)""")
+
+# ---- revenue (clean lines)
+MS = f"""msum AS (SELECT strftime(invoice_ts, '%Y-%m') AS year_month, {ME('sum(revenue)')} AS revenue,
+  count(DISTINCT invoice) AS orders, count(DISTINCT customer_id) AS customers,
+  {RE('sum(revenue)', 'count(DISTINCT invoice)', 2, num_scale=4)} AS aov FROM clean_sales GROUP BY 1),
+ctab AS (SELECT *, {RE('revenue', 'sum(revenue) OVER ()', 2, num_scale=2, den_scale=2, mult=100)} AS revenue_pct FROM (
+  SELECT country, {ME('sum(revenue)')} AS revenue, count(DISTINCT invoice) AS orders,
+         count(DISTINCT customer_id) AS customers FROM clean_sales GROUP BY country)),
+cust_rev AS (SELECT customer_id, sum(revenue) AS revenue FROM clean_sales GROUP BY customer_id),
+prod_first AS (SELECT stock_code, description FROM (
+  SELECT stock_code, description, row_number() OVER (PARTITION BY stock_code ORDER BY {FIRST_ORDER_SQL}) AS rn
+  FROM clean_sales WHERE description IS NOT NULL) WHERE rn = 1),
+prod_rev AS (SELECT c.stock_code, p.description, sum(revenue) AS revenue, CAST(sum(quantity) AS BIGINT) AS quantity
+  FROM clean_sales c LEFT JOIN prod_first p ON c.stock_code = p.stock_code GROUP BY c.stock_code, p.description),
+cust_par AS (SELECT customer_id, CAST(revenue AS DECIMAL(38,4)) AS revenue, rank,
+  CAST(cum AS DECIMAL(38,4)) AS cumulative_revenue,
+  {RE('cum', 'tot', 4, num_scale=4, den_scale=4, mult=100)} AS cumulative_pct,
+  {RE('rank', 'n', 4, mult=100)} AS rank_pct FROM (
+  SELECT *, row_number() OVER w AS rank, sum(revenue) OVER w AS cum, sum(revenue) OVER () AS tot, count(*) OVER () AS n
+  FROM cust_rev WINDOW w AS (ORDER BY revenue DESC, customer_id ROWS UNBOUNDED PRECEDING))),
+prod_par AS (SELECT stock_code, description, CAST(revenue AS DECIMAL(38,4)) AS revenue, quantity, rank,
+  CAST(cum AS DECIMAL(38,4)) AS cumulative_revenue,
+  {RE('cum', 'tot', 4, num_scale=4, den_scale=4, mult=100)} AS cumulative_pct,
+  {RE('rank', 'n', 4, mult=100)} AS rank_pct FROM (
+  SELECT *, row_number() OVER w AS rank, sum(revenue) OVER w AS cum, sum(revenue) OVER () AS tot, count(*) OVER () AS n
+  FROM prod_rev WINDOW w AS (ORDER BY revenue DESC, stock_code ROWS UNBOUNDED PRECEDING)))"""
+
+
+def qr(body: str) -> str:
+    return f"WITH {BASE},\n{MS}\n{body}"
+
+
+ORACLE["monthly_summary"] = qr("SELECT * FROM msum")
+ORACLE["month_extremes"] = qr(f"""SELECT * FROM
+  (SELECT year_month AS best_month, revenue AS best_revenue FROM msum ORDER BY revenue DESC, year_month LIMIT 1) b,
+  (SELECT year_month AS worst_month, revenue AS worst_revenue FROM msum ORDER BY revenue, year_month LIMIT 1) w,
+  (SELECT count(*) AS months, {RE('sum(revenue)', 'count(*)', 2, num_scale=2)} AS mean_monthly_revenue,
+          {RE('sum(aov)', 'count(*)', 2, num_scale=2)} AS mean_monthly_aov FROM msum) m""")
+ORACLE["country_summary"] = qr("""SELECT country, revenue, orders, customers, revenue_pct FROM ctab
+ORDER BY revenue DESC, country LIMIT 15""")
+ORACLE["home_vs_abroad"] = qr(f"""SELECT '{HOME}' AS home_country,
+  coalesce(sum(revenue) FILTER (WHERE country = '{HOME}'), 0) AS home_revenue,
+  coalesce(sum(revenue_pct) FILTER (WHERE country = '{HOME}'), 0) AS home_pct,
+  coalesce(sum(revenue) FILTER (WHERE country <> '{HOME}'), 0) AS other_revenue,
+  coalesce(sum(revenue_pct) FILTER (WHERE country <> '{HOME}'), 0) AS other_pct FROM ctab""")
+ORACLE["customer_pareto"] = qr("SELECT * FROM cust_par")
+ORACLE["product_pareto"] = qr("SELECT * FROM prod_par")
+ORACLE["pareto_cutoff"] = qr(f"""SELECT entity, cutoff_rank, entities, {RE('cutoff_rank', 'entities', 2, mult=100)} AS share_pct FROM (
+  SELECT 'customers' AS entity, min(rank) FILTER (WHERE cumulative_pct >= 80) AS cutoff_rank, count(*) AS entities FROM cust_par
+  UNION ALL
+  SELECT 'products', min(rank) FILTER (WHERE cumulative_pct >= 80), count(*) FROM prod_par)""")
+
+
+def _slice(entity: str, src: str, name: str, num: int, den: int, side: str) -> str:
+    cond = (f"rank <= (SELECT count(*) FROM {src}) * {num} // {den}" if side == "top" else
+            f"rank > (SELECT count(*) FROM {src}) - (SELECT count(*) FROM {src}) * {num} // {den}")
+    return (f"""SELECT '{entity}' AS entity, '{name}' AS slice, CAST((SELECT count(*) FROM {src}) * {num} // {den} AS BIGINT) AS members,
+  {ME(f'coalesce(sum(revenue) FILTER (WHERE {cond}), 0)')} AS revenue,
+  {RE(f'coalesce(sum(revenue) FILTER (WHERE {cond}), 0)', 'sum(revenue)', 2, num_scale=4, den_scale=4, mult=100)} AS revenue_pct
+FROM {src}""")
+
+
+ORACLE["top_bottom_share"] = qr("\nUNION ALL\n".join([
+    _slice("customers", "cust_par", "top_10pct", 1, 10, "top"),
+    _slice("customers", "cust_par", "top_20pct", 1, 5, "top"),
+    _slice("customers", "cust_par", "bottom_50pct", 1, 2, "bottom"),
+    _slice("products", "prod_par", "top_10pct", 1, 10, "top")]))
+ORACLE["overall_kpis"] = q(f"""SELECT {ME('sum(revenue)')} AS total_revenue, count(DISTINCT invoice) AS orders,
+  count(DISTINCT customer_id) AS customers, {RE('sum(revenue)', 'count(DISTINCT invoice)', 2, num_scale=4)} AS aov
+FROM clean_sales""")
+ORACLE["non_product_codes"] = q(f"""SELECT c.stock_code, {ME('coalesce(sum(s.revenue), 0)')} AS revenue,
+  CAST(count(s.stock_code) AS BIGINT) AS lines
+FROM (VALUES ('M'), ('POST')) c(stock_code) LEFT JOIN clean_sales s ON s.stock_code = c.stock_code
+GROUP BY c.stock_code""")
+
+# ---- lifetime value
+CLV = f"""clv_base AS (
+  SELECT customer_id, sum(rev) AS rev, count(*) AS total_orders, min(first_ts) AS first_purchase,
+         max(last_ts) AS last_purchase FROM (
+    SELECT customer_id, invoice, sum(revenue) AS rev, min(invoice_ts) AS first_ts, max(invoice_ts) AS last_ts
+    FROM clean_sales GROUP BY customer_id, invoice) GROUP BY customer_id),
+clv_1 AS (SELECT customer_id, {ME('rev')} AS total_revenue, total_orders, first_purchase, last_purchase,
+  {RE('rev', 'total_orders', 2, num_scale=4)} AS aov,
+  CAST(date_sub('day', first_purchase, last_purchase) AS BIGINT) AS lifespan_days FROM clv_base),
+clv_2 AS (SELECT *, {RE('lifespan_days', '365', 4)} AS lifespan_years FROM clv_1),
+customer_clv AS (SELECT *, {ME('CAST(CAST(aov AS DECIMAL(18,2)) * CAST(total_orders AS DECIMAL(20,0)) AS DECIMAL(20,2)) * CAST(lifespan_years + 1 AS DECIMAL(10,4))')} AS clv FROM clv_2),
+clv_seg AS (SELECT c.*, r.segment FROM customer_clv c LEFT JOIN rfm_segments r ON c.customer_id = r.customer_id)"""
+
+
+def qv(body: str) -> str:
+    return f"WITH {BASE},\n{CLV}\n{body}"
+
+
+MEDIAN = RE("sum(clv)", "count(*)", 3, num_scale=2)
+ORACLE["customer_clv"] = qv("SELECT * FROM customer_clv")
+ORACLE["clv_stats"] = qv(f"""SELECT count(*) AS customers,
+  {RE('sum(aov)', 'count(*)', 2, num_scale=2)} AS avg_aov,
+  {RE('sum(total_orders)', 'count(*)', 2)} AS avg_orders,
+  {RE('sum(lifespan_years)', 'count(*)', 4, num_scale=4)} AS avg_lifespan_years,
+  min(clv) AS min_clv, max(clv) AS max_clv,
+  {RE('sum(clv)', 'count(*)', 2, num_scale=2)} AS mean_clv, sum(clv) AS total_clv,
+  (SELECT {MEDIAN} FROM (SELECT clv, row_number() OVER (ORDER BY clv, customer_id) AS rn, count(*) OVER () AS n
+     FROM customer_clv) WHERE rn IN ((n + 1) // 2, n // 2 + 1)) AS median_clv
+FROM customer_clv""")
+ORACLE["clv_by_segment"] = qv(f"""SELECT g.segment, customer_count,
+  {RE('total_clv', 'customer_count', 2, num_scale=2)} AS avg_clv, m.median_clv, total_clv,
+  {RE('days', 'customer_count', 2)} AS avg_lifespan_days, {RE('ord', 'customer_count', 2)} AS avg_orders
+FROM (SELECT segment, count(*) AS customer_count, sum(clv) AS total_clv, sum(lifespan_days) AS days,
+             sum(total_orders) AS ord FROM clv_seg GROUP BY segment) g
+LEFT JOIN (SELECT segment, {MEDIAN} AS median_clv FROM (
+    SELECT segment, clv, row_number() OVER (PARTITION BY segment ORDER BY clv, customer_id) AS rn,
+           count(*) OVER (PARTITION BY segment) AS n FROM clv_seg WHERE segment IS NOT NULL)
+  WHERE rn IN ((n + 1) // 2, n // 2 + 1) GROUP BY segment) m ON g.segment = m.segment""")
+ORACLE["clv_top20"] = qv("""SELECT customer_id, total_revenue, total_orders, aov, lifespan_days, clv, segment
+FROM clv_seg ORDER BY clv DESC, customer_id LIMIT 20""")
+ORACLE["clv_top20_share"] = qv(f"""SELECT top_clv, total_clv, {RE('top_clv', 'total_clv', 2, num_scale=2, den_scale=2, mult=100)} AS top_pct
+FROM (SELECT (SELECT sum(clv) FROM (SELECT clv FROM customer_clv ORDER BY clv DESC, customer_id LIMIT 20)) AS top_clv,
+             (SELECT sum(clv) FROM customer_clv) AS total_clv)""")
+ORACLE["clv_histogram"] = qv("""SELECT CAST(bin AS INTEGER) AS bin, count(*) AS customers, lo AS range_low, hi AS range_high FROM (
+  SELECT k.clv, r.lo, r.hi, CASE WHEN r.hi = r.lo THEN 0 ELSE least(49,
+      CAST((CAST((k.clv - r.lo) * 100 AS HUGEINT) * 50) // CAST((r.hi - r.lo) * 100 AS HUGEINT) AS INTEGER)) END AS bin
+  FROM (SELECT clv FROM customer_clv WHERE CAST(clv AS DOUBLE) <= (SELECT quantile_cont(CAST(clv AS DOUBLE), 0.95) FROM customer_clv)) k,
+       (SELECT min(clv) AS lo, max(clv) AS hi FROM customer_clv
+        WHERE CAST(clv AS DOUBLE) <= (SELECT quantile_cont(CAST(clv AS DOUBLE), 0.95) FROM customer_clv)) r)
+GROUP BY bin, lo, hi""")
+ORACLE["clv_segment_ratio"] = qv(f"""SELECT c AS champion_avg_clv, l AS lost_avg_clv, a AS at_risk_avg_clv,
+  {RE('c', 'l', 1, num_scale=2, den_scale=2)} AS champion_vs_lost,
+  {RE('c', 'a', 1, num_scale=2, den_scale=2)} AS champion_vs_at_risk FROM (
+  SELECT max(avg_clv) FILTER (WHERE segment = 'Champion') AS c, max(avg_clv) FILTER (WHERE segment = 'Lost') AS l,
+         max(avg_clv) FILTER (WHERE segment = 'At Risk') AS a FROM (
+    SELECT segment, {RE('sum(clv)', 'count(*)', 2, num_scale=2)} AS avg_clv FROM clv_seg WHERE segment IS NOT NULL GROUP BY segment))""")
+ORACLE["recovery_scenario"] = qg(f"""SELECT scenario, customers, base_value, CAST(0.20 AS DECIMAL(5,4)) AS assumed_rate,
+  CAST(round(base_value * CAST(0.20 AS DECIMAL(5,4)), 2) AS DECIMAL(38,2)) AS recoverable_value FROM (
+  SELECT 'At Risk customers' AS scenario, count(*) AS customers, CAST(coalesce(sum(monetary), 0) AS DECIMAL(38,2)) AS base_value
+  FROM rfm_segments WHERE segment = 'At Risk'
+  UNION ALL
+  SELECT 'guest checkouts', CAST(NULL AS BIGINT), CAST({M('coalesce(sum(revenue), 0)')} AS DECIMAL(38,2)) FROM guest)""")
+
+# ---- star schema and integrity
+for _t in ("dim_customer", "dim_product", "dim_date", "fact_sales"):
+    ORACLE[_t] = q(f"SELECT * FROM {_t}")
+
+
+def _integrity() -> None:
+    from shopscope import schemas
+    fks = [f"""SELECT '{c}' AS child_table, '{col}' AS child_column, '{p}' AS parent_table,
+  (SELECT count(*) FROM {c} x WHERE NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{pc} = x.{col})) AS orphan_rows"""
+           for c, col, p, pc in schemas.FOREIGN_KEYS]
+    ORACLE["fk_orphans"] = q("\nUNION ALL\n".join(fks))
+    pks = []
+    for name, keys in schemas.PRIMARY_KEYS.items():
+        nn = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in schemas.NOT_NULL[name])
+        kcols = ", ".join(keys)
+        knull = " OR ".join(f"{k} IS NULL" for k in keys)
+        pks.append(f"""SELECT '{name}' AS table_name, count(*) AS rows,
+  (SELECT count(*) FROM (SELECT {kcols} FROM {name} GROUP BY {kcols} HAVING count(*) > 1)) AS duplicate_keys,
+  count(*) FILTER (WHERE {knull}) AS null_keys, CAST({nn} AS BIGINT) AS not_null_violations FROM {name}""")
+    ORACLE["pk_violations"] = q("\nUNION ALL\n".join(pks))
+    ORACLE["load_row_counts"] = q("\nUNION ALL\n".join(
+        f"SELECT {i + 1} AS load_order, '{t}' AS table_name, count(*) AS rows FROM {t}"
+        for i, t in enumerate(["dim_customer", "dim_product", "dim_date", "fact_sales", "rfm_segments"])))
+
+
+_integrity()
+
+# ---- significance tests
+from shopscope.operators.stats import t_stat_sql  # noqa: E402
+
+
+def _two_sample(src: str, flag: str, v: str, scale: int, test: str, g1: str, g2: str) -> str:
+    return f"""SELECT '{test}' AS test, '{g1}' AS group1, '{g2}' AS group2, n1, n2,
+  {RE('s1', 'n1', 2, num_scale=scale)} AS mean1, {RE('s2', 'n2', 2, num_scale=scale)} AS mean2,
+  {RE('s1 * n2 - s2 * n1', 'n1 * n2', 2, num_scale=scale)} AS mean_difference,
+  {t_stat_sql('n1', 's1', 'q1', 'n2', 's2', 'q2')} AS t_stat, CAST(n1 + n2 - 2 AS BIGINT) AS df
+FROM (SELECT count(*) FILTER (WHERE {flag}) AS n1, sum({v}) FILTER (WHERE {flag}) AS s1,
+             sum({v} * {v}) FILTER (WHERE {flag}) AS q1,
+             count(*) FILTER (WHERE NOT ({flag})) AS n2, sum({v}) FILTER (WHERE NOT ({flag})) AS s2,
+             sum({v} * {v}) FILTER (WHERE NOT ({flag})) AS q2 FROM {src})"""
+
+
+ORACLE["ttest_champion"] = q(_two_sample("rfm_segments", "coalesce(segment = 'Champion', false)", "monetary", 2,
+                                         "champion_vs_other_monetary", "Champion", "other"))
+ORACLE["ttest_country"] = q(_two_sample(
+    f"(SELECT coalesce(country = '{HOME}', false) AS g, invoice, sum(revenue) AS order_revenue FROM clean_sales GROUP BY 1, 2)",
+    "g", "order_revenue", 4, "home_vs_other_order_value", HOME, "other"))
+_Q4 = "month(invoice_ts) IN (10, 11, 12)"
+ORACLE["ttest_q4_order_value"] = q(f"""SELECT * FROM ({_two_sample(
+    f"(SELECT {_Q4} AS g, invoice, sum(revenue) AS order_revenue FROM clean_sales GROUP BY 1, 2)",
+    "g", "order_revenue", 4, "q4_vs_other_order_value", "Q4", "other")}) t,
+  (SELECT {RE(f'coalesce(sum(revenue) FILTER (WHERE {_Q4}), 0)', 'sum(revenue)', 2, num_scale=4, den_scale=4, mult=100)} AS q4_revenue_pct
+   FROM clean_sales) s""")
+_MQ = f"(SELECT year(invoice_ts) * 12 + month(invoice_ts) - 1 AS mo, {_Q4} AS g, sum(revenue) AS month_revenue FROM clean_sales GROUP BY 1, 2)"
+ORACLE["ttest_q4_monthly"] = q(f"""SELECT * FROM ({_two_sample(_MQ, "g", "month_revenue", 4,
+                                                             "q4_vs_other_monthly_revenue", "Q4", "other")}) t,
+  (SELECT {RE('s1 * n2 - s2 * n1', 's2 * n1', 2, num_scale=4, den_scale=4, mult=100)} AS q4_premium_pct FROM (
+     SELECT count(*) FILTER (WHERE g) AS n1, sum(month_revenue) FILTER (WHERE g) AS s1,
+            count(*) FILTER (WHERE NOT g) AS n2, sum(month_revenue) FILTER (WHERE NOT g) AS s2 FROM {_MQ})) p""")
+ORACLE["chi2_segment_counts"] = q(f"""SELECT segment, observed, {RE('n', 'k', 1)} AS expected,
+  {RE('observed * k - n', 'k', 1)} AS difference FROM (
+  SELECT segment, count(*) AS observed FROM rfm_segments GROUP BY segment) g,
+  (SELECT count(*) AS n, count(DISTINCT segment) AS k FROM rfm_segments) t""")
+ORACLE["chi2_segments"] = q(f"""SELECT 'segment_uniformity' AS test, n, k, {RE('k * sq - n * n', 'n', 4)} AS chi2_stat,
+  CAST(k - 1 AS BIGINT) AS df FROM (SELECT sum(o) AS n, count(*) AS k, sum(o * o) AS sq FROM (
+  SELECT count(*) AS o FROM rfm_segments GROUP BY segment))""")

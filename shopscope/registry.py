@@ -48,3 +48,99 @@ QUERIES: dict[str, Query] = {
     "mom_growth": lambda s, d: reports.mom_growth(_s(s, d).fact_sales),
     "country_contribution": lambda s, d: reports.country_contribution(_s(s, d).fact_sales, _s(s, d).dim_customer),
 }
+
+
+# ---------------------------------------------------------------- operators
+from shopscope.operators import clv, cohorts, integrity, quality, revenue, rfm, stats  # noqa: E402
+from shopscope.operators import cleaning  # noqa: E402
+from shopscope.sources.raw_view import raw_sales_from_tpch  # noqa: E402
+
+# Fixed parameters for the fixture data (the analysis layer takes them as arguments).
+HOME_COUNTRY = "NATION_2"
+AUDIT_YEAR = 1998
+
+
+def _raw(spark: SparkSession, sf_dir: str):
+    return raw_sales_from_tpch(spark, sf_dir)
+
+
+def _clean(spark: SparkSession, sf_dir: str):
+    return star_for(spark, sf_dir).clean
+
+
+def _clv(spark: SparkSession, sf_dir: str):
+    return clv.customer_clv(_clean(spark, sf_dir))
+
+
+QUERIES.update({
+    # ---- audit (C-01 ... C-07), on raw rows
+    "dq_null_audit": lambda s, d: quality.dq_null_audit(_raw(s, d)),
+    "dq_rule_counts": lambda s, d: quality.dq_rule_counts(_raw(s, d)),
+    "dq_duplicates": lambda s, d: quality.dq_duplicates(_raw(s, d)),
+    "dq_prefix_counts": lambda s, d: quality.dq_prefix_counts(_raw(s, d)),
+    "dq_date_range": lambda s, d: quality.dq_date_range(_raw(s, d)),
+    "dq_year_counts": lambda s, d: quality.dq_year_counts(_raw(s, d)),
+    "dq_month_counts": lambda s, d: quality.dq_month_counts(_raw(s, d), AUDIT_YEAR),
+    "dq_country_distribution": lambda s, d: quality.dq_country_distribution(_raw(s, d)),
+    "dq_country_summary": lambda s, d: quality.dq_country_summary(_raw(s, d), HOME_COUNTRY),
+    # ---- cleaning (C-10 ... C-14)
+    "clean_sales": lambda s, d: _clean(s, d),
+    "clean_funnel": lambda s, d: cleaning.clean_funnel(_raw(s, d)),
+    "guest_summary": lambda s, d: cleaning.guest_summary(_raw(s, d)),
+    "guest_countries": lambda s, d: cleaning.guest_countries(_raw(s, d)),
+    "revenue_impact": lambda s, d: cleaning.revenue_impact(_clean(s, d), _raw(s, d)),
+    "revenue_stats": lambda s, d: cleaning.revenue_stats(cleaning.identified_before_floor(_raw(s, d))),
+    "smallest_revenue_lines": lambda s, d: cleaning.smallest_revenue_lines(
+        cleaning.identified_before_floor(_raw(s, d))),
+    # ---- RFM (C-20 ... C-26)
+    "rfm_base": lambda s, d: rfm.rfm_base(_clean(s, d)),
+    "rfm_segments_table": lambda s, d: _s(s, d).rfm_segments,
+    "segment_distribution": lambda s, d: rfm.segment_distribution(_s(s, d).rfm_segments),
+    "segment_revenue": lambda s, d: rfm.segment_revenue(_s(s, d).rfm_segments),
+    "rfm_describe": lambda s, d: rfm.rfm_describe(_s(s, d).rfm_segments),
+    "rfm_scatter_points": lambda s, d: rfm.rfm_scatter_points(_s(s, d).rfm_segments),
+    # ---- cohorts (C-30 ... C-35)
+    "cohort_assign": lambda s, d: cohorts.cohort_assign(_clean(s, d)),
+    "cohort_counts": lambda s, d: cohorts.cohort_counts(_clean(s, d)),
+    "cohort_retention_matrix": lambda s, d: cohorts.cohort_retention_matrix(_clean(s, d)),
+    "cohort_milestones": lambda s, d: cohorts.cohort_milestones(_clean(s, d)),
+    "cohort_curve": lambda s, d: cohorts.cohort_curve(_clean(s, d)),
+    "avg_retention_curve": lambda s, d: cohorts.avg_retention_curve(_clean(s, d)),
+    # ---- revenue, geography, concentration (C-40 ... C-49)
+    "monthly_summary": lambda s, d: revenue.monthly_summary(_clean(s, d)),
+    "month_extremes": lambda s, d: revenue.month_extremes(_clean(s, d)),
+    "country_summary": lambda s, d: revenue.country_summary(_clean(s, d)),
+    "home_vs_abroad": lambda s, d: revenue.home_vs_abroad(_clean(s, d), HOME_COUNTRY),
+    "customer_pareto": lambda s, d: revenue.customer_pareto(_clean(s, d)),
+    "pareto_cutoff": lambda s, d: revenue.pareto_cutoff(_clean(s, d)),
+    "top_bottom_share": lambda s, d: revenue.top_bottom_share(_clean(s, d)),
+    "product_pareto": lambda s, d: revenue.product_pareto(_clean(s, d)),
+    "overall_kpis": lambda s, d: revenue.overall_kpis(_clean(s, d)),
+    "non_product_codes": lambda s, d: revenue.non_product_codes(_clean(s, d)),
+    # ---- lifetime value (C-50 ... C-56)
+    "customer_clv": lambda s, d: _clv(s, d),
+    "clv_stats": lambda s, d: clv.clv_stats(_clv(s, d)),
+    "clv_by_segment": lambda s, d: clv.clv_by_segment(_clv(s, d), _s(s, d).rfm_segments),
+    "clv_top20": lambda s, d: clv.clv_top20(_clv(s, d), _s(s, d).rfm_segments),
+    "clv_top20_share": lambda s, d: clv.clv_top20_share(_clv(s, d)),
+    "clv_histogram": lambda s, d: clv.clv_histogram(_clv(s, d)),
+    "clv_segment_ratio": lambda s, d: clv.clv_segment_ratio(_clv(s, d), _s(s, d).rfm_segments),
+    "recovery_scenario": lambda s, d: clv.recovery_scenario(
+        _s(s, d).rfm_segments, cleaning.guest_summary(_raw(s, d))),
+    # ---- star schema and integrity (C-60 ... C-62, S-07)
+    "dim_customer": lambda s, d: _s(s, d).dim_customer,
+    "dim_product": lambda s, d: _s(s, d).dim_product,
+    "dim_date": lambda s, d: _s(s, d).dim_date,
+    "fact_sales": lambda s, d: _s(s, d).fact_sales,
+    "fk_orphans": lambda s, d: integrity.fk_orphans(_s(s, d).tables()),
+    "pk_violations": lambda s, d: integrity.pk_violations(_s(s, d).tables()),
+    "load_row_counts": lambda s, d: integrity.load_row_counts(_s(s, d).tables()),
+    # ---- significance tests (C-70 ... C-75)
+    "ttest_champion": lambda s, d: stats.ttest_champion(_s(s, d).rfm_segments),
+    "ttest_country": lambda s, d: stats.ttest_country(_clean(s, d), HOME_COUNTRY),
+    "chi2_segment_counts": lambda s, d: stats.chi2_segment_counts(_s(s, d).rfm_segments),
+    "chi2_segments": lambda s, d: stats.chi2_segments(_s(s, d).rfm_segments),
+    "ttest_q4_order_value": lambda s, d: stats.ttest_q4_order_value(_clean(s, d)),
+    "ttest_q4_monthly": lambda s, d: stats.ttest_q4_monthly(_clean(s, d)),
+    "tests_summary": lambda s, d: stats.tests_summary(_s(s, d).rfm_segments, _clean(s, d), HOME_COUNTRY),
+})
