@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import money_even, ratio
-from shopscope.plans.ordering import global_order
+from shopscope.plans.ordering import durable, global_order
 from shopscope.plans.star import FIRST_ORDER
 
 PARETO_SHARE = 80
@@ -85,6 +85,7 @@ def home_vs_abroad(clean: DataFrame, home: str) -> DataFrame:
 
 
 def _pareto(per_entity: DataFrame, key: str, mode: str) -> DataFrame:
+    per_entity = durable(per_entity)  # read by count, total and the ordering
     n = per_entity.count()
     o = global_order(per_entity, [("revenue", False), (key, True)], running="revenue",
                      n_rows=n, mode=mode)

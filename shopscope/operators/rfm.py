@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shopscope import schemas
 from shopscope.functions.exact import money_even, ratio
-from shopscope.plans.ordering import global_order, quantile_edges
+from shopscope.plans.ordering import durable, global_order, quantile_edges
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
@@ -100,7 +100,9 @@ def _bin(value: Column, edges: Column) -> Column:
 
 def rfm_scores(base: DataFrame, *, mode: str = "auto") -> DataFrame:
     """C-21: add r_score, f_score, m_score, rfm_score, rfm_total."""
-    base = base.select("customer_id", "recency", "frequency", "monetary")
+    # the per-customer table feeds a count, two quantile jobs and the
+    # ordering: materialise it once instead of re-aggregating the lines
+    base = durable(base.select("customer_id", "recency", "frequency", "monetary"))
     n = base.count()
     r_edges = quantile_edges(base, "recency", "customer_id", QUINTILES, n_rows=n, mode=mode)
     m_edges = quantile_edges(base, "monetary", "customer_id", QUINTILES, n_rows=n, mode=mode)

@@ -108,6 +108,10 @@ def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "au
     spark = raw.sparkSession
     if path is None:
         path = os.path.join(checkpoint_dir(spark), "shopscope-star", uuid.uuid4().hex)
+    # the raw lines are loaded once (the audits and the guest analysis read
+    # them too), then everything else derives from the written copy
+    raw.write.mode("overwrite").format(fmt).save(f"{path}/raw_sales")
+    raw = spark.read.format(fmt).load(f"{path}/raw_sales")
     clean_path = f"{path}/clean_sales"
     cleaning.clean_sales(raw).write.mode("overwrite").format(fmt).save(clean_path)
     clean = spark.read.format(fmt).load(clean_path)

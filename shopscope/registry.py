@@ -53,7 +53,6 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------- operators
 from shopscope.operators import clv, cohorts, integrity, quality, revenue, rfm, stats  # noqa: E402
 from shopscope.operators import cleaning  # noqa: E402
-from shopscope.sources.raw_view import raw_sales_from_tpch  # noqa: E402
 
 # Fixed parameters for the fixture data (the analysis layer takes them as arguments).
 HOME_COUNTRY = "NATION_2"
@@ -61,7 +60,8 @@ AUDIT_YEAR = 1998
 
 
 def _raw(spark: SparkSession, sf_dir: str):
-    return raw_sales_from_tpch(spark, sf_dir)
+    """The raw lines as loaded by the star build (written once per data folder)."""
+    return star_for(spark, sf_dir).raw
 
 
 def _clean(spark: SparkSession, sf_dir: str):
