@@ -158,25 +158,52 @@ def segment_revenue(rfm: DataFrame) -> DataFrame:
               half_even=True).alias("revenue_pct")))
 
 
-def rfm_describe(rfm: DataFrame) -> DataFrame:
+DESCRIBE_MEASURES = ["recency", "frequency", "monetary", "r_score", "f_score", "m_score"]
+
+
+def std_sql(n: str, s: str, q: str) -> str:
+    """Sample standard deviation from count, sum and sum of squares (SQL
+    text valid in Spark SQL and DuckDB), reported to 6 places."""
+    d = lambda x: f"CAST({x} AS DOUBLE)"
+    return (f"CAST(CASE WHEN {n} > 1 THEN sqrt(greatest(({d(q)} - {d(s)} * {d(s)} / {d(n)}) "
+            f"/ ({d(n)} - CAST(1 AS DOUBLE)), CAST(0 AS DOUBLE))) END AS DECIMAL(38,6))")
+
+
+def rfm_describe(rfm: DataFrame, *, mode: str = "auto") -> DataFrame:
     """C-25: count, mean, sample std, min, quartiles, max of the R/F/M values
-    and scores, one row per measure (exact quartiles)."""
-    measures = ["recency", "frequency", "monetary", "r_score", "f_score", "m_score"]
+    and scores, one row per measure.
+
+    Quartiles are exact (linear interpolation at (n - 1) p, in decimals),
+    read at their positions from the global order of each measure, so no
+    task ever holds a value->count map of all distinct values.
+    """
+    dec = "decimal(38,4)"
+    n = rfm.count()
     rows = None
-    for m in measures:
-        c = F.col(m).cast("double")
-        one = rfm.agg(
-            F.lit(m).alias("measure"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min"),
-            F.percentile(c, [0.25, 0.5, 0.75]).alias("_q"),
-            F.max(c).alias("max"))
+    for m in DESCRIBE_MEASURES:
+        v = F.col(m).cast(dec)
+        sums = rfm.agg(F.count(v).alias("_n"), F.sum(v).alias("_s"), F.sum(v * v).alias("_q"),
+                       F.min(v).alias("min"), F.max(v).alias("max"))
+        o = global_order(rfm.select(v.alias("_v"), "customer_id"), [("_v", True), ("customer_id", True)],
+                         n_rows=n, mode=mode)
+        quart = []
+        for k in (1, 2, 3):
+            pos = (n - 1) * k
+            lo, frac = pos // 4, pos % 4
+            hi = lo + (1 if frac else 0)
+            vlo = F.max(F.when(F.col("_rn") == lo + 1, F.col("_v")))
+            vhi = F.max(F.when(F.col("_rn") == hi + 1, F.col("_v")))
+            quart.append((vlo + (vhi - vlo) * F.lit(frac) * F.lit("0.25").cast("decimal(3,2)"))
+                         .cast(dec).alias(f"p{25 * k}"))
+        qs = o.where(F.col("_rn").isin(sorted({p for k in (1, 2, 3) for p in
+                                                ((n - 1) * k // 4 + 1, (n - 1) * k // 4 + 2)}))).agg(*quart)
+        one = sums.crossJoin(qs).select(
+            F.lit(m).alias("measure"), F.col("_n").alias("count"),
+            ratio("_s", "_n", 6, num_scale=4, half_even=True).alias("mean"),
+            F.expr(std_sql("_n", "_s", "_q")).alias("std"),
+            "min", "p25", "p50", "p75", "max")
         rows = one if rows is None else rows.unionByName(one)
-    return rows.select("measure", "count", "mean", "std", "min",
-                       F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                       F.col("_q")[2].alias("p75"), "max")
+    return rows
 
 
 def rfm_scatter_points(rfm: DataFrame) -> DataFrame:

@@ -641,3 +641,26 @@ ORACLE["chi2_segment_counts"] = q(f"""SELECT segment, observed, {RE('n', 'k', 1)
 ORACLE["chi2_segments"] = q(f"""SELECT 'segment_uniformity' AS test, n, k, {RE('k * sq - n * n', 'n', 4)} AS chi2_stat,
   CAST(k - 1 AS BIGINT) AS df FROM (SELECT sum(o) AS n, count(*) AS k, sum(o * o) AS sq FROM (
   SELECT count(*) AS o FROM rfm_segments GROUP BY segment))""")
+
+
+def _describe() -> None:
+    from shopscope.operators.rfm import DESCRIBE_MEASURES, std_sql
+    parts = []
+    for m in DESCRIBE_MEASURES:
+        v = f"CAST({m} AS DECIMAL(38,4))"
+        qs = []
+        for k in (1, 2, 3):
+            lo = f"((n - 1) * {k} // 4)"
+            frac = f"((n - 1) * {k} % 4)"
+            vlo = f"max(v) FILTER (WHERE rn = {lo} + 1)"
+            vhi = f"max(v) FILTER (WHERE rn = {lo} + CASE WHEN {frac} > 0 THEN 2 ELSE 1 END)"
+            afrac = f"((max(n) - 1) * {k} % 4)"
+            qs.append(f"CAST({vlo} + ({vhi} - {vlo}) * {afrac} * CAST(0.25 AS DECIMAL(3,2)) AS DECIMAL(38,4)) AS p{25 * k}")
+        parts.append(f"""SELECT '{m}' AS measure, count(v) AS count,
+  {RE('sum(v)', 'count(v)', 6, num_scale=4)} AS mean, {std_sql('count(v)', 'sum(v)', 'sum(v * v)')} AS std,
+  min(v) AS min, {', '.join(qs)}, max(v) AS max
+FROM (SELECT {v} AS v, row_number() OVER (ORDER BY {v}, customer_id) AS rn, count(*) OVER () AS n FROM rfm_segments)""")
+    ORACLE["rfm_describe"] = q("\nUNION ALL\n".join(parts))
+
+
+_describe()

@@ -36,4 +36,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_listed():
     missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing <= {"tests_summary", "rfm_describe"}
+    assert missing <= {"tests_summary"}
