@@ -81,12 +81,12 @@ def clean_funnel(raw: DataFrame) -> DataFrame:
     per_step = per_row.groupBy("step_no").agg(
         F.count(F.lit(1)).alias("distinct_rows"),
         F.sum(F.col("_n") - 1).alias("extra_copies"))
-    totals = per_step.agg(F.sum("distinct_rows").alias("n_distinct"),
-                          F.sum("extra_copies").alias("n_dupes"))
     steps = spark.createDataFrame(
         [(n, s) for n, s in STEPS] + [(KEPT_STEP, "kept")], "step_no int, step string")
     # the step table is the fixed 7-row list above: a bounded broadcast
-    joined = (F.broadcast(steps).join(per_step, "step_no", "left").crossJoin(totals))
+    joined = (F.broadcast(steps).join(per_step, "step_no", "left")
+              .withColumn("n_distinct", per_step.select(F.sum("distinct_rows")).scalar())
+              .withColumn("n_dupes", per_step.select(F.sum("extra_copies")).scalar()))
     removed = F.when(F.col("step_no") == 1, F.col("n_dupes")).otherwise(
         F.coalesce(F.col("distinct_rows"), F.lit(0)))
     removed = F.when(F.col("step_no") == KEPT_STEP, F.lit(0)).otherwise(removed)
@@ -158,7 +158,7 @@ def revenue_stats(clean_before_floor: DataFrame) -> DataFrame:
         F.min(rev).alias("min_revenue"),
         F.max(rev).alias("max_revenue"),
         F.count(F.lit(1)).alias("rows"),
-        F.sum(rev).alias("total_revenue"),
+        F.sum(rev).cast("decimal(38,4)").alias("total_revenue"),
         F.count_if(rev == 0).alias("zero_revenue_rows"),
         F.count_if(rev < F.lit("0.01").cast(schemas.REV4)).alias("rows_below_0_01"),
         F.count_if(rev < F.lit("0.10").cast(schemas.REV4)).alias("rows_below_0_10"),

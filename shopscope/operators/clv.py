@@ -116,10 +116,9 @@ def clv_histogram(clv: DataFrame, *, mode: str = "auto") -> DataFrame:
     95th percentile; the last bin is closed. Bin = floor((x - lo) * 50 /
     (hi - lo)) in exact integer arithmetic."""
     p95 = quantile_edges(clv, "clv", "customer_id", [HIST_QUANTILE], mode=mode)
-    kept = (clv.crossJoin(F.broadcast(p95))
-               .where(F.col("clv").cast("double") <= F.col("edges")[0]).select("clv"))
-    rng = kept.agg(F.min("clv").alias("lo"), F.max("clv").alias("hi"))
-    b = kept.crossJoin(F.broadcast(rng)).withColumn(
+    kept = clv.where(F.col("clv").cast("double") <= p95.select(F.col("edges")[0]).scalar()).select("clv")
+    b = (kept.withColumn("lo", kept.select(F.min("clv")).scalar())
+             .withColumn("hi", kept.select(F.max("clv")).scalar())).withColumn(
         "bin", F.expr(f"""CASE WHEN hi = lo THEN 0 ELSE least({HIST_BINS - 1},
             CAST((CAST((clv - lo) * 100 AS DECIMAL(38,0)) * {HIST_BINS})
                  div CAST((hi - lo) * 100 AS DECIMAL(38,0)) AS INT)) END"""))

@@ -98,7 +98,7 @@ def _pareto(per_entity: DataFrame, key: str, mode: str) -> DataFrame:
 
 
 def customer_revenue(clean: DataFrame) -> DataFrame:
-    return clean.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
+    return clean.groupBy("customer_id").agg(F.sum("revenue").cast("decimal(38,4)").alias("revenue"))
 
 
 def product_revenue(clean: DataFrame) -> DataFrame:
@@ -106,7 +106,8 @@ def product_revenue(clean: DataFrame) -> DataFrame:
     first = F.min_by(F.col("description"),
                      F.when(F.col("description").isNotNull(), F.struct(*[F.col(c) for c in FIRST_ORDER])))
     return clean.groupBy("stock_code").agg(
-        F.sum("revenue").alias("revenue"), F.sum("quantity").cast("bigint").alias("quantity"),
+        F.sum("revenue").cast("decimal(38,4)").alias("revenue"),
+        F.sum("quantity").cast("bigint").alias("quantity"),
         first.alias("description"))
 
 
@@ -146,11 +147,11 @@ def top_bottom_share(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
         p = ranked[entity]
         members = F.expr(f"_n * {num} div {den}")
         agg = p.agg(F.count(F.lit(1)).alias("_n"), F.sum("revenue").alias("_tot"))
-        sel = p.crossJoin(F.broadcast(agg.select(F.col("_n").alias("_nn"))))
+        sel = p.withColumn("_nn", p.select(F.count(F.lit(1))).scalar())
         cond = (F.col("rank") <= F.expr(f"_nn * {num} div {den}")) if side == "top" else \
                (F.col("rank") > F.expr(f"_nn - _nn * {num} div {den}"))
-        rev = sel.where(cond).agg(F.sum("revenue").alias("_r"))
-        row = (agg.crossJoin(rev)
+        rev = sel.where(cond).select(F.sum("revenue"))
+        row = (agg.withColumn("_r", rev.scalar())
                .select(F.lit(entity).alias("entity"), F.lit(slice_name).alias("slice"),
                        members.cast("bigint").alias("members"),
                        money_even(F.coalesce(F.col("_r"), F.lit(0))).alias("revenue"),

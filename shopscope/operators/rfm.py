@@ -80,12 +80,12 @@ def customer_orders(clean: DataFrame) -> DataFrame:
 def rfm_base(clean: DataFrame) -> DataFrame:
     """C-20: customer_id, recency (whole elapsed days to max(ts) + 1 day),
     frequency (distinct invoices), monetary (revenue rounded to 2 places)."""
-    ref = clean.agg((F.max("invoice_ts") + F.expr("INTERVAL 1 DAY")).alias("_ref_ts"))
+    ref_ts = clean.select(F.max("invoice_ts") + F.expr("INTERVAL 1 DAY")).scalar()
     per_cust = (customer_orders(clean).groupBy("customer_id")
                 .agg(F.max("last_ts").alias("_last_ts"),
                      F.count(F.lit(1)).alias("frequency"),
                      F.sum("order_revenue").alias("_rev")))
-    return (per_cust.crossJoin(F.broadcast(ref))  # one-row scalar
+    return (per_cust.withColumn("_ref_ts", ref_ts)  # scalar subquery, computed once
             .select("customer_id",
                     F.timestamp_diff("DAY", F.col("_last_ts"), F.col("_ref_ts")).cast("int").alias("recency"),
                     F.col("frequency").cast("bigint").alias("frequency"),
@@ -106,12 +106,11 @@ def rfm_scores(base: DataFrame, *, mode: str = "auto") -> DataFrame:
     n = base.count()
     r_edges = quantile_edges(base, "recency", "customer_id", QUINTILES, n_rows=n, mode=mode)
     m_edges = quantile_edges(base, "monetary", "customer_id", QUINTILES, n_rows=n, mode=mode)
-    edges = (r_edges.select(F.col("edges").alias("_re"))
-             .crossJoin(m_edges.select(F.col("edges").alias("_me"))))
     ranked = global_order(base, [("frequency", True), ("customer_id", True)], n_rows=n, mode=mode)
     f_score = (F.when(F.lit(n) <= 1, F.lit(1)).otherwise(
         F.greatest(F.lit(1), F.expr(f"((_rn - 1) * 5 + {n} - 2) div greatest({n} - 1, 1)")))).cast("int")
-    scored = ranked.crossJoin(F.broadcast(edges)).select(
+    scored = (ranked.withColumn("_re", r_edges.select("edges").scalar())
+                    .withColumn("_me", m_edges.select("edges").scalar())).select(
         "customer_id", "recency", "frequency", "monetary",
         (F.lit(5) - _bin(F.col("recency"), F.col("_re"))).cast("int").alias("r_score"),
         f_score.alias("f_score"),
@@ -133,8 +132,7 @@ def rfm_segments(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
 def segment_distribution(rfm: DataFrame) -> DataFrame:
     """C-23: customers and % of customers per segment (half-even, 2 places)."""
     counts = rfm.groupBy("segment").agg(F.count(F.lit(1)).alias("customer_count"))
-    total = rfm.agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.crossJoin(F.broadcast(total))
+    return (counts.withColumn("_n", rfm.select(F.count(F.lit(1))).scalar())
             .select("segment", "customer_count",
                     ratio("customer_count", "_n", 2, mult=100, half_even=True).alias("customer_pct")))
 
@@ -147,8 +145,7 @@ def segment_revenue(rfm: DataFrame) -> DataFrame:
         F.sum("monetary").alias("total_revenue"),
         F.sum("recency").alias("_rec"),
         F.sum("frequency").alias("_freq"))
-    total = g.agg(F.sum("total_revenue").alias("_all"))
-    return (g.crossJoin(F.broadcast(total)).select(
+    return (g.withColumn("_all", g.select(F.sum("total_revenue")).scalar()).select(
         "segment", "customer_count",
         money_even("total_revenue", 2).alias("total_revenue"),
         ratio("total_revenue", "customer_count", 2, num_scale=2, half_even=True).alias("avg_revenue"),

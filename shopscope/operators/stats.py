@@ -103,8 +103,8 @@ def chi2_segment_counts(rfm: DataFrame) -> DataFrame:
     """C-72 listing: observed customers per segment, the uniform expectation
     over the segments present (1 place) and the difference."""
     g = rfm.groupBy("segment").agg(F.count(F.lit(1)).alias("observed"))
-    tot = g.agg(F.sum("observed").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    j = g.crossJoin(F.broadcast(tot))
+    j = (g.withColumn("_n", g.select(F.sum("observed")).scalar())
+          .withColumn("_k", g.select(F.count(F.lit(1))).scalar()))
     return j.select("segment", "observed",
                     ratio("_n", "_k", 1, half_even=True).alias("expected"),
                     ratio("observed * _k - _n", "_k", 1, half_even=True).alias("difference"))

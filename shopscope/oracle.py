@@ -423,7 +423,7 @@ _mil = ",\n  ".join(
        f"count(retention_rate) FILTER (WHERE cohort_index = {i})", 2, num_scale=3, mult=100)
     + f" AS avg_month{i}_pct" for i in (1, 3, 6, 12))
 ORACLE["cohort_milestones"] = qc(f"""SELECT * FROM
-  (SELECT count(*) AS cohorts, sum(cohort_size) AS customers, max(cohort_size) AS largest_cohort_size,
+  (SELECT count(*) AS cohorts, CAST(sum(cohort_size) AS BIGINT) AS customers, max(cohort_size) AS largest_cohort_size,
           min(cohort_size) AS smallest_cohort_size FROM coh_matrix WHERE cohort_index = 0) a,
   (SELECT cohort_month AS best_month1_cohort, retention_rate AS best_month1_rate FROM coh_matrix
      WHERE cohort_index = 1 ORDER BY retention_rate DESC, cohort_month LIMIT 1) b,
@@ -638,7 +638,7 @@ ORACLE["chi2_segment_counts"] = q(f"""SELECT segment, observed, {RE('n', 'k', 1)
   {RE('observed * k - n', 'k', 1)} AS difference FROM (
   SELECT segment, count(*) AS observed FROM rfm_segments GROUP BY segment) g,
   (SELECT count(*) AS n, count(DISTINCT segment) AS k FROM rfm_segments) t""")
-ORACLE["chi2_segments"] = q(f"""SELECT 'segment_uniformity' AS test, n, k, {RE('k * sq - n * n', 'n', 4)} AS chi2_stat,
+ORACLE["chi2_segments"] = q(f"""SELECT 'segment_uniformity' AS test, CAST(n AS BIGINT) AS n, k, {RE('k * sq - n * n', 'n', 4)} AS chi2_stat,
   CAST(k - 1 AS BIGINT) AS df FROM (SELECT sum(o) AS n, count(*) AS k, sum(o * o) AS sq FROM (
   SELECT count(*) AS o FROM rfm_segments GROUP BY segment))""")
 

@@ -59,13 +59,15 @@ def durable(df: DataFrame) -> DataFrame:
 
 def global_order(df: DataFrame, order: Order, *, running: str | None = None,
                  rank_key: str | None = None, n_rows: int | None = None,
-                 mode: str = "auto") -> DataFrame:
+                 mode: str = "auto", spread: bool = False) -> DataFrame:
     """Add ``_rn`` (1-based position in ``order``), optionally ``_cum``
     (running sum of ``running``, ROWS UNBOUNDED PRECEDING) and ``_rank``
     (RANK() over ``rank_key``, which must be the first order column).
 
     ``order`` must be total (make its last columns a unique key).
     ``mode``: 'auto' (plain window under the threshold), 'plain', 'bucketed'.
+    ``spread``: range-partition a plain (single-partition) result by ``_rn``
+    over the default parallelism, for outputs that are written and scanned.
     """
     spark = df.sparkSession
     if rank_key is not None and order[0][0] != rank_key:
@@ -82,13 +84,42 @@ def global_order(df: DataFrame, order: Order, *, running: str | None = None,
                 "_cum", F.sum(running).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         if rank_key:
             out = out.withColumn("_rank", F.rank().over(Window.orderBy(sort[0])).cast("bigint"))
+        if spread:
+            out = out.repartitionByRange(spark.sparkContext.defaultParallelism, "_rn")
         return out
     return _bucketed(df, order, sort, running, rank_key)
 
 
+_LOW33 = (1 << 33) - 1
+
+
+def _bucketed_row_number(df: DataFrame, sort: list[Column]) -> DataFrame:
+    """Row number only: one range exchange, no window.
+
+    After ``repartitionByRange`` + ``sortWithinPartitions`` (same stage),
+    ``monotonically_increasing_id`` = (partition << 33) + position in the
+    sorted partition, i.e. (bucket, local row number). The checkpoint freezes
+    it; per-bucket counts (B rows) turn it into a dense global number.
+    """
+    spark = df.sparkSession
+    staged = durable(df.repartitionByRange(_buckets(spark), *sort)
+                       .sortWithinPartitions(*sort)
+                       .withColumn("_mid", F.monotonically_increasing_id()))
+    staged = (staged.withColumn("_bucket", F.shiftright("_mid", 33))
+                    .withColumn("_lrn", (F.col("_mid").bitwiseAND(F.lit(_LOW33)) + 1)))
+    stats = staged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select("_bucket", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).cast("bigint").alias("_off"))
+    out = staged.join(F.broadcast(offs), "_bucket")  # B rows, bounded by configuration
+    return (out.withColumn("_rn", (F.col("_off") + F.col("_lrn")).cast("bigint"))
+               .drop("_mid", "_bucket", "_lrn", "_off"))
+
+
 def _bucketed(df: DataFrame, order: Order, sort: list[Column], running: str | None,
               rank_key: str | None) -> DataFrame:
     spark = df.sparkSession
+    if not running and not rank_key:
+        return _bucketed_row_number(df, sort)
     staged = durable(df.repartitionByRange(_buckets(spark), *sort)
                        .withColumn("_bucket", F.spark_partition_id()))
 

@@ -69,7 +69,8 @@ def _clean(spark: SparkSession, sf_dir: str):
 
 
 def _clv(spark: SparkSession, sf_dir: str):
-    return clv.customer_clv(_clean(spark, sf_dir))
+    """Per-customer CLV, derived once per star and shared by the CLV reports."""
+    return star_for(spark, sf_dir).derived("customer_clv", lambda st: clv.customer_clv(st.clean))
 
 
 QUERIES.update({

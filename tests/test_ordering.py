@@ -54,3 +54,16 @@ def test_quantiles_bucketed_equal_percentile(spark):
         assert [round(x, 9) for x in a] == [round(x, 9) for x in b]
     finally:
         spark.conf.unset("shopscope.ordering.buckets")
+
+
+def test_bucketed_row_number_only(spark):
+    df = _frame(spark, 2500, seed=21)
+    spark.conf.set("shopscope.ordering.buckets", "13")
+    try:
+        order = [("v", False), ("id", True)]
+        a = global_order(df, order, mode="plain").select("id", "v", "_rn")
+        b = global_order(df, order, mode="bucketed").select("id", "v", "_rn")
+        assert sorted(b.columns) == sorted(a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.unset("shopscope.ordering.buckets")

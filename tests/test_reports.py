@@ -88,3 +88,14 @@ def test_clv_formula(star):
     c = clv.customer_clv(star.clean).where("total_orders > 1").first()
     expect = (c.aov * c.total_orders * (c.lifespan_years + 1)).quantize(Decimal("0.01"))
     assert abs(c.clv - expect) <= Decimal("0.01")
+
+
+def test_fact_sales_bucketed_equals_plain(spark, star):
+    from shopscope.plans.star import fact_sales
+    spark.conf.set("shopscope.ordering.buckets", "5")
+    try:
+        a = fact_sales(star.clean, mode="plain")
+        b = fact_sales(star.clean, mode="bucketed")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.unset("shopscope.ordering.buckets")
