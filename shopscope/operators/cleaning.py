@@ -99,12 +99,12 @@ def clean_funnel(raw: DataFrame) -> DataFrame:
                  .withColumn("rows_before", (F.col("rows_after") + F.col("rows_removed")).cast("bigint")))
     return out.select(
         "step_no", "step", "rows_before", "rows_removed", "rows_after",
-        ratio("rows_removed", "raw_rows", 2, mult=100).alias("removed_pct_of_raw"),
-        ratio("rows_after", "raw_rows", 2, mult=100).alias("retention_pct"))
+        ratio("rows_removed", "raw_rows", 2, mult=100, half_even=True).alias("removed_pct_of_raw"),
+        ratio("rows_after", "raw_rows", 2, mult=100, half_even=True).alias("retention_pct"))
 
 
 def guest_lines(raw: DataFrame) -> DataFrame:
-    """Guest lines as the reference isolates them: raw rows (no
+    """Guest lines as the workflow isolates them: raw rows (no
     de-duplication) without a customer, with positive quantity and price."""
     return (raw.where(F.col("customer_id").isNull()
                       & (F.col("quantity") > 0) & (F.col("price") > 0))
@@ -121,7 +121,7 @@ def guest_summary(raw: DataFrame) -> DataFrame:
     return agg.select(
         "guest_rows",
         money(F.coalesce(F.col("_rev"), F.lit(0).cast(schemas.REV4)), 2).alias("guest_revenue"),
-        ratio("_rev", "guest_rows", 2, num_scale=4).alias("mean_line_revenue"),
+        ratio("_rev", "guest_rows", 2, num_scale=4, half_even=True).alias("mean_line_revenue"),
         "first_ts", "last_ts")
 
 
@@ -143,12 +143,12 @@ def revenue_impact(clean: DataFrame, raw: DataFrame) -> DataFrame:
         money("identified").alias("identified_revenue"),
         money("guest").alias("guest_revenue"),
         money("total").alias("total_revenue"),
-        ratio("guest", "total", 2, num_scale=4, den_scale=4, mult=100).alias("guest_pct"))
+        ratio("guest", "total", 2, num_scale=4, den_scale=4, mult=100, half_even=True).alias("guest_pct"))
 
 
 def revenue_stats(clean_before_floor: DataFrame) -> DataFrame:
     """C-14: line-revenue statistics of the identified rows before the
-    near-zero floor (the state the reference inspects), plus distinct
+    near-zero floor (the state the workflow inspects), plus distinct
     customers / invoices / products of the final clean table.
     """
     df = clean_before_floor

@@ -82,11 +82,13 @@ def grouped_median(df: DataFrame, group: str, value: str, key: str, *, mode: str
 def clv_by_segment(clv: DataFrame, rfm: DataFrame, *, mode: str = "auto") -> DataFrame:
     """C-52: per segment count, average / median / total CLV, average
     lifespan days and orders."""
-    j = clv.join(rfm.select("customer_id", "segment"), "customer_id", "left")
+    # customers without a segment fall out of the grouping (as in a pandas groupby)
+    j = (clv.join(rfm.select("customer_id", "segment"), "customer_id", "left")
+            .where(F.col("segment").isNotNull()))
     g = j.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"), F.sum("clv").alias("total_clv"),
         F.sum("lifespan_days").alias("_days"), F.sum("total_orders").alias("_ord"))
-    med = grouped_median(j.where(F.col("segment").isNotNull()), "segment", "clv", "customer_id", mode=mode)
+    med = grouped_median(j, "segment", "clv", "customer_id", mode=mode)
     return g.join(med, "segment", "left").select(
         "segment", "customer_count",
         ratio("total_clv", "customer_count", 2, num_scale=2, half_even=True).alias("avg_clv"),

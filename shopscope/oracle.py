@@ -324,8 +324,8 @@ ORACLE["clean_sales"] = q("SELECT * FROM clean_sales")
 
 ORACLE["clean_funnel"] = q(f"""SELECT step_no, step, CAST(rows_after + rows_removed AS BIGINT) AS rows_before,
   rows_removed, rows_after,
-  {R('rows_removed', 'raw_n', 2, mult=100)} AS removed_pct_of_raw,
-  {R('rows_after', 'raw_n', 2, mult=100)} AS retention_pct
+  {RE('rows_removed', 'raw_n', 2, mult=100)} AS removed_pct_of_raw,
+  {RE('rows_after', 'raw_n', 2, mult=100)} AS retention_pct
 FROM (
   SELECT *, CAST(raw_n - sum(rows_removed) OVER (ORDER BY step_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS rows_after
   FROM (
@@ -345,7 +345,7 @@ def qg(body: str) -> str:
 
 
 ORACLE["guest_summary"] = qg(f"""SELECT count(*) AS guest_rows, {M('coalesce(sum(revenue), 0)')} AS guest_revenue,
-  {R('sum(revenue)', 'count(*)', 2, num_scale=4)} AS mean_line_revenue,
+  {RE('sum(revenue)', 'count(*)', 2, num_scale=4)} AS mean_line_revenue,
   min(invoice_ts) AS first_ts, max(invoice_ts) AS last_ts FROM guest""")
 
 ORACLE["guest_countries"] = qg("""SELECT country, count(*) AS guest_rows FROM guest GROUP BY country
@@ -353,7 +353,7 @@ ORDER BY count(*) DESC, country LIMIT 10""")
 
 ORACLE["revenue_impact"] = qg(f"""SELECT {M('identified')} AS identified_revenue, {M('guest')} AS guest_revenue,
   {M('identified + guest')} AS total_revenue,
-  {R('guest', 'identified + guest', 2, num_scale=4, den_scale=4, mult=100)} AS guest_pct
+  {RE('guest', 'identified + guest', 2, num_scale=4, den_scale=4, mult=100)} AS guest_pct
 FROM (SELECT coalesce((SELECT sum(revenue) FROM clean_sales), 0) AS identified,
              coalesce((SELECT sum(revenue) FROM guest), 0) AS guest)""")
 
@@ -545,7 +545,7 @@ ORACLE["clv_by_segment"] = qv(f"""SELECT g.segment, customer_count,
   {RE('total_clv', 'customer_count', 2, num_scale=2)} AS avg_clv, m.median_clv, total_clv,
   {RE('days', 'customer_count', 2)} AS avg_lifespan_days, {RE('ord', 'customer_count', 2)} AS avg_orders
 FROM (SELECT segment, count(*) AS customer_count, sum(clv) AS total_clv, sum(lifespan_days) AS days,
-             sum(total_orders) AS ord FROM clv_seg GROUP BY segment) g
+             sum(total_orders) AS ord FROM clv_seg WHERE segment IS NOT NULL GROUP BY segment) g
 LEFT JOIN (SELECT segment, {MEDIAN} AS median_clv FROM (
     SELECT segment, clv, row_number() OVER (PARTITION BY segment ORDER BY clv, customer_id) AS rn,
            count(*) OVER (PARTITION BY segment) AS n FROM clv_seg WHERE segment IS NOT NULL)
