@@ -54,28 +54,46 @@ def first_failing_step(df: DataFrame) -> Column:
              .otherwise(KEPT_STEP))
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
-    """C-10: de-duplicate, drop cancellations/adjustments/bad prices/guests,
-    add revenue and drop near-zero revenue lines."""
-    dedup = raw.dropDuplicates()
-    kept = dedup.where(first_failing_step(dedup) == KEPT_STEP)
+def classify(raw: DataFrame) -> DataFrame:
+    """Distinct raw rows with their number of ``copies`` and the ``step_no``
+    of the first cleaning rule they fail (7 = kept).
+
+    This is the single whole-row de-duplication of the workflow (one
+    shuffle, copies collapse map-side); the clean table, the funnel, the
+    duplicate count and the pre-floor statistics all derive from it.
+    """
+    counted = raw.groupBy(*[f.name for f in schemas.RAW_SALES.fields]).agg(
+        F.count(F.lit(1)).alias("copies"))
+    return counted.withColumn("step_no", first_failing_step(counted))
+
+
+def clean_from_classified(classified: DataFrame) -> DataFrame:
+    kept = classified.where(F.col("step_no") == KEPT_STEP)
     return kept.select(
         *[F.col(f.name) for f in schemas.RAW_SALES.fields],
         line_revenue(F.col("quantity"), F.col("price")).alias("revenue"))
 
 
+def clean_sales(raw: DataFrame) -> DataFrame:
+    """C-10: de-duplicate, drop cancellations/adjustments/bad prices/guests,
+    add revenue and drop near-zero revenue lines."""
+    return clean_from_classified(classify(raw))
+
+
 def clean_funnel(raw: DataFrame) -> DataFrame:
+    """C-11 on raw rows (see :func:`funnel_from_classified`)."""
+    return funnel_from_classified(classify(raw))
+
+
+def funnel_from_classified(classified: DataFrame) -> DataFrame:
     """C-11: per step rows before, removed, after, % of raw removed, and
     the retention rate of the kept row ('kept' line).
 
     Output: step_no, step, rows_before, rows_removed, rows_after,
     removed_pct_of_raw, retention_pct.
     """
-    spark = raw.sparkSession
-    counted = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_n"))
-    per_row = counted.select(
-        first_failing_step(counted).alias("step_no"),
-        F.col("_n"))
+    spark = classified.sparkSession
+    per_row = classified.select("step_no", F.col("copies").alias("_n"))
     # removed by dedup = copies beyond the first; every distinct row then
     # counts once at the step that removes (or keeps) it
     per_step = per_row.groupBy("step_no").agg(
@@ -173,10 +191,13 @@ def revenue_stats(clean_before_floor: DataFrame) -> DataFrame:
 
 def identified_before_floor(raw: DataFrame) -> DataFrame:
     """Rows after steps 1-5 (identified customers, revenue added), before the floor."""
-    dedup = raw.dropDuplicates()
-    step = first_failing_step(dedup)
-    return (dedup.where(step >= 6)
-                 .withColumn("revenue", line_revenue(F.col("quantity"), F.col("price"))))
+    return identified_from_classified(classify(raw))
+
+
+def identified_from_classified(classified: DataFrame) -> DataFrame:
+    return (classified.where(F.col("step_no") >= 6)
+                      .select(*[f.name for f in schemas.RAW_SALES.fields])
+                      .withColumn("revenue", line_revenue(F.col("quantity"), F.col("price"))))
 
 
 def smallest_revenue_lines(clean_before_floor: DataFrame, n: int = 5) -> DataFrame:

@@ -45,9 +45,12 @@ def _suspicious(df: DataFrame) -> Column:
     return F.coalesce(F.col("quantity") < 0, F.lit(False)) & ~is_cancellation(F.col("invoice"))
 
 
-def dq_rule_counts(raw: DataFrame) -> DataFrame:
-    """C-02: rows matching each rule, counted independently on raw rows."""
-    distinct_rows = raw.dropDuplicates().select(F.count(F.lit(1))).scalar()
+def dq_rule_counts(raw: DataFrame, classified: DataFrame | None = None) -> DataFrame:
+    """C-02: rows matching each rule, counted independently on raw rows.
+    ``classified`` (distinct rows, see ``cleaning.classify``) avoids a second
+    de-duplication when it is already materialised."""
+    distinct_rows = (classified if classified is not None else raw.dropDuplicates()) \
+        .select(F.count(F.lit(1))).scalar()
     agg = raw.agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col("customer_id").isNull()).alias("null_customer"),
@@ -63,10 +66,11 @@ def dq_rule_counts(raw: DataFrame) -> DataFrame:
                        ratio("rows", "_n", 2, mult=100, half_even=True).alias("pct_of_total"))
 
 
-def dq_duplicates(raw: DataFrame) -> DataFrame:
+def dq_duplicates(raw: DataFrame, classified: DataFrame | None = None) -> DataFrame:
     """C-03: every duplicated raw row with its number of copies
     (copies - 1 of them are removed by de-duplication)."""
-    g = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("copies"))
+    g = (classified.drop("step_no") if classified is not None else
+         raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("copies")))
     return g.where(F.col("copies") > 1)
 
 

@@ -79,6 +79,7 @@ def fact_sales(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
 class Star:
     raw: DataFrame
     clean: DataFrame
+    classified: DataFrame
     dim_customer: DataFrame
     dim_product: DataFrame
     dim_date: DataFrame
@@ -112,8 +113,9 @@ class Star:
 
 def build_star(raw: DataFrame, *, mode: str = "auto") -> Star:
     """Lazy star schema over ``raw`` (nothing is written)."""
-    clean = cleaning.clean_sales(raw)
-    return Star(raw=raw, clean=clean, dim_customer=dim_customer(clean),
+    classified = cleaning.classify(raw)
+    clean = cleaning.clean_from_classified(classified)
+    return Star(raw=raw, clean=clean, classified=classified, dim_customer=dim_customer(clean),
                 dim_product=dim_product(clean), dim_date=dim_date(clean),
                 fact_sales=fact_sales(clean, mode=mode),
                 rfm_segments=rfm.rfm_segments(clean, mode=mode))
@@ -130,10 +132,13 @@ def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "au
     # them too), then everything else derives from the written copy
     raw.write.mode("overwrite").format(fmt).save(f"{path}/raw_sales")
     raw = spark.read.format(fmt).load(f"{path}/raw_sales")
+    # one de-duplication: distinct rows with copies and first failing step
+    cleaning.classify(raw).write.mode("overwrite").format(fmt).save(f"{path}/classified_sales")
+    classified = spark.read.format(fmt).load(f"{path}/classified_sales")
     clean_path = f"{path}/clean_sales"
-    cleaning.clean_sales(raw).write.mode("overwrite").format(fmt).save(clean_path)
+    cleaning.clean_from_classified(classified).write.mode("overwrite").format(fmt).save(clean_path)
     clean = spark.read.format(fmt).load(clean_path)
-    lazy = Star(raw=raw, clean=clean, dim_customer=dim_customer(clean),
+    lazy = Star(raw=raw, clean=clean, classified=classified, dim_customer=dim_customer(clean),
                 dim_product=dim_product(clean), dim_date=dim_date(clean),
                 fact_sales=fact_sales(clean, mode=mode),
                 rfm_segments=rfm.rfm_segments(clean, mode=mode))
@@ -144,7 +149,7 @@ def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "au
             continue
         df.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
         out[name] = spark.read.format(fmt).load(f"{path}/{name}")
-    return Star(raw=raw, clean=clean, dim_customer=out["dim_customer"],
+    return Star(raw=raw, clean=clean, classified=classified, dim_customer=out["dim_customer"],
                 dim_product=out["dim_product"], dim_date=out["dim_date"],
                 fact_sales=out["fact_sales"], rfm_segments=out["rfm_segments"], location=path)
 

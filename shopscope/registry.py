@@ -76,8 +76,8 @@ def _clv(spark: SparkSession, sf_dir: str):
 QUERIES.update({
     # ---- audit (C-01 ... C-07), on raw rows
     "dq_null_audit": lambda s, d: quality.dq_null_audit(_raw(s, d)),
-    "dq_rule_counts": lambda s, d: quality.dq_rule_counts(_raw(s, d)),
-    "dq_duplicates": lambda s, d: quality.dq_duplicates(_raw(s, d)),
+    "dq_rule_counts": lambda s, d: quality.dq_rule_counts(_raw(s, d), _s(s, d).classified),
+    "dq_duplicates": lambda s, d: quality.dq_duplicates(_raw(s, d), _s(s, d).classified),
     "dq_prefix_counts": lambda s, d: quality.dq_prefix_counts(_raw(s, d)),
     "dq_date_range": lambda s, d: quality.dq_date_range(_raw(s, d)),
     "dq_year_counts": lambda s, d: quality.dq_year_counts(_raw(s, d)),
@@ -86,13 +86,14 @@ QUERIES.update({
     "dq_country_summary": lambda s, d: quality.dq_country_summary(_raw(s, d), HOME_COUNTRY),
     # ---- cleaning (C-10 ... C-14)
     "clean_sales": lambda s, d: _clean(s, d),
-    "clean_funnel": lambda s, d: cleaning.clean_funnel(_raw(s, d)),
+    "clean_funnel": lambda s, d: cleaning.funnel_from_classified(_s(s, d).classified),
     "guest_summary": lambda s, d: cleaning.guest_summary(_raw(s, d)),
     "guest_countries": lambda s, d: cleaning.guest_countries(_raw(s, d)),
     "revenue_impact": lambda s, d: cleaning.revenue_impact(_clean(s, d), _raw(s, d)),
-    "revenue_stats": lambda s, d: cleaning.revenue_stats(cleaning.identified_before_floor(_raw(s, d))),
+    "revenue_stats": lambda s, d: cleaning.revenue_stats(
+        cleaning.identified_from_classified(_s(s, d).classified)),
     "smallest_revenue_lines": lambda s, d: cleaning.smallest_revenue_lines(
-        cleaning.identified_before_floor(_raw(s, d))),
+        cleaning.identified_from_classified(_s(s, d).classified)),
     # ---- RFM (C-20 ... C-26)
     "rfm_base": lambda s, d: rfm.rfm_base(_clean(s, d)),
     "rfm_segments_table": lambda s, d: _s(s, d).rfm_segments,
