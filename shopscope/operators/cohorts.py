@@ -60,10 +60,13 @@ def cohort_retention_matrix(clean: DataFrame) -> DataFrame:
                      ratio("customers", "cohort_size", 3, half_even=True).alias("retention_rate")))
 
 
-def cohort_retention_wide(clean: DataFrame, max_index: int) -> DataFrame:
-    """C-32 (wide form): one row per cohort, one column per index 0..max_index."""
+def cohort_retention_wide(clean: DataFrame, max_index: int | None = None) -> DataFrame:
+    """C-32 (wide form): one row per cohort, one column per cohort index
+    (every index present in the data, or 0..max_index); missing cells null.
+    The column set is bounded by the number of calendar months."""
     long = cohort_retention_matrix(clean)
-    return (long.groupBy("cohort_month").pivot("cohort_index", list(range(max_index + 1)))
+    values = None if max_index is None else list(range(max_index + 1))
+    return (long.groupBy("cohort_month").pivot("cohort_index", values)
                 .agg(F.first("retention_rate")))
 
 

@@ -125,11 +125,15 @@ def product_pareto(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
 
 
 def pareto_cutoff(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+    """C-45 from the cleaned lines (see :func:`pareto_cutoff_from`)."""
+    return pareto_cutoff_from(customer_pareto(clean, mode=mode), product_pareto(clean, mode=mode))
+
+
+def pareto_cutoff_from(customers: DataFrame, products: DataFrame) -> DataFrame:
     """C-45: smallest rank whose rounded cumulative % reaches 80, for
     customers and for products, and that rank's share of the entities."""
     parts = []
-    for entity, p in (("customers", customer_pareto(clean, mode=mode)),
-                      ("products", product_pareto(clean, mode=mode))):
+    for entity, p in (("customers", customers), ("products", products)):
         parts.append(p.agg(F.lit(entity).alias("entity"),
                            F.min(F.when(F.col("cumulative_pct") >= PARETO_SHARE, F.col("rank"))).alias("cutoff_rank"),
                            F.count(F.lit(1)).alias("entities")))
@@ -138,11 +142,15 @@ def pareto_cutoff(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
 
 
 def top_bottom_share(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+    """C-46 from the cleaned lines (see :func:`top_bottom_share_from`)."""
+    return top_bottom_share_from(customer_pareto(clean, mode=mode), product_pareto(clean, mode=mode))
+
+
+def top_bottom_share_from(customers: DataFrame, products: DataFrame) -> DataFrame:
     """C-46: revenue held by the top 10 % / 20 % and bottom 50 % of customers
     and the top 10 % of products (member counts truncated: floor(n * p))."""
     out = None
-    ranked = {"customers": customer_pareto(clean, mode=mode),
-              "products": product_pareto(clean, mode=mode)}
+    ranked = {"customers": customers, "products": products}
     for entity, slice_name, num, den, side in SLICES:
         p = ranked[entity]
         members = F.expr(f"_n * {num} div {den}")

@@ -664,3 +664,11 @@ FROM (SELECT {v} AS v, row_number() OVER (ORDER BY {v}, customer_id) AS rn, coun
 
 
 _describe()
+
+ORACLE["output_verification"] = q("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, true AS written, count(*) AS rows_expected, count(*) AS rows_read, "
+    f"true AS schema_equal FROM {t}"
+    for t in ["dim_customer", "dim_product", "dim_date", "fact_sales", "rfm_segments"]))
+
+ORACLE["cohort_retention_wide"] = qc("""SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_rate
+  FROM coh_matrix) ON cohort_index USING first(retention_rate) GROUP BY cohort_month)""")

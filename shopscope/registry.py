@@ -53,6 +53,7 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------- operators
 from shopscope.operators import clv, cohorts, integrity, quality, revenue, rfm, stats  # noqa: E402
 from shopscope.operators import cleaning  # noqa: E402
+from shopscope.sources import sinks  # noqa: E402
 
 # Fixed parameters for the fixture data (the analysis layer takes them as arguments).
 HOME_COUNTRY = "NATION_2"
@@ -73,6 +74,14 @@ def _clv(spark: SparkSession, sf_dir: str):
     return star_for(spark, sf_dir).derived("customer_clv", lambda st: clv.customer_clv(st.clean))
 
 
+def _cust_pareto(spark: SparkSession, sf_dir: str):
+    return star_for(spark, sf_dir).derived("customer_pareto", lambda st: revenue.customer_pareto(st.clean))
+
+
+def _prod_pareto(spark: SparkSession, sf_dir: str):
+    return star_for(spark, sf_dir).derived("product_pareto", lambda st: revenue.product_pareto(st.clean))
+
+
 QUERIES.update({
     # ---- audit (C-01 ... C-07), on raw rows
     "dq_null_audit": lambda s, d: quality.dq_null_audit(_raw(s, d)),
@@ -105,6 +114,7 @@ QUERIES.update({
     "cohort_assign": lambda s, d: cohorts.cohort_assign(_clean(s, d)),
     "cohort_counts": lambda s, d: cohorts.cohort_counts(_clean(s, d)),
     "cohort_retention_matrix": lambda s, d: cohorts.cohort_retention_matrix(_clean(s, d)),
+    "cohort_retention_wide": lambda s, d: cohorts.cohort_retention_wide(_clean(s, d)),
     "cohort_milestones": lambda s, d: cohorts.cohort_milestones(_clean(s, d)),
     "cohort_curve": lambda s, d: cohorts.cohort_curve(_clean(s, d)),
     "avg_retention_curve": lambda s, d: cohorts.avg_retention_curve(_clean(s, d)),
@@ -113,10 +123,10 @@ QUERIES.update({
     "month_extremes": lambda s, d: revenue.month_extremes(_clean(s, d)),
     "country_summary": lambda s, d: revenue.country_summary(_clean(s, d)),
     "home_vs_abroad": lambda s, d: revenue.home_vs_abroad(_clean(s, d), HOME_COUNTRY),
-    "customer_pareto": lambda s, d: revenue.customer_pareto(_clean(s, d)),
-    "pareto_cutoff": lambda s, d: revenue.pareto_cutoff(_clean(s, d)),
-    "top_bottom_share": lambda s, d: revenue.top_bottom_share(_clean(s, d)),
-    "product_pareto": lambda s, d: revenue.product_pareto(_clean(s, d)),
+    "customer_pareto": lambda s, d: _cust_pareto(s, d),
+    "pareto_cutoff": lambda s, d: revenue.pareto_cutoff_from(_cust_pareto(s, d), _prod_pareto(s, d)),
+    "top_bottom_share": lambda s, d: revenue.top_bottom_share_from(_cust_pareto(s, d), _prod_pareto(s, d)),
+    "product_pareto": lambda s, d: _prod_pareto(s, d),
     "overall_kpis": lambda s, d: revenue.overall_kpis(_clean(s, d)),
     "non_product_codes": lambda s, d: revenue.non_product_codes(_clean(s, d)),
     # ---- lifetime value (C-50 ... C-56)
@@ -137,6 +147,8 @@ QUERIES.update({
     "fk_orphans": lambda s, d: integrity.fk_orphans(_s(s, d).tables()),
     "pk_violations": lambda s, d: integrity.pk_violations(_s(s, d).tables()),
     "load_row_counts": lambda s, d: integrity.load_row_counts(_s(s, d).tables()),
+    "output_verification": lambda s, d: sinks.output_verification(
+        _s(s, d).tables(), f"{_s(s, d).location}/export_csv", "csv"),
     # ---- significance tests (C-70 ... C-75)
     "ttest_champion": lambda s, d: stats.ttest_champion(_s(s, d).rfm_segments),
     "ttest_country": lambda s, d: stats.ttest_country(_clean(s, d), HOME_COUNTRY),
