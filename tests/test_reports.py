@@ -99,3 +99,18 @@ def test_fact_sales_bucketed_equals_plain(spark, star):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.unset("shopscope.ordering.buckets")
+
+
+def test_null_description_first(spark):
+    """Keep-first dimension keeps a leading null description; the product
+    Pareto table takes the first non-null one."""
+    from shopscope.operators.revenue import product_revenue
+    from shopscope.plans.star import dim_product
+    rows = [("1", "P", None, 1, "2024-01-01 09:00:00", Decimal("1.0000"), 7, "N"),
+            ("2", "P", "LATER NAME", 1, "2024-01-02 09:00:00", Decimal("1.0000"), 7, "N")]
+    df = spark.createDataFrame(rows, "invoice string, stock_code string, description string, quantity int, "
+                                     "ts string, price decimal(12,4), customer_id bigint, country string")
+    df = df.withColumn("invoice_ts", F.to_timestamp_ntz("ts")).drop("ts").withColumn(
+        "revenue", (F.col("quantity") * F.col("price")).cast("decimal(18,4)"))
+    assert dim_product(df).first().description is None
+    assert product_revenue(df).first().description == "LATER NAME"
