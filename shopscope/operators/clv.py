@@ -72,8 +72,9 @@ def grouped_median(df: DataFrame, group: str, value: str, key: str, *, mode: str
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
     starts = sizes.withColumn("_gstart", F.coalesce(F.sum("_gn").over(
         Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per group: bounded by the number of groups
-    pos = o.join(F.broadcast(starts), group).withColumn("_p", F.col("_rn") - F.col("_gstart"))
+    # one row per group: AQE broadcasts it when its measured size is small
+    # (a handful of segments), and falls back to a sort-merge join otherwise
+    pos = o.join(starts, group).withColumn("_p", F.col("_rn") - F.col("_gstart"))
     mid = pos.where((F.col("_p") == F.expr("(_gn + 1) div 2")) | (F.col("_p") == F.expr("_gn div 2 + 1")))
     return mid.groupBy(group).agg(
         ratio(f"sum({value})", "count(1)", 3, num_scale=2, half_even=True).alias("median"))

@@ -16,6 +16,7 @@ of all lines does not land in one task the way a keyed window would.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ from shopscope.operators import cleaning, rfm
 from shopscope.plans.ordering import global_order
 from shopscope.session import checkpoint_dir
 
+_DERIVED_LOCK = threading.RLock()
+
 FIRST_ORDER = ["invoice_ts", "invoice", "stock_code", "quantity", "price", "country", "description"]
 SALE_ORDER = ["invoice_ts", "invoice", "stock_code", "quantity", "price", "customer_id",
               "country", "description"]
@@ -91,6 +94,10 @@ class Star:
         """A table derived from the star (e.g. per-customer CLV), written once
         next to the star tables and read back by every later caller."""
         cache = self.__dict__.setdefault("_derived", {})
+        with _DERIVED_LOCK:
+            return self._derived_locked(cache, name, build)
+
+    def _derived_locked(self, cache: dict, name: str, build) -> DataFrame:
         if name not in cache:
             df = build(self)
             if self.location is None:
@@ -155,13 +162,16 @@ def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "au
 
 
 _CACHE: dict[tuple[str, str], Star] = {}
+_LOCK = threading.Lock()
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
-    """The materialised star for ``sf_dir`` in this application (built once)."""
+    """The materialised star for ``sf_dir`` in this application (built once,
+    also when several threads ask at the same time)."""
     from shopscope.sources.raw_view import raw_sales_from_tpch
 
     key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir))
-    if key not in _CACHE:
-        _CACHE[key] = materialize_star(raw_sales_from_tpch(spark, sf_dir))
-    return _CACHE[key]
+    with _LOCK:
+        if key not in _CACHE:
+            _CACHE[key] = materialize_star(raw_sales_from_tpch(spark, sf_dir))
+        return _CACHE[key]
