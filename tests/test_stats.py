@@ -53,3 +53,13 @@ def test_tests_summary(star, spark):
     for r in rows:
         assert 0.0 <= r.p_value <= 1.0
         assert r.significant == (r.p_value < 0.05)
+
+
+@pytest.mark.parametrize("df", [1e6, 1e8, 1e10])
+@pytest.mark.parametrize("t", [0.438, 1.2, 1.7, 1.96, 3.28])
+def test_t_p_values_at_huge_df(t, df):
+    """Invoice-level tests at scale have billions of degrees of freedom;
+    compare with the normal tail plus its first-order t correction."""
+    phi = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    expected = math.erfc(t / math.sqrt(2)) + phi * (t ** 3 + t) / (2 * df)
+    assert t_two_sided_p(t, df) == pytest.approx(expected, rel=2e-6)
