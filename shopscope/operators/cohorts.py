@@ -60,27 +60,32 @@ def cohort_retention_matrix(clean: DataFrame) -> DataFrame:
                      ratio("customers", "cohort_size", 3, half_even=True).alias("retention_rate")))
 
 
-def cohort_retention_wide(clean: DataFrame, max_index: int | None = None) -> DataFrame:
+def _matrix(clean: DataFrame | None, matrix: DataFrame | None) -> DataFrame:
+    return matrix if matrix is not None else cohort_retention_matrix(clean)
+
+
+def cohort_retention_wide(clean: DataFrame | None, max_index: int | None = None, *,
+                          matrix: DataFrame | None = None) -> DataFrame:
     """C-32 (wide form): one row per cohort, one column per cohort index
     (every index present in the data, or 0..max_index); missing cells null.
     The column set is bounded by the number of calendar months."""
-    long = cohort_retention_matrix(clean)
+    long = _matrix(clean, matrix)
     values = None if max_index is None else list(range(max_index + 1))
     return (long.groupBy("cohort_month").pivot("cohort_index", values)
                 .agg(F.first("retention_rate")))
 
 
-def avg_retention_curve(clean: DataFrame) -> DataFrame:
+def avg_retention_curve(clean: DataFrame | None, *, matrix: DataFrame | None = None) -> DataFrame:
     """C-35: mean rate x 100 per cohort index over the cohorts that have it
     (mean of the rounded rates, 2 places half-even)."""
-    m = cohort_retention_matrix(clean)
+    m = _matrix(clean, matrix)
     g = m.groupBy("cohort_index").agg(F.sum("retention_rate").alias("_s"),
                                       F.count("retention_rate").alias("cohorts"))
     return g.select("cohort_index", "cohorts",
                     ratio("_s", "cohorts", 2, num_scale=3, mult=100, half_even=True).alias("avg_retention_pct"))
 
 
-def cohort_milestones(clean: DataFrame) -> DataFrame:
+def cohort_milestones(clean: DataFrame | None, *, matrix: DataFrame | None = None) -> DataFrame:
     """C-33: one row: average retention % at indexes 1, 3, 6, 12; best and
     worst cohort at index 1; cohorts; customers; largest / smallest cohort;
     mean over indexes 1..12 of the per-index mean rates.
@@ -90,7 +95,7 @@ def cohort_milestones(clean: DataFrame) -> DataFrame:
     summation order. Every part is a one-row aggregate; they are combined
     with one-row cross joins.
     """
-    m = cohort_retention_matrix(clean)
+    m = _matrix(clean, matrix)
     idx1 = m.where(F.col("cohort_index") == 1)
     best = idx1.orderBy(F.desc("retention_rate"), F.asc("cohort_month")).limit(1).select(
         F.col("cohort_month").alias("best_month1_cohort"), F.col("retention_rate").alias("best_month1_rate"))
@@ -113,10 +118,11 @@ def cohort_milestones(clean: DataFrame) -> DataFrame:
     return sizes.crossJoin(best).crossJoin(worst).crossJoin(mil).crossJoin(long_term)
 
 
-def cohort_curve(clean: DataFrame, cohort_month: str | None = None) -> DataFrame:
+def cohort_curve(clean: DataFrame | None, cohort_month: str | None = None, *,
+                 matrix: DataFrame | None = None) -> DataFrame:
     """C-34: one cohort's rates by index (default: the first cohort), with
     a flag on its peak index after acquisition (ties: earliest index)."""
-    m = cohort_retention_matrix(clean)
+    m = _matrix(clean, matrix)
     target = F.lit(cohort_month) if cohort_month else m.select(F.min("cohort_month")).scalar()
     c = m.where(F.col("cohort_month") == target)
     peak = (c.where(F.col("cohort_index") > 0)

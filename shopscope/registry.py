@@ -74,6 +74,11 @@ def _clv(spark: SparkSession, sf_dir: str):
     return star_for(spark, sf_dir).derived("customer_clv", lambda st: clv.customer_clv(st.clean))
 
 
+def _cohort_matrix(spark: SparkSession, sf_dir: str):
+    """The long cohort retention matrix, derived once per star."""
+    return star_for(spark, sf_dir).derived("cohort_matrix", lambda st: cohorts.cohort_retention_matrix(st.clean))
+
+
 def _cust_pareto(spark: SparkSession, sf_dir: str):
     return star_for(spark, sf_dir).derived("customer_pareto", lambda st: revenue.customer_pareto(st.clean))
 
@@ -113,11 +118,11 @@ QUERIES.update({
     # ---- cohorts (C-30 ... C-35)
     "cohort_assign": lambda s, d: cohorts.cohort_assign(_clean(s, d)),
     "cohort_counts": lambda s, d: cohorts.cohort_counts(_clean(s, d)),
-    "cohort_retention_matrix": lambda s, d: cohorts.cohort_retention_matrix(_clean(s, d)),
-    "cohort_retention_wide": lambda s, d: cohorts.cohort_retention_wide(_clean(s, d)),
-    "cohort_milestones": lambda s, d: cohorts.cohort_milestones(_clean(s, d)),
-    "cohort_curve": lambda s, d: cohorts.cohort_curve(_clean(s, d)),
-    "avg_retention_curve": lambda s, d: cohorts.avg_retention_curve(_clean(s, d)),
+    "cohort_retention_matrix": lambda s, d: _cohort_matrix(s, d),
+    "cohort_retention_wide": lambda s, d: cohorts.cohort_retention_wide(None, matrix=_cohort_matrix(s, d)),
+    "cohort_milestones": lambda s, d: cohorts.cohort_milestones(None, matrix=_cohort_matrix(s, d)),
+    "cohort_curve": lambda s, d: cohorts.cohort_curve(None, matrix=_cohort_matrix(s, d)),
+    "avg_retention_curve": lambda s, d: cohorts.avg_retention_curve(None, matrix=_cohort_matrix(s, d)),
     # ---- revenue, geography, concentration (C-40 ... C-49)
     "monthly_summary": lambda s, d: revenue.monthly_summary(_clean(s, d)),
     "month_extremes": lambda s, d: revenue.month_extremes(_clean(s, d)),
