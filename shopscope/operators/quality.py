@@ -29,6 +29,17 @@ def dq_profile(raw: DataFrame) -> DataFrame:
     return cols.withColumn("total_rows", n).withColumn("total_columns", F.lit(len(raw.columns)))
 
 
+# total order of raw lines for display samples
+SAMPLE_ORDER = ["invoice", "invoice_ts", "stock_code", "quantity", "price", "customer_id",
+                "country", "description"]
+
+
+def dq_sample_rows(raw: DataFrame, n: int = 3) -> DataFrame:
+    """C-01 / P-16: the first ``n`` raw rows in invoice order (a display
+    sample: distributed top-k, no full sort)."""
+    return raw.orderBy(*[F.col(c).asc_nulls_first() for c in SAMPLE_ORDER]).limit(n)
+
+
 def dq_null_audit(raw: DataFrame) -> DataFrame:
     """C-01: per column null count and % of rows, from a single aggregate."""
     cols = raw.columns
@@ -74,6 +85,15 @@ def dq_duplicates(raw: DataFrame, classified: DataFrame | None = None) -> DataFr
     return g.where(F.col("copies") > 1)
 
 
+def dq_duplicate_sample(raw: DataFrame, classified: DataFrame | None = None, n: int = 6) -> DataFrame:
+    """C-03: the first ``n`` members of duplicate groups by invoice (every
+    copy is a member; groups are expanded back to their copies)."""
+    dups = dq_duplicates(raw, classified)
+    members = dups.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return (members.orderBy(*[F.col(c).asc_nulls_first() for c in SAMPLE_ORDER], "_copy")
+                   .limit(n).drop("_copy", "copies"))
+
+
 def dq_prefix_counts(raw: DataFrame) -> DataFrame:
     """C-04: first character of the invoice among negative-quantity rows
     whose invoice does not start with 'C'."""

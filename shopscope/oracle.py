@@ -672,3 +672,22 @@ ORACLE["output_verification"] = q("\nUNION ALL\n".join(
 
 ORACLE["cohort_retention_wide"] = qc("""SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_rate
   FROM coh_matrix) ON cohort_index USING first(retention_rate) GROUP BY cohort_month)""")
+
+
+def _profile() -> None:
+    from shopscope import schemas
+    from shopscope.operators.quality import SAMPLE_ORDER
+    rows = "\nUNION ALL\n".join(
+        f"SELECT {i} AS position, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+        f"(SELECT count(*) FROM raw_sales) AS total_rows, {len(schemas.RAW_SALES.fields)} AS total_columns"
+        for i, f in enumerate(schemas.RAW_SALES.fields))
+    ORACLE["dq_profile"] = q(rows)
+    order = ", ".join(f"{c} NULLS FIRST" for c in SAMPLE_ORDER)
+    ORACLE["dq_sample_rows"] = q(f"SELECT * FROM raw_sales ORDER BY {order} LIMIT 3")
+    cols = ", ".join(RAW_COLS)
+    ORACLE["dq_duplicate_sample"] = q(f"""SELECT {cols} FROM (
+  SELECT *, count(*) OVER (PARTITION BY {cols}) AS copies FROM raw_sales) WHERE copies > 1
+ORDER BY {order} LIMIT 6""")
+
+
+_profile()

@@ -89,9 +89,12 @@ def _prod_pareto(spark: SparkSession, sf_dir: str):
 
 QUERIES.update({
     # ---- audit (C-01 ... C-07), on raw rows
+    "dq_profile": lambda s, d: quality.dq_profile(_raw(s, d)),
+    "dq_sample_rows": lambda s, d: quality.dq_sample_rows(_raw(s, d)),
     "dq_null_audit": lambda s, d: quality.dq_null_audit(_raw(s, d)),
     "dq_rule_counts": lambda s, d: quality.dq_rule_counts(_raw(s, d), _s(s, d).classified),
     "dq_duplicates": lambda s, d: quality.dq_duplicates(_raw(s, d), _s(s, d).classified),
+    "dq_duplicate_sample": lambda s, d: quality.dq_duplicate_sample(_raw(s, d), _s(s, d).classified),
     "dq_prefix_counts": lambda s, d: quality.dq_prefix_counts(_raw(s, d)),
     "dq_date_range": lambda s, d: quality.dq_date_range(_raw(s, d)),
     "dq_year_counts": lambda s, d: quality.dq_year_counts(_raw(s, d)),
