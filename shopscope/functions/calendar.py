@@ -10,6 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The months of the fourth quarter.
+Q4_MONTHS = (10, 11, 12)
+
+
+def is_q4(d: Column) -> Column:
+    return F.month(d).isin(*Q4_MONTHS)
+
 
 def month_ordinal(d: Column) -> Column:
     return (F.year(d) * 12 + F.month(d) - 1).cast("int")

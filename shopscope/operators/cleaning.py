@@ -26,7 +26,6 @@ STEPS = [
 ]
 KEPT_STEP = 7
 MIN_REVENUE = "0.01"
-NON_PRODUCT_CODES = ["M", "POST"]
 
 
 def is_cancellation(invoice: Column) -> Column:

@@ -177,6 +177,7 @@ def overall_kpis(clean: DataFrame) -> DataFrame:
                     ratio("_rev", "orders", 2, num_scale=4, half_even=True).alias("aov"))
 
 
+# Stock codes that book non-product revenue (manual entries, postage).
 NON_PRODUCT_CODES = ["M", "POST"]
 
 

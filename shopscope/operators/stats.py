@@ -13,12 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.functions.calendar import month_ordinal
+from shopscope.functions.calendar import is_q4, month_ordinal
 from shopscope.functions.distributions import p_value
 from shopscope.functions.exact import ratio
 
 ALPHA = 0.05
-Q4_MONTHS = (10, 11, 12)
 
 
 def t_stat_sql(n1: str, s1: str, q1: str, n2: str, s2: str, q2: str) -> str:
@@ -71,7 +70,7 @@ def ttest_country(clean: DataFrame, home: str) -> DataFrame:
 
 
 def _is_q4(ts: str = "invoice_ts") -> Column:
-    return F.month(ts).isin(*Q4_MONTHS)
+    return is_q4(F.col(ts))
 
 
 def ttest_q4_order_value(clean: DataFrame) -> DataFrame:

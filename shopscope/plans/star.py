@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope import schemas
+from shopscope.functions.calendar import is_q4
 from shopscope.operators import cleaning, rfm
 from shopscope.plans.ordering import global_order
 from shopscope.session import checkpoint_dir
@@ -55,7 +56,7 @@ def date_attributes(date_col: str = "date_id") -> list:
             F.year(d).alias("year"), F.month(d).alias("month"),
             F.dayofmonth(d).alias("day"), F.quarter(d).alias("quarter"),
             F.date_format(d, "MMMM").alias("month_name"),
-            F.month(d).isin(10, 11, 12).cast("int").alias("is_q4")]
+            is_q4(d).cast("int").alias("is_q4")]
 
 
 def dim_date(clean: DataFrame) -> DataFrame:
