@@ -66,8 +66,9 @@ def global_order(df: DataFrame, order: Order, *, running: str | None = None,
 
     ``order`` must be total (make its last columns a unique key).
     ``mode``: 'auto' (plain window under the threshold), 'plain', 'bucketed'.
-    ``spread``: range-partition a plain (single-partition) result by ``_rn``
-    over the default parallelism, for outputs that are written and scanned.
+    ``spread``: spread a plain (single-partition) result round-robin over
+    the default parallelism, for outputs that are written and scanned (a
+    range repartition would re-run the window to sample its bounds).
     """
     spark = df.sparkSession
     if rank_key is not None and order[0][0] != rank_key:
@@ -85,7 +86,7 @@ def global_order(df: DataFrame, order: Order, *, running: str | None = None,
         if rank_key:
             out = out.withColumn("_rank", F.rank().over(Window.orderBy(sort[0])).cast("bigint"))
         if spread:
-            out = out.repartitionByRange(spark.sparkContext.defaultParallelism, "_rn")
+            out = out.repartition(spark.sparkContext.defaultParallelism)
         return out
     return _bucketed(df, order, sort, running, rank_key)
 
