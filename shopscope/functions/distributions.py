@@ -13,13 +13,19 @@ I_x is evaluated with the continued fraction of the incomplete beta
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The UDF below and its helpers are shipped to the Python workers by value,
+# so the workers never need this package on their import path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPS = 1e-16
 _TINY = 1e-300
 _ITER = 500
