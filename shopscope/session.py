@@ -20,12 +20,25 @@ DEFAULT_CONF = {
 }
 
 
+def _local_driver_memory() -> str:
+    """60 % of physical memory (capped at 16 GB) for the single local JVM."""
+    env = os.environ.get("SHOPSCOPE_DRIVER_MEM")
+    if env:
+        return env
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    mb = max(1024, min(16 * 1024, int(total * 0.6 / 2 ** 20)))
+    return f"{mb}m"
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "shopscope", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the benchmark (never used on a cluster)."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", os.environ.get("SHOPSCOPE_DRIVER_MEM", "8g")))
+         .config("spark.driver.memory", _local_driver_memory()))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
