@@ -148,15 +148,17 @@ def clv_segment_ratio(clv: DataFrame, rfm: DataFrame) -> DataFrame:
 def recovery_scenario(rfm: DataFrame, guest_revenue: DataFrame, rate: str = "0.20",
                       segment: str = "At Risk") -> DataFrame:
     """C-56: value recoverable at an assumed rate from a segment's revenue
-    and from guest revenue (``guest_revenue``: one row, column guest_revenue)."""
+    and from guest revenue (``guest_revenue``: one row with guest_rows and
+    guest_revenue). ``members`` is the size of each base: customers of the
+    segment, lines of the guest checkouts."""
     seg = rfm.where(F.col("segment") == segment).agg(
-        F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("base_value"))
-    seg = seg.select(F.lit(f"{segment} customers").alias("scenario"), "customers",
+        F.count(F.lit(1)).alias("members"), F.sum("monetary").alias("base_value"))
+    seg = seg.select(F.lit(f"{segment} customers").alias("scenario"), "members",
                      F.coalesce("base_value", F.lit(0)).cast("decimal(38,2)").alias("base_value"))
     gst = guest_revenue.select(F.lit("guest checkouts").alias("scenario"),
-                               F.lit(None).cast("bigint").alias("customers"),
+                               F.col("guest_rows").cast("bigint").alias("members"),
                                F.col("guest_revenue").cast("decimal(38,2)").alias("base_value"))
     both = seg.unionByName(gst)
     r = F.lit(rate).cast("decimal(5,4)")
-    return both.select("scenario", "customers", "base_value", r.alias("assumed_rate"),
+    return both.select("scenario", "members", "base_value", r.alias("assumed_rate"),
                        F.round(F.col("base_value") * r, 2).cast("decimal(38,2)").alias("recoverable_value"))

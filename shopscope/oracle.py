@@ -568,12 +568,12 @@ ORACLE["clv_segment_ratio"] = qv(f"""SELECT c AS champion_avg_clv, l AS lost_avg
   SELECT max(avg_clv) FILTER (WHERE segment = 'Champion') AS c, max(avg_clv) FILTER (WHERE segment = 'Lost') AS l,
          max(avg_clv) FILTER (WHERE segment = 'At Risk') AS a FROM (
     SELECT segment, {RE('sum(clv)', 'count(*)', 2, num_scale=2)} AS avg_clv FROM clv_seg WHERE segment IS NOT NULL GROUP BY segment))""")
-ORACLE["recovery_scenario"] = qg(f"""SELECT scenario, customers, base_value, CAST(0.20 AS DECIMAL(5,4)) AS assumed_rate,
+ORACLE["recovery_scenario"] = qg(f"""SELECT scenario, members, base_value, CAST(0.20 AS DECIMAL(5,4)) AS assumed_rate,
   CAST(round(base_value * CAST(0.20 AS DECIMAL(5,4)), 2) AS DECIMAL(38,2)) AS recoverable_value FROM (
-  SELECT 'At Risk customers' AS scenario, count(*) AS customers, CAST(coalesce(sum(monetary), 0) AS DECIMAL(38,2)) AS base_value
+  SELECT 'At Risk customers' AS scenario, count(*) AS members, CAST(coalesce(sum(monetary), 0) AS DECIMAL(38,2)) AS base_value
   FROM rfm_segments WHERE segment = 'At Risk'
   UNION ALL
-  SELECT 'guest checkouts', CAST(NULL AS BIGINT), CAST({M('coalesce(sum(revenue), 0)')} AS DECIMAL(38,2)) FROM guest)""")
+  SELECT 'guest checkouts', count(*), CAST({M('coalesce(sum(revenue), 0)')} AS DECIMAL(38,2)) FROM guest)""")
 
 # ---- star schema and integrity
 for _t in ("dim_customer", "dim_product", "dim_date", "fact_sales"):
