@@ -108,6 +108,15 @@ def at_risk_product_affinity(fact: DataFrame, dim_product: DataFrame, rfm: DataF
 
 
 # ----------------------------------------------------------------- revenue
+def _invoice_lines(fact: DataFrame, *keys: str) -> DataFrame:
+    """Lines pre-aggregated to (keys, invoice): when only distinct invoices
+    are counted per group, counting these rows replaces COUNT(DISTINCT)
+    (one shuffle fewer, no Expand)."""
+    return fact.groupBy(*keys, "invoice").agg(
+        F.sum("revenue").alias("_rev"), F.sum("quantity").alias("_q"),
+        F.sum("price").alias("_p"), F.count(F.lit(1)).alias("_c"))
+
+
 def _order_lines(fact: DataFrame, *keys: str) -> DataFrame:
     """Lines pre-aggregated to (keys, invoice, customer): the input of every
     report that counts distinct orders and customers per group."""
@@ -173,8 +182,8 @@ def rolling_3m_revenue(fact: DataFrame) -> DataFrame:
 def q4_vs_nonq4(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Q-10."""
     lines = fact.join(dim_date.select("date_id", "is_q4"), "date_id")
-    g = _order_lines(lines, "is_q4").groupBy("is_q4").agg(
-        F.count_distinct("invoice").alias("total_orders"), F.sum("_rev").alias("_rev"))
+    g = _invoice_lines(lines, "is_q4").groupBy("is_q4").agg(
+        F.count(F.lit(1)).alias("total_orders"), F.sum("_rev").alias("_rev"))
     return g.select(
         "is_q4",
         F.when(F.col("is_q4") == 1, "Q4 (Oct-Dec)").otherwise("Non-Q4 (Jan-Sep)").alias("period"),
@@ -184,8 +193,8 @@ def q4_vs_nonq4(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
     """Q-11."""
-    g = _order_lines(fact, "stock_code").groupBy("stock_code").agg(
-        F.count_distinct("invoice").alias("total_orders"),
+    g = _invoice_lines(fact, "stock_code").groupBy("stock_code").agg(
+        F.count(F.lit(1)).alias("total_orders"),
         F.sum("_q").cast("bigint").alias("total_units_sold"),
         F.sum("_rev").alias("_rev"), F.sum("_p").alias("_p"), F.sum("_c").alias("_c"))
     top = g.orderBy(F.desc("_rev"), F.asc("stock_code")).limit(k)
@@ -262,8 +271,8 @@ def customer_revenue_rank(fact: DataFrame, dim_customer: DataFrame, k: int = 20)
     alone is exact.
     """
     lines = fact.join(dim_customer, "customer_id")
-    g = _order_lines(lines, "country").groupBy("customer_id", "country").agg(
-        F.sum("_rev").alias("_rev"), F.count_distinct("invoice").alias("total_orders"))
+    g = _invoice_lines(lines, "customer_id", "country").groupBy("customer_id", "country").agg(
+        F.sum("_rev").alias("_rev"), F.count(F.lit(1)).alias("total_orders"))
     top = g.orderBy(F.desc("_rev"), F.asc("customer_id"), F.asc("country")).limit(k)
     top = top.withColumn("_all", _scalar(fact, F.sum("revenue")))
     return top.select(
