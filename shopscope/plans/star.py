@@ -158,7 +158,8 @@ def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "au
     def _write(name: str) -> None:
         todo[name].write.mode("overwrite").format(fmt).save(f"{path}/{name}")
 
-    with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+    workers = int(os.environ.get("SHOPSCOPE_STAR_WRITERS", len(todo)))
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         for f in [pool.submit(_write, n) for n in todo]:
             f.result()
     out = {n: spark.read.format(fmt).load(f"{path}/{n}") for n in todo}
