@@ -5,6 +5,8 @@ import tempfile
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+tests_dir = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, tests_dir)
 
 SF001 = "/root/testdata/sf0.001"
 

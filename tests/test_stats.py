@@ -6,26 +6,63 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
+import reference_distributions as ref
 from shopscope.functions.distributions import chi2_sf, t_two_sided_p
 from shopscope.operators import stats
 
 
-@pytest.mark.parametrize("t,df,p", [
-    (2.228138851986, 10, 0.05), (2.085963447265, 20, 0.05),
-    (3.169272672617, 10, 0.01), (0.0, 5, 1.0), (2.0, 10, 0.0733880347707)])
-def test_t_p_values(t, df, p):
-    assert t_two_sided_p(t, df) == pytest.approx(p, rel=1e-8, abs=1e-12)
+def _t_p(spark, pairs):
+    df = spark.createDataFrame([(float(t), float(d)) for t, d in pairs], "t double, df double")
+    return [r[0] for r in df.select(t_two_sided_p(F.col("t"), F.col("df"))).collect()]
+
+
+def _chi2_p(spark, pairs):
+    df = spark.createDataFrame([(float(x), float(k)) for x, k in pairs], "x double, k double")
+    return [r[0] for r in df.select(chi2_sf(F.col("x"), F.col("k"))).collect()]
+
+
+T_KNOWN = [(2.228138851986, 10, 0.05), (2.085963447265, 20, 0.05), (3.169272672617, 10, 0.01),
+           (0.0, 5, 1.0), (2.0, 10, 0.0733880347707)]
 
 
-def test_t_large_df_tends_to_normal():
-    # t(0.975, df) exceeds z(0.975) by about (z^3 + z) / (4 df)
-    assert t_two_sided_p(1.959963984540, 10**7) == pytest.approx(0.05, rel=1e-5)
+def test_t_p_values(spark):
+    got = _t_p(spark, [(t, d) for t, d, _ in T_KNOWN])
+    for (t, d, p), g in zip(T_KNOWN, got):
+        assert g == pytest.approx(p, rel=1e-8, abs=1e-12), (t, d)
+
+
+def test_t_p_values_at_huge_df(spark):
+    """Invoice-level tests at scale have billions of degrees of freedom;
+    compare with the normal tail plus its first-order t correction."""
+    pairs = [(t, d) for d in (1e6, 1e8, 1e10) for t in (0.438, 1.2, 1.7, 1.96, 3.28)]
+    for (t, d), g in zip(pairs, _t_p(spark, pairs)):
+        phi = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+        expected = math.erfc(t / math.sqrt(2)) + phi * (t ** 3 + t) / (2 * d)
+        assert g == pytest.approx(expected, rel=2e-6), (t, d)
+
 
+def test_t_matches_reference(spark):
+    pairs = [(t, d) for d in (1, 2, 3, 7, 30, 118, 1131, 36967, 2e5) for t in (0.05, 0.5, 1.3, 2.4, 6.0, 25.0)]
+    for (t, d), g in zip(pairs, _t_p(spark, pairs)):
+        assert g == pytest.approx(ref.t_two_sided_p(t, d), rel=1e-9, abs=1e-300), (t, d)
 
-@pytest.mark.parametrize("x,k,p", [(3.841458820694, 1, 0.05), (11.0704976935, 5, 0.05),
-                                   (16.9189776046, 9, 0.05), (0.0, 3, 1.0), (2.0, 2, math.exp(-1.0))])
-def test_chi2_p_values(x, k, p):
-    assert chi2_sf(x, k) == pytest.approx(p, rel=1e-8)
+
+CHI2_KNOWN = [(3.841458820694, 1, 0.05), (11.0704976935, 5, 0.05), (16.9189776046, 9, 0.05),
+              (0.0, 3, 1.0), (2.0, 2, math.exp(-1.0))]
+
+
+def test_chi2_p_values(spark):
+    got = _chi2_p(spark, [(x, k) for x, k, _ in CHI2_KNOWN])
+    for (x, k, p), g in zip(CHI2_KNOWN, got):
+        assert g == pytest.approx(p, rel=1e-8), (x, k)
+
+
+def test_chi2_matches_reference(spark):
+    pairs = [(x, k) for k in (1, 2, 5, 9, 40) for x in (0.3, 2.0, 9.0, 30.0, 300.0)]
+    for (x, k), g in zip(pairs, _chi2_p(spark, pairs)):
+        assert g == pytest.approx(ref.chi2_sf(x, k), rel=1e-8, abs=1e-300), (x, k)
 
 
 def test_two_sample_t(spark):
@@ -53,13 +90,3 @@ def test_tests_summary(star, spark):
     for r in rows:
         assert 0.0 <= r.p_value <= 1.0
         assert r.significant == (r.p_value < 0.05)
-
-
-@pytest.mark.parametrize("df", [1e6, 1e8, 1e10])
-@pytest.mark.parametrize("t", [0.438, 1.2, 1.7, 1.96, 3.28])
-def test_t_p_values_at_huge_df(t, df):
-    """Invoice-level tests at scale have billions of degrees of freedom;
-    compare with the normal tail plus its first-order t correction."""
-    phi = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
-    expected = math.erfc(t / math.sqrt(2)) + phi * (t ** 3 + t) / (2 * df)
-    assert t_two_sided_p(t, df) == pytest.approx(expected, rel=2e-6)
