@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopscope import schemas
 
@@ -28,10 +30,21 @@ def _read(spark: SparkSession, paths: Sequence[str] | str, schema, fmt: str,
 
 
 def read_sales_files(spark: SparkSession, paths: Sequence[str] | str, fmt: str = "parquet",
-                     cleaned: bool = False, timestamp_format: str | None = None) -> DataFrame:
-    """Read one or more raw (or cleaned) sales files as one DataFrame."""
+                     cleaned: bool = False, timestamp_format: str | None = None,
+                     float_ids: bool = False) -> DataFrame:
+    """Read one or more raw (or cleaned) sales files as one DataFrame.
+
+    ``float_ids``: the customer id column holds numbers written as floats
+    ('12346.0', empty for guests). Text like that does not cast to BIGINT
+    under ANSI rules, so it is read as DOUBLE and cast to BIGINT (P-04).
+    """
     schema = schemas.CLEAN_SALES if cleaned else schemas.RAW_SALES
-    return _read(spark, paths, schema, fmt, timestamp_format)
+    if not float_ids:
+        return _read(spark, paths, schema, fmt, timestamp_format)
+    loose = T.StructType([T.StructField(f.name, T.DoubleType(), f.nullable) if f.name == "customer_id" else f
+                          for f in schema.fields])
+    df = _read(spark, paths, loose, fmt, timestamp_format)
+    return df.withColumn("customer_id", F.col("customer_id").cast("bigint"))
 
 
 def read_rfm_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

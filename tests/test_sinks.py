@@ -34,3 +34,15 @@ def test_read_two_yearly_csv_files(spark, star, tmp_path):
     back = read_sales_files(spark, [early, late], fmt="csv")
     assert back.schema == raw.schema
     assert back.exceptAll(raw).count() == 0 and raw.exceptAll(back).count() == 0
+
+
+def test_float_customer_ids(spark, tmp_path):
+    """P-04: ids written as floats ('12346.0', empty for guests) read as BIGINT."""
+    from shopscope.sources.files import read_sales_files
+    path = tmp_path / "raw.csv"
+    path.write_text("invoice,stock_code,description,quantity,invoice_ts,price,customer_id,country\n"
+                    "1,A,x,2,2024-01-01T10:00:00,1.5000,12346.0,N\n"
+                    "C2,B,,-1,2024-01-02T11:30:00,2.0000,,N\n")
+    df = read_sales_files(spark, str(path), fmt="csv", float_ids=True)
+    assert [r.customer_id for r in df.orderBy("invoice").collect()] == [12346, None]
+    assert dict(df.dtypes)["customer_id"] == "bigint"
