@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopscope import schemas
 from shopscope.functions.exact import money, ratio
+from shopscope.plans.summary import one_row
 
 # Funnel step names and order, and the near-zero revenue floor.
 STEPS = [
@@ -151,7 +152,7 @@ def revenue_impact(clean: DataFrame, raw: DataFrame) -> DataFrame:
     """C-13: identified revenue, guest revenue, their total, guest share %."""
     ident = clean.agg(F.sum("revenue").alias("identified"))
     guest = guest_lines(raw).agg(F.sum("revenue").alias("guest"))
-    both = ident.crossJoin(guest).select(
+    both = one_row(ident, guest).select(
         F.coalesce("identified", F.lit(0).cast(schemas.REV4)).alias("identified"),
         F.coalesce("guest", F.lit(0).cast(schemas.REV4)).alias("guest"))
     both = both.withColumn("total", F.col("identified") + F.col("guest"))

@@ -16,6 +16,7 @@ from shopscope.functions.calendar import elapsed_days
 from shopscope.functions.exact import money_even, ratio
 from shopscope.operators.rfm import customer_orders
 from shopscope.plans.ordering import global_order, quantile_edges
+from shopscope.plans.summary import one_row
 
 HIST_BINS = 50
 HIST_QUANTILE = 0.95
@@ -59,7 +60,7 @@ def clv_stats(clv: DataFrame, *, mode: str = "auto") -> DataFrame:
                  "min_clv", "max_clv",
                  ratio("total_clv", "customers", 2, num_scale=2, half_even=True).alias("mean_clv"),
                  "total_clv")
-    return a.crossJoin(_median(clv, "clv", "customer_id", mode).withColumnRenamed("median", "median_clv"))
+    return one_row(a, _median(clv, "clv", "customer_id", mode).withColumnRenamed("median", "median_clv"))
 
 
 def grouped_median(df: DataFrame, group: str, value: str, key: str, *, mode: str = "auto") -> DataFrame:
@@ -109,7 +110,7 @@ def clv_top20_share(clv: DataFrame, k: int = 20) -> DataFrame:
     """C-53: combined CLV of the top k and its % of total CLV."""
     top = clv.orderBy(F.desc("clv"), F.asc("customer_id")).limit(k).agg(F.sum("clv").alias("top_clv"))
     tot = clv.agg(F.sum("clv").alias("total_clv"))
-    return top.crossJoin(tot).select(
+    return one_row(top, tot).select(
         "top_clv", "total_clv",
         ratio("top_clv", "total_clv", 2, num_scale=2, den_scale=2, mult=100, half_even=True).alias("top_pct"))
 

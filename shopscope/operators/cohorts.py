@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import ratio
+from shopscope.plans.summary import one_row
 
 MILESTONES = [1, 3, 6, 12]
 
@@ -115,7 +116,7 @@ def cohort_milestones(clean: DataFrame | None, *, matrix: DataFrame | None = Non
                 .select(ratio("_s", "_c", 6, num_scale=3, mult=100).alias("_mean")))
     long_term = (per_idx.agg(F.sum("_mean").alias("_s"), F.count("_mean").alias("_c"))
                  .select(ratio("_s", "_c", 2, num_scale=6, half_even=True).alias("avg_month1_12_pct")))
-    return sizes.crossJoin(best).crossJoin(worst).crossJoin(mil).crossJoin(long_term)
+    return one_row(sizes, best, worst, mil, long_term)
 
 
 def cohort_curve(clean: DataFrame | None, cohort_month: str | None = None, *,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopscope import schemas
+from shopscope.plans.summary import one_row
 
 
 def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
@@ -40,7 +41,7 @@ def pk_violations(tables: dict[str, DataFrame]) -> DataFrame:
                       F.count_if(F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1
                                  else F.col(keys[0]).isNull()).alias("null_keys"),
                       sum(F.count_if(F.col(c).isNull()) for c in nn).alias("not_null_violations"))
-        row = dup.crossJoin(nulls).select(F.lit(name).alias("table_name"), "rows", "duplicate_keys",
+        row = one_row(dup, nulls).select(F.lit(name).alias("table_name"), "rows", "duplicate_keys",
                                           "null_keys", F.col("not_null_violations").cast("bigint"))
         out = row if out is None else out.unionByName(row)
     return out

@@ -16,6 +16,7 @@ from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import money_even, ratio
 from shopscope.plans.ordering import durable, global_order
 from shopscope.plans.star import FIRST_ORDER
+from shopscope.plans.summary import one_row
 
 PARETO_SHARE = 80
 # Slices of the concentration table as (entity, slice, numerator, denominator, side).
@@ -50,7 +51,7 @@ def month_extremes(clean: DataFrame) -> DataFrame:
                   F.count(F.lit(1)).alias("months")).select(
         "months", ratio("_r", "months", 2, num_scale=2, half_even=True).alias("mean_monthly_revenue"),
         ratio("_a", "months", 2, num_scale=2, half_even=True).alias("mean_monthly_aov"))
-    return best.crossJoin(worst).crossJoin(means)
+    return one_row(best, worst, means)
 
 
 def _country_table(clean: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shopscope import schemas
 from shopscope.functions.exact import money_even, ratio
 from shopscope.plans.ordering import durable, global_order, quantile_edges
+from shopscope.plans.summary import one_row
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
@@ -194,7 +195,7 @@ def rfm_describe(rfm: DataFrame, *, mode: str = "auto") -> DataFrame:
                          .cast(dec).alias(f"p{25 * k}"))
         qs = o.where(F.col("_rn").isin(sorted({p for k in (1, 2, 3) for p in
                                                 ((n - 1) * k // 4 + 1, (n - 1) * k // 4 + 2)}))).agg(*quart)
-        one = sums.crossJoin(qs).select(
+        one = one_row(sums, qs).select(
             F.lit(m).alias("measure"), F.col("_n").alias("count"),
             ratio("_s", "_n", 6, num_scale=4, half_even=True).alias("mean"),
             F.expr(std_sql("_n", "_s", "_q")).alias("std"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shopscope.functions.calendar import is_q4, month_ordinal
 from shopscope.functions.distributions import p_value
 from shopscope.functions.exact import ratio
+from shopscope.plans.summary import one_row
 
 ALPHA = 0.05
 
@@ -81,7 +82,7 @@ def ttest_q4_order_value(clean: DataFrame) -> DataFrame:
     share = clean.agg(F.sum(F.when(_is_q4(), F.col("revenue"))).alias("_q"),
                       F.sum("revenue").alias("_a")).select(
         ratio("coalesce(_q, 0)", "_a", 2, num_scale=4, den_scale=4, mult=100, half_even=True).alias("q4_revenue_pct"))
-    return t.crossJoin(share)
+    return one_row(t, share)
 
 
 def ttest_q4_monthly(clean: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def ttest_q4_monthly(clean: DataFrame) -> DataFrame:
                  F.sum(F.when(~F.col("_g"), F.col("month_revenue"))).alias("s2"))
     prem = prem.select(ratio("s1 * n2 - s2 * n1", "s2 * n1", 2, num_scale=4, den_scale=4, mult=100,
                              half_even=True).alias("q4_premium_pct"))
-    return t.crossJoin(prem)
+    return one_row(t, prem)
 
 
 def chi2_segment_counts(rfm: DataFrame) -> DataFrame:
