@@ -93,8 +93,8 @@ def cohort_milestones(clean: DataFrame | None, *, matrix: DataFrame | None = Non
 
     Per-index means are exact ratios of the rounded rates (6 places, then the
     mean of those means to 2 places), so the figure does not depend on
-    summation order. Every part is a one-row aggregate; they are combined
-    with one-row cross joins.
+    summation order. Every part is a one-row aggregate; ``one_row`` puts
+    them side by side.
     """
     m = _matrix(clean, matrix)
     idx1 = m.where(F.col("cohort_index") == 1)
