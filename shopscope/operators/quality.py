@@ -110,14 +110,16 @@ def dq_date_range(raw: DataFrame) -> DataFrame:
 
 
 def dq_year_counts(raw: DataFrame) -> DataFrame:
-    """C-06: rows per calendar year."""
-    return raw.groupBy(F.year("invoice_ts").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
+    """C-06: rows per calendar year, in year order."""
+    return (raw.groupBy(F.year("invoice_ts").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
+               .orderBy("year"))
 
 
 def dq_month_counts(raw: DataFrame, year: int) -> DataFrame:
     """C-06: rows per month of one year (the year filter reaches the scan side)."""
     return (raw.where(F.year("invoice_ts") == year)
-               .groupBy(F.month("invoice_ts").alias("month")).agg(F.count(F.lit(1)).alias("rows")))
+               .groupBy(F.month("invoice_ts").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
+               .orderBy("month"))
 
 
 def dq_country_distribution(raw: DataFrame, top: int = 10) -> DataFrame:
