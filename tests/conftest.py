@@ -15,7 +15,9 @@ SF001 = "/root/testdata/sf0.001"
 def spark():
     from shopscope.session import local_session
     ck = tempfile.mkdtemp(prefix="shopscope-test-ckpt-")
-    s = local_session(4, 8, app="shopscope-tests", extra={"spark.checkpoint.dir": ck})
+    wh = tempfile.mkdtemp(prefix="shopscope-test-warehouse-")
+    s = local_session(4, 8, app="shopscope-tests",
+                      extra={"spark.checkpoint.dir": ck, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
