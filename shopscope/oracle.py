@@ -691,3 +691,15 @@ ORDER BY {order} LIMIT 6""")
 
 
 _profile()
+
+ORACLE["event_rfm_base"] = """WITH p AS (
+  SELECT CAST(event_id AS VARCHAR) AS invoice, ts AS invoice_ts, user_id AS customer_id,
+         CAST(CAST(value AS DECIMAL(12,4)) AS DECIMAL(18,4)) AS revenue
+  FROM events WHERE event_type = 'purchase'
+), o AS (
+  SELECT customer_id, invoice, sum(revenue) AS rev, max(invoice_ts) AS last_ts FROM p GROUP BY customer_id, invoice
+)
+SELECT customer_id,
+       CAST(date_sub('day', max(last_ts), (SELECT max(invoice_ts) + INTERVAL 1 DAY FROM p)) AS INTEGER) AS recency,
+       count(*) AS frequency, CAST(round_even(sum(rev), 2) AS DECIMAL(18,2)) AS monetary
+FROM o GROUP BY customer_id"""

@@ -15,6 +15,7 @@ from shopscope.operators import (cleaning, clv, cohorts, integrity, quality, rep
                                  stats)
 from shopscope.plans.star import star_for
 from shopscope.sources import sinks
+from shopscope.sources.events import purchases_as_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +111,7 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
         cleaning.identified_from_classified(_s(s, d).classified)),
     # ---- RFM (C-20 ... C-26)
     "rfm_base": lambda s, d: rfm.rfm_base(_clean(s, d)),
+    "event_rfm_base": lambda s, d: rfm.rfm_base(purchases_as_sales(s, d)),
     "rfm_segments_table": lambda s, d: _s(s, d).rfm_segments,
     "segment_distribution": lambda s, d: rfm.segment_distribution(_s(s, d).rfm_segments),
     "segment_revenue": lambda s, d: rfm.segment_revenue(_s(s, d).rfm_segments),
