@@ -703,3 +703,16 @@ SELECT customer_id,
        CAST(date_sub('day', max(last_ts), (SELECT max(invoice_ts) + INTERVAL 1 DAY FROM p)) AS INTEGER) AS recency,
        count(*) AS frequency, CAST(round_even(sum(rev), 2) AS DECIMAL(18,2)) AS monetary
 FROM o GROUP BY customer_id"""
+
+
+def _event_segments() -> None:
+    scoring = BASE[BASE.index("rfm_edges AS ("):BASE.index("monthly AS (")].rstrip().rstrip(",")
+    base_sql = ORACLE["event_rfm_base"]
+    body = base_sql[len("WITH "):]
+    last_select = body.rindex("SELECT customer_id,")
+    ctes, base_select = body[:last_select].rstrip().rstrip(","), body[last_select:]
+    ORACLE["event_rfm_segments"] = (f"WITH {ctes},\nrfm_base AS (\n{base_select}\n),\n{scoring}\n"
+                                    "SELECT * FROM rfm_segments")
+
+
+_event_segments()

@@ -112,6 +112,7 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
     # ---- RFM (C-20 ... C-26)
     "rfm_base": lambda s, d: rfm.rfm_base(_clean(s, d)),
     "event_rfm_base": lambda s, d: rfm.rfm_base(purchases_as_sales(s, d)),
+    "event_rfm_segments": lambda s, d: rfm.rfm_segments(purchases_as_sales(s, d)),
     "rfm_segments_table": lambda s, d: _s(s, d).rfm_segments,
     "segment_distribution": lambda s, d: rfm.segment_distribution(_s(s, d).rfm_segments),
     "segment_revenue": lambda s, d: rfm.segment_revenue(_s(s, d).rfm_segments),
