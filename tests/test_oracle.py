@@ -37,3 +37,21 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_listed():
     missing = set(entry.queries()) - set(entry.oracle_sql())
     assert missing <= {"tests_summary"}
+
+
+def test_plans_have_no_cartesian_or_python(spark):
+    """No registered query plans a Cartesian product, a nested-loop join or
+    a Python UDF (checked on the physical plans at the smallest scale)."""
+    import contextlib
+    import io
+    bad = {}
+    for key, fn in entry.queries().items():
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fn(spark, SF).explain()
+        plan = buf.getvalue()
+        hits = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                            "ArrowEvalPython", "PythonUDF") if w in plan]
+        if hits:
+            bad[key] = hits
+    assert bad == {}
