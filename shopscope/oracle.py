@@ -670,7 +670,11 @@ ORACLE["output_verification"] = q("\nUNION ALL\n".join(
     f"true AS schema_equal FROM {t}"
     for t in ["dim_customer", "dim_product", "dim_date", "fact_sales", "rfm_segments"]))
 
-ORACLE["cohort_retention_wide"] = qc("""SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_rate
+# the pivot's columns depend on the data, so the rate is presented (as in
+# shopscope/present.py) before pivoting rather than by the DESCRIBE wrapper
+ORACLE["cohort_retention_wide"] = qc("""SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index,
+    CASE WHEN abs(retention_rate) < 1000000000000000 THEN CAST(CAST(retention_rate AS DECIMAL(18,3)) AS DOUBLE)
+         ELSE CAST(retention_rate AS DOUBLE) END AS retention_rate
   FROM coh_matrix) ON cohort_index USING first(retention_rate) GROUP BY cohort_month)""")
 
 
