@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopscope.llm.ngram_join import ngram_components
 from shopscope.llm.packing import best_fit_packing
 from shopscope.llm.shared import table
 from shopscope.llm.token_count import token_counts
@@ -15,6 +16,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,7 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_token_count": op5_token_count,
 }
