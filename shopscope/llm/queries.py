@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shopscope.llm.ngram_join import ngram_components
 from shopscope.llm.packing import best_fit_packing
 from shopscope.llm.shared import table
+from shopscope.llm.sorted_passes import near_vectors
 from shopscope.llm.token_count import token_counts
 from shopscope.llm.token_files import token_files
 
@@ -28,11 +29,16 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents")).withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op9_sorted_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_token_count": op5_token_count,
+    "op9_sorted_projection_passes": op9_sorted_projection_passes,
 }
 
 ORACLE: dict[str, str] = {}
