@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shopscope.llm.ngram_join import ngram_components
 from shopscope.llm.packing import best_fit_packing
+from shopscope.llm.posting_lists import nearest
 from shopscope.llm.shared import table
 from shopscope.llm.sorted_passes import near_vectors
 from shopscope.llm.token_count import token_counts
@@ -25,6 +26,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op4_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents")).withColumn("over_limit", F.col("n_tokens") > 2048)
 
@@ -37,6 +42,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_posting_lists": op4_posting_lists,
     "op5_token_count": op5_token_count,
     "op9_sorted_projection_passes": op9_sorted_projection_passes,
 }
