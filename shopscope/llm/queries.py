@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopscope.llm.mixing import mixture, sized
 from shopscope.llm.ngram_join import ngram_components
 from shopscope.llm.packing import best_fit_packing
 from shopscope.llm.posting_lists import nearest
@@ -38,6 +39,10 @@ def op9_sorted_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(sized(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -45,6 +50,7 @@ QUERIES = {
     "op4_posting_lists": op4_posting_lists,
     "op5_token_count": op5_token_count,
     "op9_sorted_projection_passes": op9_sorted_projection_passes,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE: dict[str, str] = {}
