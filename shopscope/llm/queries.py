@@ -11,6 +11,7 @@ from shopscope.llm.packing import best_fit_packing
 from shopscope.llm.posting_lists import nearest
 from shopscope.llm.shared import table
 from shopscope.llm.sorted_passes import near_vectors
+from shopscope.llm.subword_classifier import quality
 from shopscope.llm.token_count import token_counts
 from shopscope.llm.token_files import token_files
 
@@ -35,6 +36,10 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents")).withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op7_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sorted_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -49,6 +54,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_posting_lists": op4_posting_lists,
     "op5_token_count": op5_token_count,
+    "op7_subword_classifier": op7_subword_classifier,
     "op9_sorted_projection_passes": op9_sorted_projection_passes,
     "op10_source_mixing": op10_source_mixing,
 }
