@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shopscope.llm.mixing import mixture, sized
 from shopscope.llm.ngram_join import ngram_components
 from shopscope.llm.packing import best_fit_packing
+from shopscope.llm.pii import pii_digest
 from shopscope.llm.posting_lists import nearest
 from shopscope.llm.shared import table
 from shopscope.llm.sorted_passes import near_vectors
@@ -40,6 +41,10 @@ def op7_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_pii_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_sorted_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op4_posting_lists": op4_posting_lists,
     "op5_token_count": op5_token_count,
     "op7_subword_classifier": op7_subword_classifier,
+    "op8_pii_candidates": op8_pii_candidates,
     "op9_sorted_projection_passes": op9_sorted_projection_passes,
     "op10_source_mixing": op10_source_mixing,
 }
