@@ -10,6 +10,7 @@ from shopscope.llm.ngram_join import ngram_components
 from shopscope.llm.packing import best_fit_packing
 from shopscope.llm.pii import pii_digest
 from shopscope.llm.posting_lists import nearest
+from shopscope.llm.recompression import repeat_digest
 from shopscope.llm.shared import table
 from shopscope.llm.sorted_passes import near_vectors
 from shopscope.llm.subword_classifier import quality
@@ -37,6 +38,10 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents")).withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_posting_lists": op4_posting_lists,
     "op5_token_count": op5_token_count,
+    "op6_recompression": op6_recompression,
     "op7_subword_classifier": op7_subword_classifier,
     "op8_pii_candidates": op8_pii_candidates,
     "op9_sorted_projection_passes": op9_sorted_projection_passes,

@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which of ``bits`` (a power of two) places the names fall on, as words of 64 bits. A filter of
+    fixed size: it passes every name it was made of and, the fuller it is, others."""
+    place = f"({column} & {bits - 1}L)"
+    words = names.select(F.expr(f"shiftright({place}, 6)").alias("word"), F.expr(f"shiftleft(1L, cast({place} & 63 as int))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # bits / 64 rows at most
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def passes(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which names may be in the bitmap."""
+    place = names.astype(np.int64, copy=False) & (len(bits) * 64 - 1)
+    return (bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers of this machine import the package from where the driver did.
     (A cluster gets it installed or with --py-files.)"""
