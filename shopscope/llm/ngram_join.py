@@ -6,9 +6,10 @@ give. The steps:
 1. ``profiles`` (one pass) names every document's shingle set, so equal sets
    become one vertex, and finds shingles that many documents hold.
 2. Short lists first: shingles are ordered rare before frequent, and a set of n
-   is listed only under its first n - T + 1 shingles. Sets that reach T share
-   at least one of those lists; the remaining T - 1, longer lists are never
-   built over the corpus.
+   is listed only under its first n - T + c shingles. Sets that reach T share
+   at least c of those lists (``COMMON``); the remaining, longer lists are
+   never built over the corpus. Lists of one set go at once: a bitmap of fixed
+   size keeps most of their rows from being shuffled again.
 3. One list can hold a large group. Each list sends its members to one of
    them, its leader. Verified links already join most groups; only members of
    a list that are still in different components then meet in further rounds,
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.components import components
-from shopscope.llm.shared import written
+from shopscope.llm.shared import bitmap, passes, written
 from shopscope.llm.words import U, mix, text_batches, window_names, word_names
 
 SHINGLE = 5
@@ -51,6 +52,12 @@ QUERIES_PER_TASK = 4000
 MU = 0.0085
 
 
+#: Lists that two linked sets of at least COMMON_FROM shingles share; one for smaller sets.
+COMMON, COMMON_FROM = 4, 10
+#: Bits of the filters for shared lists and for sets to recompute (4 MB and 1 MB).
+LIST_BITS, SET_BITS = 1 << 25, 1 << 23
+
+
 def needed(n: np.ndarray | int, percent: int = PERCENT):
     """Least overlap of a set of n with any set it links to."""
     return -(-percent * n // 100)
@@ -79,24 +86,24 @@ def set_names(sets: list[np.ndarray]) -> np.ndarray:
 
 def profiles(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """A row per document (its set's name and size; no name without words), and rows without
-    ``doc`` for shingles that several sets of a batch hold (name and count)."""
+    ``row`` for shingles that several sets of a batch hold (name and count)."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):
             sets = shingle_sets(b.column("text"), k)
             names, sizes = set_names(sets), np.array([len(s) for s in sets], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(sets), dtype=bool)), b.column("doc_id"), pa.array(names, mask=sizes == 0), pa.array(sizes)], ["doc", "doc_id", "name", "n"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(names, mask=sizes == 0), pa.array(sizes)], ["row", "doc_id", "name", "n"])
             first = np.unique(names, return_index=True)[1]
             held, n = np.unique(np.concatenate([sets[i] for i in first]), return_counts=True)
             often = n >= FREQUENT_IN_BATCH
             held, n = held[often].view(np.int64), n[often].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), dtype=bool)), pa.nulls(len(n), pa.int64()), pa.array(held), pa.array(n)], ["doc", "doc_id", "name", "n"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64()), pa.array(held), pa.array(n)], ["row", "doc_id", "name", "n"])
 
-    return docs.mapInArrow(profile, "doc boolean, doc_id long, name long, n long")
+    return docs.mapInArrow(profile, "row long, doc_id long, name long, n long")
 
 
 def short_lists(docs: DataFrame, frequent: np.ndarray, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(shingle, name, n): each set under the first n - T + 1 of its shingles, rare first.
+    """(shingle, name, n): each set under the first n - T + c of its shingles, rare first.
     ``frequent``: shingle names, most frequent first."""
     order = np.argsort(frequent)
     sorted_names = frequent[order]
@@ -111,7 +118,7 @@ def short_lists(docs: DataFrame, frequent: np.ndarray, k: int = SHINGLE, percent
                 n = len(s)
                 if not n:
                     continue
-                p = n - needed(n, percent) + 1
+                p = n - needed(n, percent) + (COMMON if n >= COMMON_FROM else 1)
                 if len(sorted_names):
                     at = np.minimum(np.searchsorted(sorted_names, s), len(sorted_names) - 1)
                     often = np.flatnonzero(sorted_names[at] == s)
@@ -201,17 +208,38 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(name, shingles as bytes) of the wanted sets, recomputed from one document each (name, doc_id)."""
+    """(name, shingles as bytes) of the wanted sets (name, doc_id: one document that has it)."""
+    bits = bitmap(wanted, "name", SET_BITS)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):
             found = shingle_sets(b.column("text"), k)
             names = set_names(found)
-            use = np.flatnonzero(names == b.column("name").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(names[use]), pa.array([found[i].tobytes() for i in use.tolist()], type=pa.binary())], ["name", "shingles"])
+            use = np.flatnonzero(passes(bits, names) & (np.array([len(s) for s in found]) > 0))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(use)), pa.array(names[use]), pa.array([found[i].tobytes() for i in use.tolist()], type=pa.binary())], ["doc_id", "name", "shingles"])
+
+    rows = docs.mapInArrow(sets, "doc_id long, name long, shingles binary")
+    of = wanted.select(F.col("name").alias("wanted"), F.col("doc_id").alias("of"))
+    return rows.join(of, (F.col("name") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("of"))).select("name", "shingles").dropDuplicates(["name"])
+
+
+def listed_together(lists: DataFrame) -> DataFrame:
+    """Rows of lists that at least two sets share."""
+    held = lists.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("shingle")
+    bits = bitmap(held, "shingle", LIST_BITS)
 
-    rows = docs.join(wanted.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of"))).select("name", "text")
-    return rows.mapInArrow(sets, "name long, shingles binary").dropDuplicates(["name"])
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(passes(bits, b.column("shingle").to_numpy())))
+
+    rows = lists.mapInArrow(keep, "shingle long, name long, n int").distinct()
+    shared = rows.groupBy("shingle").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).filter("lo < hi").select("shingle")
+    return rows.join(shared, "shingle")
+
+
+def _common(n: str) -> Column:
+    """Lists that a set of n shares with any set it links to."""
+    return F.when(F.col(n) >= COMMON_FROM, COMMON).otherwise(1)
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -220,18 +248,25 @@ def _close(a: str, b: str, percent: int) -> Column:
 
 
 def _led(mixed: DataFrame, pick, percent: int) -> DataFrame:
-    """Each list's leader (``pick`` of its names) with the members of other components."""
+    """Each list's leader (``pick`` of its names) with the members of other components; of larger
+    sets only those that it leads twice."""
     lead = mixed.groupBy("shingle").agg(pick("name").alias("a"))
-    of = mixed.select("shingle", F.col("name").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    pairs = mixed.join(lead.join(of, ["shingle", "a"]), "shingle").filter(F.col("c") != F.col("c_a"))
-    return pairs.filter(_close("n", "n_a", percent)).select("a", F.col("name").alias("b"))
+    return _counted(mixed, mixed.select("shingle", "name").join(lead, "shingle").filter("name = a").select("shingle", "name"), F.least(F.lit(2), _common("n"), _common("n_a")), percent)
 
 
 def _all_apart(mixed: DataFrame, percent: int) -> DataFrame:
-    """Every two members of a list that are in different components."""
-    of = mixed.select("shingle", F.col("name").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    pairs = mixed.join(of, "shingle").filter((F.col("a") < F.col("name")) & (F.col("c") != F.col("c_a")))
-    return pairs.filter(_close("n", "n_a", percent)).select("a", F.col("name").alias("b"))
+    """Every two members in different components that share enough lists."""
+    return _counted(mixed, None, F.least(_common("n"), _common("n_a")), percent)
+
+
+def _counted(mixed: DataFrame, leaders: DataFrame | None, lists: Column, percent: int) -> DataFrame:
+    of = mixed if leaders is None else mixed.join(leaders, ["shingle", "name"])
+    of = of.select("shingle", F.col("name").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+    apart = F.col("c") != F.col("c_a")
+    if leaders is None:
+        apart = apart & (F.col("a") < F.col("name"))
+    pairs = mixed.join(of, "shingle").filter(apart & _close("n", "n_a", percent))
+    return pairs.groupBy("a", F.col("name").alias("b"), "n", "n_a").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= lists).select("a", "b")
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -244,51 +279,62 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return m.join(shared, "shingle")
 
 
-def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): every row of ``docs`` and the smallest doc_id that
-    links lead to.
+def components_of_rows(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(row, doc_id, n_shingles, component_id, c): every row of ``docs``, the smallest doc_id that
+    links lead to, and the component's name, null without shingles. ``docs``: a table read from
+    files; ``row`` is monotonically_increasing_id() over it.
 
     Texts without words, null ones too, have no shingles and link with nothing: their component
     is their own doc_id. Rows with equal sets link. A null doc_id takes part but is the smallest
     only where there is no other. Repeated rows stay. An empty table gives an empty result. Other
     columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = written(profiles(docs, k), "shingle-profiles")
-    rows = seen.filter("doc").select("doc_id", "name", "n")
-    often = seen.filter("not doc").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)
+    rows = seen.filter("row is not null").select("row", "doc_id", "name", "n")
+    often = seen.filter("row is null").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)
     frequent = np.array([r["name"] for r in often.collect()], dtype=np.int64).view(U)  # FREQUENT names at most
 
     lists = written(short_lists(docs, frequent, k, percent), "short-lists")
-    shared = lists.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("shingle")
-    members = written(lists.join(shared, "shingle").distinct(), "list-members")
+    members = written(listed_together(lists), "list-members")
     vertices = rows.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    linkable = members.groupBy("name", "n").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= _common("n")).select("name")
+    sets = written(sets_of(docs, linkable.join(vertices, "name"), k), "shingle-sets")
 
     links, compared, labels = None, None, None
     for pairs_of in (lambda m: _led(m, F.min, percent), lambda m: _led(m, F.max, percent), lambda m: _all_apart(m, percent)):
         members = written(_labelled(members, labels).select(*members.columns[:3], "c"), "mixed-lists")
-        pairs = pairs_of(members).distinct()
+        pairs = pairs_of(members)
         if compared is not None:
             pairs = pairs.join(compared, (F.least(pairs.a, pairs.b) == compared.x) & (F.greatest(pairs.a, pairs.b) == compared.y), "left_anti")
         pairs = written(pairs, "pairs")
         members = members.drop("c")
         if pairs.isEmpty():
             continue
-        ends = pairs.select(F.col("a").alias("name")).union(pairs.select(F.col("b").alias("name"))).distinct()
-        found = written(verified(pairs, written(sets_of(docs, ends.join(vertices, "name"), k), "shingle-sets"), percent), "links")
+        found = written(verified(pairs, sets, percent), "links")
         links = found if links is None else links.union(found)
         seen_pairs = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         compared = seen_pairs if compared is None else compared.union(seen_pairs)
         labels = written(components(links), "components")
 
-    out = rows
-    classes = vertices.withColumnRenamed("doc_id", "least")
+    classes = vertices.select("name", F.col("name").alias("c"), F.col("doc_id").alias("component_id"))
     if labels is not None:
-        joined = classes.join(labels.withColumnRenamed("id", "name"), "name", "left").select("name", F.coalesce("component", "name").alias("c"), "least")
-        least = joined.groupBy("c").agg(F.min("least").alias("component_id"))
-        classes = joined.join(least, "c").select("name", "component_id")
-    else:
-        classes = classes.withColumnRenamed("least", "component_id")
-    alone = out.filter("name is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    linked = out.filter("name is not null").join(classes, "name").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        joined = vertices.join(labels.withColumnRenamed("id", "name"), "name", "left").select("name", F.coalesce("component", "name").alias("c"), "doc_id")
+        classes = joined.join(joined.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("name", "c", "component_id")
+    alone = rows.filter("name is null").select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("c"))
+    linked = rows.filter("name is not null").join(classes, "name").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id", "c")
     return linked.union(alone)
+
+
+def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``; see ``components_of_rows``."""
+    return components_of_rows(docs, k, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without all but one of each component: the smallest doc_id, of equal
+    ones the first row. Texts without words stay. ``docs``: a table read from files."""
+    found = written(components_of_rows(docs, k, percent), "row-components")
+    first = found.filter(F.col("c").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("c").agg(F.min("row").alias("row"))
+    stays = first.select("row").union(found.filter("c is null").select("row")).withColumnRenamed("row", "group_row")
+    return docs.withColumn("group_row", F.monotonically_increasing_id()).join(stays, "group_row", "left_semi").select(*docs.columns)
