@@ -142,3 +142,14 @@ def mixture(rows: DataFrame, *keep: str, block: int = BLOCK, shard: int = SHARD)
     out = taken.union(none).join(sources, "key")
     source = F.when(F.col("key").startswith("0"), F.expr("substring(key, 2)"))
     return out.select("doc_id", "size", "source_size", "target", "taken", source.alias("source"), *keep)
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: each as often as the words taken of it come to
+    whole documents, rounded. Rows of which less than half is taken, or without words, go.
+    ``docs``: a table read from files."""
+    row = F.monotonically_increasing_id().alias("mix_row")
+    taken = mixture(sized(docs, row), "mix_row")
+    copies = taken.filter("size > 0").select("mix_row", F.expr("(2 * taken + size) div (2 * size)").alias("copies")).filter("copies > 0")
+    times = copies.select("mix_row", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
+    return docs.select("*", row).join(times.select("mix_row"), "mix_row").select(*docs.columns)

@@ -132,18 +132,18 @@ def trained(docs: DataFrame, labels: DataFrame) -> np.ndarray:
                     held.append((label, np.frombuffer(ids, dtype=np.int32), np.frombuffer(share, dtype=np.float32)))
         yield pa.RecordBatch.from_arrays([pa.array([fit(held).tobytes()], pa.binary())], ["model"])
 
-    model = rows.repartition(1).sortWithinPartitions("key", "ids").mapInArrow(learn, "model binary").first()
-    return np.frombuffer(model["model"], dtype=np.float64) if model else np.zeros(BUCKETS + 1)
+    model = rows.repartition(1).sortWithinPartitions("key", "ids").mapInArrow(learn, "model binary").collect()
+    return np.frombuffer(model[0]["model"], dtype=np.float64) if model else np.zeros(BUCKETS + 1)
 
 
 def scores(docs: DataFrame, model: np.ndarray, *keep: str) -> DataFrame:
-    """(keep..., score): the probability of label 1 for every whole text."""
+    """The columns ``keep`` and ``quality_score``, the probability of label 1, for every whole text."""
     odds, empty = model[:-1], float(model[-1])
     kinds = dict(docs.dtypes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_batches(batches, "scored_text"):
-            bucket, first, which, pair, bounds = features(b.column("scored_text"))
+        for b in text_batches(batches):
+            bucket, first, which, pair, bounds = features(b.column("text"))
             total = np.concatenate(([0.0], np.cumsum(odds[bucket])))
             word, size = total[first[1:]] - total[first[:-1]], np.diff(first)
             at = word[which] + np.where(pair >= 0, odds[pair], 0)
@@ -152,10 +152,10 @@ def scores(docs: DataFrame, model: np.ndarray, *keep: str) -> DataFrame:
             sums = np.bincount(doc, weights=at, minlength=len(b))
             counts = np.bincount(doc, weights=n, minlength=len(b))
             p = 1 / (1 + np.exp(-np.clip(sums / np.maximum(counts, 1) + empty, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p)], [*keep, "quality_score"])
 
-    columns = [F.col(k) for k in keep] + [F.col("text").cast("string").alias("scored_text")]
-    return docs.select(*columns).mapInArrow(score, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + (", " if keep else "") + "score double")
+    columns = list(dict.fromkeys([*keep, "text"]))
+    return docs.select(*columns).mapInArrow(score, "".join(f"`{k}` {kinds[k]}, " for k in keep) + "quality_score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -163,6 +163,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, label) of the labels that training may see."""
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label"))
+    return marked.filter(~held_out(F.col("doc_id")))
+
+
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``; ``labels``: (doc_id, quality).
 
@@ -172,7 +178,6 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label"))
-    model = trained(docs, marked.filter(~held_out(F.col("doc_id"))))
-    scored = scores(docs, model, "doc_id")
+    model = trained(docs, labelled(labels))
+    scored = scores(docs, model, "doc_id").withColumnRenamed("quality_score", "score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
