@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shopscope.llm.mixing import mixture, sized
 from shopscope.llm.ngram_join import ngram_components
+from shopscope.llm.oracle import ORACLE  # noqa: F401
 from shopscope.llm.packing import best_fit_packing
 from shopscope.llm.pii import pii_digest
 from shopscope.llm.posting_lists import nearest
@@ -70,5 +71,3 @@ QUERIES = {
     "op9_sorted_projection_passes": op9_sorted_projection_passes,
     "op10_source_mixing": op10_source_mixing,
 }
-
-ORACLE: dict[str, str] = {}
