@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import n_words, written
+from shopscope.llm.shared import n_words, stable, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -103,7 +103,10 @@ def block_uses(sources: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Da
     s = s.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
     # the last shard closes the quota, no shard exceeds it
     s = s.withColumn("end", F.when(F.col("shard") == F.col("last"), F.col("quota")).otherwise(F.least("quota", F.col("first") + F.col("n"))))
-    slot = s.filter(F.col("first") < F.col("end")).withColumn("slot", F.explode(F.expr("sequence(first, end - 1)")))
+    # a row of a shard becomes up to SHARD slots: deal the rows out first, by a fixed number of tasks
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = s.filter(F.col("first") < F.col("end")).select("key", "id", "blocks", "shard", "first", "end").repartition(tasks, "key", "shard")
+    slot = s.withColumn("slot", F.explode(F.expr("sequence(first, end - 1)")))
     at = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("id") * 4 + F.expr("slot div blocks"))
     return slot.select("key", at.alias("block")).groupBy("key", "block").agg(F.count(F.lit(1)).alias("uses"))
 
@@ -136,7 +139,8 @@ def mixture(rows: DataFrame, *keep: str, block: int = BLOCK, shard: int = SHARD)
     placed = placed.withColumn("start", F.col("base") + F.col("inner"))
     cut = placed.withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
     overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
-    used = cut.withColumn("overlap", overlap).join(uses, ["key", "block"], "left")
+    # the planner takes the exploded slots for a small table; they grow with the corpus
+    used = cut.withColumn("overlap", overlap).join(uses.hint("merge"), ["key", "block"], "left")
     taken = used.groupBy("key", "start", "doc_id", "size", *keep).agg(F.sum(F.col("overlap") * F.coalesce("uses", F.lit(0))).alias("taken")).drop("start")
     none = rows.filter("size = 0").select("key", "doc_id", "size", *keep, F.lit(0).cast("long").alias("taken"))
     out = taken.union(none).join(sources, "key")
@@ -146,8 +150,8 @@ def mixture(rows: DataFrame, *keep: str, block: int = BLOCK, shard: int = SHARD)
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as the words taken of it come to
-    whole documents, rounded. Rows of which less than half is taken, or without words, go.
-    ``docs``: a table read from files."""
+    whole documents, rounded. Rows of which less than half is taken, or without words, go."""
+    docs = stable(docs)
     row = F.monotonically_increasing_id().alias("mix_row")
     taken = mixture(sized(docs, row), "mix_row")
     copies = taken.filter("size > 0").select("mix_row", F.expr("(2 * taken + size) div (2 * size)").alias("copies")).filter("copies > 0")
