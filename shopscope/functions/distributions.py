@@ -6,7 +6,8 @@
 
 The continued fractions (modified Lentz) and the gamma series run inside
 ``aggregate(sequence(1, n), ...)`` - a higher-order function evaluated per
-row in the JVM, with a bounded number of terms.
+row in the JVM. A result whose last term still moves it by more than
+``TOLERANCE`` (relative) is NULL, never a silently cut-off value.
 log-gamma is a Stirling series after a shift by 8; the difference
 lgamma(a + b) - lgamma(a) for large a is computed without cancellation, and
 1 - x is passed exactly (t^2 / (df + t^2)) so logarithms near 1 stay
@@ -21,6 +22,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _TINY = 1e-300
+TOLERANCE = 1e-8
 _LOG_SQRT_2PI = 0.5 * math.log(2.0 * math.pi)
 _LGAMMA_HALF = 0.5 * math.log(math.pi)
 
@@ -63,7 +65,7 @@ def _iterations(big: Column, base: int = 200, cap: int = 3000) -> Column:
 def _betacf(a: Column, b: Column, x: Column) -> Column:
     qab, qap, qam = a + b, a + 1.0, a - 1.0
     d0 = 1.0 / _guard(1.0 - qab * x / qap)
-    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"))
+    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"), F.lit(1.0).alias("e"))
 
     def step(acc: Column, m: Column) -> Column:
         m = m.cast("double")
@@ -74,10 +76,12 @@ def _betacf(a: Column, b: Column, x: Column) -> Column:
         aa2 = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
         d2 = 1.0 / _guard(1.0 + aa2 * d1)
         c2 = _guard(1.0 + aa2 / c1)
-        return F.struct(c2.alias("c"), d2.alias("d"), (acc["h"] * d1 * c1 * d2 * c2).alias("h"))
+        return F.struct(c2.alias("c"), d2.alias("d"), (acc["h"] * d1 * c1 * d2 * c2).alias("h"),
+                        F.abs(d2 * c2 - 1.0).alias("e"))
 
     n = _iterations(F.greatest(a, b))
-    return F.aggregate(F.sequence(F.lit(1), n), init, step)["h"]
+    end = F.aggregate(F.sequence(F.lit(1), n), init, step)
+    return F.when(end["e"] <= TOLERANCE, end["h"])
 
 
 def t_two_sided_p(t: Column, df: Column) -> Column:
@@ -111,7 +115,8 @@ def chi2_sf(x: Column, k: Column) -> Column:
 
     series = F.aggregate(F.sequence(F.lit(1), n),
                          F.struct(a.alias("ap"), (1.0 / a).alias("delta"), (1.0 / a).alias("s")),
-                         series_step)["s"]
+                         series_step)
+    series = F.when(series["delta"] <= TOLERANCE * series["s"], series["s"])
 
     def cf_step(acc: Column, i: Column) -> Column:
         i = i.cast("double")
@@ -119,13 +124,14 @@ def chi2_sf(x: Column, k: Column) -> Column:
         bb = acc["b"] + 2.0
         d = 1.0 / _guard(an * acc["d"] + bb)
         c = _guard(bb + an / acc["c"])
-        return F.struct(bb.alias("b"), c.alias("c"), d.alias("d"), (acc["h"] * d * c).alias("h"))
+        return F.struct(bb.alias("b"), c.alias("c"), d.alias("d"), (acc["h"] * d * c).alias("h"), F.abs(d * c - 1.0).alias("e"))
 
     b0 = x + 1.0 - a
     cf = F.aggregate(F.sequence(F.lit(1), n),
                      F.struct(b0.alias("b"), F.lit(1.0 / _TINY).alias("c"), (1.0 / b0).alias("d"),
-                              (1.0 / b0).alias("h")),
-                     cf_step)["h"]
+                              (1.0 / b0).alias("h"), F.lit(1.0).alias("e")),
+                     cf_step)
+    cf = F.when(cf["e"] <= TOLERANCE, cf["h"])
     q = F.when(x < a + 1.0, 1.0 - front * series).otherwise(front * cf)
     return (F.when(x.isNull() | k.isNull() | (k <= 0), F.lit(None).cast("double"))
              .when(x <= 0, F.lit(1.0))

@@ -9,9 +9,7 @@ Q = den * 10^num_scale (both exact integers),
                exactly half and R is odd
 
 and the result is R * 10^-n. Nothing goes through floating point, so the
-value depends neither on summation order nor on the engine. The same
-template renders Spark SQL (``ratio``) and DuckDB SQL (``sql_ratio``) so the
-library and its oracle share one rule.
+value depends neither on summation order nor on the engine.
 """
 
 from __future__ import annotations
@@ -19,18 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DIALECT = {
-    "spark": {"int": "DECIMAL(38,0)", "div": "div"},
-    "duckdb": {"int": "HUGEINT", "div": "//"},
-}
-
-
 def _ratio_text(num: str, den: str, places: int, num_scale: int, den_scale: int,
-                mult: int, half_even: bool, precision: int, dialect: str) -> str:
-    d = _DIALECT[dialect]
-    i, div = d["int"], d["div"]
-    p = f"(CAST(({num}) * {10 ** num_scale} AS {i}) * {mult * 10 ** (places + den_scale)})"
-    q = f"(CAST(({den}) * {10 ** den_scale} AS {i}) * {10 ** num_scale})"
+                mult: int, half_even: bool, precision: int) -> str:
+    i, div = "DECIMAL(38,0)", "div"
+    # the operand is a wide decimal before anything multiplies it: a BIGINT product could overflow
+    wide = lambda x, s: f"CAST(CAST(({x}) AS DECIMAL(38,{s})) * {10 ** s} AS {i})"
+    p = f"({wide(num, num_scale)} * {mult * 10 ** (places + den_scale)})"
+    q = f"({wide(den, den_scale)} * {10 ** num_scale})"
     ap, aq = f"abs({p})", f"abs({q})"
     if half_even:
         base = f"({ap} {div} {aq})"
@@ -57,14 +50,7 @@ def ratio(num: str, den: str, places: int, *, num_scale: int = 0, den_scale: int
     values have at most ``num_scale``/``den_scale`` decimal places.
     """
     return F.expr(_ratio_text(num, den, places, num_scale, den_scale, mult,
-                              half_even, precision, "spark"))
-
-
-def sql_ratio(num: str, den: str, places: int, *, num_scale: int = 0, den_scale: int = 0,
-              mult: int = 1, half_even: bool = False, precision: int = 38) -> str:
-    """DuckDB twin of :func:`ratio`."""
-    return _ratio_text(num, den, places, num_scale, den_scale, mult, half_even,
-                       precision, "duckdb")
+                              half_even, precision))
 
 
 def money(c, scale: int = 2, precision: int = 38) -> Column:
@@ -78,10 +64,3 @@ def money_even(c, scale: int = 2, precision: int = 38) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.bround(c, scale).cast(f"decimal({precision},{scale})")
 
-
-def sql_money(expr: str, scale: int = 2, precision: int = 38) -> str:
-    return f"CAST(round({expr}, {scale}) AS DECIMAL({precision},{scale}))"
-
-
-def sql_money_even(expr: str, scale: int = 2, precision: int = 38) -> str:
-    return f"CAST(round_even({expr}, {scale}) AS DECIMAL({precision},{scale}))"

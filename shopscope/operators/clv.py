@@ -16,7 +16,7 @@ from shopscope.functions.calendar import elapsed_days
 from shopscope.functions.exact import money_even, ratio
 from shopscope.operators.rfm import customer_orders
 from shopscope.plans.ordering import global_order, quantile_edges
-from shopscope.plans.summary import one_row
+from shopscope.plans.summary import in_order, one_row
 
 HIST_BINS = 50
 HIST_QUANTILE = 0.95
@@ -38,16 +38,15 @@ def customer_clv(clean: DataFrame) -> DataFrame:
     return per.withColumn("clv", money_even(clv))
 
 
-def _median(df: DataFrame, value: str, key: str, mode: str) -> DataFrame:
+def _median(df: DataFrame, value: str, key: str) -> DataFrame:
     """One row ``median`` (exact, 3 places) of ``value``."""
-    n = df.count()
-    o = global_order(df.select(value, key), [(value, True), (key, True)], n_rows=n, mode=mode)
-    lo, hi = (n + 1) // 2, n // 2 + 1
-    mid = o.where(F.col("_rn").isin(lo, hi))
+    o = global_order(df.select(value, key), [(value, True), (key, True)])
+    o = o.withColumn("_n", df.select(F.count(F.lit(1))).scalar())
+    mid = o.where(F.expr("_rn = (_n + 1) div 2 OR _rn = _n div 2 + 1"))
     return mid.agg(ratio(f"sum({value})", "count(1)", 3, num_scale=2, half_even=True).alias("median"))
 
 
-def clv_stats(clv: DataFrame, *, mode: str = "auto") -> DataFrame:
+def clv_stats(clv: DataFrame) -> DataFrame:
     """C-51: mean AOV, orders, lifespan; min / max / mean / median / total CLV."""
     a = clv.agg(F.count(F.lit(1)).alias("customers"), F.sum("aov").alias("_aov"),
                 F.sum("total_orders").alias("_ord"), F.sum("lifespan_years").alias("_yrs"),
@@ -60,16 +59,14 @@ def clv_stats(clv: DataFrame, *, mode: str = "auto") -> DataFrame:
                  "min_clv", "max_clv",
                  ratio("total_clv", "customers", 2, num_scale=2, half_even=True).alias("mean_clv"),
                  "total_clv")
-    return one_row(a, _median(clv, "clv", "customer_id", mode).withColumnRenamed("median", "median_clv"))
+    return one_row(a, _median(clv, "clv", "customer_id").withColumnRenamed("median", "median_clv"))
 
 
-def grouped_median(df: DataFrame, group: str, value: str, key: str, *, mode: str = "auto") -> DataFrame:
-    """Exact median of ``value`` per ``group`` (3 places): positions inside
+def grouped_median(df: DataFrame, group: str, value: str, key: str) -> DataFrame:
+    """Exact median of ``value`` per ``group`` (2 places): positions inside
     each group come from the global order on (group, value, key), so a group
     holding a third of the rows is still spread over many tasks."""
-    n = df.count()
-    o = global_order(df.select(group, value, key), [(group, True), (value, True), (key, True)],
-                     n_rows=n, mode=mode)
+    o = global_order(df.select(group, value, key), [(group, True), (value, True), (key, True)])
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
     starts = sizes.withColumn("_gstart", F.coalesce(F.sum("_gn").over(
         Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -78,10 +75,11 @@ def grouped_median(df: DataFrame, group: str, value: str, key: str, *, mode: str
     pos = o.join(starts, group).withColumn("_p", F.col("_rn") - F.col("_gstart"))
     mid = pos.where((F.col("_p") == F.expr("(_gn + 1) div 2")) | (F.col("_p") == F.expr("_gn div 2 + 1")))
     return mid.groupBy(group).agg(
-        ratio(f"sum({value})", "count(1)", 3, num_scale=2, half_even=True).alias("median"))
+        ratio(f"sum({value})", "count(1)", 2, num_scale=2, half_even=True).alias("median"))
 
 
-def clv_by_segment(clv: DataFrame, rfm: DataFrame, *, mode: str = "auto") -> DataFrame:
+@in_order("-avg_clv", "segment")
+def clv_by_segment(clv: DataFrame, rfm: DataFrame) -> DataFrame:
     """C-52: per segment count, average / median / total CLV, average
     lifespan days and orders."""
     # customers without a segment fall out of the grouping (as in a pandas groupby)
@@ -90,7 +88,7 @@ def clv_by_segment(clv: DataFrame, rfm: DataFrame, *, mode: str = "auto") -> Dat
     g = j.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"), F.sum("clv").alias("total_clv"),
         F.sum("lifespan_days").alias("_days"), F.sum("total_orders").alias("_ord"))
-    med = grouped_median(j, "segment", "clv", "customer_id", mode=mode)
+    med = grouped_median(j, "segment", "clv", "customer_id")
     return g.join(med, "segment", "left").select(
         "segment", "customer_count",
         ratio("total_clv", "customer_count", 2, num_scale=2, half_even=True).alias("avg_clv"),
@@ -99,6 +97,7 @@ def clv_by_segment(clv: DataFrame, rfm: DataFrame, *, mode: str = "auto") -> Dat
         ratio("_ord", "customer_count", 2, half_even=True).alias("avg_orders"))
 
 
+@in_order("-clv", "customer_id")
 def clv_top20(clv: DataFrame, rfm: DataFrame, k: int = 20) -> DataFrame:
     """C-53: the k customers with the highest CLV (ties by id) and their segment."""
     top = clv.orderBy(F.desc("clv"), F.asc("customer_id")).limit(k)
@@ -115,11 +114,12 @@ def clv_top20_share(clv: DataFrame, k: int = 20) -> DataFrame:
         ratio("top_clv", "total_clv", 2, num_scale=2, den_scale=2, mult=100, half_even=True).alias("top_pct"))
 
 
-def clv_histogram(clv: DataFrame, *, mode: str = "auto") -> DataFrame:
+@in_order("bin")
+def clv_histogram(clv: DataFrame) -> DataFrame:
     """C-54: 50 equal-width bins of CLV over the customers at or below the
     95th percentile; the last bin is closed. Bin = floor((x - lo) * 50 /
     (hi - lo)) in exact integer arithmetic."""
-    p95 = quantile_edges(clv, "clv", "customer_id", [HIST_QUANTILE], mode=mode)
+    p95 = quantile_edges(clv, "clv", "customer_id", [HIST_QUANTILE])
     kept = clv.where(F.col("clv").cast("double") <= p95.select(F.col("edges")[0]).scalar()).select("clv")
     b = (kept.withColumn("lo", kept.select(F.min("clv")).scalar())
              .withColumn("hi", kept.select(F.max("clv")).scalar())).withColumn(

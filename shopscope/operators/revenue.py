@@ -85,13 +85,11 @@ def home_vs_abroad(clean: DataFrame, home: str) -> DataFrame:
         F.coalesce(F.sum(F.when(~is_home, F.col("revenue_pct"))), F.lit(0)).alias("other_pct"))
 
 
-def _pareto(per_entity: DataFrame, key: str, mode: str) -> DataFrame:
-    per_entity = durable(per_entity)  # read by count, total and the ordering
-    n = per_entity.count()
-    o = global_order(per_entity, [("revenue", False), (key, True)], running="revenue",
-                     n_rows=n, mode=mode)
-    total = per_entity.select(F.sum("revenue")).scalar()
-    return (o.withColumn("_tot", total).withColumn("_n", F.lit(n).cast("bigint"))
+def _pareto(per_entity: DataFrame, key: str) -> DataFrame:
+    per_entity = durable(per_entity)  # read by the totals and the ordering
+    o = global_order(per_entity, [("revenue", False), (key, True)], running="revenue")
+    all_of_it = per_entity.select(F.struct(F.sum("revenue").alias("tot"), F.count(F.lit(1)).alias("n"))).scalar()
+    return (o.withColumn("_all", all_of_it).withColumn("_tot", F.col("_all.tot")).withColumn("_n", F.col("_all.n")).drop("_all")
              .withColumnRenamed("_rn", "rank").withColumnRenamed("_cum", "cumulative_revenue")
              .withColumn("cumulative_pct", ratio("cumulative_revenue", "_tot", 4, num_scale=4,
                                                  den_scale=4, mult=100, half_even=True))
@@ -112,22 +110,22 @@ def product_revenue(clean: DataFrame) -> DataFrame:
         first.alias("description"))
 
 
-def customer_pareto(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+def customer_pareto(clean: DataFrame) -> DataFrame:
     """C-44: customers by revenue desc with cumulative revenue and %."""
-    p = _pareto(customer_revenue(clean), "customer_id", mode)
+    p = _pareto(customer_revenue(clean), "customer_id")
     return p.select("customer_id", "revenue", "rank", "cumulative_revenue", "cumulative_pct", "rank_pct")
 
 
-def product_pareto(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+def product_pareto(clean: DataFrame) -> DataFrame:
     """C-47: products by revenue desc with units, first description and cumulative %."""
-    p = _pareto(product_revenue(clean), "stock_code", mode)
+    p = _pareto(product_revenue(clean), "stock_code")
     return p.select("stock_code", "description", "revenue", "quantity", "rank",
                     "cumulative_revenue", "cumulative_pct", "rank_pct")
 
 
-def pareto_cutoff(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+def pareto_cutoff(clean: DataFrame) -> DataFrame:
     """C-45 from the cleaned lines (see :func:`pareto_cutoff_from`)."""
-    return pareto_cutoff_from(customer_pareto(clean, mode=mode), product_pareto(clean, mode=mode))
+    return pareto_cutoff_from(customer_pareto(clean), product_pareto(clean))
 
 
 def pareto_cutoff_from(customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -142,31 +140,31 @@ def pareto_cutoff_from(customers: DataFrame, products: DataFrame) -> DataFrame:
     return both.withColumn("share_pct", ratio("cutoff_rank", "entities", 2, mult=100, half_even=True))
 
 
-def top_bottom_share(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+def top_bottom_share(clean: DataFrame) -> DataFrame:
     """C-46 from the cleaned lines (see :func:`top_bottom_share_from`)."""
-    return top_bottom_share_from(customer_pareto(clean, mode=mode), product_pareto(clean, mode=mode))
+    return top_bottom_share_from(customer_pareto(clean), product_pareto(clean))
 
 
 def top_bottom_share_from(customers: DataFrame, products: DataFrame) -> DataFrame:
     """C-46: revenue held by the top 10 % / 20 % and bottom 50 % of customers
     and the top 10 % of products (member counts truncated: floor(n * p))."""
     out = None
-    ranked = {"customers": customers, "products": products}
-    for entity, slice_name, num, den, side in SLICES:
-        p = ranked[entity]
-        members = F.expr(f"_n * {num} div {den}")
-        agg = p.agg(F.count(F.lit(1)).alias("_n"), F.sum("revenue").alias("_tot"))
-        sel = p.withColumn("_nn", p.select(F.count(F.lit(1))).scalar())
-        cond = (F.col("rank") <= F.expr(f"_nn * {num} div {den}")) if side == "top" else \
-               (F.col("rank") > F.expr(f"_nn - _nn * {num} div {den}"))
-        rev = sel.where(cond).select(F.sum("revenue"))
-        row = (agg.withColumn("_r", rev.scalar())
-               .select(F.lit(entity).alias("entity"), F.lit(slice_name).alias("slice"),
-                       members.cast("bigint").alias("members"),
-                       money_even(F.coalesce(F.col("_r"), F.lit(0))).alias("revenue"),
-                       ratio("coalesce(_r, 0)", "_tot", 2, num_scale=4, den_scale=4, mult=100,
-                             half_even=True).alias("revenue_pct")))
-        out = row if out is None else out.unionByName(row)
+    for entity, p in (("customers", customers), ("products", products)):
+        of = [(name, num, den, side) for e, name, num, den, side in SLICES if e == entity]
+        counted = p.withColumn("_nn", p.select(F.count(F.lit(1))).scalar())
+        sums = []
+        for i, (_, num, den, side) in enumerate(of):
+            inside = F.expr(f"rank <= _nn * {num} div {den}" if side == "top" else f"rank > _nn - _nn * {num} div {den}")
+            sums.append(F.coalesce(F.sum(F.when(inside, F.col("revenue"))), F.lit(0)).alias(f"_r{i}"))
+        # one conditional aggregate per entity, then one row per slice
+        one = counted.agg(F.count(F.lit(1)).alias("_n"), F.sum("revenue").alias("_tot"), *sums)
+        slices = F.explode(F.array(*[F.struct(
+            F.lit(i).alias("no"), F.lit(name).alias("slice"), F.expr(f"_n * {num} div {den}").cast("bigint").alias("members"),
+            F.col(f"_r{i}").cast("decimal(38,4)").alias("_r")) for i, (name, num, den, _) in enumerate(of)])).alias("s")
+        rows = one.select("_tot", slices).select(
+            F.lit(entity).alias("entity"), "s.slice", "s.members", money_even("s._r").alias("revenue"),
+            ratio("s._r", "_tot", 2, num_scale=4, den_scale=4, mult=100, half_even=True).alias("revenue_pct"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 

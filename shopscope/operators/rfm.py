@@ -11,58 +11,33 @@ Segments are one CASE expression (first matching rule wins) - no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopscope import schemas
 from shopscope.functions.exact import money_even, ratio
 from shopscope.plans.ordering import durable, global_order, quantile_edges
-from shopscope.plans.summary import one_row
+from shopscope.plans.summary import in_order
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
-# Segment labels and their rules, checked in this order.
-SEGMENT_RULES = [
-    ("Champion", "r >= 4 and f >= 4 and m >= 4"),
-    ("Loyal Customer", "r >= 3 and f >= 3 and m >= 4"),
-    ("New Customer", "r >= 4 and f <= 2"),
-    ("Potential Loyalist", "r >= 3 and f >= 3 and m >= 3"),
-    ("At Risk", "r <= 2 and f >= 4 and m >= 4"),
-    ("Needs Attention", "r <= 2 and f >= 3 and m >= 3"),
-    ("Lost", "r = 1 and f <= 2 and m <= 2"),
-    ("Promising", "total >= 9"),
-    ("About to Sleep", "total >= 6"),
-]
-FALLBACK_SEGMENT = "Hibernating"
-SEGMENTS = [s for s, _ in SEGMENT_RULES] + [FALLBACK_SEGMENT]
+# The segment labels, in the order in which their rules are checked.
+SEGMENTS = ["Champion", "Loyal Customer", "New Customer", "Potential Loyalist", "At Risk", "Needs Attention",
+            "Lost", "Promising", "About to Sleep", "Hibernating"]
 
 
 def segment_expr(r: Column, f: Column, m: Column, total: Column) -> Column:
-    env = {"r": r, "f": f, "m": m, "total": total}
-    out = None
-    for label, rule in SEGMENT_RULES:
-        cond = None
-        for clause in rule.split(" and "):
-            name, op, val = clause.split()
-            c = env[name]
-            v = int(val)
-            term = {">=": c >= v, "<=": c <= v, "=": c == v}[op]
-            cond = term if cond is None else cond & term
-        out = F.when(cond, label) if out is None else out.when(cond, label)
-    return out.otherwise(FALLBACK_SEGMENT)
-
-
-def sql_segment_expr(r: str = "r_score", f: str = "f_score", m: str = "m_score",
-                     total: str = "rfm_total") -> str:
-    names = {"r": r, "f": f, "m": m, "total": total}
-    parts = []
-    for label, rule in SEGMENT_RULES:
-        clauses = []
-        for clause in rule.split(" and "):
-            name, op, val = clause.split()
-            clauses.append(f"{names[name]} {op} {val}")
-        parts.append(f"WHEN {' AND '.join(clauses)} THEN '{label}'")
-    return f"CASE {' '.join(parts)} ELSE '{FALLBACK_SEGMENT}' END"
+    """The label of the first rule that holds."""
+    return (F.when((r >= 4) & (f >= 4) & (m >= 4), "Champion")
+            .when((r >= 3) & (f >= 3) & (m >= 4), "Loyal Customer")
+            .when((r >= 4) & (f <= 2), "New Customer")
+            .when((r >= 3) & (f >= 3) & (m >= 3), "Potential Loyalist")
+            .when((r <= 2) & (f >= 4) & (m >= 4), "At Risk")
+            .when((r <= 2) & (f >= 3) & (m >= 3), "Needs Attention")
+            .when((r == 1) & (f <= 2) & (m <= 2), "Lost")
+            .when(total >= 9, "Promising")
+            .when(total >= 6, "About to Sleep")
+            .otherwise("Hibernating"))
 
 
 def customer_orders(clean: DataFrame) -> DataFrame:
@@ -99,18 +74,17 @@ def _bin(value: Column, edges: Column) -> Column:
     return sum(F.when(edges[i] < v, 1).otherwise(0) for i in range(len(QUINTILES)))
 
 
-def rfm_scores(base: DataFrame, *, mode: str = "auto") -> DataFrame:
+def rfm_scores(base: DataFrame) -> DataFrame:
     """C-21: add r_score, f_score, m_score, rfm_score, rfm_total."""
-    # the per-customer table feeds a count, two quantile jobs and the
-    # ordering: materialise it once instead of re-aggregating the lines
+    # the per-customer table feeds two quantile jobs and the ordering:
+    # materialise it once instead of re-aggregating the lines
     base = durable(base.select("customer_id", "recency", "frequency", "monetary"))
-    n = base.count()
-    r_edges = quantile_edges(base, "recency", "customer_id", QUINTILES, n_rows=n, mode=mode)
-    m_edges = quantile_edges(base, "monetary", "customer_id", QUINTILES, n_rows=n, mode=mode)
-    ranked = global_order(base, [("frequency", True), ("customer_id", True)], n_rows=n, mode=mode)
-    f_score = (F.when(F.lit(n) <= 1, F.lit(1)).otherwise(
-        F.greatest(F.lit(1), F.expr(f"((_rn - 1) * 5 + {n} - 2) div greatest({n} - 1, 1)")))).cast("int")
-    scored = (ranked.withColumn("_re", r_edges.select("edges").scalar())
+    r_edges = quantile_edges(base, "recency", "customer_id", QUINTILES)
+    m_edges = quantile_edges(base, "monetary", "customer_id", QUINTILES)
+    ranked = global_order(base, [("frequency", True), ("customer_id", True)])
+    f_score = (F.when(F.col("_n") <= 1, F.lit(1)).otherwise(
+        F.greatest(F.lit(1), F.expr("((_rn - 1) * 5 + _n - 2) div greatest(_n - 1, 1)")))).cast("int")
+    scored = (ranked.withColumn("_n", base.select(F.count(F.lit(1))).scalar()).withColumn("_re", r_edges.select("edges").scalar())
                     .withColumn("_me", m_edges.select("edges").scalar())).select(
         "customer_id", "recency", "frequency", "monetary",
         (F.lit(5) - _bin(F.col("recency"), F.col("_re"))).cast("int").alias("r_score"),
@@ -123,13 +97,14 @@ def rfm_scores(base: DataFrame, *, mode: str = "auto") -> DataFrame:
         (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("int").alias("rfm_total"))
 
 
-def rfm_segments(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+def rfm_segments(clean: DataFrame) -> DataFrame:
     """C-22: the full segment table (schema ``schemas.RFM_SEGMENTS``)."""
-    scored = rfm_scores(rfm_base(clean), mode=mode)
+    scored = rfm_scores(rfm_base(clean))
     seg = segment_expr(F.col("r_score"), F.col("f_score"), F.col("m_score"), F.col("rfm_total"))
     return scored.select(*[f.name for f in schemas.RFM_SEGMENTS.fields[:-1]], seg.alias("segment"))
 
 
+@in_order("-customer_count", "segment")
 def segment_distribution(rfm: DataFrame) -> DataFrame:
     """C-23: customers and % of customers per segment (half-even, 2 places)."""
     counts = rfm.groupBy("segment").agg(F.count(F.lit(1)).alias("customer_count"))
@@ -138,6 +113,7 @@ def segment_distribution(rfm: DataFrame) -> DataFrame:
                     ratio("customer_count", "_n", 2, mult=100, half_even=True).alias("customer_pct")))
 
 
+@in_order("-total_revenue", "segment")
 def segment_revenue(rfm: DataFrame) -> DataFrame:
     """C-24: per segment count, total/mean monetary, mean recency and
     frequency (2 places, half-even) and revenue % of the summed totals."""
@@ -167,41 +143,46 @@ def std_sql(n: str, s: str, q: str) -> str:
             f"/ ({d(n)} - CAST(1 AS DOUBLE)), CAST(0 AS DOUBLE))) END AS DECIMAL(38,6))")
 
 
-def rfm_describe(rfm: DataFrame, *, mode: str = "auto") -> DataFrame:
+def rfm_describe(rfm: DataFrame) -> DataFrame:
     """C-25: count, mean, sample std, min, quartiles, max of the R/F/M values
     and scores, one row per measure.
 
-    Quartiles are exact (linear interpolation at (n - 1) p, in decimals),
-    read at their positions from the global order of each measure, so no
-    task ever holds a value->count map of all distinct values.
+    The table is stacked to (measure, value) and counted per distinct value
+    map-side, which leaves a few rows for scores, recency and frequency and
+    at most one per customer for monetary. Quartiles are exact (linear
+    interpolation at (n - 1) p, in decimals): the two neighbouring values
+    are those whose running count first reaches their position, read from
+    the global order of (measure, value).
     """
     dec = "decimal(38,4)"
-    n = rfm.count()
-    rows = None
-    for m in DESCRIBE_MEASURES:
-        v = F.col(m).cast(dec)
-        sums = rfm.agg(F.count(v).alias("_n"), F.sum(v).alias("_s"), F.sum(v * v).alias("_q"),
-                       F.min(v).alias("min"), F.max(v).alias("max"))
-        o = global_order(rfm.select(v.alias("_v"), "customer_id"), [("_v", True), ("customer_id", True)],
-                         n_rows=n, mode=mode)
-        quart = []
-        for k in (1, 2, 3):
-            pos = (n - 1) * k
-            lo, frac = pos // 4, pos % 4
-            hi = lo + (1 if frac else 0)
-            vlo = F.max(F.when(F.col("_rn") == lo + 1, F.col("_v")))
-            vhi = F.max(F.when(F.col("_rn") == hi + 1, F.col("_v")))
-            quart.append((vlo + (vhi - vlo) * F.lit(frac) * F.lit("0.25").cast("decimal(3,2)"))
-                         .cast(dec).alias(f"p{25 * k}"))
-        qs = o.where(F.col("_rn").isin(sorted({p for k in (1, 2, 3) for p in
-                                                ((n - 1) * k // 4 + 1, (n - 1) * k // 4 + 2)}))).agg(*quart)
-        one = one_row(sums, qs).select(
-            F.lit(m).alias("measure"), F.col("_n").alias("count"),
-            ratio("_s", "_n", 6, num_scale=4, half_even=True).alias("mean"),
-            F.expr(std_sql("_n", "_s", "_q")).alias("std"),
-            "min", "p25", "p50", "p75", "max")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("no"), F.col(m).cast(dec).alias("v"))
+                                for i, m in enumerate(DESCRIBE_MEASURES)])).alias("p")
+    counted = (rfm.select(pairs).select("p.no", "p.v").where("v IS NOT NULL")
+               .groupBy("no", "v").agg(F.count(F.lit(1)).alias("c")))
+    ordered = global_order(counted, [("no", True), ("v", True)], running="c")
+    sums = counted.groupBy("no").agg(
+        F.sum("c").alias("_n"), F.sum(F.col("v") * F.col("c")).cast(dec).alias("_s"),
+        F.sum(F.col("v") * F.col("v") * F.col("c")).alias("_q"), F.min("v").alias("min"), F.max("v").alias("max"))
+    before = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, -1)  # six rows
+    sums = sums.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    at = (ordered.join(F.broadcast(sums.select("no", "_n", "_start")), "no")
+                 .withColumn("_to", F.col("_cum") - F.col("_start")).withColumn("_from", F.expr("_to - c")))
+    holds = lambda place: (F.expr("_from") < place) & (F.col("_to") >= place)
+    picked = []
+    for k in (1, 2, 3):
+        lo, hi = F.expr(f"((_n - 1) * {k}) div 4 + 1"), F.expr(f"((_n - 1) * {k} + 3) div 4 + 1")
+        picked += [F.max(F.when(holds(lo), F.col("v"))).alias(f"_lo{k}"), F.max(F.when(holds(hi), F.col("v"))).alias(f"_hi{k}")]
+    quart = at.groupBy("no").agg(*picked)
+
+    def quartile(k: int) -> Column:
+        part = F.expr(f"((_n - 1) * {k}) % 4").cast("decimal(2,0)") * F.lit("0.25").cast("decimal(3,2)")
+        return (F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * part).cast(dec).alias(f"p{25 * k}")
+
+    return (sums.join(quart, "no").orderBy("no").select(
+        F.element_at(F.array(*map(F.lit, DESCRIBE_MEASURES)), F.col("no") + 1).alias("measure"), F.col("_n").alias("count"),
+        ratio("_s", "_n", 6, num_scale=4, half_even=True).alias("mean"),
+        F.expr(std_sql("_n", "_s", "_q")).alias("std"),
+        "min", *[quartile(k) for k in (1, 2, 3)], "max"))
 
 
 def rfm_scatter_points(rfm: DataFrame) -> DataFrame:

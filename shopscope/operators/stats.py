@@ -19,6 +19,8 @@ from shopscope.functions.exact import ratio
 from shopscope.plans.summary import one_row
 
 ALPHA = 0.05
+# counts as decimals: the product of two BIGINT counts can overflow
+WIDE_N1, WIDE_N2 = "CAST(n1 AS DECIMAL(18,0))", "CAST(n2 AS DECIMAL(18,0))"
 
 
 def t_stat_sql(n1: str, s1: str, q1: str, n2: str, s2: str, q2: str) -> str:
@@ -46,7 +48,7 @@ def two_sample(df: DataFrame, in_first: Column, value: str, scale: int, test: st
         "n1", "n2",
         ratio("s1", "n1", 2, num_scale=scale, half_even=True).alias("mean1"),
         ratio("s2", "n2", 2, num_scale=scale, half_even=True).alias("mean2"),
-        ratio("s1 * n2 - s2 * n1", "n1 * n2", 2, num_scale=scale, half_even=True).alias("mean_difference"),
+        ratio(f"s1 * {WIDE_N2} - s2 * {WIDE_N1}", f"{WIDE_N1} * {WIDE_N2}", 2, num_scale=scale, half_even=True).alias("mean_difference"),
         F.expr(t_stat_sql("n1", "s1", "q1", "n2", "s2", "q2")).alias("t_stat"),
         (F.col("n1") + F.col("n2") - 2).cast("bigint").alias("df"))
 
@@ -94,7 +96,7 @@ def ttest_q4_monthly(clean: DataFrame) -> DataFrame:
     prem = m.agg(F.count_if("_g").alias("n1"), F.sum(F.when(F.col("_g"), F.col("month_revenue"))).alias("s1"),
                  F.count_if(~F.col("_g")).alias("n2"),
                  F.sum(F.when(~F.col("_g"), F.col("month_revenue"))).alias("s2"))
-    prem = prem.select(ratio("s1 * n2 - s2 * n1", "s2 * n1", 2, num_scale=4, den_scale=4, mult=100,
+    prem = prem.select(ratio(f"s1 * {WIDE_N2} - s2 * {WIDE_N1}", f"s2 * {WIDE_N1}", 2, num_scale=4, den_scale=4, mult=100,
                              half_even=True).alias("q4_premium_pct"))
     return one_row(t, prem)
 
@@ -107,15 +109,22 @@ def chi2_segment_counts(rfm: DataFrame) -> DataFrame:
           .withColumn("_k", g.select(F.count(F.lit(1))).scalar()))
     return j.select("segment", "observed",
                     ratio("_n", "_k", 1, half_even=True).alias("expected"),
-                    ratio("observed * _k - _n", "_k", 1, half_even=True).alias("difference"))
+                    ratio("CAST(observed AS DECIMAL(18,0)) * _k - _n", "_k", 1, half_even=True).alias("difference"))
 
 
 def chi2_segments(rfm: DataFrame) -> DataFrame:
     """C-72 statistic: chi2 = k * sum(o^2) / n - n (exact, 4 places), df = k - 1."""
     g = rfm.groupBy("segment").agg(F.count(F.lit(1)).alias("o"))
-    a = g.agg(F.sum("o").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(F.col("o") * F.col("o")).alias("sq"))
+    return chi2_from_counts(g)
+
+
+def chi2_from_counts(g: DataFrame) -> DataFrame:
+    """The statistic from (segment, o); squares and products are wide decimals."""
+    o = F.col("o").cast("decimal(18,0)")
+    a = g.agg(F.sum("o").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(o * o).cast("decimal(38,0)").alias("sq"))
+    n = "CAST(n AS DECIMAL(18,0))"
     return a.select(F.lit("segment_uniformity").alias("test"), "n", "k",
-                    ratio("k * sq - n * n", "n", 4, half_even=True).alias("chi2_stat"),
+                    ratio(f"k * sq - {n} * {n}", "n", 4, half_even=True).alias("chi2_stat"),
                     (F.col("k") - 1).cast("bigint").alias("df"))
 
 
@@ -129,5 +138,6 @@ def tests_summary(rfm: DataFrame, clean: DataFrame, home: str, alpha: float = AL
     allr = rows[0]
     for r in rows[1:] + [c]:
         allr = allr.unionByName(r)
-    allr = allr.withColumn("p_value", p_value(F.col("kind"), F.col("statistic"), F.col("df")))
+    # reported to 6 places, like the statistics
+    allr = allr.withColumn("p_value", F.round(p_value(F.col("kind"), F.col("statistic"), F.col("df")), 6))
     return allr.withColumn("significant", F.col("p_value") < F.lit(alpha))

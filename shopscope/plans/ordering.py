@@ -1,25 +1,21 @@
-"""Skew-safe global ordering: row number, running sum and rank over a total
-order, without funnelling all rows through one task.
+"""Skew-safe global ordering: row number and running sum over a total order,
+and exact quantiles, without funnelling all rows through one task.
 
 A window with ORDER BY and no PARTITION BY runs in a single task. That is
-fine for a few hundred months or countries, not for customers or products
-at scale. The bucketed plan:
+fine for a few hundred months or countries, not for customers, products or
+lines. The plan, the same at every size:
 
 1. ``repartitionByRange(B, order)`` - Spark samples the order key and splits
    it into B contiguous ranges. The order is total (it ends with a unique
    tie-break), so even a value shared by a third of all rows is spread over
    many buckets.
-2. ``_bucket = spark_partition_id()`` and a reliable ``checkpoint()`` to the
-   shared checkpoint folder: the bucket assignment is frozen, so re-running
-   a lost task can never move a row to another bucket.
+2. The bucket number and a reliable ``checkpoint()`` to the shared checkpoint
+   folder: the bucket assignment is frozen, so re-running a lost task can
+   never move a row to another bucket.
 3. Per-bucket count / sum (B rows), an exclusive prefix over those B rows,
    broadcast back (B is bounded by configuration).
-4. A window ``PARTITION BY _bucket`` gives local row numbers, running sums
-   and ranks; adding the bucket offsets makes them global. A tie group that
-   crosses a bucket edge is fixed with a carry (rows of the same key in
-   earlier buckets), found by a broadcast equi-join on the B first keys.
-
-Under ``plain_max_rows`` rows a plain single-partition window is used.
+4. Local row numbers and running sums per bucket; adding the bucket offsets
+   makes them global.
 """
 
 from __future__ import annotations
@@ -31,9 +27,7 @@ from pyspark.sql import functions as F
 
 from shopscope.session import ensure_checkpoint_dir
 
-PLAIN_MAX_ROWS_CONF = "shopscope.ordering.plainMaxRows"
 BUCKETS_CONF = "shopscope.ordering.buckets"
-DEFAULT_PLAIN_MAX_ROWS = 500_000
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
@@ -42,10 +36,6 @@ def _sort_exprs(order: Order) -> list[Column]:
     return [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
 
 
-def _plain_max_rows(spark) -> int:
-    return int(spark.conf.get(PLAIN_MAX_ROWS_CONF, str(DEFAULT_PLAIN_MAX_ROWS)))
-
-
 def _buckets(spark) -> int:
     b = spark.conf.get(BUCKETS_CONF, None)
     return int(b) if b else int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -57,81 +47,29 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def global_order(df: DataFrame, order: Order, *, running: str | None = None,
-                 rank_key: str | None = None, n_rows: int | None = None,
-                 mode: str = "auto", spread: bool = False) -> DataFrame:
-    """Add ``_rn`` (1-based position in ``order``), optionally ``_cum``
-    (running sum of ``running``, ROWS UNBOUNDED PRECEDING) and ``_rank``
-    (RANK() over ``rank_key``, which must be the first order column).
-
-    ``order`` must be total (make its last columns a unique key).
-    ``mode``: 'auto' (plain window under the threshold), 'plain', 'bucketed'.
-    ``spread``: spread a plain (single-partition) result round-robin over
-    the default parallelism, for outputs that are written and scanned (a
-    range repartition would re-run the window to sample its bounds).
-    """
-    spark = df.sparkSession
-    if rank_key is not None and order[0][0] != rank_key:
-        raise ValueError("rank_key must be the leading order column")
-    if mode == "auto":
-        n = df.count() if n_rows is None else n_rows
-        mode = "plain" if n <= _plain_max_rows(spark) else "bucketed"
-    sort = _sort_exprs(order)
-    if mode == "plain":
-        w = Window.orderBy(*sort)
-        out = df.withColumn("_rn", F.row_number().over(w).cast("bigint"))
-        if running:
-            out = out.withColumn(
-                "_cum", F.sum(running).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        if rank_key:
-            out = out.withColumn("_rank", F.rank().over(Window.orderBy(sort[0])).cast("bigint"))
-        if spread:
-            out = out.repartition(spark.sparkContext.defaultParallelism)
-        return out
-    return _bucketed(df, order, sort, running, rank_key)
-
-
 _LOW33 = (1 << 33) - 1
 
 
-def _bucketed_row_number(df: DataFrame, sort: list[Column]) -> DataFrame:
-    """Row number only: one range exchange, no window.
+def global_order(df: DataFrame, order: Order, *, running: str | None = None) -> DataFrame:
+    """Add ``_rn`` (1-based position in ``order``) and optionally ``_cum``
+    (running sum of ``running``, ROWS UNBOUNDED PRECEDING).
 
-    After ``repartitionByRange`` + ``sortWithinPartitions`` (same stage),
-    ``monotonically_increasing_id`` = (partition << 33) + position in the
-    sorted partition, i.e. (bucket, local row number). The checkpoint freezes
-    it; per-bucket counts (B rows) turn it into a dense global number.
+    ``order`` must be total (make its last columns a unique key). After the
+    range exchange and the sort in the same stage,
+    ``monotonically_increasing_id`` is (bucket << 33) + position in the
+    bucket, so the row number needs no window.
     """
     spark = df.sparkSession
+    sort = _sort_exprs(order)
     staged = durable(df.repartitionByRange(_buckets(spark), *sort)
                        .sortWithinPartitions(*sort)
                        .withColumn("_mid", F.monotonically_increasing_id()))
     staged = (staged.withColumn("_bucket", F.shiftright("_mid", 33))
                     .withColumn("_lrn", (F.col("_mid").bitwiseAND(F.lit(_LOW33)) + 1)))
-    stats = staged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select("_bucket", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).cast("bigint").alias("_off"))
-    out = staged.join(F.broadcast(offs), "_bucket")  # B rows, bounded by configuration
-    return (out.withColumn("_rn", (F.col("_off") + F.col("_lrn")).cast("bigint"))
-               .drop("_mid", "_bucket", "_lrn", "_off"))
-
-
-def _bucketed(df: DataFrame, order: Order, sort: list[Column], running: str | None,
-              rank_key: str | None) -> DataFrame:
-    spark = df.sparkSession
-    if not running and not rank_key:
-        return _bucketed_row_number(df, sort)
-    staged = durable(df.repartitionByRange(_buckets(spark), *sort)
-                       .withColumn("_bucket", F.spark_partition_id()))
-
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     if running:
         aggs.append(F.sum(running).alias("_sum"))
-    if rank_key:
-        asc = order[0][1]
-        aggs.append((F.min(rank_key) if asc else F.max(rank_key)).alias("_first_key"))
     stats = staged.groupBy("_bucket").agg(*aggs)
-
     # exclusive prefix over the B bucket rows (B is bounded: one small task)
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).cast("bigint"))
@@ -139,73 +77,40 @@ def _bucketed(df: DataFrame, order: Order, sort: list[Column], running: str | No
     if running:
         offs = offs.withColumn("_soff", F.coalesce(F.sum("_sum").over(wb), F.lit(0).cast(stats.schema["_sum"].dataType)))
         keep.append("_soff")
-    if rank_key:
-        firsts = stats.select(F.col("_bucket").alias("_fb"), F.col("_first_key"))
-        # rows equal to a bucket's first key that sit in earlier buckets
-        carry = (staged.select("_bucket", rank_key)
-                 .join(F.broadcast(firsts), F.col(rank_key) == F.col("_first_key"))
-                 .where(F.col("_bucket") < F.col("_fb"))
-                 .groupBy("_fb").agg(F.count(F.lit(1)).alias("_carry")))
-        offs = (offs.join(carry, offs["_bucket"] == carry["_fb"], "left")
-                    .withColumn("_carry", F.coalesce(F.col("_carry"), F.lit(0)).cast("bigint")))
-        keep += ["_first_key", "_carry"]
-    offs = offs.select(*keep)
-
-    w = Window.partitionBy("_bucket").orderBy(*sort)
-    local = staged.withColumn("_lrn", F.row_number().over(w))
-    if running:
-        local = local.withColumn(
-            "_lcum", F.sum(running).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    if rank_key:
-        local = local.withColumn("_lrank", F.rank().over(Window.partitionBy("_bucket").orderBy(sort[0])))
-    out = local.join(F.broadcast(offs), "_bucket")
+        local = Window.partitionBy("_bucket").orderBy("_lrn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        staged = staged.withColumn("_lcum", F.sum(running).over(local))
+    out = staged.join(F.broadcast(offs.select(*keep)), "_bucket")
     out = out.withColumn("_rn", (F.col("_off") + F.col("_lrn")).cast("bigint"))
     if running:
         out = out.withColumn("_cum", F.col("_soff") + F.col("_lcum"))
-    if rank_key:
-        tie_start = (F.col(rank_key) == F.col("_first_key"))
-        out = out.withColumn(
-            "_rank", (F.col("_off") + F.col("_lrank")
-                      - F.when(tie_start, F.col("_carry")).otherwise(F.lit(0))).cast("bigint"))
-    drop = ["_bucket", "_off", "_lrn", "_soff", "_lcum", "_first_key", "_carry", "_lrank"]
+    drop = ["_mid", "_bucket", "_lrn", "_off", "_soff", "_lcum"]
     return out.drop(*[c for c in drop if c in out.columns])
 
 
-def quantile_edges(df: DataFrame, value: str, tiebreak: str, qs: Sequence[float],
-                   *, n_rows: int | None = None, mode: str = "auto") -> DataFrame:
+def quantile_edges(df: DataFrame, value: str, tiebreak: str, qs: Sequence[float]) -> DataFrame:
     """One row with column ``edges`` (array<double>): exact quantiles of
     ``value`` at ``qs`` with linear interpolation between closest ranks
     (the rule of pandas' default and of SQL percentile_cont).
 
-    Small inputs use Spark's exact ``percentile``. Large inputs would make
-    that aggregate hold a value->count map of every distinct value in one
-    task, so they read the two neighbouring values at position (n-1)q from
-    the bucketed global order instead.
+    An exact ``percentile`` aggregate would hold a value->count map of every
+    distinct value in one task; this reads the two neighbouring values at
+    position (n-1)q from the global order instead.
     """
-    spark = df.sparkSession
-    n = df.count() if n_rows is None else n_rows
-    if mode == "auto":
-        mode = "plain" if n <= _plain_max_rows(spark) else "bucketed"
-    if mode == "plain":
-        return df.agg(F.percentile(F.col(value), list(qs)).alias("edges"))
-    ordered = global_order(df.select(value, tiebreak), [(value, True), (tiebreak, True)],
-                           n_rows=n, mode="bucketed")
-    positions = {}
-    for q in qs:
-        pos = (n - 1) * q
-        lo = int(pos // 1)
-        hi = lo if pos == lo else lo + 1
-        positions[q] = (pos, lo, hi)
-    wanted = sorted({p for _, lo, hi in positions.values() for p in (lo + 1, hi + 1)})
-    picked = ordered.where(F.col("_rn").isin(wanted)).select("_rn", F.col(value).cast("double").alias("v"))
-    row = picked.agg(F.map_from_entries(F.collect_list(F.struct("_rn", "v"))).alias("m"))
+    ordered = global_order(df.select(value, tiebreak), [(value, True), (tiebreak, True)])
+    last = ordered.select(F.max("_rn") - 1).scalar()
+    at = ordered.withColumn("_last", last)
+    places = [(F.col("_last") * F.lit(q)) for q in qs]
+    near = [(F.floor(p).cast("bigint"), F.ceil(p).cast("bigint")) for p in places]
+    wanted = F.lit(False)
+    for lo, hi in near:
+        wanted = wanted | (F.col("_rn") - 1 == lo) | (F.col("_rn") - 1 == hi)
+    v = F.col(value).cast("double")
+    cols = [F.max("_last").alias("_last")]
+    for i, (lo, hi) in enumerate(near):
+        cols += [F.max(F.when(F.col("_rn") - 1 == lo, v)).alias(f"_lo{i}"), F.max(F.when(F.col("_rn") - 1 == hi, v)).alias(f"_hi{i}")]
+    row = at.where(wanted).agg(*cols)
     parts = []
-    for q in qs:
-        pos, lo, hi = positions[q]
-        vlo, vhi = F.col("m")[lo + 1], F.col("m")[hi + 1]
-        if lo == hi:
-            parts.append(vlo)
-        else:
-            parts.append(F.when(vlo == vhi, vlo).otherwise(
-                F.lit(hi - pos) * vlo + F.lit(pos - lo) * vhi))
+    for i, ((lo, hi), p) in enumerate(zip(near, places)):
+        a, b = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        parts.append(F.when(a == b, a).otherwise((hi - p) * a + (p - lo) * b))
     return row.select(F.array(*parts).alias("edges"))

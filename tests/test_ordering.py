@@ -1,69 +1,69 @@
-"""The bucketed global order must equal the plain single-task window,
-including a tie group that spans many buckets (a third of all rows)."""
+"""The global order against sorting in Python, including a tie group that
+spans many buckets (a third of all rows), and plans without a one-task window."""
+import contextlib
+import io
 import random
 from decimal import Decimal
 
-from pyspark.sql import functions as F
+import numpy as np
+import pytest
 
 from shopscope.plans.ordering import global_order, quantile_edges
 
 
-def _frame(spark, n=3000, seed=3):
+def _rows(n=3000, seed=3):
     rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        v = Decimal("42.00") if i % 3 == 0 else Decimal(rnd.randint(0, 500)).scaleb(-1)
-        rows.append((i, v))
+    return [(i, Decimal("42.00") if i % 3 == 0 else Decimal(rnd.randint(0, 500)).scaleb(-1)) for i in range(n)]
+
+
+def _frame(spark, rows):
     return spark.createDataFrame(rows, "id bigint, v decimal(18,2)")
 
 
-def test_bucketed_equals_plain(spark):
-    df = _frame(spark)
-    spark.conf.set("shopscope.ordering.buckets", "16")
-    try:
-        order = [("v", False), ("id", True)]
-        a = global_order(df, order, running="v", rank_key="v", mode="plain")
-        b = global_order(df, order, running="v", rank_key="v", mode="bucketed")
-        cols = ["id", "v", "_rn", "_cum", "_rank"]
-        a, b = a.select(*cols), b.select(*cols)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-        assert b.agg(F.max("_rn")).first()[0] == 3000
-    finally:
-        spark.conf.unset("shopscope.ordering.buckets")
-
-
-def test_bucketed_ascending_rank(spark):
-    df = _frame(spark, 1500, seed=11)
-    spark.conf.set("shopscope.ordering.buckets", "7")
-    try:
-        order = [("v", True), ("id", True)]
-        a = global_order(df, order, rank_key="v", mode="plain").select("id", "_rn", "_rank")
-        b = global_order(df, order, rank_key="v", mode="bucketed").select("id", "_rn", "_rank")
-        assert a.exceptAll(b).count() == 0
-    finally:
-        spark.conf.unset("shopscope.ordering.buckets")
-
-
-def test_quantiles_bucketed_equal_percentile(spark):
-    df = _frame(spark, 2001, seed=5)
-    spark.conf.set("shopscope.ordering.buckets", "9")
-    try:
-        qs = [0.2, 0.4, 0.5, 0.6, 0.8, 0.95]
-        a = quantile_edges(df, "v", "id", qs, mode="plain").first()[0]
-        b = quantile_edges(df, "v", "id", qs, mode="bucketed").first()[0]
-        assert [round(x, 9) for x in a] == [round(x, 9) for x in b]
-    finally:
-        spark.conf.unset("shopscope.ordering.buckets")
-
-
-def test_bucketed_row_number_only(spark):
-    df = _frame(spark, 2500, seed=21)
-    spark.conf.set("shopscope.ordering.buckets", "13")
-    try:
-        order = [("v", False), ("id", True)]
-        a = global_order(df, order, mode="plain").select("id", "v", "_rn")
-        b = global_order(df, order, mode="bucketed").select("id", "v", "_rn")
-        assert sorted(b.columns) == sorted(a.columns)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    finally:
-        spark.conf.unset("shopscope.ordering.buckets")
+@pytest.fixture(params=[1, 7, 16])
+def buckets(spark, request):
+    spark.conf.set("shopscope.ordering.buckets", str(request.param))
+    yield request.param
+    spark.conf.unset("shopscope.ordering.buckets")
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_positions_and_running_sums(spark, buckets, ascending):
+    rows = _rows()
+    got = {r.id: (r._rn, r._cum) for r in global_order(_frame(spark, rows), [("v", ascending), ("id", True)], running="v").collect()}
+    total = Decimal(0)
+    for n, (i, v) in enumerate(sorted(rows, key=lambda r: (r[1] if ascending else -r[1], r[0])), 1):
+        total += v
+        assert got[i] == (n, total)
+
+
+def test_row_number_only(spark, buckets):
+    rows = _rows(2500, 21)
+    got = global_order(_frame(spark, rows), [("v", False), ("id", True)])
+    assert got.columns == ["id", "v", "_rn"]
+    assert [r.id for r in got.orderBy("_rn").collect()] == [i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+
+
+def test_quantiles_interpolate(spark, buckets):
+    for n in (1, 2, 5, 2001):
+        rows = _rows(n, 5)
+        qs = [0.0, 0.2, 0.4, 0.5, 0.6, 0.8, 0.95, 1.0]
+        got = quantile_edges(_frame(spark, rows), "v", "id", qs).first()[0]
+        assert got == pytest.approx(np.quantile([float(v) for _, v in rows], qs).tolist(), rel=1e-12)
+
+
+def test_no_plan_orders_customers_products_or_lines_in_one_task(spark, star):
+    """Windows without PARTITION BY run over reports of months, countries, segments and
+    bucket totals only: their input is an aggregate or a top-k, never a whole table."""
+    from shopscope.operators import clv, revenue, rfm
+    c = clv.customer_clv(star.clean)
+    for df in (rfm.rfm_segments(star.clean), rfm.rfm_describe(star.rfm_segments), revenue.customer_pareto(star.clean),
+               revenue.product_pareto(star.clean), clv.clv_stats(c), clv.clv_histogram(c), clv.clv_by_segment(c, star.rfm_segments)):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        for line in buf.getvalue().splitlines():
+            if "Window" in line and "windowspecdefinition" in line:
+                spec = line[line.index("windowspecdefinition("):]
+                first = spec[len("windowspecdefinition("):].split(",")[0]
+                assert first.split("#")[0] in ("_bucket", "no", "segment"), line

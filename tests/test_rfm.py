@@ -24,28 +24,30 @@ def test_all_score_triples(spark):
     assert one == "Hibernating"
 
 
-def _qcut_scores(base: pd.DataFrame) -> pd.DataFrame:
-    out = base.copy()
-    out["r"] = pd.qcut(out["recency"], q=5, labels=[5, 4, 3, 2, 1]).astype(int)
-    out["f"] = pd.qcut(out["frequency"].rank(method="first"), q=5, labels=[1, 2, 3, 4, 5]).astype(int)
-    out["m"] = pd.qcut(out["monetary"].astype(float), q=5, labels=[1, 2, 3, 4, 5]).astype(int)
-    return out
+def _score(values, value):
+    """1 + the number of 20/40/60/80 % edges below a value; an edge lies at position (n - 1) q of the
+    sorted values, between two neighbours in proportion."""
+    v = sorted(float(x) for x in values)
+    below = 0
+    for k in (1, 2, 3, 4):
+        at = (len(v) - 1) * k / 5
+        lo = int(at)
+        edge = v[lo] + (v[min(lo + 1, len(v) - 1)] - v[lo]) * (at - lo)
+        below += edge < float(value)
+    return 1 + below
 
 
 @pytest.mark.parametrize("n,seed", [(12, 1), (37, 2), (250, 3), (1001, 4)])
-def test_scores_match_pandas_qcut(spark, n, seed):
+def test_scores_count_the_edges_below(spark, n, seed):
     rnd = random.Random(seed)
     rows = [(i + 1, rnd.randint(1, 400), rnd.randint(1, 9), Decimal(rnd.randint(100, 10**6)).scaleb(-2))
             for i in range(n)]
-    pdf = pd.DataFrame(rows, columns=["customer_id", "recency", "frequency", "monetary"])
-    # groupby output order is by customer id, which is how ties in frequency are ranked
-    exp = _qcut_scores(pdf.sort_values("customer_id"))
     base = spark.createDataFrame(rows, "customer_id bigint, recency int, frequency bigint, monetary decimal(18,2)")
-    for mode in ("plain", "bucketed"):
-        got = rfm.rfm_scores(base, mode=mode).toPandas().sort_values("customer_id")
-        assert list(got["r_score"]) == list(exp["r"]), mode
-        assert list(got["f_score"]) == list(exp["f"]), mode
-        assert list(got["m_score"]) == list(exp["m"]), mode
+    got = {r.customer_id: (r.r_score, r.f_score, r.m_score) for r in rfm.rfm_scores(base).collect()}
+    place = {r[0]: i + 1 for i, r in enumerate(sorted(rows, key=lambda r: (r[2], r[0])))}
+    for i, recency, _, monetary in rows:
+        assert got[i] == (6 - _score([r[1] for r in rows], recency), _score(place.values(), place[i]),
+                          _score([r[3] for r in rows], monetary)), i
 
 
 def test_recency_is_elapsed_days_not_midnights(spark):
@@ -63,7 +65,7 @@ def test_recency_is_elapsed_days_not_midnights(spark):
 def test_single_customer_scores(spark):
     base = spark.createDataFrame([(1, 5, 2, Decimal("10.00"))],
                                  "customer_id bigint, recency int, frequency bigint, monetary decimal(18,2)")
-    r = rfm.rfm_scores(base, mode="plain").first()
+    r = rfm.rfm_scores(base).first()
     assert (r.r_score, r.f_score, r.m_score) == (5, 1, 1)
 
 

@@ -90,3 +90,26 @@ def test_tests_summary(star, spark):
     for r in rows:
         assert 0.0 <= r.p_value <= 1.0
         assert r.significant == (r.p_value < 0.05)
+
+
+def test_counts_of_the_target_size_do_not_overflow(spark):
+    """Sizes of 1e11 per side: products of counts exceed BIGINT."""
+    from decimal import Decimal
+
+    from shopscope.functions.exact import ratio
+    from shopscope.operators.stats import WIDE_N1, WIDE_N2, chi2_from_counts
+    big = 10**11
+    df = spark.createDataFrame([(big, 4 * big, Decimal(3 * big), Decimal(8 * big))], "n1 bigint, n2 bigint, s1 decimal(38,4), s2 decimal(38,4)")
+    row = df.select(ratio(f"s1 * {WIDE_N2} - s2 * {WIDE_N1}", f"{WIDE_N1} * {WIDE_N2}", 2, num_scale=4, half_even=True).alias("d"),
+                    ratio("n2", "n1", 2, mult=100).alias("r")).first()
+    assert (row.d, row.r) == (Decimal("1.00"), Decimal("400.00"))
+    g = spark.createDataFrame([("a", 3 * big), ("b", big)], "segment string, o bigint")
+    assert chi2_from_counts(g).first().chi2_stat == Decimal(big)
+
+
+def test_p_value_is_null_where_it_does_not_converge(spark):
+    from pyspark.sql import functions as F
+
+    from shopscope.functions.distributions import chi2_sf
+    r = spark.range(1).select(chi2_sf(F.lit(9.0), F.lit(8.0)).alias("a"), chi2_sf(F.lit(2e9), F.lit(2e9)).alias("b")).first()
+    assert abs(r.a - 0.342296) < 1e-5 and r.b is None
