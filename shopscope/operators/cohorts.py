@@ -65,15 +65,14 @@ def _matrix(clean: DataFrame | None, matrix: DataFrame | None) -> DataFrame:
     return matrix if matrix is not None else cohort_retention_matrix(clean)
 
 
-def cohort_retention_wide(clean: DataFrame | None, max_index: int | None = None, *,
+def cohort_retention_wide(clean: DataFrame | None, max_index: int, *,
                           matrix: DataFrame | None = None) -> DataFrame:
     """C-32 (wide form): one row per cohort, one column per cohort index
-    (every index present in the data, or 0..max_index); missing cells null.
-    The column set is bounded by the number of calendar months."""
+    0..max_index; missing cells null. The columns are given, not collected
+    from the data."""
     long = _matrix(clean, matrix)
-    values = None if max_index is None else list(range(max_index + 1))
-    return (long.groupBy("cohort_month").pivot("cohort_index", values)
-                .agg(F.first("retention_rate")))
+    return (long.groupBy("cohort_month").pivot("cohort_index", list(range(max_index + 1)))
+                .agg(F.max("retention_rate")))
 
 
 def avg_retention_curve(clean: DataFrame | None, *, matrix: DataFrame | None = None) -> DataFrame:

@@ -117,7 +117,8 @@ def dq_year_counts(raw: DataFrame) -> DataFrame:
 
 def dq_month_counts(raw: DataFrame, year: int) -> DataFrame:
     """C-06: rows per month of one year (the year filter reaches the scan side)."""
-    return (raw.where(F.year("invoice_ts") == year)
+    first, after = (F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz") for y in (year, year + 1))
+    return (raw.where((F.col("invoice_ts") >= first) & (F.col("invoice_ts") < after))
                .groupBy(F.month("invoice_ts").alias("month")).agg(F.count(F.lit(1)).alias("rows"))
                .orderBy("month"))
 

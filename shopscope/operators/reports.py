@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from shopscope.functions.calendar import month_label, month_ordinal, ordinal_label
 from shopscope.functions.exact import money, ratio
 from shopscope.plans.ordering import global_order
+from shopscope.plans.summary import in_order
 
 RFM_COLUMNS = ["customer_id", "recency", "frequency", "monetary", "r_score", "f_score",
                "m_score", "rfm_score", "rfm_total", "segment"]
@@ -31,11 +32,13 @@ def _scalar(df: DataFrame, expr) -> object:
 
 
 # ----------------------------------------------------------------- RFM
+@in_order("-monetary", "customer_id")
 def rfm_top_customers(rfm: DataFrame, k: int = 20) -> DataFrame:
     """Q-01."""
     return rfm.select(*RFM_COLUMNS).orderBy(F.desc("monetary"), F.asc("customer_id")).limit(k)
 
 
+@in_order("-total_revenue", "segment")
 def segment_scorecard(rfm: DataFrame) -> DataFrame:
     """Q-02."""
     g = rfm.groupBy("segment").agg(
@@ -54,7 +57,9 @@ def segment_scorecard(rfm: DataFrame) -> DataFrame:
 
 def _segment_detail(rfm: DataFrame, dim_customer: DataFrame, segment: str, names: dict,
                     k: int) -> DataFrame:
-    top = (rfm.where(F.col("segment") == segment)
+    # members without a dimension row drop out before the cut to k rows
+    known = rfm.where(F.col("segment") == segment).join(dim_customer.select("customer_id"), "customer_id", "left_semi")
+    top = (known
               .orderBy(F.desc("monetary"), F.asc("customer_id")).limit(k))
     return top.join(dim_customer, "customer_id").select(
         "customer_id", "country",
@@ -62,18 +67,21 @@ def _segment_detail(rfm: DataFrame, dim_customer: DataFrame, segment: str, names
         money("monetary").alias("total_spent"), "rfm_score")
 
 
+@in_order("-total_spent", "customer_id")
 def champion_detail(rfm: DataFrame, dim_customer: DataFrame, k: int = 20) -> DataFrame:
     """Q-03."""
     return _segment_detail(rfm, dim_customer, "Champion",
                            {"recency": "recency", "frequency": "frequency"}, k)
 
 
+@in_order("-total_spent", "customer_id")
 def at_risk_recovery_list(rfm: DataFrame, dim_customer: DataFrame, k: int = 20) -> DataFrame:
     """Q-04."""
     return _segment_detail(rfm, dim_customer, "At Risk",
                            {"recency": "days_since_last_purchase", "frequency": "total_orders"}, k)
 
 
+@in_order("-total_revenue", "segment")
 def segment_pareto(rfm: DataFrame) -> DataFrame:
     """Q-05: running revenue over segments by revenue desc, RANGE frame
     (segments with equal revenue share the running value)."""
@@ -87,6 +95,7 @@ def segment_pareto(rfm: DataFrame) -> DataFrame:
         money(F.sum("_m").over(w)).alias("cumulative_revenue"))
 
 
+@in_order("-total_revenue", "stock_code")
 def at_risk_product_affinity(fact: DataFrame, dim_product: DataFrame, rfm: DataFrame,
                              k: int = 15) -> DataFrame:
     """Q-06."""
@@ -100,7 +109,8 @@ def at_risk_product_affinity(fact: DataFrame, dim_product: DataFrame, rfm: DataF
         F.count_distinct("invoice").alias("total_orders"),
         F.sum("_q").cast("bigint").alias("total_units"),
         F.sum("_rev").alias("_rev"), F.sum("_p").alias("_p"), F.sum("_c").alias("_c"))
-    top = g.orderBy(F.desc("_rev"), F.asc("stock_code")).limit(k)
+    known = g.join(dim_product.select("stock_code"), "stock_code", "left_semi")
+    top = known.orderBy(F.desc("_rev"), F.asc("stock_code")).limit(k)
     return top.join(dim_product, "stock_code").select(
         "description", "stock_code", "at_risk_customers", "total_orders", "total_units",
         money("_rev").alias("total_revenue"),
@@ -135,6 +145,7 @@ def monthly(fact: DataFrame) -> DataFrame:
     return g.withColumn("revenue_month", ordinal_label(F.col("_mo")))
 
 
+@in_order("revenue_month")
 def monthly_revenue_trend(fact: DataFrame) -> DataFrame:
     """Q-07."""
     return monthly(fact).select(
@@ -143,10 +154,11 @@ def monthly_revenue_trend(fact: DataFrame) -> DataFrame:
         ratio("_rev", "total_orders", 2, num_scale=2).alias("avg_order_value"))
 
 
+@in_order("-total_revenue", "country")
 def country_revenue_top10(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> DataFrame:
     """Q-08: by the customer's (first) country."""
-    lines = fact.join(dim_customer, "customer_id")
-    g = _order_lines(lines, "country").groupBy("country").agg(
+    # lines shrink to orders before they meet the dimension
+    g = _order_lines(fact).join(dim_customer, "customer_id").groupBy("country").agg(
         F.count_distinct("invoice").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.sum("_rev").alias("_rev"))
@@ -162,6 +174,7 @@ def _monthly_rounded(fact: DataFrame) -> DataFrame:
     return monthly(fact).withColumn("monthly_revenue", money("_rev"))
 
 
+@in_order("revenue_month")
 def rolling_3m_revenue(fact: DataFrame) -> DataFrame:
     """Q-09: rows-based 3-month moving average, change and growth vs the
     previous row (a calendar gap is stepped over, as in the SQL)."""
@@ -179,6 +192,7 @@ def rolling_3m_revenue(fact: DataFrame) -> DataFrame:
               mult=100).alias("mom_growth_pct"))
 
 
+@in_order("-is_q4")
 def q4_vs_nonq4(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Q-10."""
     lines = fact.join(dim_date.select("date_id", "is_q4"), "date_id")
@@ -191,13 +205,15 @@ def q4_vs_nonq4(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         ratio("_rev", "total_orders", 2, num_scale=2).alias("avg_order_value"))
 
 
+@in_order("-total_revenue", "stock_code")
 def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
     """Q-11."""
     g = _invoice_lines(fact, "stock_code").groupBy("stock_code").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("_q").cast("bigint").alias("total_units_sold"),
         F.sum("_rev").alias("_rev"), F.sum("_p").alias("_p"), F.sum("_c").alias("_c"))
-    top = g.orderBy(F.desc("_rev"), F.asc("stock_code")).limit(k)
+    known = g.join(dim_product.select("stock_code"), "stock_code", "left_semi")
+    top = known.orderBy(F.desc("_rev"), F.asc("stock_code")).limit(k)
     top = top.withColumn("_all", _scalar(fact, F.sum("revenue")))
     return top.join(dim_product, "stock_code").select(
         "stock_code", "description", "total_orders", "total_units_sold",
@@ -215,6 +231,7 @@ def customer_months(fact: DataFrame) -> DataFrame:
     return act.withColumn("cohort_mo", F.min("activity_mo").over(Window.partitionBy("customer_id")))
 
 
+@in_order("cohort_month")
 def cohort_sizes(fact: DataFrame) -> DataFrame:
     """Q-12."""
     first = fact.groupBy("customer_id").agg(F.min("date_id").alias("_d"))
@@ -222,6 +239,7 @@ def cohort_sizes(fact: DataFrame) -> DataFrame:
                  .agg(F.count("customer_id").alias("cohort_size")))
 
 
+@in_order("cohort_month", "cohort_index")
 def cohort_retention_long(fact: DataFrame, max_index: int = 12) -> DataFrame:
     """Q-13."""
     cm = customer_months(fact).withColumn("cohort_index", F.col("activity_mo") - F.col("cohort_mo"))
@@ -232,6 +250,7 @@ def cohort_retention_long(fact: DataFrame, max_index: int = 12) -> DataFrame:
                     F.col("cohort_index").cast("bigint").alias("cohort_index"), "active_customers")
 
 
+@in_order("cohort_month")
 def month1_retention(fact: DataFrame) -> DataFrame:
     """Q-14: cohort size, customers active in the following calendar month
     (0 when none) and the rate in % (2 places)."""
@@ -245,6 +264,7 @@ def month1_retention(fact: DataFrame) -> DataFrame:
         ratio("returned_month1", "cohort_size", 2, mult=100).alias("month1_retention_pct"))
 
 
+@in_order("-retention_pct", "cohort_month")
 def month1_retention_ranked(fact: DataFrame) -> DataFrame:
     """Q-15."""
     m = month1_retention(fact).withColumnRenamed("month1_retention_pct", "retention_pct")
@@ -252,6 +272,7 @@ def month1_retention_ranked(fact: DataFrame) -> DataFrame:
                         F.rank().over(Window.orderBy(F.desc("retention_pct"))).cast("bigint"))
 
 
+@in_order("cohort_month")
 def rolling_retention(fact: DataFrame) -> DataFrame:
     """3-row moving average of the month-1 retention % by cohort month."""
     m = month1_retention(fact)
@@ -263,6 +284,7 @@ def rolling_retention(fact: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- advanced
+@in_order("revenue_rank", "customer_id", "country")
 def customer_revenue_rank(fact: DataFrame, dim_customer: DataFrame, k: int = 20) -> DataFrame:
     """Q-16: RANK() of customers by revenue, top k.
 
@@ -270,9 +292,9 @@ def customer_revenue_rank(fact: DataFrame, dim_customer: DataFrame, k: int = 20)
     before it and are therefore inside the top k, so ranking the k rows
     alone is exact.
     """
-    lines = fact.join(dim_customer, "customer_id")
-    g = _invoice_lines(lines, "customer_id", "country").groupBy("customer_id", "country").agg(
+    g = _invoice_lines(fact, "customer_id").groupBy("customer_id").agg(
         F.sum("_rev").alias("_rev"), F.count(F.lit(1)).alias("total_orders"))
+    g = g.join(dim_customer, "customer_id")  # one row per customer on both sides
     top = g.orderBy(F.desc("_rev"), F.asc("customer_id"), F.asc("country")).limit(k)
     top = top.withColumn("_all", _scalar(fact, F.sum("revenue")))
     return top.select(
@@ -281,6 +303,7 @@ def customer_revenue_rank(fact: DataFrame, dim_customer: DataFrame, k: int = 20)
         ratio("_rev", "_all", 4, num_scale=2, den_scale=2, mult=100).alias("revenue_pct"))
 
 
+@in_order("revenue_rank", "stock_code")
 def product_dense_rank(fact: DataFrame, dim_product: DataFrame, k: int = 20) -> DataFrame:
     """Q-17: DENSE_RANK() of products by revenue, top k (exact on k rows, as Q-16)."""
     g = fact.groupBy("stock_code").agg(F.sum("revenue").alias("_rev"),
@@ -294,6 +317,7 @@ def product_dense_rank(fact: DataFrame, dim_product: DataFrame, k: int = 20) ->
         ratio("_rev", "_all", 4, num_scale=2, den_scale=2, mult=100).alias("pct_of_total"))
 
 
+@in_order("revenue_month")
 def running_total_revenue(fact: DataFrame) -> DataFrame:
     """Q-18."""
     m = _monthly_rounded(fact)
@@ -312,6 +336,7 @@ def _ntile(rn: str, n: str, tiles: int) -> str:
             f"ELSE {rem} + ({rn} - 1 - {rem} * {big}) div ({n} div {tiles}) + 1 END")
 
 
+@in_order("-total_revenue", "customer_id")
 def customer_percentile(rfm: DataFrame, k: int = 20) -> DataFrame:
     """Q-19: PERCENT_RANK (ascending monetary) x 100 and NTILE(10)
     (descending, ties by customer id) for the top k customers.
@@ -335,18 +360,18 @@ def customer_percentile(rfm: DataFrame, k: int = 20) -> DataFrame:
         F.expr(_ntile("_rn", "_n", 10)).cast("bigint").alias("decile"))
 
 
-def revenue_by_decile(rfm: DataFrame, *, mode: str = "auto") -> DataFrame:
+@in_order("decile")
+def revenue_by_decile(rfm: DataFrame) -> DataFrame:
     """Customers and revenue per NTILE(10) decile of monetary (descending,
     ties by customer id), over all customers (bucketed global order)."""
-    n = rfm.count()
-    o = global_order(rfm.select("customer_id", "monetary"),
-                     [("monetary", False), ("customer_id", True)], n_rows=n, mode=mode)
-    o = o.withColumn("_n", F.lit(n).cast("bigint"))
+    o = global_order(rfm.select("customer_id", "monetary"), [("monetary", False), ("customer_id", True)])
+    o = o.withColumn("_n", rfm.select(F.count(F.lit(1))).scalar())
     d = o.withColumn("decile", F.expr(_ntile("_rn", "_n", 10)).cast("bigint"))
     return d.groupBy("decile").agg(F.count(F.lit(1)).alias("customers"),
                                    money(F.sum("monetary")).alias("total_revenue"))
 
 
+@in_order("revenue_month")
 def mom_growth(fact: DataFrame) -> DataFrame:
     """Q-20."""
     m = _monthly_rounded(fact)
@@ -359,10 +384,11 @@ def mom_growth(fact: DataFrame) -> DataFrame:
               den_scale=2, mult=100).alias("growth_pct"))
 
 
+@in_order("-total_revenue", "country")
 def country_contribution(fact: DataFrame, dim_customer: DataFrame, k: int = 15) -> DataFrame:
     """Q-21: ROWS running total by revenue desc (ties by country)."""
-    g = (fact.join(dim_customer, "customer_id").groupBy("country")
-             .agg(F.sum("revenue").alias("_rev")))
+    per_customer = fact.groupBy("customer_id").agg(F.sum("revenue").alias("_r"))
+    g = per_customer.join(dim_customer, "customer_id").groupBy("country").agg(F.sum("_r").alias("_rev"))
     w_all = Window.partitionBy()
     w_run = Window.orderBy(F.desc("_rev"), F.asc("country")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     g = (g.withColumn("_tot", F.sum("_rev").over(w_all))

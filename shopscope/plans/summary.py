@@ -8,10 +8,29 @@ one-row frames.)
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def in_order(*columns: str) -> Callable:
+    """Decorator: the report's rows come in this order ("-" for descending, nulls last),
+    after every join, as the last step."""
+
+    def wrap(report: Callable) -> Callable:
+        @functools.wraps(report)
+        def sorted_report(*args, **kw) -> DataFrame:
+            keys = [F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_first(c) for c in columns]
+            return report(*args, **kw).orderBy(*keys)
+
+        sorted_report.order = columns
+        return sorted_report
+
+    return wrap
+
+
 def one_row(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Columns of ``first`` followed by those of each of ``others`` (all
     one-row frames)."""
