@@ -5,8 +5,8 @@
 * ``write_jdbc``: append to a database table in batches (default 10,000
   rows per batch), credentials passed as options - never in source. Tasks
   write in parallel, one connection per partition.
-* ``verify_written``: read a written table back with its declared schema and
-  report existence, rows and schema equality.
+* ``verify_written``: read a written table back with its own schema and report
+  existence, size, rows, schema and content equality.
 * ``star_ddl`` / ``create_star_tables``: ``CREATE TABLE IF NOT EXISTS ...
   USING parquet`` from the declared schemas; ``load_star`` writes the five
   tables in foreign-key-safe order (parents before children).
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope import schemas
@@ -46,30 +46,48 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, user: str | None = None,
     df.write.jdbc(url=url, table=table, mode=mode, properties=props)
 
 
-def read_back(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        return reader.option("header", "true").option("mode", "FAILFAST").csv(path)
-    return reader.format(fmt).load(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
+def _bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a written table, -1 where there is none."""
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem through the public gateway
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    return bool(fs.exists(p))
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else -1
+
+
+def _content(columns: dict[str, Column]) -> Column:
+    """One number for all rows, whatever their order: the sum of row hashes."""
+    return F.sum(F.xxhash64(F.struct(*[c.alias(n) for n, c in columns.items()])).cast("decimal(38,0)"))
 
 
 def verify_written(df: DataFrame, path: str, fmt: str, name: str) -> DataFrame:
-    """S-04: one row: table, written, rows expected, rows read back, schema equal."""
+    """S-04: one row: table, written, has bytes, rows expected, rows read back, schema and content equal.
+
+    The file is read with its own schema (Parquet) or header (CSV), never with
+    the expected one. CSV text counts as equal when every value casts to its
+    column's type; the content is equal when the row hashes of source and
+    file have the same sum.
+    """
     spark = df.sparkSession
-    back = read_back(spark, path, df.schema, fmt)
-    ok_schema = [(f.name, f.dataType) for f in back.schema.fields] == \
-                [(f.name, f.dataType) for f in df.schema.fields]
-    expected = df.select(F.count(F.lit(1))).scalar()
-    return back.agg(F.count(F.lit(1)).alias("rows_read")).select(
-        F.lit(name).alias("table_name"), F.lit(_exists(spark, path)).alias("written"),
-        expected.alias("rows_expected"), "rows_read", F.lit(ok_schema).alias("schema_equal"))
+    size = _bytes(spark, path)
+    if size > 0:
+        back = spark.read.option("header", "true").csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    else:
+        back = spark.range(0).toDF("_nothing")
+    named = back.columns == df.columns
+    typed = named and (fmt == "csv" or [f.dataType for f in back.schema.fields] == [f.dataType for f in df.schema.fields])
+    if named:
+        cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in df.schema.fields}
+        lost = F.exists(F.array(*[F.col(n).isNotNull() & c.isNull() for n, c in cast.items()]), lambda x: x)
+        row = back.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(lost).alias("_lost"), _content(cast).alias("_h"))
+    else:
+        row = back.agg(F.count(F.lit(1)).alias("rows_read"), F.lit(0).alias("_lost"), F.lit(None).cast("decimal(38,0)").alias("_h"))
+    own = df.agg(F.count(F.lit(1)).alias("n"), _content({f.name: F.col(f.name) for f in df.schema.fields}).alias("h"))
+    row = row.withColumn("_own", own.select(F.struct("n", "h")).scalar())
+    return row.select(
+        F.lit(name).alias("table_name"), F.lit(size >= 0).alias("written"), F.lit(size > 0).alias("has_bytes"),
+        F.col("_own.n").alias("rows_expected"), "rows_read",
+        (F.lit(typed) & (F.col("_lost") == 0)).alias("schema_equal"),
+        (F.lit(named) & F.col("_h").eqNullSafe(F.col("_own.h"))).alias("content_equal"))
 
 
 def output_verification(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> DataFrame:
@@ -112,3 +130,9 @@ def load_star(tables: dict[str, DataFrame], database: str) -> None:
     for name in LOAD_ORDER:
         df = tables[name].select(*[f.name for f in schemas.STAR_TABLES[name].fields])
         df.write.mode("overwrite").insertInto(f"{database}.{name}")
+
+
+def load_star_jdbc(tables: dict[str, DataFrame], url: str, write=write_jdbc, **options) -> None:
+    """S-05 into a database: append every table, parents before children."""
+    for name in LOAD_ORDER:
+        write(tables[name].select(*[f.name for f in schemas.STAR_TABLES[name].fields]), url, name, **options)

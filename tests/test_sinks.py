@@ -6,7 +6,39 @@ def test_output_verification_csv(star, tmp_path):
     rows = sinks.output_verification(star.tables(), str(tmp_path / "csv"), "csv").collect()
     assert [r.table_name for r in rows] == sinks.LOAD_ORDER
     for r in rows:
-        assert r.written and r.schema_equal and r.rows_expected == r.rows_read > 0
+        assert r.written and r.has_bytes and r.schema_equal and r.content_equal and r.rows_expected == r.rows_read > 0
+
+
+def test_verification_sees_damage(spark, tmp_path):
+    from datetime import date
+
+    schema = "id bigint, name string, day date"
+    df = spark.createDataFrame([(1, "a", date(2024, 1, 1)), (2, None, None)], schema)
+
+    def check(path, fmt):
+        r = sinks.verify_written(df, str(tmp_path / path), fmt, "t").first()
+        return r.written, r.has_bytes, r.schema_equal, r.content_equal
+
+    for fmt, write in (("csv", sinks.write_csv), ("parquet", sinks.write_parquet)):
+        write(df, str(tmp_path / f"good_{fmt}"))
+        assert check(f"good_{fmt}", fmt) == (True, True, True, True)
+        write(df.replace("a", "b"), str(tmp_path / f"text_{fmt}"))
+        assert check(f"text_{fmt}", fmt) == (True, True, True, False)
+        write(df.limit(1), str(tmp_path / f"short_{fmt}"))
+        assert check(f"short_{fmt}", fmt) == (True, True, True, False)
+        write(df.withColumnRenamed("name", "other"), str(tmp_path / f"named_{fmt}"))
+        assert check(f"named_{fmt}", fmt) == (True, True, False, False)
+        write(df.selectExpr("'x' AS id", "name", "day"), str(tmp_path / f"typed_{fmt}"))
+        assert check(f"typed_{fmt}", fmt)[2:] == (False, False)
+        assert check(f"none_{fmt}", fmt) == (False, False, False, False)
+
+
+def test_database_load_runs_parents_first(star):
+    """No database may be started here: the writer is recorded instead."""
+    calls = []
+    sinks.load_star_jdbc(star.tables(), "jdbc:x:y", write=lambda df, url, table, **o: calls.append((table, df.columns, o)), batchsize=500)
+    assert [c[0] for c in calls] == sinks.LOAD_ORDER and calls[0][2] == {"batchsize": 500}
+    assert calls[3][1][0] == "sale_id"
 
 
 def test_ddl_catalog_and_load(spark, star, tmp_path):
