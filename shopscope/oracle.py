@@ -1,17 +1,57 @@
 """Independent SQL definitions (DuckDB dialect) of every registered query.
 
-They restate the workflow in plain SQL over the driver's tables, with the
-same total orders and exact-decimal rounding rules as the Spark code, and
-are the correctness oracle. ``BASE`` holds the shared CTEs: the raw view,
+They restate the workflow in plain SQL over the driver's tables - rounding,
+segment rules, test statistics and p-values too - and are the correctness
+oracle. Nothing here comes from the operators or functions they check; only
+the raw view's SQL text is the one that ``sources.raw_view`` publishes. ``BASE`` holds the shared CTEs: the raw view,
 the cleaning rules, the star schema and the segment table.
 """
 
 from __future__ import annotations
 
-from shopscope.functions.exact import sql_ratio as R
-from shopscope.operators.rfm import sql_segment_expr
 from shopscope.sources.raw_view import RAW_SALES_SQL
 
+
+def R(num: str, den: str, places: int, *, num_scale: int = 0, den_scale: int = 0, mult: int = 1, half_even: bool = False) -> str:
+    """num * mult / den to ``places`` places by whole division and remainder; NULL over 0. Halves go
+    away from zero, or to the even neighbour."""
+    n = f"(CAST(({num}) * {10 ** num_scale} AS HUGEINT) * {mult} * {10 ** places} * {10 ** den_scale})"
+    d = f"(CAST(({den}) * {10 ** den_scale} AS HUGEINT) * {10 ** num_scale})"
+    whole, twice = f"(abs({n}) // abs({d}))", f"(2 * (abs({n}) % abs({d})))"
+    tie = f"{whole} % 2 = 1" if half_even else "true"
+    up = f"CASE WHEN {twice} > abs({d}) OR ({twice} = abs({d}) AND {tie}) THEN 1 ELSE 0 END"
+    value = f"CAST(sign({n}) * sign({d}) * ({whole} + {up}) AS DECIMAL({37 - places},0))"
+    unit = f" * CAST('{10 ** -places:.{places}f}' AS DECIMAL({places + 1},{places}))" if places else ""
+    return f"CAST(CASE WHEN {d} <> 0 THEN {value}{unit} END AS DECIMAL(38,{places}))"
+
+
+def SD(n: str, s: str, q: str) -> str:
+    """Sample standard deviation from count, sum and sum of squares, 6 places."""
+    n, s, q = (f"CAST({x} AS DOUBLE)" for x in (n, s, q))
+    return f"CAST(CASE WHEN {n} > 1 THEN sqrt(greatest(({q} - {s} * {s} / {n}) / ({n} - 1.0::DOUBLE), 0)) END AS DECIMAL(38,6))"
+
+
+def T(n1: str, s1: str, q1: str, n2: str, s2: str, q2: str) -> str:
+    """Student's t from both groups' counts, sums and sums of squares: the difference of the means
+    over the pooled standard error, 6 places."""
+    n1, s1, q1, n2, s2, q2 = (f"CAST({x} AS DOUBLE)" for x in (n1, s1, q1, n2, s2, q2))
+    within = f"(({q1} - {s1} * {s1} / {n1}) + ({q2} - {s2} * {s2} / {n2}))"
+    error = f"sqrt({within} / ({n1} + {n2} - 2) * ({n1} + {n2}) / ({n1} * {n2}))"
+    return f"CAST(({s1} / {n1} - {s2} / {n2}) / {error} AS DECIMAL(38,6))"
+
+
+SEGMENT_SQL = """CASE
+    WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champion'
+    WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 4 THEN 'Loyal Customer'
+    WHEN r_score >= 4 AND f_score <= 2 THEN 'New Customer'
+    WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 3 THEN 'Potential Loyalist'
+    WHEN r_score <= 2 AND f_score >= 4 AND m_score >= 4 THEN 'At Risk'
+    WHEN r_score <= 2 AND f_score >= 3 AND m_score >= 3 THEN 'Needs Attention'
+    WHEN r_score = 1 AND f_score <= 2 AND m_score <= 2 THEN 'Lost'
+    WHEN r_score + f_score + m_score >= 9 THEN 'Promising'
+    WHEN r_score + f_score + m_score >= 6 THEN 'About to Sleep'
+    ELSE 'Hibernating' END"""
+
 FIRST_ORDER_SQL = ("invoice_ts, invoice, stock_code, quantity, price, "
                    "country NULLS FIRST, description NULLS FIRST")
 SALE_ORDER_SQL = ("invoice_ts, invoice, stock_code, quantity, price, customer_id, "
@@ -90,7 +130,7 @@ rfm_segments AS (
   SELECT customer_id, recency, frequency, monetary, r_score, f_score, m_score,
          CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) || CAST(m_score AS VARCHAR) AS rfm_score,
          CAST(r_score + f_score + m_score AS INTEGER) AS rfm_total,
-         {sql_segment_expr('r_score', 'f_score', 'm_score', '(r_score + f_score + m_score)')} AS segment
+         {SEGMENT_SQL} AS segment
   FROM rfm_scored
 ),
 monthly AS (
@@ -546,7 +586,7 @@ ORACLE["clv_by_segment"] = qv(f"""SELECT g.segment, customer_count,
   {RE('days', 'customer_count', 2)} AS avg_lifespan_days, {RE('ord', 'customer_count', 2)} AS avg_orders
 FROM (SELECT segment, count(*) AS customer_count, sum(clv) AS total_clv, sum(lifespan_days) AS days,
              sum(total_orders) AS ord FROM clv_seg WHERE segment IS NOT NULL GROUP BY segment) g
-LEFT JOIN (SELECT segment, {MEDIAN} AS median_clv FROM (
+LEFT JOIN (SELECT segment, {RE('sum(clv)', 'count(*)', 2, num_scale=2)} AS median_clv FROM (
     SELECT segment, clv, row_number() OVER (PARTITION BY segment ORDER BY clv, customer_id) AS rn,
            count(*) OVER (PARTITION BY segment) AS n FROM clv_seg WHERE segment IS NOT NULL)
   WHERE rn IN ((n + 1) // 2, n // 2 + 1) GROUP BY segment) m ON g.segment = m.segment""")
@@ -603,14 +643,11 @@ def _integrity() -> None:
 _integrity()
 
 # ---- significance tests
-from shopscope.operators.stats import t_stat_sql  # noqa: E402
-
-
 def _two_sample(src: str, flag: str, v: str, scale: int, test: str, g1: str, g2: str) -> str:
     return f"""SELECT '{test}' AS test, '{g1}' AS group1, '{g2}' AS group2, n1, n2,
   {RE('s1', 'n1', 2, num_scale=scale)} AS mean1, {RE('s2', 'n2', 2, num_scale=scale)} AS mean2,
   {RE('s1 * n2 - s2 * n1', 'n1 * n2', 2, num_scale=scale)} AS mean_difference,
-  {t_stat_sql('n1', 's1', 'q1', 'n2', 's2', 'q2')} AS t_stat, CAST(n1 + n2 - 2 AS BIGINT) AS df
+  {T('n1', 's1', 'q1', 'n2', 's2', 'q2')} AS t_stat, CAST(n1 + n2 - 2 AS BIGINT) AS df
 FROM (SELECT count(*) FILTER (WHERE {flag}) AS n1, sum({v}) FILTER (WHERE {flag}) AS s1,
              sum({v} * {v}) FILTER (WHERE {flag}) AS q1,
              count(*) FILTER (WHERE NOT ({flag})) AS n2, sum({v}) FILTER (WHERE NOT ({flag})) AS s2,
@@ -644,9 +681,8 @@ ORACLE["chi2_segments"] = q(f"""SELECT 'segment_uniformity' AS test, CAST(n AS B
 
 
 def _describe() -> None:
-    from shopscope.operators.rfm import DESCRIBE_MEASURES, std_sql
     parts = []
-    for m in DESCRIBE_MEASURES:
+    for m in ("recency", "frequency", "monetary", "r_score", "f_score", "m_score"):
         v = f"CAST({m} AS DECIMAL(38,4))"
         qs = []
         for k in (1, 2, 3):
@@ -657,7 +693,7 @@ def _describe() -> None:
             afrac = f"((max(n) - 1) * {k} % 4)"
             qs.append(f"CAST({vlo} + ({vhi} - {vlo}) * {afrac} * CAST(0.25 AS DECIMAL(3,2)) AS DECIMAL(38,4)) AS p{25 * k}")
         parts.append(f"""SELECT '{m}' AS measure, count(v) AS count,
-  {RE('sum(v)', 'count(v)', 6, num_scale=4)} AS mean, {std_sql('count(v)', 'sum(v)', 'sum(v * v)')} AS std,
+  {RE('sum(v)', 'count(v)', 6, num_scale=4)} AS mean, {SD('count(v)', 'sum(v)', 'sum(v * v)')} AS std,
   min(v) AS min, {', '.join(qs)}, max(v) AS max
 FROM (SELECT {v} AS v, row_number() OVER (ORDER BY {v}, customer_id) AS rn, count(*) OVER () AS n FROM rfm_segments)""")
     ORACLE["rfm_describe"] = q("\nUNION ALL\n".join(parts))
@@ -666,27 +702,46 @@ FROM (SELECT {v} AS v, row_number() OVER (ORDER BY {v}, customer_id) AS rn, coun
 _describe()
 
 ORACLE["output_verification"] = q("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, true AS written, count(*) AS rows_expected, count(*) AS rows_read, "
-    f"true AS schema_equal FROM {t}"
+    f"SELECT '{t}' AS table_name, true AS written, true AS has_bytes, count(*) AS rows_expected, count(*) AS rows_read, "
+    f"true AS schema_equal, true AS content_equal FROM {t}"
     for t in ["dim_customer", "dim_product", "dim_date", "fact_sales", "rfm_segments"]))
 
-# the pivot's columns depend on the data, so the rate is presented (as in
-# shopscope/present.py) before pivoting rather than by the DESCRIBE wrapper
-ORACLE["cohort_retention_wide"] = qc("""SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index,
-    CASE WHEN abs(retention_rate) < 1000000000000000 THEN CAST(CAST(retention_rate AS DECIMAL(18,3)) AS DOUBLE)
-         ELSE CAST(retention_rate AS DOUBLE) END AS retention_rate
-  FROM coh_matrix) ON cohort_index USING first(retention_rate) GROUP BY cohort_month)""")
+ORACLE["cohort_retention_wide"] = qc("SELECT cohort_month, " + ", ".join(
+    f'max(retention_rate) FILTER (WHERE cohort_index = {i}) AS "{i}"' for i in range(80)) + " FROM coh_matrix GROUP BY cohort_month")
+
+# p-values: Simpson's rule over the density between 0 and the statistic
+_SIMPSON = "CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+_TESTS = "\nUNION ALL\n".join(
+    [f"SELECT test, 't' AS kind, t_stat AS statistic, df FROM ({ORACLE[k]})"
+     for k in ("ttest_champion", "ttest_country", "ttest_q4_order_value", "ttest_q4_monthly")]
+    + [f"SELECT test, 'chi2', CAST(chi2_stat AS DECIMAL(38,6)), df FROM ({ORACLE['chi2_segments']})"])
+ORACLE["tests_summary"] = f"""WITH tests AS ({_TESTS}),
+points AS (
+  SELECT test, i, abs(CAST(statistic AS DOUBLE)) / 20000 AS h, CAST(df AS DOUBLE) AS k,
+         abs(CAST(statistic AS DOUBLE)) * i / 20000 AS x, kind
+  FROM tests, (SELECT unnest(range(0, 20001)) AS i)
+), areas AS (
+  SELECT test, sum({_SIMPSON} * CASE WHEN kind = 't'
+      THEN exp(lgamma((k + 1) / 2) - lgamma(k / 2) - ln(k * pi()) / 2 - (k + 1) / 2 * ln(1 + x * x / k))
+      WHEN x > 0 THEN exp((k / 2 - 1) * ln(x) - x / 2 - k / 2 * ln(2) - lgamma(k / 2)) ELSE 0 END) * any_value(h) / 3 AS area
+  FROM points GROUP BY test
+), p AS (
+  SELECT t.test, t.kind, t.statistic, t.df,
+         greatest(round(CASE WHEN t.kind = 't' THEN 1 - 2 * a.area ELSE 1 - a.area END, 6), 0) AS p_value
+  FROM tests t JOIN areas a ON a.test = t.test
+)
+SELECT test, kind, statistic, df, p_value, p_value < 0.05 AS significant FROM p"""
 
 
 def _profile() -> None:
     from shopscope import schemas
-    from shopscope.operators.quality import SAMPLE_ORDER
     rows = "\nUNION ALL\n".join(
         f"SELECT {i} AS position, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
         f"(SELECT count(*) FROM raw_sales) AS total_rows, {len(schemas.RAW_SALES.fields)} AS total_columns"
         for i, f in enumerate(schemas.RAW_SALES.fields))
     ORACLE["dq_profile"] = q(rows)
-    order = ", ".join(f"{c} NULLS FIRST" for c in SAMPLE_ORDER)
+    order = ", ".join(f"{c} NULLS FIRST" for c in ("invoice", "invoice_ts", "stock_code", "quantity", "price", "customer_id",
+                                                    "country", "description"))
     ORACLE["dq_sample_rows"] = q(f"SELECT * FROM raw_sales ORDER BY {order} LIMIT 3")
     cols = ", ".join(RAW_COLS)
     ORACLE["dq_duplicate_sample"] = q(f"""SELECT {cols} FROM (

@@ -27,6 +27,7 @@ def _s(spark: SparkSession, sf_dir: str):
 # Fixed parameters for the fixture data (the analysis layer takes them as arguments).
 HOME_COUNTRY = "NATION_2"
 AUDIT_YEAR = 1998
+LAST_COHORT_INDEX = 79  # 80 calendar months
 
 
 def _raw(spark: SparkSession, sf_dir: str):
@@ -122,7 +123,8 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
     "cohort_assign": lambda s, d: cohorts.cohort_assign(_clean(s, d)),
     "cohort_counts": lambda s, d: cohorts.cohort_counts(_clean(s, d)),
     "cohort_retention_matrix": lambda s, d: _cohort_matrix(s, d),
-    "cohort_retention_wide": lambda s, d: cohorts.cohort_retention_wide(None, matrix=_cohort_matrix(s, d)),
+    "cohort_retention_wide": lambda s, d: cohorts.cohort_retention_wide(
+        None, LAST_COHORT_INDEX, matrix=_cohort_matrix(s, d)),
     "cohort_milestones": lambda s, d: cohorts.cohort_milestones(None, matrix=_cohort_matrix(s, d)),
     "cohort_curve": lambda s, d: cohorts.cohort_curve(None, matrix=_cohort_matrix(s, d)),
     "avg_retention_curve": lambda s, d: cohorts.avg_retention_curve(None, matrix=_cohort_matrix(s, d)),
