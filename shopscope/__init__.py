@@ -5,7 +5,6 @@ Layout:
   functions/  Column helpers (exact decimal ratios, calendar math, p-values)
   plans/      multi-stage plans: skew-safe global ordering, star-schema build
   operators/  the analytical operators (audit, cleaning, RFM, cohorts, ...)
-  streaming/  intentionally empty: the workload has no streaming operators
 
 Every operator is a plain ``DataFrame -> DataFrame`` function.
 """

@@ -8,9 +8,9 @@ semantics make a re-run idempotent.
 
 "First" (dimension attributes) is defined by a total order, not by file
 order: (invoice_ts, invoice, stock_code, quantity, price, country,
-description), nulls first. It is computed with ``min_by`` - a hash
-aggregate with map-side combine - so a customer or product holding a third
-of all lines does not land in one task the way a keyed window would.
+description), nulls first. It is computed with ``min_by``, an aggregate with
+map-side combine, so a customer or product holding a third of all lines does
+not land in one task the way a keyed window would.
 """
 
 from __future__ import annotations
@@ -65,14 +65,12 @@ def dim_date(clean: DataFrame) -> DataFrame:
     return days.select(*date_attributes())
 
 
-def fact_sales(clean: DataFrame, *, mode: str = "auto") -> DataFrame:
+def fact_sales(clean: DataFrame) -> DataFrame:
     """Fact lines with a dense ``sale_id`` over the total line order.
 
-    The bucketed plan leaves the fact range-partitioned by sale_id (hence by
-    time) in B files; the small-data plain window is spread back over the
-    cores so later scans are not single-task."""
-    ordered = global_order(clean.select(*SALE_ORDER, "revenue"),
-                           [(c, True) for c in SALE_ORDER], mode=mode, spread=True)
+    The global order leaves the fact range-partitioned by sale_id (hence by
+    time) in B files."""
+    ordered = global_order(clean.select(*SALE_ORDER, "revenue"), [(c, True) for c in SALE_ORDER])
     return ordered.select(
         F.col("_rn").alias("sale_id"), "invoice", "customer_id", "stock_code",
         F.to_date("invoice_ts").alias("date_id"), "quantity",
@@ -120,20 +118,20 @@ class Star:
             df.createOrReplaceTempView(prefix + name)
 
 
-def build_star(raw: DataFrame, *, mode: str = "auto") -> Star:
+def build_star(raw: DataFrame) -> Star:
     """Lazy star schema over ``raw`` (nothing is written)."""
     classified = cleaning.classify(raw)
     clean = cleaning.clean_from_classified(classified)
     return Star(raw=raw, clean=clean, classified=classified, dim_customer=dim_customer(clean),
                 dim_product=dim_product(clean), dim_date=dim_date(clean),
-                fact_sales=fact_sales(clean, mode=mode),
-                rfm_segments=rfm.rfm_segments(clean, mode=mode))
+                fact_sales=fact_sales(clean),
+                rfm_segments=rfm.rfm_segments(clean))
 
 
-def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "auto",
+def materialize_star(raw: DataFrame, path: str | None = None, *,
                      fmt: str = "parquet") -> Star:
-    """Write clean sales, then the star tables derived from the written
-    clean table, and return a Star that reads the written files."""
+    """Write the classified lines, then the star tables derived from them,
+    and return a Star that reads the written files."""
     spark = raw.sparkSession
     if path is None:
         path = os.path.join(checkpoint_dir(spark), "shopscope-star", uuid.uuid4().hex)
@@ -142,16 +140,15 @@ def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "au
     raw.write.mode("overwrite").format(fmt).save(f"{path}/raw_sales")
     raw = spark.read.format(fmt).load(f"{path}/raw_sales")
     # one de-duplication: distinct rows with copies and first failing step
-    cleaning.classify(raw).write.mode("overwrite").format(fmt).save(f"{path}/classified_sales")
+    # in a folder per step: the clean table is the folder of the last one, not another copy
+    cleaning.classify(raw).write.mode("overwrite").partitionBy("step_no").format(fmt).save(f"{path}/classified_sales")
     classified = spark.read.format(fmt).load(f"{path}/classified_sales")
-    clean_path = f"{path}/clean_sales"
-    cleaning.clean_from_classified(classified).write.mode("overwrite").format(fmt).save(clean_path)
-    clean = spark.read.format(fmt).load(clean_path)
+    clean = cleaning.clean_from_classified(classified)
     lazy = Star(raw=raw, clean=clean, classified=classified, dim_customer=dim_customer(clean),
                 dim_product=dim_product(clean), dim_date=dim_date(clean),
-                fact_sales=fact_sales(clean, mode=mode),
-                rfm_segments=rfm.rfm_segments(clean, mode=mode))
-    # the five tables depend only on the written clean table: submit their
+                fact_sales=fact_sales(clean),
+                rfm_segments=rfm.rfm_segments(clean))
+    # the five tables depend only on the written lines: submit their
     # writes as concurrent jobs so small stages of one overlap the others
     todo = {n: df for n, df in lazy.tables().items() if n != "clean_sales"}
 
@@ -168,16 +165,36 @@ def materialize_star(raw: DataFrame, path: str | None = None, *, mode: str = "au
                 fact_sales=out["fact_sales"], rfm_segments=out["rfm_segments"], location=path)
 
 
-_CACHE: dict[tuple[str, str], Star] = {}
+_CACHE: dict[tuple, Star] = {}
 _LOCK = threading.Lock()
 
 
+INPUTS = ("lineitem", "orders", "customer", "nation", "part")
+
+
+@dataclass(frozen=True)
+class _File:
+    path: str
+    length: int
+    modificationTime: int  # noqa: N815 - as the file system names it
+
+
+def _files(spark: SparkSession, path: str) -> list[_File]:
+    """The files of a table, through the file system that holds it."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FileSystem through the public gateway
+    found = p.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(p)  # noqa: SLF001
+    return [_File(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found]
+
+
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
     """The materialised star for ``sf_dir`` in this application (built once,
     also when several threads ask at the same time)."""
     from shopscope.sources.raw_view import raw_sales_from_tpch
 
-    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir))
+    # another listing of the input files is another star
+    inputs = tuple(sorted(f"{f.path}:{f.length}:{f.modificationTime}" for t in INPUTS for f in _files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), inputs)
     with _LOCK:
         if key not in _CACHE:
             _CACHE[key] = materialize_star(raw_sales_from_tpch(spark, sf_dir))

@@ -20,6 +20,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Says that a file: checkpoint folder is a mount that all machines of the cluster share.
+SHARED_FILE_CONF = "shopscope.checkpoint.sharedMount"
+
+
 def _local_driver_memory() -> str:
     """60 % of physical memory (capped at 16 GB) for the single local JVM."""
     env = os.environ.get("SHOPSCOPE_DRIVER_MEM")
@@ -60,11 +64,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    one_machine = master == "local" or master.startswith("local[") or master.startswith("local-cluster[")
     if conf_dir:
+        if conf_dir.startswith("file:") and not one_machine and spark.conf.get(SHARED_FILE_CONF, "false") != "true":
+            raise RuntimeError(f"spark.checkpoint.dir is a file: path; set {SHARED_FILE_CONF} only if all machines share it")
         spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="shopscope-ckpt-")
     spark.sparkContext.setCheckpointDir(path)

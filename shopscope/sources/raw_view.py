@@ -5,8 +5,8 @@ country = the customer's nation). On top of that mapping the view injects
 every data-quality issue the cleaning funnel handles: cancelled invoices
 ('C' prefix, negative quantity), stock adjustments (negative quantity without
 'C'), zero and near-zero prices, guest lines (no customer), missing
-descriptions, repeated rows, times of day and customers seen under two
-countries. The same definition exists as SQL text for the DuckDB oracle, so
+descriptions, non-product codes, repeated rows, times of day and customers
+seen under two countries. The same definition exists as SQL text for the DuckDB oracle, so
 both engines see identical rows.
 """
 
@@ -24,6 +24,8 @@ ADJUST_EVERY = 97        # (ok + ln) % 97 = 0 -> negated quantity
 NULL_DESC_EVERY = 83     # pk % 83 = 0 -> null description
 ZERO_PRICE_EVERY = 43    # (ok + ln) % 43 = 0 -> price 0
 TINY_PRICE_EVERY = 211   # (ok + ln) % 211 = 0 -> price 0.0001
+MANUAL_EVERY = 101       # pk % 101 = 0 -> stock code 'M'
+POSTAGE_EVERY = 103      # pk % 103 = 0 -> stock code 'POST'
 GUEST_EVERY = 5          # ck % 5 = 0 -> null customer
 OTHER_COUNTRY_EVERY = 20  # ok % 20 = 0 -> country 'NATION_0'
 REPEAT_EVERY = 31        # ok % 31 = 0 -> line appears twice
@@ -34,15 +36,6 @@ def _every(c: Column, n: int) -> Column:
     return (c % F.lit(n)) == 0
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Scan-parallelism guard: an input that arrives as fewer splits than
-    the cluster has cores (e.g. one unsplittable file) is hash-partitioned on
-    its join key - the same exchange a sort-merge join on that key inserts.
-    A large input already has enough splits and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_sales_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
@@ -60,8 +53,6 @@ def raw_sales_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_attrs = (od.join(cu, od.o_custkey == cu.c_custkey)
                      .join(na, cu.c_nationkey == na.n_nationkey)
                      .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
-    if li.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        li, order_attrs = _spread(li, "l_orderkey"), _spread(order_attrs, "o_orderkey")
     base = (li.join(order_attrs, li.l_orderkey == order_attrs.o_orderkey)
               .join(pa, li.l_partkey == pa.p_partkey))
     ok, ln, pk, ck = (F.col("l_orderkey"), F.col("l_linenumber"),
@@ -74,7 +65,8 @@ def raw_sales_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         ok.alias("_ok"),
         F.when(cancelled, F.concat(F.lit("C"), ok.cast("string")))
          .otherwise(ok.cast("string")).alias("invoice"),
-        pk.cast("string").alias("stock_code"),
+        F.when(_every(pk, MANUAL_EVERY), F.lit("M")).when(_every(pk, POSTAGE_EVERY), F.lit("POST"))
+         .otherwise(pk.cast("string")).alias("stock_code"),
         F.when(_every(pk, NULL_DESC_EVERY), F.lit(None).cast("string"))
          .otherwise(F.col("p_name")).alias("description"),
         F.when(cancelled | _every(okln, ADJUST_EVERY), -q).otherwise(q).alias("quantity"),
@@ -107,7 +99,7 @@ rs_base AS (
   JOIN part p ON l.l_partkey = p.p_partkey
 ), rs_issues AS (
   SELECT ok, CASE WHEN ok % 50 = 0 THEN concat('C', CAST(ok AS STRING)) ELSE CAST(ok AS STRING) END AS invoice,
-         CAST(pk AS STRING) AS stock_code,
+         CASE WHEN pk % 101 = 0 THEN 'M' WHEN pk % 103 = 0 THEN 'POST' ELSE CAST(pk AS STRING) END AS stock_code,
          CASE WHEN pk % 83 = 0 THEN NULL ELSE p_name END AS description,
          CASE WHEN ok % 50 = 0 OR (ok + ln) % 97 = 0 THEN -q ELSE q END AS quantity,
          ts AS invoice_ts,
