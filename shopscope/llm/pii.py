@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import written
+from shopscope.llm.shared import stable, written
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.95
@@ -221,7 +221,8 @@ def pii_digest(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with each found span replaced by its kind in angle brackets.
-    Overlapping spans are replaced together, named by the first. ``docs``: a table read from files."""
+    Overlapping spans are replaced together, named by the first. Null texts stay null."""
+    docs = stable(docs)
     _, spans = personal_data(docs)
     by = Window.partitionBy("row").orderBy("start", "kind_no")
     until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))

@@ -40,10 +40,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def stable(docs: DataFrame) -> DataFrame:
+    """Rows that monotonically_increasing_id() numbers alike in every query: a plain file scan as it
+    is, anything else written first."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "SubqueryAlias") and node.children().size() == 1:
+        node = node.children().head()
+    return docs if node.nodeName().startswith("LogicalRelation") else written(docs, "rows")
+
+
 def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
     """Which of ``bits`` (a power of two) places the names fall on, as words of 64 bits. A filter of
     fixed size: it passes every name it was made of and, the fuller it is, others."""
-    place = f"({column} & {bits - 1}L)"
+    place = f"(({column} ^ shiftrightunsigned({column}, 20) ^ shiftrightunsigned({column}, 43)) & {bits - 1}L)"
     words = names.select(F.expr(f"shiftright({place}, 6)").alias("word"), F.expr(f"shiftleft(1L, cast({place} & 63 as int))").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # bits / 64 rows at most
     out = np.zeros(bits // 64, dtype=np.int64)
@@ -53,10 +62,24 @@ def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
 
 def passes(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
     """Which names may be in the bitmap."""
-    place = names.astype(np.int64, copy=False) & (len(bits) * 64 - 1)
+    n = names.astype(np.int64, copy=False).view(np.uint64)
+    # row numbers differ in high bits (the task) and in low ones
+    place = ((n ^ (n >> np.uint64(20)) ^ (n >> np.uint64(43))) & np.uint64(len(bits) * 64 - 1)).astype(np.int64)
     return (bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
+def filtered(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """Rows whose (not null) name may be in the bitmap."""
+
+    def keep(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield b.filter(pa.array(passes(bits, b.column(column).to_numpy())))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers of this machine import the package from where the driver did.
     (A cluster gets it installed or with --py-files.)"""
