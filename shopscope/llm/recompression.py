@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import bitmap, passes, written
+from shopscope.llm.shared import bitmap, filtered, stable, written
 from shopscope.llm.words import U, mix, text_batches, words_of
 
 WINDOW = 35
@@ -191,16 +191,6 @@ def first_pass(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     return docs.mapInArrow(scan, FIRST_PASS)
 
 
-def _filtered(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows whose column passes the bitmap."""
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(passes(bits, b.column(column).to_numpy())))
-
-    return rows.mapInArrow(keep, rows.schema)
-
-
 def _repeated(rows: DataFrame, *name: str) -> DataFrame:
     """Names that occur more than once."""
     return rows.groupBy(*name).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
@@ -249,14 +239,13 @@ def kept_words(texts: DataFrame, k: int = WINDOW) -> DataFrame:
 def without_repeats(docs: DataFrame, k: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(all texts: row, doc_id, n_words, sha256 of their words; changed ones: row, n_removed, kept).
 
-    ``docs`` must be a table read from files: rows are told apart by their place in it. Null texts
-    have no words; texts shorter than the window lose none; repeated rows are repeats of each
+    Rows are told apart by their place in ``stable(docs)``. Null texts have no words; texts shorter than the window lose none; repeated rows are repeats of each
     other. An empty table gives empty results. Other columns are ignored.
     """
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = stable(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = written(first_pass(docs, k), "first-pass")
     parts = seen.filter("key is not null").select("row", "first", "windows", "key", "name")
-    shared = _filtered(parts, "key", bitmap(_repeated(parts, "key"), "key", KEY_BITS))
+    shared = filtered(parts, "key", bitmap(_repeated(parts, "key"), "key", KEY_BITS))
     shared = written(shared, "shared-stretches")
     names = written(shared.groupBy("key", "name").agg(F.count(F.lit(1)).alias("times"), F.min("row").alias("one")), "stretch-names")
     # keys that occur again with other words around them
@@ -267,12 +256,12 @@ def without_repeats(docs: DataFrame, k: int = WINDOW) -> tuple[DataFrame, DataFr
     asked = written(asked.groupBy("row").agg(F.collect_list(F.struct("first", "windows", "key", "open")).alias("asked")), "asked")
 
     text = docs.select("row", "text")
-    windows = written(window_names(_filtered(text, "row", bitmap(asked, "row", ROW_BITS)).join(asked, "row"), k), "window-names")
+    windows = written(window_names(filtered(text, "row", bitmap(asked, "row", ROW_BITS)).join(asked, "row"), k), "window-names")
     again = _repeated(windows, "key", "name").select("key", "name")
-    found = _filtered(windows.filter("open"), "name", bitmap(again, "name", KEY_BITS)).join(again, ["key", "name"])
+    found = filtered(windows.filter("open"), "name", bitmap(again, "name", KEY_BITS)).join(again, ["key", "name"])
     gone = settled.union(found.select("row", "first", F.lit(1).alias("windows")))
     gone = written(gone.groupBy("row").agg(F.collect_list(F.struct("first", "windows")).alias("gone")), "windows-to-remove")
-    changed = kept_words(_filtered(text, "row", bitmap(gone, "row", ROW_BITS)).join(gone, "row"), k)
+    changed = kept_words(filtered(text, "row", bitmap(gone, "row", ROW_BITS)).join(gone, "row"), k)
     return seen.filter("key is null").select("row", "doc_id", "n_words", "sha256"), changed
 
 

@@ -60,10 +60,15 @@ def window_names(names: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
+#: Text bytes of a batch: a word takes some hundred bytes in the steps that work on words.
+WORD_BATCH_BYTES = 4_000_000
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Record batches cut into runs of bounded text bytes."""
     for b in batches:
         done = 0
-        for texts in batches_by_bytes(b.column(column)):
+        for texts in batches_by_bytes(b.column(column), WORD_BATCH_BYTES):
             yield b.slice(done, len(texts))
             done += len(texts)
+            pa.default_memory_pool().release_unused()
