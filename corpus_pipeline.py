@@ -7,6 +7,7 @@ reread as the next stage's docs. All but the last return the columns of document
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopscope.llm.mixing import mixed
 from shopscope.llm.ngram_join import one_of_each
@@ -20,7 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores at least at its threshold."""
     importable(spark)
     model = trained(docs, labelled(table(spark, sf_dir, "labels")))
-    return scores(docs, model, *docs.columns).filter(f"quality_score >= {THRESHOLD}").select(*docs.columns)
+    scored = scores(docs, model, *docs.columns)
+    return scored.filter(F.col(scored.columns[-1]) >= THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +32,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by its kind."""
-    return redacted(docs)
+    """Texts with personal data replaced by its kind; n_chars follows the text."""
+    clean = redacted(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import stable, written
+from shopscope.llm.shared import stable, unused, written
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.95
@@ -230,8 +230,10 @@ def redacted(docs: DataFrame) -> DataFrame:
     joint = joint.withColumn("no", F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     joint = joint.groupBy("row", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min(F.when(F.col("fresh") == 1, F.col("kind"))).alias("kind"))
     cuts = joint.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("pii_cuts"))
-    rows = docs.withColumn("pii_row", F.monotonically_increasing_id()).join(cuts.withColumnRenamed("row", "pii_row"), "pii_row", "left")
-    at = F.col("pii_cuts")
+    own, held = unused(docs, "pii_row"), unused(docs, "pii_cuts")
+    cuts = cuts.select(F.col("row").alias(own), F.col("pii_cuts").alias(held))
+    rows = docs.withColumn(own, F.monotonically_increasing_id()).join(cuts, own, "left")
+    at = F.col(held)
 
     def piece(x: Column, i: Column) -> Column:
         start = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(at, i - 1)["end"])

@@ -40,6 +40,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stable(docs: DataFrame) -> DataFrame:
     """Rows that monotonically_increasing_id() numbers alike in every query: a plain file scan as it
     is, anything else written first."""

@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopscope.llm.shared import unused
 from shopscope.llm.words import U, mix, text_batches, words_of
 
 BUCKETS = 1 << 16
@@ -121,6 +122,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     key = F.xxhash64("doc_id", F.lit(SEED))
     sample = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
     sample = sample.withColumn("key", key).orderBy("key", "doc_id").limit(TRAIN_DOCS)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = training_rows(docs.join(sample, "doc_id").select("label", "key", "text"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +139,9 @@ def trained(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
 
 def scores(docs: DataFrame, model: np.ndarray, *keep: str) -> DataFrame:
-    """The columns ``keep`` and ``quality_score``, the probability of label 1, for every whole text."""
+    """The columns ``keep`` and, as the last one (``quality_score`` unless kept columns have that
+    name), the probability of label 1 for every whole text."""
+    column = unused(docs, "quality_score")
     odds, empty = model[:-1], float(model[-1])
     kinds = dict(docs.dtypes)
 
@@ -152,10 +156,10 @@ def scores(docs: DataFrame, model: np.ndarray, *keep: str) -> DataFrame:
             sums = np.bincount(doc, weights=at, minlength=len(b))
             counts = np.bincount(doc, weights=n, minlength=len(b))
             p = 1 / (1 + np.exp(-np.clip(sums / np.maximum(counts, 1) + empty, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p)], [*keep, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(p)], [*keep, column])
 
     columns = list(dict.fromkeys([*keep, "text"]))
-    return docs.select(*columns).mapInArrow(score, "".join(f"`{k}` {kinds[k]}, " for k in keep) + "quality_score double")
+    return docs.select(*columns).mapInArrow(score, "".join(f"`{k}` {kinds[k]}, " for k in keep) + f"{column} double")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shopscope.llm import subword_classifier as sc
@@ -93,6 +94,26 @@ def test_stage_decisions(spark, stages):
     assert set(ids(packed)) == set(ids(mix))
 
 
+def test_stages_keep_columns_with_clashing_names(spark, tmp_path):
+    names = ["quality_score", "label", "key", "row", "group_row", "pii_row", "pii_cuts", "mix_row", "size", "name", "Copy"]
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    now = docs.select("*", *(F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names))
+    want = now.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, now, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/{i}")
+        now = spark.read.parquet(f"{tmp_path}/{i}")
+        assert now.columns == want
+        assert now.count() > 0 and all(r[n] == f"{n} {r.doc_id}" for r in now.collect() for n in names)
+
+
+def test_stages_on_an_empty_table(spark, tmp_path):
+    now = table(spark, "/root/testdata/sf0.001", "documents").filter("false")
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, now, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/{i}")
+        now = spark.read.parquet(f"{tmp_path}/{i}")
+        assert now.count() == 0
+
+
 def test_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.01")
     key = lambda df: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in df.collect())
