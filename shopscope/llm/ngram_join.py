@@ -10,16 +10,20 @@ give. The steps:
    at least c of those lists (``COMMON``); the remaining, longer lists are
    never built over the corpus. Lists of one set go at once: a bitmap of fixed
    size keeps most of their rows from being shuffled again.
-3. One list can hold a large group. Each list sends its members to one of
-   them, its leader. Verified links already join most groups; only members of
-   a list that are still in different components then meet in further rounds,
-   each with another leader, until every pair of a list has been compared or is
-   connected. So a group of m near copies costs about m comparisons, not m².
-4. Leaders are dealt over tasks as small inverted indexes, those with many
-   members several times. Each task answers its queries by DivideSkip: the
-   longest lists are set aside, the short ones merged in order and counted,
-   and candidates that can still reach T are looked up in the long lists by
-   binary search.
+3. A set that shares fewer than c lists with others cannot link and goes; then
+   lists of one set go again. Linked sets share half of c in lists of at most
+   ``FEW`` sets or half of c in longer ones. Pairs that share so many of the
+   former are counted; members of the latter, which can be large groups, are
+   only tied to one of the list. Sets tied directly or through others form a
+   cell: all links lie within cells.
+4. Cells are dealt to tasks of bounded size. A task indexes its sets and
+   answers a query per set by DivideSkip: the longest lists are set aside, the
+   short ones merged in order and counted, and candidates that can still reach
+   T are looked up in the long lists by binary search. Only links that join
+   two groups leave a task, so m near copies give m rows at most, not m².
+5. A cell above ``CELL`` sets is cut into blocks. Sets that a block alone has
+   connected with most of the cell are settled; only the others are queries to
+   the other blocks.
 
 A set's name is the sum of its scrambled shingles; all names have 64 bits.
 """
@@ -35,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.components import components
-from shopscope.llm.shared import bitmap, passes, written
+from shopscope.llm.shared import bitmap, passes, stable, unused, written
 from shopscope.llm.words import U, mix, text_batches, window_names, word_names
 
 SHINGLE = 5
@@ -44,18 +48,20 @@ PERCENT = 75
 FREQUENT = 1 << 17
 #: A shingle is counted where this many sets of one batch hold it.
 FREQUENT_IN_BATCH = 3
-#: Queries that meet one copy of a leader.
-QUERIES_PER_LEADER = 2000
-#: Queries of an index task, on average.
-QUERIES_PER_TASK = 4000
-#: Weight of list lengths when the long lists are set aside (the published constant of DivideSkip).
-MU = 0.0085
+#: Members of a list whose pairs are counted.
+FEW = 24
+#: Sets of a task, and of a block of a larger cell.
+CELL = 2000
+#: Weight of list lengths in the number of lists set aside, T / (MU * log2(longest) + 1). Merging is
+#: cheap against looking up here, so fewer are set aside than with disk lists.
+MU = 5.0
 
 
-#: Lists that two linked sets of at least COMMON_FROM shingles share; one for smaller sets.
-COMMON, COMMON_FROM = 4, 10
-#: Bits of the filters for shared lists and for sets to recompute (4 MB and 1 MB).
-LIST_BITS, SET_BITS = 1 << 25, 1 << 23
+#: Two linked sets share at least this fraction (1 / COMMON) of their T in lists; one list at least.
+COMMON = 12
+#: Bits of the filters for shared lists and for sets to recompute (8 MB and 1 MB).
+LIST_BITS, SET_BITS = 1 << 26, 1 << 23
+LOW = (1 << 32) - 1
 
 
 def needed(n: np.ndarray | int, percent: int = PERCENT):
@@ -118,7 +124,8 @@ def short_lists(docs: DataFrame, frequent: np.ndarray, k: int = SHINGLE, percent
                 n = len(s)
                 if not n:
                     continue
-                p = n - needed(n, percent) + (COMMON if n >= COMMON_FROM else 1)
+                t = needed(n, percent)
+                p = n - t + max(1, t // COMMON)
                 if len(sorted_names):
                     at = np.minimum(np.searchsorted(sorted_names, s), len(sorted_names) - 1)
                     often = np.flatnonzero(sorted_names[at] == s)
@@ -149,8 +156,8 @@ class DivideSkip:
         self.shingles = flat[self.starts]
         self.ends = np.append(self.starts[1:], len(flat))
 
-    def search(self, query: np.ndarray) -> np.ndarray:
-        """Places of all indexed sets that link with the query."""
+    def search(self, query: np.ndarray, labels: np.ndarray | None = None, own: int = -1) -> np.ndarray:
+        """Places of all indexed sets that link with the query; with ``labels``, of those not labelled ``own``."""
         n = len(query)
         at = np.searchsorted(self.shingles, query)
         at = at[at < len(self.shingles)] if len(at) and at[-1] == len(self.shingles) else at
@@ -170,6 +177,8 @@ class DivideSkip:
         place = np.repeat(self.starts[short] - (ends - size), size) + np.arange(int(ends[-1]))
         found, count = np.unique(self.owners[place], return_counts=True)
         keep = count >= t - n_long
+        if labels is not None:
+            keep &= labels[found] != own
         found, count = found[keep], count[keep]
         for i, a in enumerate(at[:n_long].tolist()):
             if not len(found):
@@ -182,114 +191,148 @@ class DivideSkip:
         return found[100 * count >= self.percent * (n + self.sizes[found] - count)]
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) found when every b queries the leaders it is paired with (and others of its task)."""
-    copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_LEADER).alias("copies"))
-    tasks = max(1, pairs.count() // QUERIES_PER_TASK)
-    task = F.pmod(F.xxhash64("a", "copy"), F.lit(tasks)).alias("task")
-    index = copies.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).select(task, F.col("a").alias("name")).distinct()
-    queries = pairs.join(copies, "a").withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies"))).select(task, F.col("b").alias("asked")).distinct()
+def connecting(index: list[np.ndarray], queries: list[np.ndarray], labels: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """(query, indexed set) for each link that joins two groups of sets. ``labels``: the group of
+    every indexed set and then of every query; equal labels are one group from the start."""
+    found, labels, out, n = DivideSkip(index, percent), labels.copy(), [], len(index)
+    for q, query in enumerate(queries):
+        for hit in found.search(query, labels, labels[n + q]).tolist():
+            a, b = labels[hit], labels[n + q]
+            if a != b:
+                out.append((q, hit))
+                labels[labels == max(a, b)] = min(a, b)
+    return out
+
+
+def _arrays(column) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), dtype=U) for c in column.chunks for x in c]
+
+
+def within_tasks(placed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that connect the sets of each task (task, name, shingles)."""
+
+    def search(t: pa.Table) -> pa.Table:
+        sets, names = _arrays(t.column("shingles")), t.column("name").to_numpy()
+        # a set is in the group of its query from the start
+        links = connecting(sets, sets, np.tile(np.arange(len(sets)), 2), percent)
+        return pa.table({"a": pa.array([names[q] for q, _ in links], pa.int64()), "b": pa.array([names[i] for _, i in links], pa.int64())})
+
+    return placed.groupBy("task").applyInArrow(search, "a long, b long")
+
+
+def across_blocks(index: DataFrame, queries: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) between the sets of a pair's index and queries (pair, name, label, shingles)."""
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        of = lambda column: [np.frombuffer(x.as_buffer(), dtype=U) for c in column.chunks for x in c]
-        if not len(left) or not len(right):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         names, asked = left.column("name").to_numpy(), right.column("asked").to_numpy()
-        found = DivideSkip(of(left.column("shingles")), percent)
-        hits = [found.search(q) for q in of(right.column("asked_shingles"))]
-        a = names[np.concatenate(hits)]
-        b = np.repeat(asked, [len(h) for h in hits])
-        other = a != b
-        return pa.table({"a": a[other], "b": b[other]})
+        if not len(names) or not len(asked):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        groups = np.unique(np.concatenate([left.column("label").to_numpy(), right.column("asked_label").to_numpy()]), return_inverse=True)[1]
+        links = connecting(_arrays(left.column("shingles")), _arrays(right.column("asked_shingles")), groups, percent)
+        return pa.table({"a": pa.array([asked[q] for q, _ in links], pa.int64()), "b": pa.array([names[i] for _, i in links], pa.int64())})
 
-    index = index.join(sets, "name")
-    queries = queries.join(sets.select(F.col("name").alias("asked"), F.col("shingles").alias("asked_shingles")), "asked")
-    return index.groupBy("task").cogroup(queries.groupBy("task")).applyInArrow(search, "a long, b long")
+    queries = queries.select(F.col("pair").alias("of"), F.col("name").alias("asked"), F.col("label").alias("asked_label"), F.col("shingles").alias("asked_shingles"))
+    return index.groupBy("pair").cogroup(queries.groupBy("of")).applyInArrow(search, "a long, b long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(name, shingles as bytes) of the wanted sets (name, doc_id: one document that has it)."""
-    bits = bitmap(wanted, "name", SET_BITS)
+    """(name, shingles as bytes) of the sets of the wanted rows, and of a few more; nothing is shuffled."""
+    bits = bitmap(wanted, "row", SET_BITS)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_batches(batches):
-            found = shingle_sets(b.column("text"), k)
-            names = set_names(found)
-            use = np.flatnonzero(passes(bits, names) & (np.array([len(s) for s in found]) > 0))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(use)), pa.array(names[use]), pa.array([found[i].tobytes() for i in use.tolist()], type=pa.binary())], ["doc_id", "name", "shingles"])
+        for b in batches:
+            for some in text_batches([b.filter(pa.array(passes(bits, b.column("row").to_numpy())))]):
+                found = shingle_sets(some.column("text"), k)
+                yield pa.RecordBatch.from_arrays([pa.array(set_names(found)), pa.array([s.tobytes() for s in found], type=pa.binary())], ["name", "shingles"])
 
-    rows = docs.mapInArrow(sets, "doc_id long, name long, shingles binary")
-    of = wanted.select(F.col("name").alias("wanted"), F.col("doc_id").alias("of"))
-    return rows.join(of, (F.col("name") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("of"))).select("name", "shingles").dropDuplicates(["name"])
+    return docs.select("row", "text").mapInArrow(sets, "name long, shingles binary")
 
 
 def listed_together(lists: DataFrame) -> DataFrame:
     """Rows of lists that at least two sets share."""
-    held = lists.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("shingle")
-    bits = bitmap(held, "shingle", LIST_BITS)
+    # the low half of a name is enough for the filter, and half as much to shuffle
+    held = lists.select(F.expr("cast(shiftright(shiftleft(shingle, 32), 32) as int)").alias("low")).groupBy("low").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    bits = bitmap(held.select(F.expr(f"cast(low as long) & {LOW}L").alias("low")), "low", LIST_BITS)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(passes(bits, b.column("shingle").to_numpy())))
+            yield b.filter(pa.array(passes(bits, b.column("shingle").to_numpy() & LOW)))
 
-    rows = lists.mapInArrow(keep, "shingle long, name long, n int").distinct()
-    shared = rows.groupBy("shingle").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).filter("lo < hi").select("shingle")
+    rows = written(lists.mapInArrow(keep, "shingle long, name long, n int").distinct(), "filtered-lists")
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("shingle")
     return rows.join(shared, "shingle")
 
 
-def _common(n: str) -> Column:
+def _common(n: str, percent: int) -> Column:
     """Lists that a set of n shares with any set it links to."""
-    return F.when(F.col(n) >= COMMON_FROM, COMMON).otherwise(1)
-
-
-def _close(a: str, b: str, percent: int) -> Column:
-    """Whether the sizes allow a link."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
-def _led(mixed: DataFrame, pick, percent: int) -> DataFrame:
-    """Each list's leader (``pick`` of its names) with the members of other components; of larger
-    sets only those that it leads twice."""
-    lead = mixed.groupBy("shingle").agg(pick("name").alias("a"))
-    return _counted(mixed, mixed.select("shingle", "name").join(lead, "shingle").filter("name = a").select("shingle", "name"), F.least(F.lit(2), _common("n"), _common("n_a")), percent)
-
-
-def _all_apart(mixed: DataFrame, percent: int) -> DataFrame:
-    """Every two members in different components that share enough lists."""
-    return _counted(mixed, None, F.least(_common("n"), _common("n_a")), percent)
-
-
-def _counted(mixed: DataFrame, leaders: DataFrame | None, lists: Column, percent: int) -> DataFrame:
-    of = mixed if leaders is None else mixed.join(leaders, ["shingle", "name"])
-    of = of.select("shingle", F.col("name").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    apart = F.col("c") != F.col("c_a")
-    if leaders is None:
-        apart = apart & (F.col("a") < F.col("name"))
-    pairs = mixed.join(of, "shingle").filter(apart & _close("n", "n_a", percent))
-    return pairs.groupBy("a", F.col("name").alias("b"), "n", "n_a").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= lists).select("a", "b")
-
-
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of lists that more than one component shares, with their component."""
-    if labels is None:
-        m = members.withColumn("c", F.col("name"))
-    else:
-        m = members.join(labels.withColumnRenamed("id", "name"), "name", "left").select(*members.columns, F.coalesce("component", "name").alias("c"))
-    shared = m.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("shingle")
-    return m.join(shared, "shingle")
+    return F.greatest(F.lit(1), F.expr(f"(({percent} * {n} + 99) div 100) div {COMMON}"))
+
+
+def linkable(members: DataFrame, percent: int) -> DataFrame:
+    """Members of lists that can still link: in enough lists, and these with others; with the
+    members (``held``) and the least name (``a``) of their list."""
+    for _ in range(2):
+        enough = members.groupBy("name", "n").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= _common("n", percent)).select("name")
+        members = members.select("shingle", "name", "n").join(enough, "name", "left_semi")
+        shared = members.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("name").alias("a")).filter("held > 1")
+        members = members.join(shared, "shingle")
+    return members
+
+
+def cells_of(members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(name, cell): sets that may link, directly or through others."""
+    half = lambda *n: F.ceil(F.least(*(_common(x, percent) for x in n)) / 2) if len(n) > 1 else F.ceil(_common(n[0], percent) / 2)
+    few = members.filter(F.col("held") <= FEW)
+    other = few.select("shingle", F.col("name").alias("b"), F.col("n").alias("n_b"))
+    both = few.select("shingle", "name", "n").join(other, "shingle").filter((F.col("name") < F.col("b")) & (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent))
+    pairs = both.groupBy("name", "b", "n", "n_b").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= half("n", "n_b"))
+    many = members.filter(F.col("held") > FEW)
+    enough = many.groupBy("name", "n").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= half("n")).select("name")
+    tied = many.join(enough, "name", "left_semi")
+    first = tied.groupBy("shingle").agg(F.min("name").alias("first"))
+    ties = tied.select("shingle", "name").join(first, "shingle").filter("name != first").select("first", "name").distinct()
+    edges = pairs.select(F.col("name").alias("a"), "b").union(ties.select(F.col("first").alias("a"), F.col("name").alias("b")))
+    return components(edges).select(F.col("id").alias("name"), F.col("component").alias("cell"))
+
+
+def links_of(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect all sets of a cell that are linked through others."""
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+    tasks = max(1, cells.count() // CELL)
+    block = F.when(F.col("m") > CELL, F.pmod(F.xxhash64("name"), F.ceil(F.col("m") / CELL))).otherwise(F.lit(0).cast("long"))
+    # small cells share a task, a block of a large one has its own
+    task = F.when(F.col("m") > CELL, F.xxhash64("cell", "block")).otherwise(F.pmod(F.xxhash64("cell"), F.lit(tasks)))
+    placed = cells.join(sizes, "cell").withColumn("block", block).withColumn("task", task)
+    placed = written(placed.join(sets, "name").dropDuplicates(["name"]), "cell-sets")
+    links = written(within_tasks(placed.select("task", "name", "shingles"), percent), "links")
+    large = placed.filter(F.col("m") > CELL)
+    if large.isEmpty():
+        return links
+    labels = components(links).select(F.col("id").alias("name"), F.col("component").alias("found"))
+    labelled = large.join(labels, "name", "left").withColumn("label", F.coalesce("found", "name")).select("cell", "block", "name", "label", "shingles")
+    labelled = written(labelled, "labelled-sets")
+    groups = labelled.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("size"))
+    most = groups.groupBy("cell").agg(F.max("size").alias("size")).join(groups, ["cell", "size"]).groupBy("cell").agg(F.min("label").alias("most"))
+    asking = labelled.join(most, "cell").filter("label != most").select("cell", F.col("block").alias("from"), "name", "label", "shingles")
+    blocks = labelled.select("cell", "block").distinct()
+    froms = asking.select("cell", "from").distinct()
+    pairs = blocks.join(froms, "cell").filter(F.col("block") != F.col("from")).withColumn("pair", F.xxhash64("cell", "block", "from"))
+    index = labelled.join(pairs, ["cell", "block"]).select("pair", "name", "label", "shingles")
+    queries = asking.join(pairs, ["cell", "from"]).select("pair", "name", "label", "shingles")
+    return links.union(written(across_blocks(index, queries, percent), "block-links"))
 
 
 def components_of_rows(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, c): every row of ``docs``, the smallest doc_id that
-    links lead to, and the component's name, null without shingles. ``docs``: a table read from
-    files; ``row`` is monotonically_increasing_id() over it.
+    links lead to, and the component's name, null without shingles; ``row`` is
+    monotonically_increasing_id() over ``stable(docs)``.
 
     Texts without words, null ones too, have no shingles and link with nothing: their component
     is their own doc_id. Rows with equal sets link. A null doc_id takes part but is the smallest
     only where there is no other. Repeated rows stay. An empty table gives an empty result. Other
     columns are ignored.
     """
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = stable(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = written(profiles(docs, k), "shingle-profiles")
     rows = seen.filter("row is not null").select("row", "doc_id", "name", "n")
     often = seen.filter("row is null").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)
@@ -297,30 +340,14 @@ def components_of_rows(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
     lists = written(short_lists(docs, frequent, k, percent), "short-lists")
     members = written(listed_together(lists), "list-members")
-    vertices = rows.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    linkable = members.groupBy("name", "n").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= _common("n")).select("name")
-    sets = written(sets_of(docs, linkable.join(vertices, "name"), k), "shingle-sets")
-
-    links, compared, labels = None, None, None
-    for pairs_of in (lambda m: _led(m, F.min, percent), lambda m: _led(m, F.max, percent), lambda m: _all_apart(m, percent)):
-        members = written(_labelled(members, labels).select(*members.columns[:3], "c"), "mixed-lists")
-        pairs = pairs_of(members)
-        if compared is not None:
-            pairs = pairs.join(compared, (F.least(pairs.a, pairs.b) == compared.x) & (F.greatest(pairs.a, pairs.b) == compared.y), "left_anti")
-        pairs = written(pairs, "pairs")
-        members = members.drop("c")
-        if pairs.isEmpty():
-            continue
-        found = written(verified(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        seen_pairs = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        compared = seen_pairs if compared is None else compared.union(seen_pairs)
-        labels = written(components(links), "components")
-
-    classes = vertices.select("name", F.col("name").alias("c"), F.col("doc_id").alias("component_id"))
-    if labels is not None:
-        joined = vertices.join(labels.withColumnRenamed("id", "name"), "name", "left").select("name", F.coalesce("component", "name").alias("c"), "doc_id")
-        classes = joined.join(joined.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("name", "c", "component_id")
+    vertices = rows.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
+    members = written(linkable(members, percent), "linkable-members")
+    cells = written(cells_of(members, percent), "cells")
+    sets = sets_of(docs, cells.join(vertices, "name"), k)
+    labels = written(components(links_of(cells, sets, percent)), "components")
+
+    joined = vertices.join(labels.withColumnRenamed("id", "name"), "name", "left").select("name", F.coalesce("component", "name").alias("c"), "doc_id")
+    classes = joined.join(joined.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("name", "c", "component_id")
     alone = rows.filter("name is null").select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("c"))
     linked = rows.filter("name is not null").join(classes, "name").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id", "c")
     return linked.union(alone)
@@ -333,8 +360,11 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without all but one of each component: the smallest doc_id, of equal
-    ones the first row. Texts without words stay. ``docs``: a table read from files."""
+    ones the first row. Texts without words stay."""
+    docs = stable(docs)
     found = written(components_of_rows(docs, k, percent), "row-components")
     first = found.filter(F.col("c").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("c").agg(F.min("row").alias("row"))
     stays = first.select("row").union(found.filter("c is null").select("row")).withColumnRenamed("row", "group_row")
-    return docs.withColumn("group_row", F.monotonically_increasing_id()).join(stays, "group_row", "left_semi").select(*docs.columns)
+    own = unused(docs, "group_row")
+    rows = docs.withColumn(own, F.monotonically_increasing_id())
+    return rows.join(stays.withColumnRenamed("group_row", own), own, "left_semi").select(*docs.columns)

@@ -65,8 +65,7 @@ def test_ngram_components_with_few_frequent_names(docs, monkeypatch):
     monkeypatch.setattr(nj, "FREQUENT", 5)
     monkeypatch.setattr(nj, "LIST_BITS", 64)
     monkeypatch.setattr(nj, "SET_BITS", 64)
-    monkeypatch.setattr(nj, "QUERIES_PER_LEADER", 3)
-    monkeypatch.setattr(nj, "QUERIES_PER_TASK", 4)
+    monkeypatch.setattr(nj, "CELL", 6)
     rows = list(enumerate(_texts(3)))
     assert sorted((tuple(r) for r in nj.ngram_components(docs(rows)).collect()), key=str) == _components(rows)
 
