@@ -10,6 +10,9 @@
 * The centroids, at most ``MAX_LISTS``, form an in-memory neighbour graph. A
   best-first walk of the graph finds a query's nearest centroids; lists whose
   centroid is farther than ``SEARCH_RATIO`` times the nearest are pruned.
+* Every run measures how many lists its queries need: a bounded sample of them is
+  answered by brute force, and the searched lists and the walk's width grow until
+  ``RECALL`` of these answers is found, if need be to all lists.
 * Lists and their queries meet in tasks of bounded size: a long list or one
   with many queries is split into a grid. Scores are computed in double
   precision on the original vectors.
@@ -37,11 +40,15 @@ MAX_LISTS = 16384
 SAMPLE_BYTES = 16_000_000
 REPLICAS = 4
 REPLICA_RATIO = 1.3
-#: Lists searched: at most and at least, and the distance ratio that prunes between.
+#: Lists searched: at most, unless the run's calibration needs more, and at least, and the distance
+#: ratio that prunes between.
 SEARCH_LISTS = 64
 LEAST_LISTS = 24
 SEARCH_RATIO = 1.6
-#: Walk width and neighbours of the centroid graph.
+#: Share of the brute-force answers that the calibration asks for, and its queries at most.
+RECALL = 0.95
+CALIBRATION = 256
+#: Walk width, at least, and neighbours of the centroid graph.
 BEAM = 96
 DEGREE = 24
 #: Rows of a list and of its queries that meet in one task.
@@ -72,6 +79,7 @@ class CentroidGraph:
 
     def __init__(self, centroids: np.ndarray):
         self.c, self.half = centroids, (centroids * centroids).sum(1)
+        self.few, self.beam = SEARCH_LISTS, BEAM  # alike on driver and executors
         k, rng = len(centroids), np.random.default_rng(SEED)
         deg = min(DEGREE, k - 1)
         near = np.zeros((k, deg), dtype=np.int32)
@@ -87,10 +95,12 @@ class CentroidGraph:
         self.near, self.entries = near, rng.choice(k, min(k, 32), replace=False)
 
     def search(self, q: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, squared distances) of the m nearest found for each query, nearest first."""
+        """(centroids, squared distances) of the m nearest found for each query, nearest first. The
+        walk is half as wide again as m; where it would look at most centroids, all are compared."""
         rows, k = np.arange(len(q))[:, None], len(self.c)
         own = (q * q).sum(1)[:, None]
-        if k <= max(m, BEAM):
+        beam = max(self.beam, m + m // 2)
+        if k <= beam or (m > self.few and k <= beam * DEGREE):
             d = own + self.half - 2 * q @ self.c.T
             best = np.argsort(d, axis=1, kind="stable")[:, :m]
             return best, d[rows, best]
@@ -111,8 +121,8 @@ class CentroidGraph:
             seen[rows, nb] = True
             ids, d = np.concatenate([ids, nb], axis=1), np.concatenate([d, nd], axis=1)
             done = np.concatenate([done, np.isinf(nd)], axis=1)
-            if ids.shape[1] > BEAM:
-                keep = np.argpartition(d, BEAM - 1, axis=1)[:, :BEAM]
+            if ids.shape[1] > beam:
+                keep = np.argpartition(d, beam - 1, axis=1)[:, :beam]
                 ids, d, done = ids[rows, keep], d[rows, keep], done[rows, keep]
         best = np.argsort(d, axis=1, kind="stable")[:, :m]
         return ids[rows, best], d[rows, best]
@@ -124,6 +134,72 @@ def _longer(x: np.ndarray, most: float) -> np.ndarray:
     return np.concatenate([x, rest[:, None]], axis=1).astype(np.float32)
 
 
+def _to_search(d: np.ndarray, ratio: float) -> np.ndarray:
+    """Which of a query's lists, nearest first, are searched."""
+    use = (d <= ratio ** 2 * np.maximum(d[:, :1], 0)) & np.isfinite(d)
+    use[:, :LEAST_LISTS] = np.isfinite(d[:, :LEAST_LISTS])
+    return use
+
+
+def _asked(q: np.ndarray) -> np.ndarray:
+    """Queries among the vectors of ``_longer``."""
+    return np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
+
+
+def true_neighbours(index: DataFrame, names: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
+    """(query, name): by brute force the k best other vectors of the index for a bounded set of queries."""
+    shared = index.sparkSession.sparkContext.broadcast((names, q))  # CALIBRATION queries at most
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, q = shared.value
+        at, score = np.zeros((len(q), 0), dtype=np.int64), np.zeros((len(q), 0))
+        for b in batches:
+            for a in range(0, len(b), 4096):
+                some = b.slice(a, 4096)
+                name = some.column("name").to_numpy()
+                s = np.where(name == names[:, None], -np.inf, q @ matrix(some.column("v")).T)
+                at, score = np.concatenate([at, np.broadcast_to(name, s.shape)], axis=1), np.concatenate([score, s], axis=1)
+                if score.shape[1] > k:
+                    top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                    at, score = np.take_along_axis(at, top, axis=1), np.take_along_axis(score, top, axis=1)
+        found = np.isfinite(score)
+        yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(names[:, None], at.shape)[found]), pa.array(at[found]), pa.array(score[found])], ["query", "name", "score"])
+
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "name"))
+    each = index.select("name", "v").mapInArrow(best, "query long, name long, score double")
+    return each.withColumn("place", place).filter(F.col("place") <= k).select("query", "name")
+
+
+def calibrated(graph: CentroidGraph, names: np.ndarray, q: np.ndarray, held: pa.Table) -> tuple[int, float]:
+    """(lists searched at most, distance ratio): the least number, doubled by steps, with which the
+    walk reaches ``RECALL`` of the true neighbours ``held`` (query, name, list), else all lists."""
+    k, m, ratio = len(graph.c), min(SEARCH_LISTS, len(graph.c)), SEARCH_RATIO
+    if not len(held):
+        return m, ratio
+    row = np.searchsorted(names, held.column("query").to_numpy())
+    lists = held.column("list").to_numpy()
+    _, answer = np.unique(np.stack([row, held.column("name").to_numpy()]), axis=1, return_inverse=True)
+    n = answer.max() + 1
+
+    def recall() -> float:
+        to, d = graph.search(_asked(q), m)
+        hit = np.zeros((len(q), k), dtype=bool)
+        at = np.broadcast_to(np.arange(len(q))[:, None], to.shape)
+        hit[at, to] = _to_search(d, ratio)
+        return len(np.unique(answer[hit[row, lists]])) / n
+
+    while recall() < RECALL and (m < k or ratio < np.inf):
+        if m < k:
+            m = min(k, m + m // 4 + 1)
+        if m == k and recall() < RECALL:
+            ratio = np.inf  # the ratio itself prunes too much: search again from few lists, without it
+            m = min(SEARCH_LISTS, k)
+            while m < k and recall() < RECALL:
+                m = min(k, m + m // 4 + 1)
+            break
+    return m, float(ratio)
+
+
 def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for every row that ``is_query`` holds for.
 
@@ -172,17 +248,18 @@ def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
         for b in batches:
             for a in range(0, len(b), 256):
                 some = b.slice(a, 256)
-                q = matrix(some.column("v")).astype(np.float32)
-                to, d = shared.value.search(np.concatenate([q, np.zeros((len(q), 1), dtype=np.float32)], axis=1), SEARCH_LISTS)
-                use = (d <= SEARCH_RATIO ** 2 * np.maximum(d[:, :1], 0)) & np.isfinite(d)
-                use[:, :LEAST_LISTS] = np.isfinite(d[:, :LEAST_LISTS])
-                at = np.nonzero(use)[0]
-                yield pa.RecordBatch.from_arrays([pa.array(to[use].astype(np.int32)), *(some.column(i).take(pa.array(at)) for i in ("name", "v"))], ["list", "query", "q"])
+                to, d = shared.value.search(_asked(matrix(some.column("v"))), most_lists)
+                use = _to_search(d, ratio)
+                yield pa.RecordBatch.from_arrays([pa.array(to[use].astype(np.int32)), some.column("name").take(pa.array(np.nonzero(use)[0]))], ["list", "query"])
 
     lists = written(index.mapInArrow(assign, "list int, name long, v array<double>, ids array<long>"), "posting-lists")
     asked = rows.filter(is_query(F.col("vec_id"))).select("vec_id", "name")
-    queries = index.join(asked.select("name").distinct(), "name").select("name", "v")
-    routed = written(queries.mapInArrow(route, "list int, query long, q array<double>"), "routed-queries")
+    queries = written(index.join(asked.select("name").distinct(), "name").select("name", "v"), "query-vectors")
+    some = queries.orderBy(F.xxhash64("name", F.lit(SEED + 1))).limit(CALIBRATION).toArrow().sort_by("name")
+    names, q = some.column("name").to_numpy(), matrix(some.column("v")).reshape(len(some), dim)
+    true = true_neighbours(index, names, q, k)
+    most_lists, ratio = calibrated(graph, names, q, lists.select("name", "list").join(F.broadcast(true), "name").select("query", "name", "list").toArrow())
+    routed = written(queries.mapInArrow(route, "list int, query long"), "routed-queries")
 
     # the grid of each list, at most MAX_LISTS rows
     parts = lists.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_ROWS).alias("ip"))
@@ -190,7 +267,8 @@ def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     grid = parts.join(splits, "list")
     up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = lists.join(grid, "list").withColumn("i", F.pmod(F.xxhash64("name"), F.col("ip"))).withColumn("j", up_to("qp")).select("list", "i", "j", "name", "v", "ids")
-    right = routed.join(grid, "list").withColumn("j", F.pmod(F.xxhash64("query"), F.col("qp"))).withColumn("i", up_to("ip")).select("list", "i", "j", "query", "q")
+    right = routed.join(grid, "list").withColumn("j", F.pmod(F.xxhash64("query"), F.col("qp"))).withColumn("i", up_to("ip")).select("list", "i", "j", "query")
+    right = right.join(queries.select(F.col("name").alias("query"), F.col("v").alias("q")), "query").select("list", "i", "j", "query", "q")
 
     def scan(items: pa.Table, asks: pa.Table) -> pa.Table:
         names = items.column("name").to_numpy()

@@ -109,6 +109,18 @@ def test_nearest_recall_with_pruned_lists(vectors, monkeypatch):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+def test_nearest_recall_does_not_fall_with_the_number_of_lists(vectors, monkeypatch):
+    monkeypatch.setattr(pl, "LIST_SIZE", 8)
+    monkeypatch.setattr(pl, "SEARCH_LISTS", 8)
+    monkeypatch.setattr(pl, "LEAST_LISTS", 4)
+    monkeypatch.setattr(pl, "BEAM", 12)
+    rng = np.random.default_rng(5)
+    rows = [(i, v) for i, v in enumerate((lambda x: x / np.linalg.norm(x, axis=1)[:, None])(rng.standard_normal((3000, 32))).astype(np.float32).tolist())]
+    got = {(r.query_id, r.vec_id) for r in pl.nearest(vectors(rows), lambda c: c % 20 == 0).collect()}
+    want = {(q, v) for q, _, v, _ in _nearest(rows, 20)}
+    assert len(got) == len(want) and len(got & want) >= 0.93 * len(want)
+
+
 def test_nearest_few_rows(vectors):
     assert pl.nearest(vectors([]), lambda c: c % 20 == 0).count() == 0
     got = [tuple(r) for r in pl.nearest(vectors([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [2.0, 1.0])]), lambda c: c % 20 == 0).collect()]
