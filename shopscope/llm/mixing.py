@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import n_words, stable, unused, written
+from shopscope.llm.shared import n_words, numbered, unused, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -151,10 +151,9 @@ def mixture(rows: DataFrame, *keep: str, block: int = BLOCK, shard: int = SHARD)
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as the words taken of it come to
     whole documents, rounded. Rows of which less than half is taken, or without words, go."""
-    docs = stable(docs)
     own = unused(docs, "mix_row")
-    row = F.monotonically_increasing_id()
-    taken = mixture(sized(docs, row.alias("mix_row")), "mix_row")
+    rows = numbered(docs, own)
+    taken = mixture(sized(rows, F.col(own).alias("mix_row")), "mix_row")
     copies = taken.filter("size > 0").select("mix_row", F.expr("(2 * taken + size) div (2 * size)").alias("copies")).filter("copies > 0")
     times = copies.select("mix_row", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
-    return docs.select("*", row.alias(own)).join(times.select(F.col("mix_row").alias(own)), own).select(*docs.columns)
+    return rows.join(times.select(F.col("mix_row").alias(own)), own).select(*docs.columns)

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.components import components
-from shopscope.llm.shared import bitmap, passes, stable, unused, written
+from shopscope.llm.shared import bitmap, passes, numbered, unused, written
 from shopscope.llm.words import U, mix, text_batches, window_names, word_names
 
 SHINGLE = 5
@@ -325,14 +325,18 @@ def links_of(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components_of_rows(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, c): every row of ``docs``, the smallest doc_id that
     links lead to, and the component's name, null without shingles; ``row`` is
-    monotonically_increasing_id() over ``stable(docs)``.
+    its number in ``numbered`` rows.
 
     Texts without words, null ones too, have no shingles and link with nothing: their component
     is their own doc_id. Rows with equal sets link. A null doc_id takes part but is the smallest
     only where there is no other. Repeated rows stay. An empty table gives an empty result. Other
     columns are ignored.
     """
-    docs = stable(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _components_of_numbered(numbered(docs, "row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), k, percent)
+
+
+def _components_of_numbered(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``components_of_rows`` over (row, doc_id, text)."""
     seen = written(profiles(docs, k), "shingle-profiles")
     rows = seen.filter("row is not null").select("row", "doc_id", "name", "n")
     often = seen.filter("row is null").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)
@@ -361,10 +365,10 @@ def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without all but one of each component: the smallest doc_id, of equal
     ones the first row. Texts without words stay."""
-    docs = stable(docs)
-    found = written(components_of_rows(docs, k, percent), "row-components")
+    own = unused(docs, "group_row")
+    rows = numbered(docs, own)
+    texts = rows.select(F.col(own).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = written(_components_of_numbered(texts, k, percent), "row-components")
     first = found.filter(F.col("c").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("c").agg(F.min("row").alias("row"))
     stays = first.select("row").union(found.filter("c is null").select("row")).withColumnRenamed("row", "group_row")
-    own = unused(docs, "group_row")
-    rows = docs.withColumn(own, F.monotonically_increasing_id())
     return rows.join(stays.withColumnRenamed("group_row", own), own, "left_semi").select(*docs.columns)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import stable, unused, written
+from shopscope.llm.shared import numbered, unused, written
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.95
@@ -92,8 +92,9 @@ def _char_class(c: Column) -> Column:
     return F.when(c.isNull() | (c == ""), 0).when(c.rlike(r"^\s"), 1).when(c.rlike("^[0-9]"), 2).when(c.rlike(r"^\p{L}"), 3).otherwise(4)
 
 
-def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(all rows: row and doc_id; all matches: row, wide, kind, start, end, match and context)."""
+def candidates(docs: DataFrame, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(all rows: row and doc_id; all matches: row, wide, kind, start, end, match and context). Rows are
+    numbered here, unless the column ``row`` has their numbers."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     none = F.array().cast("array<struct<skip:int,before:string,after:string,match:string>>")
 
@@ -106,7 +107,8 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.left(F.get(pieces, i + 1), F.lit(1)).alias("after"), m.alias("match")))
         return F.when(F.col(f"has_{kind}"), each).otherwise(none)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    row = F.monotonically_increasing_id() if row is None else F.col(row)
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.select("*", *(F.col("text").rlike(NEEDS[k]).alias(f"has_{k}") for k in KINDS))
     of = [F.struct(F.lit(w).alias("wide"), F.lit(k).alias("kind"), matched(k, w).alias("matches")) for w in (False, True) for k in KINDS]
     found = F.filter(F.array(*of), lambda x: F.size(x["matches"]) > 0)
@@ -170,13 +172,13 @@ def boosted(cells: DataFrame):
     return 1 / (1 + F.exp(-2 * margin))
 
 
-def personal_data(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def personal_data(docs: DataFrame, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows: row, doc_id; spans: row, kind, kind_no, start, end, base): base spans and added ones.
 
     Offsets are in code points, the end exclusive. Null texts are empty and hold nothing. Repeated
     rows are looked at each. Without enough confirmed spans of a kind none are added.
     """
-    rows, spans = candidates(docs)
+    rows, spans = candidates(docs, row)
     spans = written(featured(spans), "candidates")
     cells = written(spans.groupBy(*FEATURES, "base").agg(F.count(F.lit(1)).alias("n")).repartition(1).sortWithinPartitions(*FEATURES, "base"), "cells")
     score = boosted(cells)
@@ -222,17 +224,17 @@ def pii_digest(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with each found span replaced by its kind in angle brackets.
     Overlapping spans are replaced together, named by the first. Null texts stay null."""
-    docs = stable(docs)
-    _, spans = personal_data(docs)
+    own, held = unused(docs, "pii_row"), unused(docs, "pii_cuts")
+    docs, columns = numbered(docs, own), docs.columns
+    _, spans = personal_data(docs, own)
     by = Window.partitionBy("row").orderBy("start", "kind_no")
     until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     joint = spans.withColumn("fresh", F.coalesce((until <= F.col("start")).cast("int"), F.lit(1)))
     joint = joint.withColumn("no", F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     joint = joint.groupBy("row", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min(F.when(F.col("fresh") == 1, F.col("kind"))).alias("kind"))
     cuts = joint.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("pii_cuts"))
-    own, held = unused(docs, "pii_row"), unused(docs, "pii_cuts")
     cuts = cuts.select(F.col("row").alias(own), F.col("pii_cuts").alias(held))
-    rows = docs.withColumn(own, F.monotonically_increasing_id()).join(cuts, own, "left")
+    rows = docs.join(cuts, own, "left")
     at = F.col(held)
 
     def piece(x: Column, i: Column) -> Column:
@@ -241,4 +243,4 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     tail = F.substring(F.col("text"), (F.element_at(at, -1)["end"] + 1).cast("int"), F.length("text"))
     text = F.when(at.isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform(at, piece), ""), tail))
-    return rows.withColumn("text", text).select(*docs.columns)
+    return rows.withColumn("text", text).select(*columns)

@@ -48,13 +48,10 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def stable(docs: DataFrame) -> DataFrame:
-    """Rows that monotonically_increasing_id() numbers alike in every query: a plain file scan as it
-    is, anything else written first."""
-    node = docs._jdf.queryExecution().analyzed()
-    while node.nodeName() in ("Project", "SubqueryAlias") and node.children().size() == 1:
-        node = node.children().head()
-    return docs if node.nodeName().startswith("LogicalRelation") else written(docs, "rows")
+def numbered(docs: DataFrame, name: str, *columns: Column | str) -> DataFrame:
+    """The rows (or these columns of them) with a number each in column ``name``, written once: a
+    second scan may be split otherwise, when executors come or go, and would number them anew."""
+    return written(docs.select(F.monotonically_increasing_id().alias(name), *(columns or docs.columns)), "rows")
 
 
 def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:

@@ -163,3 +163,22 @@ def test_sql_gives_the_same_rows(spark, name):
     want = con.sql(ORACLE[name])
     got = QUERIES[name](spark, "/root/testdata/sf0.001").select(*want.columns)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_rows_keep_their_numbers_when_a_later_scan_is_split_otherwise(spark, docs, tmp_path):
+    texts = [f"number{i} " + " ".join(f"w{i}x{j}" for j in range(40)) + (f" m{i}@b.cc" if i % 3 == 0 else "") for i in range(60)]
+    docs([(i, t) for i, t in enumerate(texts)]).repartition(6).write.parquet(str(tmp_path / "d"))
+    frame = spark.read.parquet(str(tmp_path / "d"))
+    key = "spark.sql.files.maxPartitionBytes"
+    held = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "128m")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        results = pii.redacted(frame)
+        spark.conf.set(key, "2k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1m")
+        texts_now = {r.doc_id: r.text for r in results.collect()}
+    finally:
+        spark.conf.set(key, held)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert texts_now == {i: t.replace(f"m{i}@b.cc", "<EMAIL>") for i, t in enumerate(texts)}
