@@ -31,6 +31,8 @@ BLOCK = 128
 SHARD = 4096
 BUCKETS = 4096
 ROUNDS = 20
+#: Steps of the fraction of a document.
+FRACTION = 1 << 20
 
 # Fixed values of the pseudorandom numbers: the prime and two multipliers of full period.
 PRIME, FIRST, SECOND = 2147483647, 48271, 69621
@@ -59,6 +61,10 @@ def _key(source: Column) -> Column:
     return F.concat(F.when(source.isNull(), "1").otherwise("0"), F.coalesce(source, F.lit("")))
 
 
+def _bucket() -> Column:
+    return F.pmod(scattered(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(PRIME))), F.lit(BUCKETS)).alias("bucket")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """(key, source_size, target) from (key, source_size), one row per source.
 
@@ -129,8 +135,7 @@ def mixture(rows: DataFrame, *keep: str, block: int = BLOCK, shard: int = SHARD)
     sources = written(targets(sizes), "targets")
     uses = block_uses(sources, block, shard)
 
-    bucket = F.pmod(scattered(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(PRIME))), F.lit(BUCKETS)).alias("bucket")
-    some = rows.filter("size > 0").select("*", bucket)
+    some = rows.filter("size > 0").select("*", _bucket())
     per = some.groupBy("key", "bucket").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = per.select("key", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
@@ -148,12 +153,27 @@ def mixture(rows: DataFrame, *keep: str, block: int = BLOCK, shard: int = SHARD)
     return out.select("doc_id", "size", "source_size", "target", "taken", source.alias("source"), *keep)
 
 
+def whole_copies(taken: DataFrame) -> DataFrame:
+    """(mix_row, copies) of ``mixture`` rows: the whole documents that the words taken come to, and one
+    more for a share of the rows. The remaining fractions are summed up along each source, and a row
+    that takes the sum over a half gets one, so a source's copies add up to what is taken of it."""
+    parts = taken.filter("size > 0").select(_key(F.col("source")).alias("key"), "doc_id", "size", "mix_row", _bucket(), F.expr("taken div size").alias("whole"), F.expr(f"(taken % size) * {FRACTION} div size").alias("part"))
+    parts = written(parts, "fractions")
+    per = parts.groupBy("key", "bucket").agg(F.sum("part").alias("n"))
+    earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = per.select("key", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    within = Window.partitionBy("key", "bucket").orderBy(F.col("doc_id").asc_nulls_first(), "size", "mix_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = parts.withColumn("inner", F.sum("part").over(within)).join(base, ["key", "bucket"])
+    summed = summed.withColumn("upto", F.col("base") + F.col("inner") + FRACTION // 2)
+    return summed.select("mix_row", F.expr(f"whole + upto div {FRACTION} - (upto - part) div {FRACTION}").alias("copies"))
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as the words taken of it come to
-    whole documents, rounded. Rows of which less than half is taken, or without words, go."""
+    whole documents, see ``whole_copies``. Rows without words go."""
     own = unused(docs, "mix_row")
     rows = numbered(docs, own)
     taken = mixture(sized(rows, F.col(own).alias("mix_row")), "mix_row")
-    copies = taken.filter("size > 0").select("mix_row", F.expr("(2 * taken + size) div (2 * size)").alias("copies")).filter("copies > 0")
+    copies = whole_copies(taken).filter("copies > 0")
     times = copies.select("mix_row", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
     return rows.join(times.select(F.col("mix_row").alias(own)), own).select(*docs.columns)

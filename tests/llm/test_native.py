@@ -182,3 +182,18 @@ def test_rows_keep_their_numbers_when_a_later_scan_is_split_otherwise(spark, doc
         spark.conf.set(key, held)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert texts_now == {i: t.replace(f"m{i}@b.cc", "<EMAIL>") for i, t in enumerate(texts)}
+
+
+def test_mixed_rows_meet_the_target_of_each_source(spark, docs):
+    docs([])
+    rng = random.Random(2)
+    data = [(i, "w " * rng.randint(1500, 4000), s) for i, s in enumerate(rng.choice("aaabbc") for _ in range(400))]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)
+    sizes, got = {}, {}
+    for _, t, s in data:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    rows = mixing.mixed(frame).collect()
+    for r in rows:
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    for s, want in _targets(sizes).items():
+        assert abs(got.get(s, 0) / want - 1) <= 0.05, (s, got.get(s, 0), want)
