@@ -3,10 +3,13 @@
 Equal vectors become one vertex. Each pass gives every vector the concatenated
 signs of its products with the pass's random directions, sorts all vectors by
 that name, and compares each with its next ``WINDOW`` neighbours; pairs with
-cosine of at least the threshold are links. The number of passes follows the
-number of vectors, so a pair at the threshold is missed by all passes with
-probability ``MISS`` at most (a pair meets in a pass if its names agree on so
-many bits that no more than a window of vectors share them).
+cosine of at least the threshold are links. Vectors whose names agree on the
+first ``prefix_bits`` form a group; a pair in one group always meets: groups of
+at most ``WINDOW`` + 1 vectors stay in one task, and larger ones, which dense
+regions make, are counted and, where links don't unite them yet, compared as a
+whole, block by block. The number of passes follows the number of bits, so a
+pair at the threshold is in different groups of all passes with probability
+``MISS`` at most, however dense its surroundings are.
 
 Links of all passes are united to components. The window bounds what a pass
 compares, not what is counted: inside each component every vector's links are
@@ -27,13 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.components import components
-from shopscope.llm.shared import written
+from shopscope.llm.shared import bitmap, written
+from shopscope.llm.shared import passes as passes_bitmap
 from shopscope.llm.vectors import matrix, unit, usable
 
 COSINE = 0.95
 WINDOW = 32
 BITS = 62
 MISS = 1e-4
+#: Places of the bitmap of crowded groups.
+CROWDED_BITS = 1 << 23
 #: Members that one task compares with as many others.
 BLOCK = 2000
 #: Rings by angle, over half a turn.
@@ -41,10 +47,14 @@ RINGS = 80
 SEED = 20
 
 
+def prefix_bits(n: int, window: int = WINDOW) -> int:
+    """Bits of a name that make a group: n evenly spread vectors fill half a window at most."""
+    return min(40, max(1, math.ceil(math.log2(max(n, 1) / window))) + 1)
+
+
 def passes_for(n: int, cosine: float = COSINE, window: int = WINDOW, miss: float = MISS) -> int:
     """Passes after which a pair at the threshold has been missed with probability ``miss``."""
-    bits = max(1.0, math.log2(max(n, 1) / window)) + 1
-    meet = (1 - math.acos(cosine) / math.pi) ** bits
+    meet = (1 - math.acos(cosine) / math.pi) ** prefix_bits(n, window)
     return max(4, math.ceil(math.log(miss) / math.log(1 - min(meet, 0.999))))
 
 
@@ -52,8 +62,11 @@ def _directions(dim: int, one_pass: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim, one_pass]).standard_normal((dim, BITS))
 
 
-def pass_names(vectors: DataFrame, passes: int) -> DataFrame:
-    """A row per vector and pass with its name in the pass."""
+def pass_names(vectors: DataFrame, passes: int, bits: int, crowded: np.ndarray | None = None, wide: bool = True) -> DataFrame:
+    """A row per vector and pass: its name in the pass, its group, and whether the bitmap ``crowded``
+    has the group; the vector if ``wide``, else only rows of such groups (all without a bitmap)."""
+    shared = vectors.sparkSession.sparkContext.broadcast(crowded)  # CROWDED_BITS
+    columns = ["pass", "dim", "key", "name", "group", "crowded", *(["v"] if wide else [])]
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(BITS, dtype=np.int64)[::-1]
@@ -65,12 +78,24 @@ def pass_names(vectors: DataFrame, passes: int) -> DataFrame:
                 for p in range(passes):
                     key = ((x @ _directions(dim, p)) > 0) @ weights
                     n = np.full(len(rows), p, dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(n), rows.column("dim"), pa.array(key), rows.column("name"), rows.column("v")], ["pass", "dim", "key", "name", "v"])
+                    # one number per pass and prefix (odd factors lose nothing), scattered for the bitmap
+                    group = (np.int64(p) << 42 | key >> (BITS - bits)).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    group = group.view(np.int64)
+                    full = passes_bitmap(shared.value, group) if shared.value is not None else np.ones(len(rows), dtype=bool)
+                    out = pa.RecordBatch.from_arrays([pa.array(n), rows.column("dim"), pa.array(key), rows.column("name"), pa.array(group), pa.array(full), *([rows.column("v")] if wide else [])], columns)
+                    yield out if wide else out.filter(pa.array(full))
+
+    kind = "pass int, dim int, key long, name long, group long, crowded boolean"
+    return vectors.select("name", "dim", "v").mapInArrow(names, kind + (f", v {dict(vectors.dtypes)['v']}" if wide else ""))
+
 
-    return vectors.select("name", "dim", "v").mapInArrow(names, "pass int, dim int, key long, name long, v array<float>" if dict(vectors.dtypes)["v"] == "array<float>" else "pass int, dim int, key long, name long, v array<double>")
+def crowded_groups(vectors: DataFrame, passes: int, bits: int, window: int = WINDOW) -> np.ndarray:
+    """Bitmap of the groups that a window doesn't hold."""
+    groups = pass_names(vectors, passes, bits, wide=False).groupBy("dim", "group").agg(F.count(F.lit(1)).alias("n"))
+    return bitmap(groups.filter(F.col("n") > window + 1).select("group"), "group", CROWDED_BITS)
 
 
-def window_links(named: DataFrame, cosine: float = COSINE, window: int = WINDOW) -> DataFrame:
+def window_links(named: DataFrame, bits: int, cosine: float = COSINE, window: int = WINDOW) -> DataFrame:
     """Links (a, b) that connect all pairs in each other's window with enough cosine. A pair is
     left out where links between direct neighbours already connect it."""
 
@@ -99,7 +124,64 @@ def window_links(named: DataFrame, cosine: float = COSINE, window: int = WINDOW)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(c))], ["a", "b"])
 
     order = ["pass", "dim", "key", "name"]
-    return named.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(links, "a long, b long").distinct()
+    # a group that the window holds is not cut by a border between tasks
+    first = F.expr(f"key - pmod(key, {1 << (BITS - bits)}L)")
+    borders = ["pass", "dim", F.when(F.col("crowded"), F.col("key")).otherwise(first), F.when(F.col("crowded"), F.col("name")).otherwise(F.lit(0))]
+    return named.repartitionByRange(*borders).sortWithinPartitions(*order).mapInArrow(links, "a long, b long").distinct()
+
+
+def _united(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j): links that connect what the symmetric matrix ``hit`` connects, one per row at most."""
+    seen = np.zeros(len(hit), dtype=bool)
+    i, j = [], []
+    for start in np.flatnonzero(hit.any(axis=1)).tolist():
+        if seen[start]:
+            continue
+        seen[start] = True
+        front = np.array([start])
+        while len(front):
+            front = np.flatnonzero(hit[front].any(axis=0) & ~seen)
+            seen[front] = True
+            i.append(np.full(len(front), start))
+            j.append(front)
+    flat = lambda xs: np.concatenate(xs) if xs else np.zeros(0, dtype=np.int64)
+    return flat(i), flat(j)
+
+
+def crowded_links(vectors: DataFrame, rows: DataFrame, labels: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """Links (a, b) that connect all pairs with enough cosine in groups (dim, group, name) of any size,
+    compared block by block, apart from groups within one component of ``labels`` (name, component)."""
+    rows = written(rows.join(labels, "name", "left").select("dim", "group", "name", F.coalesce("component", "name").alias("component")), "crowded")
+    groups = rows.groupBy("dim", "group").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    groups = groups.filter("lo != hi").select("dim", "group", F.ceil(F.col("n") / BLOCK).alias("subs"))
+    up_to = F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs") - 1)).alias("other")
+    placed = rows.join(groups, ["dim", "group"]).withColumn("sub", F.pmod(F.xxhash64("name"), F.col("subs")))
+    # each block meets each other one and itself
+    met = placed.select("dim", "group", "name", "sub", up_to)
+    pair = F.xxhash64("dim", "group", F.least("sub", "other"), F.greatest("sub", "other"))
+    met = met.select("name", "dim", "group", (F.col("sub") <= F.col("other")).alias("left"), (F.col("sub") == F.col("other")).alias("alone"), pair.alias("pair"))
+    met = met.join(vectors.select("name", "v"), "name")
+    tasks = max(1, rows.count() // BLOCK)
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks().sort_by("pair")
+        pairs, names = t.column("pair").to_numpy(), t.column("name").to_numpy()
+        left, alone = (t.column(c).to_numpy(zero_copy_only=False) for c in ("left", "alone"))
+        cuts = np.flatnonzero(pairs[1:] != pairs[:-1]) + 1
+        a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(t)]):
+            x = unit(matrix(t.column("v").slice(lo, hi - lo)))
+            hit = x @ x.T >= cosine
+            np.fill_diagonal(hit, False)
+            if not alone[lo]:
+                hit &= left[lo:hi, None] != left[None, lo:hi]
+            i, j = _united(hit)
+            a.append(names[lo:hi][i])
+            b.append(names[lo:hi][j])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    task = F.pmod(F.col("pair"), F.lit(tasks)).alias("task")
+    return met.select(task, "pair", "name", "left", "alone", "v").groupBy("task").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -185,8 +267,17 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     rows = rows.withColumn("name", F.when(usable(F.col("v")), F.xxhash64("v")))
     good = rows.filter("name is not null")
     distinct = written(good.groupBy("name").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("v").alias("v")).withColumn("dim", F.size("v")), "vectors")
-    links = written(window_links(pass_names(distinct, passes_for(distinct.count(), cosine)), cosine), "window-links")
+    n = distinct.count()
+    passes, bits = passes_for(n, cosine), prefix_bits(n)
+    crowded = crowded_groups(distinct, passes, bits)
+    links = written(window_links(pass_names(distinct, passes, bits, crowded), bits, cosine), "window-links")
     labels = written(components(links), "components").select(F.col("id").alias("name"), "component")
+    if crowded.any():
+        in_crowds = pass_names(distinct, passes, bits, crowded, wide=False)
+        more = written(crowded_links(distinct, in_crowds, labels, cosine), "crowded-links")
+        if not more.isEmpty():
+            united = labels.select(F.col("name").alias("a"), F.col("component").alias("b")).filter("a != b").union(more)
+            labels = written(components(united), "components").select(F.col("id").alias("name"), "component")
     members = distinct.join(labels, "name").select("component", "name", "dim", "v", "copies", "least")
     members = written(members, "component-members")
     least = members.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -135,3 +135,22 @@ def test_graph_walk_finds_the_nearest_centroids():
     want = np.argsort(((q[:, None] - c) ** 2).sum(2), axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b)) for a, b in zip(got.tolist(), want.tolist())]) >= 9
     assert (np.diff(d, axis=1) >= -1e-4).all()
+
+
+def _crowd(n, pairs, dim=64, near=0.9, cosine=0.955):
+    """Vectors of one topic that don't link, and among them pairs that do."""
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal(dim))
+    x = unit(rng.standard_normal((n, dim)))
+    x = math.sqrt(near) * centre + math.sqrt(1 - near) * unit(x - (x @ centre)[:, None] * centre)
+    side = unit(rng.standard_normal((pairs, dim)))
+    side = unit(side - (side * x[:pairs]).sum(1)[:, None] * x[:pairs])
+    return np.concatenate([x, cosine * x[:pairs] + math.sqrt(1 - cosine * cosine) * side])
+
+
+def test_sorted_passes_find_pairs_in_a_crowd(vectors):
+    rows = [(i, v) for i, v in enumerate(_crowd(2500, 200).astype(np.float32).tolist())]
+    got = sorted((tuple(r) for r in sp.near_vectors(vectors(rows)).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
+    want = _links(rows, 0.95)
+    assert sum(r[1] > 0 for r in want) >= 400 and got == want
