@@ -147,6 +147,22 @@ def _clear_of_base(spans: DataFrame, *group: str) -> DataFrame:
     return marked.filter(F.col("base") | clear).drop("b_end", "b_start")
 
 
+def _clear_of_kept(spans: DataFrame) -> DataFrame:
+    """Spans that overlap no earlier span that stays. Spans that overlap one after another form a
+    chain, which is gone through in order."""
+    columns = spans.columns
+    by = Window.partitionBy("row").orderBy("start", F.desc("end"), "kind_no")
+    until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    chained = spans.withColumn("fresh", F.coalesce((until <= F.col("start")).cast("int"), F.lit(1)))
+    chained = chained.withColumn("chain", F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rest = [c for c in columns if c not in ("row", "start", "end", "kind_no")]
+    one = F.struct("start", (-F.col("end")).alias("back"), "kind_no", "end", *rest)
+    chains = chained.groupBy("row", "chain").agg(F.array_sort(F.collect_list(one)).alias("s"))
+    last = lambda kept: F.get(kept, F.size(kept) - 1)["end"]
+    kept = F.aggregate(F.slice("s", 2, F.greatest(F.size("s"), F.lit(1))), F.slice("s", 1, 1), lambda kept, x: F.when(last(kept) <= x["start"], F.concat(kept, F.array(x))).otherwise(kept))
+    return chains.select("row", F.explode(kept).alias("x")).select("row", "x.*").select(*columns)
+
+
 def _tree(node, value) -> Column:
     """A regression tree of the fitted model as nested conditions."""
     if node.subtreeDepth() == 0:
@@ -199,9 +215,7 @@ def personal_data(docs: DataFrame, row: str | None = None) -> tuple[DataFrame, D
     extra = spans.filter("not base and valid = 1").withColumn("score", score).filter(F.col("score") >= limit).select("row", "kind", "kind_no", "start", "end", "base")
     # clear of base spans of any kind, and of each other: the earlier one stays
     extra = _clear_of_base(base.union(extra), "row").filter("not base")
-    earlier = Window.partitionBy("row").orderBy("start", F.desc("end"), "kind_no").rowsBetween(Window.unboundedPreceding, -1)
-    extra = extra.withColumn("until", F.max("end").over(earlier)).filter("until is null or until <= start").drop("until")
-    return rows, base.union(extra)
+    return rows, base.union(_clear_of_kept(extra))
 
 
 def _listed(spans: DataFrame) -> DataFrame:

@@ -197,3 +197,11 @@ def test_mixed_rows_meet_the_target_of_each_source(spark, docs):
         got[r.source] = got.get(r.source, 0) + len(r.text.split())
     for s, want in _targets(sizes).items():
         assert abs(got.get(s, 0) / want - 1) <= 0.05, (s, got.get(s, 0), want)
+
+
+def test_candidates_that_overlap_only_dropped_ones_stay(spark, docs):
+    docs([])
+    rows = [(1, "phone", 3, 0, 10, False), (1, "card", 2, 8, 20, False), (1, "phone", 3, 18, 30, False), (1, "ip", 1, 40, 44, False), (2, "ip", 1, 8, 20, False)]
+    spans = spark.createDataFrame(rows, "row long, kind string, kind_no int, start long, end long, base boolean")
+    got = sorted((r.row, r.start, r.end, r.kind) for r in pii._clear_of_kept(spans).collect())
+    assert got == [(1, 0, 10, "phone"), (1, 18, 30, "phone"), (1, 40, 44, "ip"), (2, 8, 20, "ip")]
