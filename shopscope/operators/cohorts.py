@@ -69,8 +69,11 @@ def cohort_retention_wide(clean: DataFrame | None, max_index: int, *,
                           matrix: DataFrame | None = None) -> DataFrame:
     """C-32 (wide form): one row per cohort, one column per cohort index
     0..max_index; missing cells null. The columns are given, not collected
-    from the data."""
+    from the data; an index beyond them is an error."""
+    index = F.col("cohort_index")
+    beyond = F.raise_error(F.concat(F.lit(f"cohort index above {max_index}: "), index.cast("string")))
     long = _matrix(clean, matrix)
+    long = long.withColumn("cohort_index", F.when(index > max_index, beyond.cast(long.schema["cohort_index"].dataType)).otherwise(index))
     return (long.groupBy("cohort_month").pivot("cohort_index", list(range(max_index + 1)))
                 .agg(F.max("retention_rate")))
 

@@ -147,3 +147,14 @@ def test_top_lists_keep_k_rows_with_an_orphan(star):
     full = reports.top_products(star.fact_sales, star.dim_product, 5).collect()
     without = star.dim_product.where(F.col("stock_code") != full[0].stock_code)
     assert [r.stock_code for r in reports.top_products(star.fact_sales, without, 5).collect()][:4] == [r.stock_code for r in full[1:]]
+
+
+def test_wide_cohorts_do_not_drop_late_activity(spark):
+    import pytest
+
+    from shopscope.operators.cohorts import cohort_retention_wide
+
+    matrix = spark.createDataFrame([("2020-01", 0, 1.0), ("2020-01", 2, 0.5)], "cohort_month string, cohort_index int, retention_rate double")
+    assert [tuple(r) for r in cohort_retention_wide(None, 2, matrix=matrix).collect()] == [("2020-01", 1.0, None, 0.5)]
+    with pytest.raises(Exception, match="cohort index above 1: 2"):
+        cohort_retention_wide(None, 1, matrix=matrix).collect()
