@@ -138,9 +138,109 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.x = e.vec_id) AS n_links,
 FROM embeddings e JOIN reached r ON r.x = e.vec_id GROUP BY e.vec_id
 """
 
+def _codes() -> str:
+    """Two rounds of nearest entries (distance, then index, in one number) and floored means; codes, errors."""
+    steps = ["""v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+)""", """p AS (
+  SELECT vec_id, part, x[part * w + 1:(part + 1) * w] AS x FROM (SELECT vec_id, x, len(x) // 16 AS w, unnest(range(16)) AS part FROM v)
+)""", """c0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x FROM p JOIN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 64) USING (vec_id)
+)"""]
+    for r in range(3):
+        steps.append(f"""a{r} AS (
+  SELECT p.vec_id, p.part, any_value(p.x) AS x, min(CAST(list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i]))) AS BIGINT) * 64 + c.e) AS k
+  FROM p JOIN c{r} c ON p.part = c.part GROUP BY p.vec_id, p.part
+)""")
+        if r < 2:
+            steps.append(f"""m{r} AS (
+  SELECT part, k % 64 AS e, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM (SELECT part, k, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY ALL
+)""")
+            steps.append(f"""c{r + 1} AS (
+  SELECT c.part, c.e, coalesce(m.x, c.x) AS x
+  FROM c{r} c LEFT JOIN (SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM m{r} GROUP BY part, e) m ON m.part = c.part AND m.e = c.e
+)""")
+    steps.append("""coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', CAST(k % 64 AS INTEGER))), '' ORDER BY part) AS code, CAST(sum(k // 64) AS BIGINT) AS error FROM a2 GROUP BY vec_id
+)""")
+    steps.append("""books AS (
+  SELECT sha256(string_agg(CAST(value AS VARCHAR), ',' ORDER BY part, e, i)) AS codebooks_sha256
+  FROM (SELECT part, e, unnest(x) AS value, generate_subscripts(x, 1) AS i FROM c2)
+)""")
+    return "WITH " + ", ".join(steps) + """
+SELECT v.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN coded USING (vec_id), books
+"""
+
+
+# crc32 of a text's bytes, one byte after another, with the table that the polynomial gives.
+_RESAMPLING = """
+WITH RECURSIVE steps AS (
+  SELECT range AS byte, CAST(range AS BIGINT) AS c, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8
+), crc AS (SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8),
+w AS (
+  SELECT 'd' AS part, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark
+), runs AS (
+  SELECT part, id, array_to_string(words[i:i + k - 1], ' ') AS feature
+  FROM (SELECT part, id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS r(k) WHERE len(words) >= k)
+), counted AS (SELECT part, id, feature, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT feature, CAST(concat('0x', substr(x, 2 * i + 1, 2)) AS BIGINT) AS b, i, length(x) // 2 AS n
+  FROM (SELECT feature, hex(encode(feature)) AS x, unnest(range(length(hex(encode(feature))) // 2)) AS i FROM (SELECT DISTINCT feature FROM counted))
+), hashed AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295, list(b ORDER BY i)), lambda c, x: xor(c // 256, t[CAST(xor(c % 256, x) AS BIGINT) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, crc GROUP BY feature, t
+), per AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE part = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE part = 'b'), 0) AS t
+  FROM counted JOIN hashed USING (feature) GROUP BY bucket
+), gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((t::DOUBLE + 1) * ((SELECT sum(s) FROM per)::DOUBLE + 10000) / ((s::DOUBLE + 1) * ((SELECT sum(t) FROM per)::DOUBLE + 10000)))) AS BIGINT) AS g FROM per
+), weighed AS (
+  SELECT id, sum(n) AS n_features, sum(n * g) AS weight FROM counted JOIN hashed USING (feature) JOIN gain USING (bucket) WHERE part = 'd' GROUP BY id
+), scored AS (
+  SELECT w.id AS doc_id, len(w.words) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(floor(-1000 * ln(-ln((CAST(concat('0x', substr(sha256(concat('42:', w.id)), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS noise
+  FROM w LEFT JOIN weighed x ON x.id = w.id WHERE w.part = 'd'
+), ranked AS (
+  SELECT doc_id, n_features, weight, weight + noise AS score, n_words,
+         row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+_PHRASES = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS content
+  FROM (SELECT item_id, words, least(len(words), 10) AS n, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)
+), runs AS (
+  SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS content
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)
+), found AS (SELECT r.doc_id, r.i, r.n, w.item_id FROM runs r JOIN windows w ON r.n = w.n AND r.content = w.content),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS at_word FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_ngram_jaccard_join": _NGRAMS,
     "op6_recompression": _REPEATS,
     "op9_sorted_projection_passes": _VECTORS,
     "op10_source_mixing": _mixing(),
+    "op11_vector_codes": _codes(),
+    "op12_importance_resampling": _RESAMPLING,
+    "op13_phrase_index": _PHRASES,
 }

@@ -40,6 +40,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def removed(spark: SparkSession, at: str) -> None:
+    """Delete a folder that this run has written and nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)  # noqa: SLF001 - Hadoop FileSystem through the public gateway
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the frame doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -41,6 +41,23 @@ def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return words.filter(pa.array(real)).dictionary_encode(), before[bounds - bounds[0]]
 
 
+# A-Z become a-z, every other ASCII character but digits and a-z ends a word.
+_ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+def alnum_texts(texts: pa.Array) -> pa.Array:
+    """The texts with A-Z as a-z and a space for every ASCII character that is neither letter nor digit:
+    what is left between white space are the words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. Null: empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not len(texts):
+        return texts
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    # all bytes of a character beyond ASCII are 128 or more, so bytes can be judged one by one
+    plain = data.slice(ends[0], ends[-1] - ends[0]).to_pybytes().translate(_ALNUM) if data is not None else b""
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends - ends[0]), pa.py_buffer(plain))
+
+
 def word_names(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(name of every word, bounds); ``lower``: A-Z count as a-z."""
     words, bounds = words_of(texts)
@@ -64,11 +81,11 @@ def window_names(names: np.ndarray, k: int) -> np.ndarray:
 WORD_BATCH_BYTES = 4_000_000
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = WORD_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Record batches cut into runs of bounded text bytes."""
     for b in batches:
         done = 0
-        for texts in batches_by_bytes(b.column(column), WORD_BATCH_BYTES):
+        for texts in batches_by_bytes(b.column(column), limit):
             yield b.slice(done, len(texts))
             done += len(texts)
             pa.default_memory_pool().release_unused()
