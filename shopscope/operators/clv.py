@@ -3,19 +3,22 @@
 CLV = AOV x orders x (lifespan_years + 1), with AOV = revenue / orders
 (2 places), lifespan in whole elapsed days between first and last line,
 years = days / 365 (4 places); all exact decimals, half-even.
-Medians are exact: the mean of the two middle values read from the
-(bucketed) global order, grouped medians from per-group positions.
+Medians are exact: the mean of the two middle values, which
+``plans.selection`` finds by counting, without an order of the customers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.functions.calendar import elapsed_days
 from shopscope.functions.exact import money_even, ratio
-from shopscope.operators.rfm import customer_orders
-from shopscope.plans.ordering import global_order, quantile_edges
+from shopscope.operators.rfm import SEGMENTS, customer_orders
+from shopscope.plans.ordering import durable
+from shopscope.plans.selection import medians, quantiles
 from shopscope.plans.summary import in_order, one_row
 
 HIST_BINS = 50
@@ -38,12 +41,12 @@ def customer_clv(clean: DataFrame) -> DataFrame:
     return per.withColumn("clv", money_even(clv))
 
 
-def _median(df: DataFrame, value: str, key: str) -> DataFrame:
-    """One row ``median`` (exact, 3 places) of ``value``."""
-    o = global_order(df.select(value, key), [(value, True), (key, True)])
-    o = o.withColumn("_n", df.select(F.count(F.lit(1))).scalar())
-    mid = o.where(F.expr("_rn = (_n + 1) div 2 OR _rn = _n div 2 + 1"))
-    return mid.agg(ratio(f"sum({value})", "count(1)", 3, num_scale=2, half_even=True).alias("median"))
+def _mean(middle: tuple[object, int] | None, places: int) -> Column:
+    """The mean of the middle values, given as (sum, number); null where there are none."""
+    if middle is None:
+        return F.lit(None).cast(f"decimal(38,{places})")
+    total, n = middle
+    return ratio(f"CAST('{total}' AS DECIMAL(38,2))", f"CAST({n} AS BIGINT)", places, num_scale=2, half_even=True)
 
 
 def clv_stats(clv: DataFrame) -> DataFrame:
@@ -59,23 +62,13 @@ def clv_stats(clv: DataFrame) -> DataFrame:
                  "min_clv", "max_clv",
                  ratio("total_clv", "customers", 2, num_scale=2, half_even=True).alias("mean_clv"),
                  "total_clv")
-    return one_row(a, _median(clv, "clv", "customer_id").withColumnRenamed("median", "median_clv"))
+    return a.withColumn("median_clv", _mean(medians(clv, {"clv": F.col("clv")})["clv"], 3))
 
 
-def grouped_median(df: DataFrame, group: str, value: str, key: str) -> DataFrame:
-    """Exact median of ``value`` per ``group`` (2 places): positions inside
-    each group come from the global order on (group, value, key), so a group
-    holding a third of the rows is still spread over many tasks."""
-    o = global_order(df.select(group, value, key), [(group, True), (value, True), (key, True)])
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_gn"))
-    starts = sizes.withColumn("_gstart", F.coalesce(F.sum("_gn").over(
-        Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per group: AQE broadcasts it when its measured size is small
-    # (a handful of segments), and falls back to a sort-merge join otherwise
-    pos = o.join(starts, group).withColumn("_p", F.col("_rn") - F.col("_gstart"))
-    mid = pos.where((F.col("_p") == F.expr("(_gn + 1) div 2")) | (F.col("_p") == F.expr("_gn div 2 + 1")))
-    return mid.groupBy(group).agg(
-        ratio(f"sum({value})", "count(1)", 2, num_scale=2, half_even=True).alias("median"))
+def grouped_medians(df: DataFrame, group: str, groups: Sequence[str], value: str) -> dict[str, tuple[object, int] | None]:
+    """(sum, number) of the middle values of ``value`` in each of a fixed list of groups, all in the same
+    passes; a group with a third of the rows is counted like any other."""
+    return medians(df, {g: F.when(F.col(group) == g, F.col(value)) for g in groups})
 
 
 @in_order("-avg_clv", "segment")
@@ -85,14 +78,17 @@ def clv_by_segment(clv: DataFrame, rfm: DataFrame) -> DataFrame:
     # customers without a segment fall out of the grouping (as in a pandas groupby)
     j = (clv.join(rfm.select("customer_id", "segment"), "customer_id", "left")
             .where(F.col("segment").isNotNull()))
+    j = durable(j.select("segment", "clv", "lifespan_days", "total_orders"))  # read by every counting pass
     g = j.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"), F.sum("clv").alias("total_clv"),
         F.sum("lifespan_days").alias("_days"), F.sum("total_orders").alias("_ord"))
-    med = grouped_median(j, "segment", "clv", "customer_id")
-    return g.join(med, "segment", "left").select(
+    median = F.lit(None).cast("decimal(38,2)")
+    for segment, middle in grouped_medians(j, "segment", SEGMENTS, "clv").items():
+        median = F.when(F.col("segment") == segment, _mean(middle, 2)).otherwise(median)
+    return g.select(
         "segment", "customer_count",
         ratio("total_clv", "customer_count", 2, num_scale=2, half_even=True).alias("avg_clv"),
-        F.col("median").alias("median_clv"), "total_clv",
+        median.alias("median_clv"), "total_clv",
         ratio("_days", "customer_count", 2, half_even=True).alias("avg_lifespan_days"),
         ratio("_ord", "customer_count", 2, half_even=True).alias("avg_orders"))
 
@@ -119,8 +115,8 @@ def clv_histogram(clv: DataFrame) -> DataFrame:
     """C-54: 50 equal-width bins of CLV over the customers at or below the
     95th percentile; the last bin is closed. Bin = floor((x - lo) * 50 /
     (hi - lo)) in exact integer arithmetic."""
-    p95 = quantile_edges(clv, "clv", "customer_id", [HIST_QUANTILE])
-    kept = clv.where(F.col("clv").cast("double") <= p95.select(F.col("edges")[0]).scalar()).select("clv")
+    p95 = quantiles(clv, {"clv": [HIST_QUANTILE]})["clv"][0]
+    kept = clv.where(F.col("clv").cast("double") <= F.lit(p95)).select("clv")
     b = (kept.withColumn("lo", kept.select(F.min("clv")).scalar())
              .withColumn("hi", kept.select(F.max("clv")).scalar())).withColumn(
         "bin", F.expr(f"""CASE WHEN hi = lo THEN 0 ELSE least({HIST_BINS - 1},

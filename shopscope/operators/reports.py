@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.calendar import month_label, month_ordinal, ordinal_label
 from shopscope.functions.exact import money, ratio
-from shopscope.plans.ordering import global_order
+from shopscope.plans.selection import Rank, at_ranks
 from shopscope.plans.summary import in_order
 
 RFM_COLUMNS = ["customer_id", "recency", "frequency", "monetary", "r_score", "f_score",
@@ -363,10 +363,14 @@ def customer_percentile(rfm: DataFrame, k: int = 20) -> DataFrame:
 @in_order("decile")
 def revenue_by_decile(rfm: DataFrame) -> DataFrame:
     """Customers and revenue per NTILE(10) decile of monetary (descending,
-    ties by customer id), over all customers (bucketed global order)."""
-    o = global_order(rfm.select("customer_id", "monetary"), [("monetary", False), ("customer_id", True)])
-    o = o.withColumn("_n", rfm.select(F.count(F.lit(1))).scalar())
-    d = o.withColumn("decile", F.expr(_ntile("_rn", "_n", 10)).cast("bigint"))
+    ties by customer id), over all customers: the last customers of nine
+    deciles are found by counting, then one conditional aggregate sums."""
+    def last(k: int) -> Rank:
+        return Rank(k / 10, lambda n: [k * (n // 10) + min(k, n % 10)])
+
+    borders = at_ranks(rfm, "monetary", "customer_id", [last(k) for k in range(1, 10)], descending=True)[1]
+    beyond = [(F.col("monetary") < m) | ((F.col("monetary") == m) & (F.col("customer_id") > c)) for m, c in borders]
+    d = rfm.withColumn("decile", sum([F.when(b, 1).otherwise(0) for b in beyond], F.lit(1)).cast("bigint"))
     return d.groupBy("decile").agg(F.count(F.lit(1)).alias("customers"),
                                    money(F.sum("monetary")).alias("total_revenue"))
 

@@ -6,17 +6,22 @@ Scores follow the equal-frequency (quintile) binning rule:
     (right-closed bins, ties share a bin). R = 5 - bin, M = 1 + bin.
   * frequency: binned on its row number rk in (frequency, customer_id)
     order, which gives F = max(1, ceil(5 (rk - 1) / (n - 1))).
+Both need only the values (the rows, for frequency) at four places, which
+``plans.selection`` finds by counting; a row is then scored by comparison.
 Segments are one CASE expression (first matching rule wins) - no Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope import schemas
 from shopscope.functions.exact import money_even, ratio
-from shopscope.plans.ordering import durable, global_order, quantile_edges
+from shopscope.plans.ordering import durable
+from shopscope.plans.selection import Rank, at_ranks, order_statistics, quantiles
 from shopscope.plans.summary import in_order
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
@@ -68,28 +73,32 @@ def rfm_base(clean: DataFrame) -> DataFrame:
                     money_even("_rev", 2, 18).alias("monetary")))
 
 
-def _bin(value: Column, edges: Column) -> Column:
+def _bin(value: Column, edges: Sequence[float | None]) -> Column:
     """Number of quantile edges strictly below ``value`` (0..4)."""
     v = value.cast("double")
-    return sum(F.when(edges[i] < v, 1).otherwise(0) for i in range(len(QUINTILES)))
+    return sum(F.when(F.lit(e) < v, 1).otherwise(0) for e in edges)
+
+
+def _frequency_borders(base: DataFrame) -> list[tuple[int, int]]:
+    """(frequency, customer_id) of the last row of each of the four lower frequency scores."""
+    def last(k: int) -> Rank:
+        return Rank(k / 5, lambda n: [k * (n - 1) // 5 + 1])
+
+    return at_ranks(base, "frequency", "customer_id", [last(k) for k in (1, 2, 3, 4)])[1]
 
 
 def rfm_scores(base: DataFrame) -> DataFrame:
     """C-21: add r_score, f_score, m_score, rfm_score, rfm_total."""
-    # the per-customer table feeds two quantile jobs and the ordering:
-    # materialise it once instead of re-aggregating the lines
+    # the per-customer table is counted several times: materialise it once
+    # instead of re-aggregating the lines
     base = durable(base.select("customer_id", "recency", "frequency", "monetary"))
-    r_edges = quantile_edges(base, "recency", "customer_id", QUINTILES)
-    m_edges = quantile_edges(base, "monetary", "customer_id", QUINTILES)
-    ranked = global_order(base, [("frequency", True), ("customer_id", True)])
-    f_score = (F.when(F.col("_n") <= 1, F.lit(1)).otherwise(
-        F.greatest(F.lit(1), F.expr("((_rn - 1) * 5 + _n - 2) div greatest(_n - 1, 1)")))).cast("int")
-    scored = (ranked.withColumn("_n", base.select(F.count(F.lit(1))).scalar()).withColumn("_re", r_edges.select("edges").scalar())
-                    .withColumn("_me", m_edges.select("edges").scalar())).select(
+    edges = quantiles(base, {"recency": QUINTILES, "monetary": QUINTILES})
+    beyond = [(F.col("frequency") > f) | ((F.col("frequency") == f) & (F.col("customer_id") > c)) for f, c in _frequency_borders(base)]
+    scored = base.select(
         "customer_id", "recency", "frequency", "monetary",
-        (F.lit(5) - _bin(F.col("recency"), F.col("_re"))).cast("int").alias("r_score"),
-        f_score.alias("f_score"),
-        (F.lit(1) + _bin(F.col("monetary"), F.col("_me"))).cast("int").alias("m_score"))
+        (F.lit(5) - _bin(F.col("recency"), edges["recency"])).cast("int").alias("r_score"),
+        sum([F.when(b, 1).otherwise(0) for b in beyond], F.lit(1)).cast("int").alias("f_score"),
+        (F.lit(1) + _bin(F.col("monetary"), edges["monetary"])).cast("int").alias("m_score"))
     return scored.select(
         "*",
         F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"),
@@ -147,38 +156,33 @@ def rfm_describe(rfm: DataFrame) -> DataFrame:
     """C-25: count, mean, sample std, min, quartiles, max of the R/F/M values
     and scores, one row per measure.
 
-    The table is stacked to (measure, value) and counted per distinct value
-    map-side, which leaves a few rows for scores, recency and frequency and
-    at most one per customer for monetary. Quartiles are exact (linear
-    interpolation at (n - 1) p, in decimals): the two neighbouring values
-    are those whose running count first reaches their position, read from
-    the global order of (measure, value).
+    Each measure is one set of exact sums of a single aggregate. Quartiles are
+    exact (linear interpolation at (n - 1) p, in decimals) between the two
+    neighbouring values, which counting passes find for all measures together.
     """
     dec = "decimal(38,4)"
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("no"), F.col(m).cast(dec).alias("v"))
-                                for i, m in enumerate(DESCRIBE_MEASURES)])).alias("p")
-    counted = (rfm.select(pairs).select("p.no", "p.v").where("v IS NOT NULL")
-               .groupBy("no", "v").agg(F.count(F.lit(1)).alias("c")))
-    ordered = global_order(counted, [("no", True), ("v", True)], running="c")
-    sums = counted.groupBy("no").agg(
-        F.sum("c").alias("_n"), F.sum(F.col("v") * F.col("c")).cast(dec).alias("_s"),
-        F.sum(F.col("v") * F.col("v") * F.col("c")).alias("_q"), F.min("v").alias("min"), F.max("v").alias("max"))
-    before = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, -1)  # six rows
-    sums = sums.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    at = (ordered.join(F.broadcast(sums.select("no", "_n", "_start")), "no")
-                 .withColumn("_to", F.col("_cum") - F.col("_start")).withColumn("_from", F.expr("_to - c")))
-    holds = lambda place: (F.expr("_from") < place) & (F.col("_to") >= place)
-    picked = []
-    for k in (1, 2, 3):
-        lo, hi = F.expr(f"((_n - 1) * {k}) div 4 + 1"), F.expr(f"((_n - 1) * {k} + 3) div 4 + 1")
-        picked += [F.max(F.when(holds(lo), F.col("v"))).alias(f"_lo{k}"), F.max(F.when(holds(hi), F.col("v"))).alias(f"_hi{k}")]
-    quart = at.groupBy("no").agg(*picked)
+    values = {m: F.col(m).cast(dec) for m in DESCRIBE_MEASURES}
+    aggs = []
+    for i, v in enumerate(values.values()):
+        # squares counted per value would need a shuffle of all values; sums of squares need none
+        aggs += [F.count(v).alias(f"n{i}"), F.sum(v).cast(dec).alias(f"s{i}"), F.sum(v * v).alias(f"q{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}")]
+    stack = ", ".join(f"{i}, n{i}, s{i}, q{i}, a{i}, z{i}" for i in range(len(values)))
+    sums = rfm.agg(*aggs).selectExpr(f"stack({len(values)}, {stack}) AS (no, _n, _s, _q, min, max)").where("_n > 0")
+    places = {k: Rank(k / 4, lambda n, k=k: sorted({(n - 1) * k // 4 + 1, ((n - 1) * k + 3) // 4 + 1})) for k in (1, 2, 3)}
+    found = order_statistics(rfm, {m: (v, list(places.values())) for m, v in values.items()})
 
     def quartile(k: int) -> Column:
-        part = F.expr(f"((_n - 1) * {k}) % 4").cast("decimal(2,0)") * F.lit("0.25").cast("decimal(3,2)")
-        return (F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * part).cast(dec).alias(f"p{25 * k}")
-
-    return (sums.join(quart, "no").orderBy("no").select(
+        out = F.lit(None).cast(dec)
+        for i, m in enumerate(DESCRIBE_MEASURES):
+            n, at = found[m]
+            if at:
+                at = [at[k - 1][r].value for r in places[k].of(n)]
+                part = F.lit((n - 1) * k % 4).cast("decimal(2,0)") * F.lit("0.25").cast("decimal(3,2)")
+                lo, hi = F.lit(at[0]).cast(dec), F.lit(at[-1]).cast(dec)
+                out = F.when(F.col("no") == i, (lo + (hi - lo) * part).cast(dec)).otherwise(out)
+        return out.alias(f"p{25 * k}")
+
+    return (sums.orderBy("no").select(
         F.element_at(F.array(*map(F.lit, DESCRIBE_MEASURES)), F.col("no") + 1).alias("measure"), F.col("_n").alias("count"),
         ratio("_s", "_n", 6, num_scale=4, half_even=True).alias("mean"),
         F.expr(std_sql("_n", "_s", "_q")).alias("std"),

@@ -1,5 +1,6 @@
 """Skew-safe global ordering: row number and running sum over a total order,
-and exact quantiles, without funnelling all rows through one task.
+without funnelling all rows through one task. (Values at a few ranks need no
+order at all: see ``selection``.)
 
 A window with ORDER BY and no PARTITION BY runs in a single task. That is
 fine for a few hundred months or countries, not for customers, products or
@@ -25,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopscope.plans.selection import quantiles
 from shopscope.session import ensure_checkpoint_dir
 
 BUCKETS_CONF = "shopscope.ordering.buckets"
@@ -89,28 +91,6 @@ def global_order(df: DataFrame, order: Order, *, running: str | None = None) ->
 
 def quantile_edges(df: DataFrame, value: str, tiebreak: str, qs: Sequence[float]) -> DataFrame:
     """One row with column ``edges`` (array<double>): exact quantiles of
-    ``value`` at ``qs`` with linear interpolation between closest ranks
-    (the rule of pandas' default and of SQL percentile_cont).
-
-    An exact ``percentile`` aggregate would hold a value->count map of every
-    distinct value in one task; this reads the two neighbouring values at
-    position (n-1)q from the global order instead.
-    """
-    ordered = global_order(df.select(value, tiebreak), [(value, True), (tiebreak, True)])
-    last = ordered.select(F.max("_rn") - 1).scalar()
-    at = ordered.withColumn("_last", last)
-    places = [(F.col("_last") * F.lit(q)) for q in qs]
-    near = [(F.floor(p).cast("bigint"), F.ceil(p).cast("bigint")) for p in places]
-    wanted = F.lit(False)
-    for lo, hi in near:
-        wanted = wanted | (F.col("_rn") - 1 == lo) | (F.col("_rn") - 1 == hi)
-    v = F.col(value).cast("double")
-    cols = [F.max("_last").alias("_last")]
-    for i, (lo, hi) in enumerate(near):
-        cols += [F.max(F.when(F.col("_rn") - 1 == lo, v)).alias(f"_lo{i}"), F.max(F.when(F.col("_rn") - 1 == hi, v)).alias(f"_hi{i}")]
-    row = at.where(wanted).agg(*cols)
-    parts = []
-    for i, ((lo, hi), p) in enumerate(zip(near, places)):
-        a, b = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        parts.append(F.when(a == b, a).otherwise((hi - p) * a + (p - lo) * b))
-    return row.select(F.array(*parts).alias("edges"))
+    ``value`` at ``qs``, see ``selection.quantiles``. Equal values are equal
+    quantiles, so ``tiebreak`` plays no part."""
+    return df.sparkSession.createDataFrame([(quantiles(df, {value: qs})[value],)], "edges array<double>")
