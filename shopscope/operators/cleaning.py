@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopscope import schemas
 from shopscope.functions.exact import money, ratio
+from shopscope.plans.marks import counted_rows
 from shopscope.plans.summary import one_row
 
 # Funnel step names and order, and the near-zero revenue floor.
@@ -58,12 +59,12 @@ def classify(raw: DataFrame) -> DataFrame:
     """Distinct raw rows with their number of ``copies`` and the ``step_no``
     of the first cleaning rule they fail (7 = kept).
 
-    This is the single whole-row de-duplication of the workflow (one
-    shuffle, copies collapse map-side); the clean table, the funnel, the
-    duplicate count and the pre-floor statistics all derive from it.
+    This is the single whole-row de-duplication of the workflow; the clean
+    table, the funnel, the duplicate count and the pre-floor statistics all
+    derive from it. Only rows whose fingerprint repeats are shuffled whole
+    (``plans.marks``), the others go straight on.
     """
-    counted = raw.groupBy(*[f.name for f in schemas.RAW_SALES.fields]).agg(
-        F.count(F.lit(1)).alias("copies"))
+    counted = counted_rows(raw, [f.name for f in schemas.RAW_SALES.fields])
     return counted.withColumn("step_no", first_failing_step(counted))
 
 

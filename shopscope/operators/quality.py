@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shopscope.functions.calendar import elapsed_days
 from shopscope.functions.exact import ratio
 from shopscope.operators.cleaning import is_cancellation
+from shopscope.plans.marks import repeated_rows
 
 # Audit rule names in report order.
 RULES = ["null_customer", "cancellation", "negative_quantity", "non_positive_price",
@@ -60,8 +61,7 @@ def dq_rule_counts(raw: DataFrame, classified: DataFrame | None = None) -> DataF
     """C-02: rows matching each rule, counted independently on raw rows.
     ``classified`` (distinct rows, see ``cleaning.classify``) avoids a second
     de-duplication when it is already materialised."""
-    distinct_rows = (classified if classified is not None else raw.dropDuplicates()) \
-        .select(F.count(F.lit(1))).scalar()
+    again = dq_duplicates(raw, classified).select(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).scalar()
     agg = raw.agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col("customer_id").isNull()).alias("null_customer"),
@@ -70,7 +70,7 @@ def dq_rule_counts(raw: DataFrame, classified: DataFrame | None = None) -> DataF
         F.count_if(F.col("price") <= 0).alias("non_positive_price"),
         F.count_if(_suspicious(raw)).alias("negative_quantity_without_c"),
         F.count_if(F.col("description").isNull()).alias("null_description"),
-    ).withColumn("duplicate_rows", F.col("_n") - distinct_rows)
+    ).withColumn("duplicate_rows", again.cast("bigint"))
     stack = ", ".join(f"'{r}', {i}, {r}" for i, r in enumerate(RULES))
     long = agg.selectExpr("_n", f"stack({len(RULES)}, {stack}) AS (rule, rule_no, rows)")
     return long.select("rule_no", "rule", F.col("rows").cast("bigint").alias("rows"),
@@ -79,9 +79,9 @@ def dq_rule_counts(raw: DataFrame, classified: DataFrame | None = None) -> DataF
 
 def dq_duplicates(raw: DataFrame, classified: DataFrame | None = None) -> DataFrame:
     """C-03: every duplicated raw row with its number of copies
-    (copies - 1 of them are removed by de-duplication)."""
-    g = (classified.drop("step_no") if classified is not None else
-         raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("copies")))
+    (copies - 1 of them are removed by de-duplication). From raw rows, only
+    those whose fingerprint repeats are shuffled."""
+    g = classified.drop("step_no") if classified is not None else repeated_rows(raw, raw.columns)[1]
     return g.where(F.col("copies") > 1)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import money_even, ratio
+from shopscope.plans.marks import first_rows
 from shopscope.plans.ordering import durable, global_order
 from shopscope.plans.star import FIRST_ORDER
 from shopscope.plans.summary import one_row
@@ -102,12 +103,12 @@ def customer_revenue(clean: DataFrame) -> DataFrame:
 
 def product_revenue(clean: DataFrame) -> DataFrame:
     """Per stock code: revenue, units and the first non-null description."""
-    first = F.min_by(F.col("description"),
-                     F.when(F.col("description").isNotNull(), F.struct(*[F.col(c) for c in FIRST_ORDER])))
-    return clean.groupBy("stock_code").agg(
+    sums = clean.groupBy("stock_code").agg(
         F.sum("revenue").cast("decimal(38,4)").alias("revenue"),
-        F.sum("quantity").cast("bigint").alias("quantity"),
-        first.alias("description"))
+        F.sum("quantity").cast("bigint").alias("quantity"))
+    first = first_rows(clean.where("description is not null"), "stock_code", "description", FIRST_ORDER)
+    on = F.col("s.stock_code").eqNullSafe(F.col("f.stock_code"))
+    return sums.alias("s").join(first.alias("f"), on, "left").select("s.stock_code", "revenue", "quantity", "description")
 
 
 def customer_pareto(clean: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ semantics make a re-run idempotent.
 
 "First" (dimension attributes) is defined by a total order, not by file
 order: (invoice_ts, invoice, stock_code, quantity, price, country,
-description), nulls first. It is computed with ``min_by``, an aggregate with
-map-side combine, so a customer or product holding a third of all lines does
-not land in one task the way a keyed window would.
+description), nulls first. The earliest time per key is a hash aggregate with
+map-side combine; only lines of that time meet the full order
+(``plans.marks.first_rows``), so a customer or product holding a third of all
+lines does not land in one task the way a keyed window would.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from shopscope import schemas
 from shopscope.functions.calendar import is_q4
 from shopscope.operators import cleaning, rfm
+from shopscope.plans.marks import first_rows
 from shopscope.plans.ordering import global_order
 from shopscope.session import checkpoint_dir
 
@@ -37,18 +39,12 @@ SALE_ORDER = ["invoice_ts", "invoice", "stock_code", "quantity", "price", "custo
               "country", "description"]
 
 
-def _first_key():
-    return F.struct(*[F.col(c) for c in FIRST_ORDER])
-
-
 def dim_customer(clean: DataFrame) -> DataFrame:
-    return (clean.groupBy("customer_id")
-                 .agg(F.min_by("country", _first_key()).alias("country")))
+    return first_rows(clean, "customer_id", "country", FIRST_ORDER)
 
 
 def dim_product(clean: DataFrame) -> DataFrame:
-    return (clean.groupBy("stock_code")
-                 .agg(F.min_by("description", _first_key()).alias("description")))
+    return first_rows(clean, "stock_code", "description", FIRST_ORDER)
 
 
 def date_attributes(date_col: str = "date_id") -> list:
