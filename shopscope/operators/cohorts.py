@@ -4,28 +4,31 @@ The long form (cohort month, cohort index, customers, rate) is canonical;
 the wide matrix is an explicit-values pivot of it. Averages "over cohorts"
 skip missing cells, i.e. they average the rates that exist.
 
-Plan: distinct (customer, month) first - a customer contributes at most one
-row per calendar month - then the cohort month is a window minimum keyed by
-customer (bounded by the calendar, so a heavy customer is no skew risk).
+Plan: one bitset of active months per customer (``operators.activity``), the
+only shuffle that lines take part in; cohort cells are read off the bitsets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import ratio
+from shopscope.operators.activity import active_months, activity, cohort_cells
 from shopscope.plans.summary import one_row
 
 MILESTONES = [1, 3, 6, 12]
 
 
-def cohort_assign(clean: DataFrame) -> DataFrame:
+def _bitsets(clean: DataFrame | None, bitsets: DataFrame | None) -> DataFrame:
+    return bitsets if bitsets is not None else activity(clean, month_ordinal(F.col("invoice_ts")))
+
+
+def cohort_assign(clean: DataFrame, *, bitsets: DataFrame | None = None) -> DataFrame:
     """C-30: every line with invoice month, cohort month and cohort index."""
-    mo = month_ordinal(F.col("invoice_ts"))
-    lines = clean.withColumn("_mo", mo)
-    first = lines.groupBy("customer_id").agg(F.min("_mo").alias("_cmo"))
+    lines = clean.withColumn("_mo", month_ordinal(F.col("invoice_ts")))
+    first = active_months(_bitsets(clean, bitsets)).select("customer_id", F.col("cohort_mo").alias("_cmo"))
     out = lines.join(first, "customer_id")
     return out.select("invoice", "stock_code", "customer_id", "invoice_ts",
                       ordinal_label(F.col("_mo")).alias("invoice_month"),
@@ -33,28 +36,21 @@ def cohort_assign(clean: DataFrame) -> DataFrame:
                       (F.col("_mo") - F.col("_cmo")).cast("int").alias("cohort_index"))
 
 
-def _customer_months(clean: DataFrame) -> DataFrame:
-    act = clean.select("customer_id", month_ordinal(F.col("invoice_ts")).alias("_mo")).distinct()
-    return act.withColumn("_cmo", F.min("_mo").over(Window.partitionBy("customer_id")))
-
-
-def cohort_counts(clean: DataFrame) -> DataFrame:
+def cohort_counts(clean: DataFrame | None, *, bitsets: DataFrame | None = None) -> DataFrame:
     """C-31: distinct customers by (cohort month, cohort index)."""
-    return _cohort_counts(clean).drop("_cmo")
+    return _cohort_counts(clean, bitsets).drop("_cmo")
 
 
-def _cohort_counts(clean: DataFrame) -> DataFrame:
-    cm = _customer_months(clean)
-    g = cm.groupBy("_cmo", (F.col("_mo") - F.col("_cmo")).alias("cohort_index")).agg(
-        F.count(F.lit(1)).alias("customers"))
-    return g.select(ordinal_label(F.col("_cmo")).alias("cohort_month"),
-                    F.col("cohort_index").cast("int").alias("cohort_index"), "customers", "_cmo")
+def _cohort_counts(clean: DataFrame | None, bitsets: DataFrame | None) -> DataFrame:
+    g = cohort_cells(_bitsets(clean, bitsets))
+    return g.select(ordinal_label(F.col("cohort_mo")).alias("cohort_month"),
+                    F.col("cohort_index").cast("int").alias("cohort_index"), "customers", F.col("cohort_mo").alias("_cmo"))
 
 
-def cohort_retention_matrix(clean: DataFrame) -> DataFrame:
+def cohort_retention_matrix(clean: DataFrame | None, *, bitsets: DataFrame | None = None) -> DataFrame:
     """C-32 (long form): customers / cohort size, 3 places half-even.
     Cells that do not exist stay absent (the wide form shows them as null)."""
-    c = _cohort_counts(clean)
+    c = _cohort_counts(clean, bitsets)
     size = c.where(F.col("cohort_index") == 0).select("_cmo", F.col("customers").alias("cohort_size"))
     return (c.join(size, "_cmo")
              .select("cohort_month", "cohort_index", "customers", "cohort_size",
@@ -65,15 +61,24 @@ def _matrix(clean: DataFrame | None, matrix: DataFrame | None) -> DataFrame:
     return matrix if matrix is not None else cohort_retention_matrix(clean)
 
 
-def cohort_retention_wide(clean: DataFrame | None, max_index: int, *,
+def _months_spanned(matrix: DataFrame) -> int:
+    """Months from the first cohort to the last activity, from one aggregate over the cells."""
+    cohort = F.substring("cohort_month", 1, 4).cast("int") * 12 + F.substring("cohort_month", 6, 2).cast("int")
+    return matrix.agg(F.max(cohort + F.col("cohort_index")) - F.min(cohort)).first()[0] or 0
+
+
+def cohort_retention_wide(clean: DataFrame | None, max_index: int | None = None, *,
                           matrix: DataFrame | None = None) -> DataFrame:
-    """C-32 (wide form): one row per cohort, one column per cohort index
-    0..max_index; missing cells null. The columns are given, not collected
-    from the data; an index beyond them is an error."""
-    index = F.col("cohort_index")
-    beyond = F.raise_error(F.concat(F.lit(f"cohort index above {max_index}: "), index.cast("string")))
+    """C-32 (wide form): one row per cohort, one column per cohort index;
+    missing cells null. There are as many columns as the history has months,
+    unless ``max_index`` gives the last one; an index beyond that is an error."""
     long = _matrix(clean, matrix)
-    long = long.withColumn("cohort_index", F.when(index > max_index, beyond.cast(long.schema["cohort_index"].dataType)).otherwise(index))
+    if max_index is None:
+        max_index = _months_spanned(long)
+    else:
+        index = F.col("cohort_index")
+        beyond = F.raise_error(F.concat(F.lit(f"cohort index above {max_index}: "), index.cast("string")))
+        long = long.withColumn("cohort_index", F.when(index > max_index, beyond.cast(long.schema["cohort_index"].dataType)).otherwise(index))
     return (long.groupBy("cohort_month").pivot("cohort_index", list(range(max_index + 1)))
                 .agg(F.max("retention_rate")))
 

@@ -15,11 +15,14 @@ Plan notes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.functions.calendar import month_label, month_ordinal, ordinal_label
+from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import money, ratio
+from shopscope.operators.activity import activity, cohort_cells
 from shopscope.plans.selection import Rank, at_ranks
 from shopscope.plans.summary import in_order
 
@@ -135,9 +138,26 @@ def _order_lines(fact: DataFrame, *keys: str) -> DataFrame:
         F.sum("price").alias("_p"), F.count(F.lit(1)).alias("_c"))
 
 
+def sale_month_ordinal(fact: DataFrame) -> Column:
+    """The month ordinal of a fact line: from the partition it lies in, where the fact has month partitions."""
+    if "sale_month" in fact.columns:
+        return F.expr("(sale_month div 100) * 12 + sale_month % 100 - 1").cast("int")
+    return month_ordinal(F.col("date_id"))
+
+
+def in_period(fact: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """The lines of the months ``since`` to ``until`` ('yyyy-MM', both included, None: open). On a fact
+    with month partitions only the folders of these months are read."""
+    month = F.col("sale_month") if "sale_month" in fact.columns else (F.year("date_id") * 100 + F.month("date_id"))
+    for label, holds in ((since, month.__ge__), (until, month.__le__)):
+        if label is not None:
+            fact = fact.where(holds(int(label.replace("-", ""))))
+    return fact
+
+
 def monthly(fact: DataFrame) -> DataFrame:
     """Per calendar month: month ordinal, revenue (exact), orders, customers."""
-    lines = fact.withColumn("_mo", month_ordinal(F.col("date_id")))
+    lines = fact.withColumn("_mo", sale_month_ordinal(fact))
     g = _order_lines(lines, "_mo").groupBy("_mo").agg(
         F.sum("_rev").alias("_rev"),
         F.count_distinct("invoice").alias("total_orders"),
@@ -146,17 +166,19 @@ def monthly(fact: DataFrame) -> DataFrame:
 
 
 @in_order("revenue_month")
-def monthly_revenue_trend(fact: DataFrame) -> DataFrame:
-    """Q-07."""
-    return monthly(fact).select(
+def monthly_revenue_trend(fact: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Q-07, of all months or of a period."""
+    return monthly(in_period(fact, since, until)).select(
         "revenue_month", "total_orders", "unique_customers",
         money("_rev").alias("total_revenue"),
         ratio("_rev", "total_orders", 2, num_scale=2).alias("avg_order_value"))
 
 
 @in_order("-total_revenue", "country")
-def country_revenue_top10(fact: DataFrame, dim_customer: DataFrame, k: int = 10) -> DataFrame:
-    """Q-08: by the customer's (first) country."""
+def country_revenue_top10(fact: DataFrame, dim_customer: DataFrame, k: int = 10,
+                          since: str | None = None, until: str | None = None) -> DataFrame:
+    """Q-08: by the customer's (first) country, of all months or of a period."""
+    fact = in_period(fact, since, until)
     # lines shrink to orders before they meet the dimension
     g = _order_lines(fact).join(dim_customer, "customer_id").groupBy("country").agg(
         F.count_distinct("invoice").alias("total_orders"),
@@ -175,10 +197,11 @@ def _monthly_rounded(fact: DataFrame) -> DataFrame:
 
 
 @in_order("revenue_month")
-def rolling_3m_revenue(fact: DataFrame) -> DataFrame:
+def rolling_3m_revenue(fact: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
     """Q-09: rows-based 3-month moving average, change and growth vs the
-    previous row (a calendar gap is stepped over, as in the SQL)."""
-    m = _monthly_rounded(fact)
+    previous row (a calendar gap is stepped over, as in the SQL), of all
+    months or of a period."""
+    m = _monthly_rounded(in_period(fact, since, until))
     w = Window.orderBy("revenue_month")
     w3 = w.rowsBetween(-2, Window.currentRow)
     m = (m.withColumn("_s3", F.sum("monthly_revenue").over(w3))
@@ -193,9 +216,15 @@ def rolling_3m_revenue(fact: DataFrame) -> DataFrame:
 
 
 @in_order("-is_q4")
-def q4_vs_nonq4(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Q-10."""
-    lines = fact.join(dim_date.select("date_id", "is_q4"), "date_id")
+def q4_vs_nonq4(fact: DataFrame, dim_date: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """Q-10, of all years or of some: a condition on the dates reaches the fact's month partitions
+    through the join (dynamic partition pruning)."""
+    days = dim_date.where(F.col("year").isin(*years)) if years else dim_date
+    if "sale_month" in fact.columns:
+        days = days.select("date_id", "is_q4", (F.col("year") * 100 + F.col("month")).alias("sale_month"))
+        lines = fact.join(days, ["date_id", "sale_month"])
+    else:
+        lines = fact.join(days.select("date_id", "is_q4"), "date_id")
     g = _invoice_lines(lines, "is_q4").groupBy("is_q4").agg(
         F.count(F.lit(1)).alias("total_orders"), F.sum("_rev").alias("_rev"))
     return g.select(
@@ -223,59 +252,49 @@ def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFr
 
 
 # ----------------------------------------------------------------- cohorts
-def customer_months(fact: DataFrame) -> DataFrame:
-    """Distinct (customer, activity month ordinal) with the customer's cohort
-    month. A customer has at most one row per calendar month, so the window
-    keyed by customer is bounded by the calendar, not by the data."""
-    act = fact.select("customer_id", month_ordinal(F.col("date_id")).alias("activity_mo")).distinct()
-    return act.withColumn("cohort_mo", F.min("activity_mo").over(Window.partitionBy("customer_id")))
+def _cells(fact: DataFrame | None, bitsets: DataFrame | None) -> DataFrame:
+    """Cohort cells of the customers' month bitsets, which are made from the fact unless given."""
+    return cohort_cells(bitsets if bitsets is not None else activity(fact, sale_month_ordinal(fact)))
 
 
 @in_order("cohort_month")
-def cohort_sizes(fact: DataFrame) -> DataFrame:
+def cohort_sizes(fact: DataFrame | None, *, bitsets: DataFrame | None = None) -> DataFrame:
     """Q-12."""
-    first = fact.groupBy("customer_id").agg(F.min("date_id").alias("_d"))
-    return (first.groupBy(month_label(F.col("_d")).alias("cohort_month"))
-                 .agg(F.count("customer_id").alias("cohort_size")))
+    return _cells(fact, bitsets).where("cohort_index = 0").select(
+        ordinal_label(F.col("cohort_mo")).alias("cohort_month"), F.col("customers").alias("cohort_size"))
 
 
 @in_order("cohort_month", "cohort_index")
-def cohort_retention_long(fact: DataFrame, max_index: int = 12) -> DataFrame:
+def cohort_retention_long(fact: DataFrame | None, max_index: int = 12, *, bitsets: DataFrame | None = None) -> DataFrame:
     """Q-13."""
-    cm = customer_months(fact).withColumn("cohort_index", F.col("activity_mo") - F.col("cohort_mo"))
-    g = (cm.where(F.col("cohort_index").between(0, max_index))
-           .groupBy("cohort_mo", "cohort_index")
-           .agg(F.count("customer_id").alias("active_customers")))
+    g = _cells(fact, bitsets).where(F.col("cohort_index").between(0, max_index))
     return g.select(ordinal_label(F.col("cohort_mo")).alias("cohort_month"),
-                    F.col("cohort_index").cast("bigint").alias("cohort_index"), "active_customers")
+                    F.col("cohort_index").cast("bigint").alias("cohort_index"), F.col("customers").alias("active_customers"))
 
 
 @in_order("cohort_month")
-def month1_retention(fact: DataFrame) -> DataFrame:
+def month1_retention(fact: DataFrame | None, *, bitsets: DataFrame | None = None) -> DataFrame:
     """Q-14: cohort size, customers active in the following calendar month
     (0 when none) and the rate in % (2 places)."""
-    cm = customer_months(fact)
-    g = cm.groupBy("cohort_mo").agg(
-        # (customer, month) rows are distinct, so counting rows counts customers
-        F.count_if(F.col("activity_mo") == F.col("cohort_mo")).alias("cohort_size"),
-        F.count_if(F.col("activity_mo") == F.col("cohort_mo") + 1).alias("returned_month1"))
+    at = lambda i: F.coalesce(F.sum(F.when(F.col("cohort_index") == i, F.col("customers"))), F.lit(0)).cast("bigint")
+    g = _cells(fact, bitsets).groupBy("cohort_mo").agg(at(0).alias("cohort_size"), at(1).alias("returned_month1"))
     return g.select(
         ordinal_label(F.col("cohort_mo")).alias("cohort_month"), "cohort_size", "returned_month1",
         ratio("returned_month1", "cohort_size", 2, mult=100).alias("month1_retention_pct"))
 
 
 @in_order("-retention_pct", "cohort_month")
-def month1_retention_ranked(fact: DataFrame) -> DataFrame:
+def month1_retention_ranked(fact: DataFrame | None, *, bitsets: DataFrame | None = None) -> DataFrame:
     """Q-15."""
-    m = month1_retention(fact).withColumnRenamed("month1_retention_pct", "retention_pct")
+    m = month1_retention(fact, bitsets=bitsets).withColumnRenamed("month1_retention_pct", "retention_pct")
     return m.withColumn("retention_rank",
                         F.rank().over(Window.orderBy(F.desc("retention_pct"))).cast("bigint"))
 
 
 @in_order("cohort_month")
-def rolling_retention(fact: DataFrame) -> DataFrame:
+def rolling_retention(fact: DataFrame | None, *, bitsets: DataFrame | None = None) -> DataFrame:
     """3-row moving average of the month-1 retention % by cohort month."""
-    m = month1_retention(fact)
+    m = month1_retention(fact, bitsets=bitsets)
     w = Window.orderBy("cohort_month").rowsBetween(-2, Window.currentRow)
     m = (m.withColumn("_s", F.sum("month1_retention_pct").over(w))
           .withColumn("_c", F.count("month1_retention_pct").over(w)))

@@ -65,13 +65,19 @@ def fact_sales(clean: DataFrame) -> DataFrame:
     """Fact lines with a dense ``sale_id`` over the total line order.
 
     The global order leaves the fact range-partitioned by sale_id (hence by
-    time) in B files."""
+    time), so each task writes into the folders of a few months. ``sale_month``
+    (yyyymm) is what the written fact is partitioned by."""
     ordered = global_order(clean.select(*SALE_ORDER, "revenue"), [(c, True) for c in SALE_ORDER])
     return ordered.select(
         F.col("_rn").alias("sale_id"), "invoice", "customer_id", "stock_code",
         F.to_date("invoice_ts").alias("date_id"), "quantity",
         F.col("price").cast(schemas.PRICE2).alias("price"),
-        F.col("revenue").cast(schemas.REV2).alias("revenue"))
+        F.col("revenue").cast(schemas.REV2).alias("revenue"),
+        (F.year("invoice_ts") * 100 + F.month("invoice_ts")).cast("int").alias("sale_month"))
+
+
+#: Columns that a written table's folders are named by.
+PARTITIONS = {"fact_sales": ["sale_month"]}
 
 
 @dataclass
@@ -105,12 +111,14 @@ class Star:
         return cache[name]
 
     def tables(self) -> dict[str, DataFrame]:
+        """The tables with their declared columns."""
         return {"clean_sales": self.clean, "dim_customer": self.dim_customer,
                 "dim_product": self.dim_product, "dim_date": self.dim_date,
-                "fact_sales": self.fact_sales, "rfm_segments": self.rfm_segments}
+                "fact_sales": self.fact_sales.select(*schemas.FACT_SALES.names), "rfm_segments": self.rfm_segments}
 
     def register_views(self, prefix: str = "") -> None:
-        for name, df in self.tables().items():
+        """Views for ``spark.sql``; the fact with ``sale_month``, which prunes partitions."""
+        for name, df in {**self.tables(), "fact_sales": self.fact_sales}.items():
             df.createOrReplaceTempView(prefix + name)
 
 
@@ -146,10 +154,10 @@ def materialize_star(raw: DataFrame, path: str | None = None, *,
                 rfm_segments=rfm.rfm_segments(clean))
     # the five tables depend only on the written lines: submit their
     # writes as concurrent jobs so small stages of one overlap the others
-    todo = {n: df for n, df in lazy.tables().items() if n != "clean_sales"}
+    todo = {n: df for n, df in {**lazy.tables(), "fact_sales": lazy.fact_sales}.items() if n != "clean_sales"}
 
     def _write(name: str) -> None:
-        todo[name].write.mode("overwrite").format(fmt).save(f"{path}/{name}")
+        todo[name].write.mode("overwrite").partitionBy(*PARTITIONS.get(name, [])).format(fmt).save(f"{path}/{name}")
 
     workers = int(os.environ.get("SHOPSCOPE_STAR_WRITERS", len(todo)))
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopscope.operators import (cleaning, clv, cohorts, integrity, quality, reports, revenue, rfm,
                                  stats)
+from shopscope.operators.activity import activity
 from shopscope.plans.star import star_for
 from shopscope.sources import sinks
 from shopscope.sources.events import purchases_as_sales
@@ -27,7 +28,6 @@ def _s(spark: SparkSession, sf_dir: str):
 # Fixed parameters for the fixture data (the analysis layer takes them as arguments).
 HOME_COUNTRY = "NATION_2"
 AUDIT_YEAR = 1998
-LAST_COHORT_INDEX = 79  # 80 calendar months
 
 
 def _raw(spark: SparkSession, sf_dir: str):
@@ -44,9 +44,15 @@ def _clv(spark: SparkSession, sf_dir: str):
     return star_for(spark, sf_dir).derived("customer_clv", lambda st: clv.customer_clv(st.clean))
 
 
+def _bitsets(spark: SparkSession, sf_dir: str):
+    """Per-customer month bitsets, derived once per star: every cohort report reads them."""
+    return star_for(spark, sf_dir).derived("customer_months", lambda st: activity(st.fact_sales, reports.sale_month_ordinal(st.fact_sales)))
+
+
 def _cohort_matrix(spark: SparkSession, sf_dir: str):
     """The long cohort retention matrix, derived once per star."""
-    return star_for(spark, sf_dir).derived("cohort_matrix", lambda st: cohorts.cohort_retention_matrix(st.clean))
+    bitsets = _bitsets(spark, sf_dir)
+    return star_for(spark, sf_dir).derived("cohort_matrix", lambda st: cohorts.cohort_retention_matrix(None, bitsets=bitsets))
 
 
 def _cust_pareto(spark: SparkSession, sf_dir: str):
@@ -71,11 +77,11 @@ QUERIES: dict[str, Query] = {
     "rolling_3m_revenue": lambda s, d: reports.rolling_3m_revenue(_s(s, d).fact_sales),
     "q4_vs_nonq4": lambda s, d: reports.q4_vs_nonq4(_s(s, d).fact_sales, _s(s, d).dim_date),
     "top_products": lambda s, d: reports.top_products(_s(s, d).fact_sales, _s(s, d).dim_product),
-    "cohort_sizes": lambda s, d: reports.cohort_sizes(_s(s, d).fact_sales),
-    "cohort_retention_long": lambda s, d: reports.cohort_retention_long(_s(s, d).fact_sales),
-    "month1_retention": lambda s, d: reports.month1_retention(_s(s, d).fact_sales),
-    "month1_retention_ranked": lambda s, d: reports.month1_retention_ranked(_s(s, d).fact_sales),
-    "rolling_retention": lambda s, d: reports.rolling_retention(_s(s, d).fact_sales),
+    "cohort_sizes": lambda s, d: reports.cohort_sizes(None, bitsets=_bitsets(s, d)),
+    "cohort_retention_long": lambda s, d: reports.cohort_retention_long(None, bitsets=_bitsets(s, d)),
+    "month1_retention": lambda s, d: reports.month1_retention(None, bitsets=_bitsets(s, d)),
+    "month1_retention_ranked": lambda s, d: reports.month1_retention_ranked(None, bitsets=_bitsets(s, d)),
+    "rolling_retention": lambda s, d: reports.rolling_retention(None, bitsets=_bitsets(s, d)),
     "customer_revenue_rank": lambda s, d: reports.customer_revenue_rank(_s(s, d).fact_sales, _s(s, d).dim_customer),
     "product_dense_rank": lambda s, d: reports.product_dense_rank(_s(s, d).fact_sales, _s(s, d).dim_product),
     "running_total_revenue": lambda s, d: reports.running_total_revenue(_s(s, d).fact_sales),
@@ -120,11 +126,11 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
     "rfm_describe": lambda s, d: rfm.rfm_describe(_s(s, d).rfm_segments),
     "rfm_scatter_points": lambda s, d: rfm.rfm_scatter_points(_s(s, d).rfm_segments),
     # ---- cohorts (C-30 ... C-35)
-    "cohort_assign": lambda s, d: cohorts.cohort_assign(_clean(s, d)),
-    "cohort_counts": lambda s, d: cohorts.cohort_counts(_clean(s, d)),
+    "cohort_assign": lambda s, d: cohorts.cohort_assign(_clean(s, d), bitsets=_bitsets(s, d)),
+    "cohort_counts": lambda s, d: cohorts.cohort_counts(None, bitsets=_bitsets(s, d)),
     "cohort_retention_matrix": lambda s, d: _cohort_matrix(s, d),
     "cohort_retention_wide": lambda s, d: cohorts.cohort_retention_wide(
-        None, LAST_COHORT_INDEX, matrix=_cohort_matrix(s, d)),
+        None, matrix=_cohort_matrix(s, d)),
     "cohort_milestones": lambda s, d: cohorts.cohort_milestones(None, matrix=_cohort_matrix(s, d)),
     "cohort_curve": lambda s, d: cohorts.cohort_curve(None, matrix=_cohort_matrix(s, d)),
     "avg_retention_curve": lambda s, d: cohorts.avg_retention_curve(None, matrix=_cohort_matrix(s, d)),
@@ -153,7 +159,7 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
     "dim_customer": lambda s, d: _s(s, d).dim_customer,
     "dim_product": lambda s, d: _s(s, d).dim_product,
     "dim_date": lambda s, d: _s(s, d).dim_date,
-    "fact_sales": lambda s, d: _s(s, d).fact_sales,
+    "fact_sales": lambda s, d: _s(s, d).tables()["fact_sales"],
     "fk_orphans": lambda s, d: integrity.fk_orphans(_s(s, d).tables()),
     "pk_violations": lambda s, d: integrity.pk_violations(_s(s, d).tables()),
     "load_row_counts": lambda s, d: integrity.load_row_counts(_s(s, d).tables()),
