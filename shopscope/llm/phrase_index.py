@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from shopscope.llm.shared import importable, written
 from shopscope.llm.words import alnum_texts, text_batches, word_names
+from shopscope.plans.marks import marks, with_mark
 
 WINDOW = 10
 #: Text bytes of a block: bounds the lists that meet in a task.
@@ -119,15 +120,20 @@ def rarest_first(index: DataFrame, wanted: DataFrame) -> DataFrame:
     """(phrase, items, anchor, offsets, names): the phrases all of whose words occur in the index, their
     words from rare to frequent and ``anchor``, the rarest one."""
     words = _words(wanted)
-    vocabulary = words.select("name").distinct()
-    postings = index.filter("name is not null").select("name", "n")
-    counts = postings.join(vocabulary, "name", "left_semi").groupBy("name").agg(F.sum("n").alias("n"))
+    counts = _postings_of(index, words, "name").groupBy("name").agg(F.sum("n").alias("n"))
     ordered = words.join(counts, "name", "left").groupBy("phrase").agg(
         F.array_sort(F.collect_list(F.struct("n", "offset", "name"))).alias("w"), F.count_if(F.col("n").isNull()).alias("missing"))
     ordered = ordered.filter("missing = 0").select("phrase", F.expr("w[0].name").alias("anchor"), F.col("w.offset").alias("offsets"), F.col("w.name").alias("names"))
     return wanted.select("phrase", "items").join(ordered, "phrase")
 
 
+def _postings_of(index: DataFrame, words: DataFrame, name: str) -> DataFrame:
+    """The postings of these words, and maybe of others: a bitmap of fixed size is what the postings meet.
+    A join on the word would bring all lists of a frequent word into one task."""
+    postings = index.filter("name is not null").select("block", "name", "n", "places")
+    return with_mark(postings, F.col("name"), marks(words, name)).where("_marked").drop("_marked")
+
+
 class _Block:
     """The lists of one block: all its places, keyed by word and place, in one sorted array."""
 
@@ -210,13 +216,12 @@ def matches(index: DataFrame, wanted: DataFrame, within: int | None = None) -> D
     index gives an empty result, no phrases give empty lists.
     """
     wanted = written(rarest_first(index, wanted), "phrases")
-    postings = index.filter("name is not null")
-    vocabulary = wanted.select(F.explode("names").alias("name")).distinct()
-    lists = postings.join(vocabulary, "name", "left_semi").select("block", "name", "n", "places")
+    lists = _postings_of(index, wanted.select(F.explode("names").alias("name")), "name")
     heads = index.filter("name is null").select("block", "name", "n", "places", "doc_ids", "n_words")
     left = heads.unionByName(lists, allowMissingColumns=True)
     # a phrase goes where its rarest word is
-    to = postings.select(F.col("block").alias("to_block"), F.col("name").alias("anchor")).join(wanted, "anchor").select("to_block", "items", "offsets", "names")
+    where = _postings_of(index, wanted, "anchor").select(F.col("block").alias("to_block"), F.col("name").alias("anchor"))
+    to = where.join(wanted, "anchor").select("to_block", "items", "offsets", "names")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("from", pa.int64()), ("until", pa.int64())]))),
                         ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
 
