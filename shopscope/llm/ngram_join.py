@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.components import components
-from shopscope.llm.shared import bitmap, passes, numbered, unused, written
+from shopscope.llm.shared import bitmap, passes, numbered, small_batches, unused, written
 from shopscope.llm.words import U, mix, text_batches, window_names, word_names
 
 SHINGLE = 5
@@ -337,6 +337,7 @@ def components_of_rows(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
 def _components_of_numbered(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``components_of_rows`` over (row, doc_id, text)."""
+    small_batches(docs.sparkSession)
     seen = written(profiles(docs, k), "shingle-profiles")
     rows = seen.filter("row is not null").select("row", "doc_id", "name", "n")
     often = seen.filter("row is null").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import bitmap, filtered, numbered, written
+from shopscope.llm.shared import bitmap, filtered, numbered, small_batches, written
 from shopscope.llm.words import U, mix, text_batches, words_of
 
 WINDOW = 35
@@ -242,6 +242,7 @@ def without_repeats(docs: DataFrame, k: int = WINDOW) -> tuple[DataFrame, DataFr
     Rows are told apart by their number in ``numbered`` rows. Null texts have no words; texts shorter than the window lose none; repeated rows are repeats of each
     other. An empty table gives empty results. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     docs = numbered(docs, "row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = written(first_pass(docs, k), "first-pass")
     parts = seen.filter("key is not null").select("row", "first", "windows", "key", "name")

@@ -99,6 +99,18 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
 
 
+#: Bytes of an Arrow batch: executor and Python worker each hold one or two of them per task.
+ARROW_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark cut Arrow batches at ``ARROW_BYTES``; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import unused
+from shopscope.llm.shared import small_batches, unused
 from shopscope.llm.words import U, mix, text_batches, words_of
 
 BUCKETS = 1 << 16
@@ -119,6 +119,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, ra
 
 def trained(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """The model (see ``fit``) from labelled rows (doc_id, label) and their texts."""
+    small_batches(docs.sparkSession)
     key = F.xxhash64("doc_id", F.lit(SEED))
     sample = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
     sample = sample.withColumn("key", key).orderBy("key", "doc_id").limit(TRAIN_DOCS)

@@ -78,7 +78,7 @@ def window_names(names: np.ndarray, k: int) -> np.ndarray:
 
 
 #: Text bytes of a batch: a word takes some hundred bytes in the steps that work on words.
-WORD_BATCH_BYTES = 4_000_000
+WORD_BATCH_BYTES = 1_000_000
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = WORD_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
