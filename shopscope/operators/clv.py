@@ -28,7 +28,12 @@ HIST_QUANTILE = 0.95
 def customer_clv(clean: DataFrame) -> DataFrame:
     """C-50: per customer revenue, orders, first/last purchase, AOV,
     lifespan days / years and CLV."""
-    per = customer_orders(clean).groupBy("customer_id").agg(
+    return clv_of_orders(customer_orders(clean))
+
+
+def clv_of_orders(orders: DataFrame) -> DataFrame:
+    """C-50 from orders (see ``rfm.customer_orders``)."""
+    per = orders.groupBy("customer_id").agg(
         F.sum("order_revenue").alias("_rev"), F.count(F.lit(1)).alias("total_orders"),
         F.min("first_ts").alias("first_purchase"), F.max("last_ts").alias("last_purchase"))
     per = per.select(

@@ -61,8 +61,13 @@ def customer_orders(clean: DataFrame) -> DataFrame:
 def rfm_base(clean: DataFrame) -> DataFrame:
     """C-20: customer_id, recency (whole elapsed days to max(ts) + 1 day),
     frequency (distinct invoices), monetary (revenue rounded to 2 places)."""
-    ref_ts = clean.select(F.max("invoice_ts") + F.expr("INTERVAL 1 DAY")).scalar()
-    per_cust = (customer_orders(clean).groupBy("customer_id")
+    return base_of_orders(customer_orders(clean))
+
+
+def base_of_orders(orders: DataFrame) -> DataFrame:
+    """C-20 from orders (see ``customer_orders``)."""
+    ref_ts = orders.select(F.max("last_ts") + F.expr("INTERVAL 1 DAY")).scalar()
+    per_cust = (orders.groupBy("customer_id")
                 .agg(F.max("last_ts").alias("_last_ts"),
                      F.count(F.lit(1)).alias("frequency"),
                      F.sum("order_revenue").alias("_rev")))

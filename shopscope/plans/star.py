@@ -22,7 +22,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope import schemas
@@ -61,6 +61,11 @@ def dim_date(clean: DataFrame) -> DataFrame:
     return days.select(*date_attributes())
 
 
+def sale_month(ts: str) -> Column:
+    """The calendar month of a line as a number (yyyymm)."""
+    return (F.year(ts) * 100 + F.month(ts)).cast("int").alias("sale_month")
+
+
 def fact_sales(clean: DataFrame) -> DataFrame:
     """Fact lines with a dense ``sale_id`` over the total line order.
 
@@ -73,7 +78,7 @@ def fact_sales(clean: DataFrame) -> DataFrame:
         F.to_date("invoice_ts").alias("date_id"), "quantity",
         F.col("price").cast(schemas.PRICE2).alias("price"),
         F.col("revenue").cast(schemas.REV2).alias("revenue"),
-        (F.year("invoice_ts") * 100 + F.month("invoice_ts")).cast("int").alias("sale_month"))
+        sale_month("invoice_ts"))
 
 
 #: Columns that a written table's folders are named by.

@@ -9,7 +9,8 @@
   existence, size, rows, schema and content equality.
 * ``star_ddl`` / ``create_star_tables``: ``CREATE TABLE IF NOT EXISTS ...
   USING parquet`` from the declared schemas; ``load_star`` writes the five
-  tables in foreign-key-safe order (parents before children).
+  tables in foreign-key-safe order (parents before children);
+  ``load_star_ledger`` does so as one transaction (``sources.ledger``).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope import schemas
+from shopscope.sources.ledger import Ledger
 
 LOAD_ORDER = ["dim_customer", "dim_product", "dim_date", "fact_sales", "rfm_segments"]
 JDBC_BATCH = 10_000
@@ -132,6 +134,12 @@ def load_star(tables: dict[str, DataFrame], database: str) -> None:
         df.write.mode("overwrite").insertInto(f"{database}.{name}")
 
 
+def load_star_ledger(tables: dict[str, DataFrame], ledger: Ledger, load_id: str) -> None:
+    """S-05 into folders: all tables of a load become visible together, and a load that was killed or is
+    run again under its id counts once."""
+    ledger.load(load_id, {n: tables[n].select(*schemas.STAR_TABLES[n].names) for n in LOAD_ORDER})
+
+
 def load_star_jdbc(tables: dict[str, DataFrame], url: str, write=write_jdbc, **options) -> None:
     """S-05 into a database: append every table, parents before children."""
     for name in LOAD_ORDER:
