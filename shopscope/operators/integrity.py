@@ -29,30 +29,41 @@ def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def pk_violations(tables: dict[str, DataFrame]) -> DataFrame:
+def pk_violations(tables: dict[str, DataFrame], metrics: dict[str, dict] | None = None) -> DataFrame:
     """C-62: per table, duplicated primary-key values, rows with a null key
-    and nulls in every declared NOT NULL column (one row per table)."""
+    and nulls in every declared NOT NULL column (one row per table).
+    ``metrics``: rows and nulls as the write has observed them; only the
+    keys are read again then."""
     out = None
     for name, keys in schemas.PRIMARY_KEYS.items():
         t = tables[name]
         dup = (t.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1)
                 .agg(F.count(F.lit(1)).alias("duplicate_keys")))
-        nn = schemas.NOT_NULL[name]
-        nulls = t.agg(F.count(F.lit(1)).alias("rows"),
-                      F.count_if(F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1
-                                 else F.col(keys[0]).isNull()).alias("null_keys"),
-                      sum(F.count_if(F.col(c).isNull()) for c in nn).alias("not_null_violations"))
-        row = one_row(dup, nulls).select(F.lit(name).alias("table_name"), "rows", "duplicate_keys",
-                                          "null_keys", F.col("not_null_violations").cast("bigint"))
+        if metrics and name in metrics:
+            m = metrics[name]
+            row = dup.select(F.lit(name).alias("table_name"), F.lit(m["n"]).cast("bigint").alias("rows"), "duplicate_keys",
+                             F.lit(m["null_keys"]).cast("bigint").alias("null_keys"), F.lit(m["not_null_violations"]).cast("bigint").alias("not_null_violations"))
+        else:
+            nulls = t.agg(F.count(F.lit(1)).alias("rows"),
+                          F.count_if(F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1
+                                     else F.col(keys[0]).isNull()).alias("null_keys"),
+                          sum(F.count_if(F.col(c).isNull()) for c in schemas.NOT_NULL[name]).alias("not_null_violations"))
+            row = one_row(dup, nulls).select(F.lit(name).alias("table_name"), "rows", "duplicate_keys",
+                                              "null_keys", F.col("not_null_violations").cast("bigint"))
         out = row if out is None else out.unionByName(row)
     return out
 
 
-def load_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """S-07: rows per loaded table, in load order."""
+def load_row_counts(tables: dict[str, DataFrame], metrics: dict[str, dict] | None = None) -> DataFrame:
+    """S-07: rows per loaded table, in load order. ``metrics``: as observed
+    by the writes, each held against the number that the stored files give
+    (a count that reads no column); a difference is an error."""
     out = None
     for i, name in enumerate(["dim_customer", "dim_product", "dim_date", "fact_sales", "rfm_segments"]):
         row = tables[name].agg(F.lit(i + 1).alias("load_order"), F.lit(name).alias("table_name"),
                                F.count(F.lit(1)).alias("rows"))
+        if metrics and name in metrics:
+            differs = F.raise_error(F.concat(F.lit(f"{name}: {metrics[name]['n']} rows written, stored: "), F.col("rows").cast("string")))
+            row = row.withColumn("rows", F.when(F.col("rows") == metrics[name]["n"], F.col("rows")).otherwise(differs.cast("bigint")))
         out = row if out is None else out.unionByName(row)
     return out

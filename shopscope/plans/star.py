@@ -31,6 +31,7 @@ from shopscope.operators import cleaning, rfm
 from shopscope.plans.marks import first_rows
 from shopscope.plans.ordering import global_order
 from shopscope.session import checkpoint_dir
+from shopscope.sources.sinks import observed
 
 _DERIVED_LOCK = threading.RLock()
 
@@ -96,6 +97,8 @@ class Star:
     fact_sales: DataFrame
     rfm_segments: DataFrame
     location: str | None = None
+    #: what the writes of the tables have observed of their rows (``sinks.checks``)
+    metrics: dict[str, dict] | None = None
 
     def derived(self, name: str, build) -> DataFrame:
         """A table derived from the star (e.g. per-customer CLV), written once
@@ -161,8 +164,12 @@ def materialize_star(raw: DataFrame, path: str | None = None, *,
     # writes as concurrent jobs so small stages of one overlap the others
     todo = {n: df for n, df in {**lazy.tables(), "fact_sales": lazy.fact_sales}.items() if n != "clean_sales"}
 
+    metrics: dict[str, dict] = {}
+
     def _write(name: str) -> None:
-        todo[name].write.mode("overwrite").partitionBy(*PARTITIONS.get(name, [])).format(fmt).save(f"{path}/{name}")
+        df, seen = observed(todo[name], schemas.PRIMARY_KEYS[name], schemas.NOT_NULL[name])
+        df.write.mode("overwrite").partitionBy(*PARTITIONS.get(name, [])).format(fmt).save(f"{path}/{name}")
+        metrics[name] = seen.get
 
     workers = int(os.environ.get("SHOPSCOPE_STAR_WRITERS", len(todo)))
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
@@ -171,7 +178,7 @@ def materialize_star(raw: DataFrame, path: str | None = None, *,
     out = {n: spark.read.format(fmt).load(f"{path}/{n}") for n in todo}
     return Star(raw=raw, clean=clean, classified=classified, dim_customer=out["dim_customer"],
                 dim_product=out["dim_product"], dim_date=out["dim_date"],
-                fact_sales=out["fact_sales"], rfm_segments=out["rfm_segments"], location=path)
+                fact_sales=out["fact_sales"], rfm_segments=out["rfm_segments"], location=path, metrics=metrics)
 
 
 _CACHE: dict[tuple, Star] = {}

@@ -161,8 +161,8 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
     "dim_date": lambda s, d: _s(s, d).dim_date,
     "fact_sales": lambda s, d: _s(s, d).tables()["fact_sales"],
     "fk_orphans": lambda s, d: integrity.fk_orphans(_s(s, d).tables()),
-    "pk_violations": lambda s, d: integrity.pk_violations(_s(s, d).tables()),
-    "load_row_counts": lambda s, d: integrity.load_row_counts(_s(s, d).tables()),
+    "pk_violations": lambda s, d: integrity.pk_violations(_s(s, d).tables(), _s(s, d).metrics),
+    "load_row_counts": lambda s, d: integrity.load_row_counts(_s(s, d).tables(), _s(s, d).metrics),
     "output_verification": lambda s, d: sinks.output_verification(
         _s(s, d).tables(), f"{_s(s, d).location}/export_csv", "csv"),
     # ---- significance tests (C-70 ... C-75)

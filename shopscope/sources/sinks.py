@@ -16,8 +16,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope import schemas
@@ -61,13 +62,29 @@ def _content(columns: dict[str, Column]) -> Column:
     return F.sum(F.xxhash64(F.struct(*[c.alias(n) for n, c in columns.items()])).cast("decimal(38,0)"))
 
 
-def verify_written(df: DataFrame, path: str, fmt: str, name: str) -> DataFrame:
+def checks(df: DataFrame, keys: Sequence[str] = (), required: Sequence[str] = ()) -> list[Column]:
+    """What a write finds out about its rows on the way: their number, a hash of their content, rows
+    with a null key, nulls in required columns."""
+    null_key = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x) if keys else F.lit(False)
+    return [F.count(F.lit(1)).alias("n"), _content({f.name: F.col(f.name) for f in df.schema.fields}).alias("h"),
+            F.count_if(null_key).alias("null_keys"), sum([F.count_if(F.col(c).isNull()) for c in required], F.lit(0)).cast("bigint").alias("not_null_violations")]
+
+
+def observed(df: DataFrame, keys: Sequence[str] = (), required: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """The frame to write in place of ``df``, and its ``checks``, which the writing job itself computes:
+    no second pass over the rows. The observation answers when the job has ended."""
+    seen = Observation()
+    return df.observe(seen, *checks(df, keys, required)), seen
+
+
+def verify_written(df: DataFrame, path: str, fmt: str, name: str, own: dict | None = None) -> DataFrame:
     """S-04: one row: table, written, has bytes, rows expected, rows read back, schema and content equal.
 
     The file is read with its own schema (Parquet) or header (CSV), never with
     the expected one. CSV text counts as equal when every value casts to its
     column's type; the content is equal when the row hashes of source and
-    file have the same sum.
+    file have the same sum. ``own``: number (n) and content (h) of the source's
+    rows as ``observed`` while they were written; else they are counted here.
     """
     spark = df.sparkSession
     size = _bytes(spark, path)
@@ -83,8 +100,11 @@ def verify_written(df: DataFrame, path: str, fmt: str, name: str) -> DataFrame:
         row = back.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(lost).alias("_lost"), _content(cast).alias("_h"))
     else:
         row = back.agg(F.count(F.lit(1)).alias("rows_read"), F.lit(0).alias("_lost"), F.lit(None).cast("decimal(38,0)").alias("_h"))
-    own = df.agg(F.count(F.lit(1)).alias("n"), _content({f.name: F.col(f.name) for f in df.schema.fields}).alias("h"))
-    row = row.withColumn("_own", own.select(F.struct("n", "h")).scalar())
+    if own is None:
+        source = df.agg(*checks(df)).select(F.struct("n", "h")).scalar()
+    else:
+        source = F.struct(F.lit(own["n"]).cast("bigint").alias("n"), F.lit(own["h"]).cast("decimal(38,0)").alias("h"))
+    row = row.withColumn("_own", source)
     return row.select(
         F.lit(name).alias("table_name"), F.lit(size >= 0).alias("written"), F.lit(size > 0).alias("has_bytes"),
         F.col("_own.n").alias("rows_expected"), "rows_read",
@@ -94,13 +114,15 @@ def verify_written(df: DataFrame, path: str, fmt: str, name: str) -> DataFrame:
 
 def output_verification(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> DataFrame:
     """S-03 + S-04 for the star tables: write each in ``fmt`` under
-    ``folder`` (FK-safe order) and verify it by reading it back."""
+    ``folder`` (FK-safe order) and verify it by reading it back. The source
+    side of the comparison is observed by the write."""
     out = None
     for name in LOAD_ORDER:
         df = tables[name]
         path = os.path.join(folder, name)
-        (write_csv if fmt == "csv" else write_parquet)(df, path)
-        row = verify_written(df, path, fmt, name)
+        checked, seen = observed(df)
+        (write_csv if fmt == "csv" else write_parquet)(checked, path)
+        row = verify_written(df, path, fmt, name, seen.get)
         out = row if out is None else out.unionByName(row)
     return out
 
