@@ -1,15 +1,20 @@
 """Nearest neighbours by inner product over balanced posting lists.
 
-* Vectors get one more component that makes all of them equally long, so the
-  largest inner product is the smallest distance (queries get a zero there).
+* Vectors of equal dimension are compared, each dimension by itself. Vectors are
+  scaled and get one more component that makes all of them equally long, so the
+  largest inner product is the smallest distance (queries, scaled to length 1,
+  get a zero there). Few vectors that are much longer than the others would
+  flatten them: they form a range of lengths with an index of its own, and so
+  on (``ranges``); queries search all ranges.
 * A bounded sample gives the centroids: k-means whose assignment charges full
   clusters, so lists stay balanced; dense regions get centroids in proportion.
 * Every vector is indexed: in its nearest centroid's list and, if it lies near
   a boundary, also in the next ones (``REPLICAS`` at most, distance ratio
   ``REPLICA_RATIO``).
-* The centroids, at most ``MAX_LISTS``, form an in-memory neighbour graph. A
-  best-first walk of the graph finds a query's nearest centroids; lists whose
-  centroid is farther than ``SEARCH_RATIO`` times the nearest are pruned.
+* The centroids, at most ``MAX_LISTS``, form an in-memory neighbour graph, all
+  of them within reach of each other. A best-first walk of the graph finds a
+  query's nearest centroids; lists whose centroid is farther than
+  ``SEARCH_RATIO`` times the nearest are pruned.
 * Every run measures how many lists its queries need: a bounded sample of them is
   answered by brute force, and the searched lists and the walk's width grow until
   ``RECALL`` of these answers is found, if need be to all lists.
@@ -31,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopscope.llm.shared import written
-from shopscope.llm.vectors import matrix, usable
+from shopscope.llm.vectors import matrix, unit, usable
 
 K = 20
 #: Vectors per list, aimed at; lists at most; bytes of the sample that centroids are fitted on.
@@ -79,7 +84,7 @@ class CentroidGraph:
 
     def __init__(self, centroids: np.ndarray):
         self.c, self.half = centroids, (centroids * centroids).sum(1)
-        self.few, self.beam = SEARCH_LISTS, BEAM  # alike on driver and executors
+        self.beam = BEAM  # alike on driver and executors
         k, rng = len(centroids), np.random.default_rng(SEED)
         deg = min(DEGREE, k - 1)
         near = np.zeros((k, deg), dtype=np.int32)
@@ -92,18 +97,21 @@ class CentroidGraph:
         far = max(0, deg // 3) if k > 3 * DEGREE else 0
         if far:
             near[:, deg - far:] = rng.integers(0, k, (k, far))
+        if deg:  # a ring through all: a walk that is wide enough meets every centroid
+            ring = rng.permutation(k)
+            near[ring, 0] = np.roll(ring, -1)
+        order = np.argsort(near, axis=1, kind="stable")
+        ranked = np.take_along_axis(near, order, axis=1)
+        self.twice = np.zeros(near.shape, dtype=bool)  # random and ring edges may repeat a near one
+        np.put_along_axis(self.twice, order[:, 1:], ranked[:, 1:] == ranked[:, :-1], axis=1)
         self.near, self.entries = near, rng.choice(k, min(k, 32), replace=False)
 
     def search(self, q: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, squared distances) of the m nearest found for each query, nearest first. The
-        walk is half as wide again as m; where it would look at most centroids, all are compared."""
+        walk is half as wide again as m."""
         rows, k = np.arange(len(q))[:, None], len(self.c)
         own = (q * q).sum(1)[:, None]
         beam = max(self.beam, m + m // 2)
-        if k <= beam or (m > self.few and k <= beam * DEGREE):
-            d = own + self.half - 2 * q @ self.c.T
-            best = np.argsort(d, axis=1, kind="stable")[:, :m]
-            return best, d[rows, best]
         seen = np.zeros((len(q), k), dtype=bool)
         ids = np.broadcast_to(self.entries, (len(q), len(self.entries))).copy()
         seen[rows, ids] = True
@@ -115,9 +123,10 @@ class CentroidGraph:
             if np.isinf(open_d[rows[:, 0], at]).all():
                 break
             done[rows[:, 0], at] = True
-            nb = self.near[ids[rows[:, 0], at]]
+            here = ids[rows[:, 0], at]
+            nb = self.near[here]
             nd = own + self.half[nb] - 2 * np.einsum("bd,bnd->bn", q, self.c[nb])
-            nd = np.where(seen[rows, nb] | np.isinf(open_d[rows[:, 0], at])[:, None], np.inf, nd)
+            nd = np.where(seen[rows, nb] | self.twice[here] | np.isinf(open_d[rows[:, 0], at])[:, None], np.inf, nd)
             seen[rows, nb] = True
             ids, d = np.concatenate([ids, nb], axis=1), np.concatenate([d, nd], axis=1)
             done = np.concatenate([done, np.isinf(nd)], axis=1)
@@ -128,9 +137,11 @@ class CentroidGraph:
         return ids[rows, best], d[rows, best]
 
 
-def _longer(x: np.ndarray, most: float) -> np.ndarray:
-    """Vectors with the component that makes their length ``most``."""
-    rest = np.sqrt(np.maximum(most * most - (x * x).sum(1), 0))
+def _longer(x: np.ndarray, big: float, most: float) -> np.ndarray:
+    """Vectors scaled into the unit ball by their range's largest component and length, with the
+    component that puts them on the sphere."""
+    x = x / big / most
+    rest = np.sqrt(np.maximum(1 - (x * x).sum(1), 0))
     return np.concatenate([x, rest[:, None]], axis=1).astype(np.float32)
 
 
@@ -142,8 +153,15 @@ def _to_search(d: np.ndarray, ratio: float) -> np.ndarray:
 
 
 def _asked(q: np.ndarray) -> np.ndarray:
-    """Queries among the vectors of ``_longer``."""
-    return np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
+    """Queries among the vectors of ``_longer``: what is nearest doesn't depend on a query's length."""
+    return np.concatenate([unit(q), np.zeros((len(q), 1))], axis=1).astype(np.float32)
+
+
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products in doubles; sums beyond their range are infinite, undefined ones come last."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        s = q @ x.T
+    return np.where(np.isnan(s), -np.inf, s)
 
 
 def true_neighbours(index: DataFrame, names: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
@@ -157,12 +175,12 @@ def true_neighbours(index: DataFrame, names: np.ndarray, q: np.ndarray, k: int)
             for a in range(0, len(b), 4096):
                 some = b.slice(a, 4096)
                 name = some.column("name").to_numpy()
-                s = np.where(name == names[:, None], -np.inf, q @ matrix(some.column("v")).T)
+                s = np.where(name == names[:, None], -np.inf, products(q, matrix(some.column("v"))))
                 at, score = np.concatenate([at, np.broadcast_to(name, s.shape)], axis=1), np.concatenate([score, s], axis=1)
                 if score.shape[1] > k:
                     top = np.argpartition(-score, k - 1, axis=1)[:, :k]
                     at, score = np.take_along_axis(at, top, axis=1), np.take_along_axis(score, top, axis=1)
-        found = np.isfinite(score)
+        found = score > -np.inf
         yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(names[:, None], at.shape)[found]), pa.array(at[found]), pa.array(score[found])], ["query", "name", "score"])
 
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "name"))
@@ -200,33 +218,14 @@ def calibrated(graph: CentroidGraph, names: np.ndarray, q: np.ndarray, held: pa.
     return m, float(ratio)
 
 
-def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found for every row that ``is_query`` holds for.
-
-    ``vectors``: (vec_id, embedding). A vector that is null, empty, zero or holds null or
-    non-finite components takes no part, nor does one whose length is not the most common one's.
-    A query's own row is left out, an equal row is not. Ties go to the smaller vec_id, null ids
-    last. With fewer candidates than k all are returned; an empty table gives an empty result.
-    Other columns are ignored.
-    """
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    rows = rows.filter(usable(F.col("v")))
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("most")).orderBy(F.desc("n"), "dim").first()
-    if sizes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n, most = sizes["dim"], sizes["n"], float(sizes["most"])
-    rows = rows.filter(F.size("v") == dim).withColumn("name", F.xxhash64("v"))
-
-    first = Window.partitionBy("name").orderBy(F.col("vec_id").asc_nulls_last())
-    ids = rows.select("name", "vec_id").withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1)
-    ids = ids.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("nth", "vec_id"))).alias("ids")).select("name", F.col("ids.vec_id").alias("ids"))
-    distinct = rows.groupBy("name").agg(F.any_value("v").alias("v"))
-    index = written(distinct.join(ids, "name"), "distinct-vectors")
+def _found(index: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
+    """(query, name, score): what the lists of one range hold for the queries, the k + 1 best of each task."""
+    spark = index.sparkSession
+    n, big = index.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    most = index.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / big) * (x / big))))).first()[0]
 
     sample = index.select("v").orderBy(F.xxhash64("name", F.lit(SEED))).limit(max(1, SAMPLE_BYTES // (8 * dim))).toArrow()
-    sample = _longer(matrix(sample.column("v")), most)
+    sample = _longer(matrix(sample.column("v")), big, most)
     graph = CentroidGraph(fit_centroids(sample, int(np.clip(n // LIST_SIZE, 1, min(MAX_LISTS, len(sample))))))
     shared = spark.sparkContext.broadcast(graph)  # MAX_LISTS centroids at most
 
@@ -236,7 +235,7 @@ def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
         for b in batches:
             for a in range(0, len(b), 1024):
                 some = b.slice(a, 1024)
-                x = _longer(matrix(some.column("v")), most)
+                x = _longer(matrix(some.column("v")), big, most)
                 d = (x * x).sum(1)[:, None] + half - 2 * x @ c.T
                 to = np.argpartition(d, r - 1, axis=1)[:, :r]
                 d = np.take_along_axis(d, to, axis=1)
@@ -253,8 +252,6 @@ def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(to[use].astype(np.int32)), some.column("name").take(pa.array(np.nonzero(use)[0]))], ["list", "query"])
 
     lists = written(index.mapInArrow(assign, "list int, name long, v array<double>, ids array<long>"), "posting-lists")
-    asked = rows.filter(is_query(F.col("vec_id"))).select("vec_id", "name")
-    queries = written(index.join(asked.select("name").distinct(), "name").select("name", "v"), "query-vectors")
     some = queries.orderBy(F.xxhash64("name", F.lit(SEED + 1))).limit(CALIBRATION).toArrow().sort_by("name")
     names, q = some.column("name").to_numpy(), matrix(some.column("v")).reshape(len(some), dim)
     true = true_neighbours(index, names, q, k)
@@ -278,10 +275,12 @@ def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
             top = min(2 * k + 2, len(x))
             for a in range(0, len(qs), 512):
                 q = qs[a:a + 512]
-                s = q @ x.T
+                s = products(q, x)
                 best = np.argpartition(-s, top - 1, axis=1)[:, :top]
                 # the same sum for a pair in whatever task it is computed
-                s = (q[:, None, :] * x[best]).sum(axis=2)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    s = (q[:, None, :] * x[best]).sum(axis=2)
+                s = np.where(np.isnan(s), -np.inf, s)
                 rank = np.argsort(-s, axis=1, kind="stable")[:, :k + 1]
                 out_q.append(np.repeat(q_names[a:a + 512], rank.shape[1]))
                 out_i.append(np.take_along_axis(best, rank, axis=1).ravel())
@@ -290,7 +289,60 @@ def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
         i = flat(out_i, np.int64)
         return pa.table({"query": flat(out_q, np.int64), "name": names[i] if len(i) else i, "score": flat(out_s, np.float64)})
 
-    found = left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInArrow(scan, "query long, name long, score double")
+    return left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInArrow(scan, "query long, name long, score double")
+
+
+def ranges(index: DataFrame) -> list[DataFrame]:
+    """The vectors by length, so that none is much longer than most others of its range: all up to four
+    times the length that 0.999 of them have, then the same of the rest. Each range takes in nearly all
+    that is left, so there are a few at most."""
+    index = index.withColumn("size", F.array_max(F.transform("v", F.abs)))
+    out, above = [], 0.0
+    while True:
+        rest = index.filter(F.col("size") > above)
+        usual, most = rest.agg(F.percentile_approx("size", 0.999, 10_000), F.max("size")).first()
+        if most is None:
+            return out
+        limit = most if most / 4 <= usual else 4 * usual
+        out.append(rest.filter(F.col("size") <= limit).drop("size"))
+        above = limit
+
+
+def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest rows found for every row that ``is_query`` holds for.
+
+    ``vectors``: (vec_id, embedding). A vector that is null, empty, zero or holds null or
+    non-finite components takes no part; candidates of a query are the vectors of its own dimension.
+    A query's own row is left out, an equal row is not. Ties go to the smaller vec_id, null ids
+    last. With fewer candidates than k all are returned; an empty table gives an empty result. An
+    inner product beyond the range of doubles is infinite, an undefined one the last.
+    Other columns are ignored.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    rows = rows.filter(usable(F.col("v")))
+    dims = [r[0] for r in rows.select(F.size("v")).distinct().collect()]  # a table has few dimensions
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for i, dim in enumerate(sorted(dims)):
+        found = _nearest_of_dimension(rows.filter(F.size("v") == dim), dim, is_query, k)
+        out = found if not i else out.unionAll(found)
+    return out
+
+
+def _nearest_of_dimension(rows: DataFrame, dim: int, is_query, k: int) -> DataFrame:
+    rows = rows.withColumn("name", F.xxhash64("v"))
+
+    first = Window.partitionBy("name").orderBy(F.col("vec_id").asc_nulls_last())
+    ids = rows.select("name", "vec_id").withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1)
+    ids = ids.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("nth", "vec_id"))).alias("ids")).select("name", F.col("ids.vec_id").alias("ids"))
+    distinct = rows.groupBy("name").agg(F.any_value("v").alias("v"))
+    index = written(distinct.join(ids, "name"), "distinct-vectors")
+    asked = rows.filter(is_query(F.col("vec_id"))).select("vec_id", "name")
+    queries = written(index.join(asked.select("name").distinct(), "name").select("name", "v"), "query-vectors")
+    found = None
+    for part in ranges(index):
+        of_range = _found(part, queries, dim, k)
+        found = of_range if found is None else found.unionAll(of_range)
     by_name = Window.partitionBy("query").orderBy(F.desc("score"), "least", "name")
     best = found.groupBy("query", "name").agg(F.max("score").alias("score"))
     # ids only of what can still be a result: the k + 1 best texts by score, ties included

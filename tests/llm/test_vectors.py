@@ -154,3 +154,62 @@ def test_sorted_passes_find_pairs_in_a_crowd(vectors):
     got = sorted((tuple(r) for r in sp.near_vectors(vectors(rows)).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
     want = _links(rows, 0.95)
     assert sum(r[1] > 0 for r in want) >= 400 and got == want
+
+
+def test_nearest_asks_every_dimension(vectors):
+    """200 vectors of 8 and 100 of 4 dimensions: all 15 queries have their neighbours, of their own dimension."""
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.standard_normal(8 if i < 200 else 4).astype(np.float32).tolist()) for i in range(300)]
+    got = {}
+    for r in pl.nearest(vectors(rows), lambda c: c % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(got) == list(range(0, 300, 20))
+    for q, found in got.items():
+        group = [(i, v) for i, v in rows if len(v) == len(rows[q][1]) and i != q]
+        best = sorted(group, key=lambda r: (-float(np.dot(np.float64(rows[q][1]), np.float64(r[1]))), r[0]))[:20]
+        assert [v for _, v in sorted(found)] == [i for i, _ in best]
+
+
+@pytest.mark.parametrize("length", [1e200, 1e20, 1e4, 1e-200])
+def test_one_vector_of_another_length_changes_nothing_for_the_others(spark, length):
+    """Float64 components, one vector very long (or short): every query is answered, and rightly."""
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(200)]
+    rows[7] = (7, (np.array(rows[7][1]) * length).tolist())
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in pl.nearest(frame, lambda c: c % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    hits = 0
+    for q in range(0, 200, 20):
+        best = sorted((r for r in rows if r[0] != q), key=lambda r: (-float(np.dot(rows[q][1], r[1])), r[0]))[:20]
+        hits += len({v for _, v in got[q]} & {i for i, _ in best})
+        assert len(got[q]) == 20
+    assert hits >= 0.99 * 200
+
+
+def test_lengths_of_many_sizes(spark, monkeypatch):
+    """Lengths over 40 powers of ten: several ranges, recall as ever."""
+    rng = np.random.default_rng(14)
+    rows = [(i, (rng.standard_normal(8) * 10.0 ** rng.exponential(1.5)).tolist()) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    x = np.array([v for _, v in rows])
+    got = {}
+    for r in pl.nearest(frame, lambda c: c % 400 == 0, 10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 4000, 400):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-s)[:10].tolist()))
+    assert hits >= 0.9 * 100
+
+
+def test_the_walk_reaches_every_centroid():
+    """Two far groups of centroids: a wide walk meets all, whatever the entries."""
+    rng = np.random.default_rng(15)
+    c = np.concatenate([rng.standard_normal((60, 8)), 1000 + rng.standard_normal((60, 8))]).astype(np.float32)
+    graph = pl.CentroidGraph(c)
+    graph.entries = graph.entries[graph.entries < 60]
+    got, d = graph.search(c[:5], 120)
+    assert all(sorted(r) == list(range(120)) for r in got.tolist()) and np.isfinite(d).all()
