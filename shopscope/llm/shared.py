@@ -20,9 +20,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; a private one only where it is unset (tests)."""
+    """Folder of ``spark.checkpoint.dir``; a private one only where it is unset and all of Spark runs
+    in one process (tests). On a cluster executors would each write to a disk of their own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
