@@ -9,8 +9,9 @@ Plan notes:
     customer- or product-sized single-task window is needed;
   * month / segment / country / cohort tables are bounded (hundreds of rows),
     so their windows run as plain windows after the aggregate;
-  * several COUNT(DISTINCT ...) in one group are computed over lines
-    pre-aggregated to (group, invoice, customer), which shrinks the Expand.
+  * COUNT(DISTINCT ...) by month, country and in total come from bitmaps that
+    roll up (``operators.cells``); from plain lines, several of them in one
+    group are computed over (group, invoice, customer), which shrinks the Expand.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import money, ratio
 from shopscope.operators.activity import activity, cohort_cells
+from shopscope.operators.cells import rolled_up
 from shopscope.plans.selection import Rank, at_ranks
 from shopscope.plans.summary import in_order
 
@@ -156,7 +158,11 @@ def in_period(fact: DataFrame, since: str | None = None, until: str | None = Non
 
 
 def monthly(fact: DataFrame) -> DataFrame:
-    """Per calendar month: month ordinal, revenue (exact), orders, customers."""
+    """Per calendar month: month ordinal, revenue (exact), orders, customers.
+    ``fact``: lines, or their cells (``operators.cells``), which count without lines."""
+    if "bits" in fact.columns:
+        g = rolled_up(fact, "sale_month").withColumn("_mo", sale_month_ordinal(fact))
+        return g.withColumn("revenue_month", ordinal_label(F.col("_mo")))
     lines = fact.withColumn("_mo", sale_month_ordinal(fact))
     g = _order_lines(lines, "_mo").groupBy("_mo").agg(
         F.sum("_rev").alias("_rev"),
@@ -177,13 +183,16 @@ def monthly_revenue_trend(fact: DataFrame, since: str | None = None, until: str
 @in_order("-total_revenue", "country")
 def country_revenue_top10(fact: DataFrame, dim_customer: DataFrame, k: int = 10,
                           since: str | None = None, until: str | None = None) -> DataFrame:
-    """Q-08: by the customer's (first) country, of all months or of a period."""
+    """Q-08: by the customer's (first) country, of all months or of a period, from lines or cells."""
     fact = in_period(fact, since, until)
-    # lines shrink to orders before they meet the dimension
-    g = _order_lines(fact).join(dim_customer, "customer_id").groupBy("country").agg(
-        F.count_distinct("invoice").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("_rev").alias("_rev"))
+    if "bits" in fact.columns:
+        g = rolled_up(fact.where("known"), "country")
+    else:
+        # lines shrink to orders before they meet the dimension
+        g = _order_lines(fact).join(dim_customer, "customer_id").groupBy("country").agg(
+            F.count_distinct("invoice").alias("total_orders"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+            F.sum("_rev").alias("_rev"))
     top = g.orderBy(F.desc("_rev"), F.asc("country")).limit(k)
     top = top.withColumn("_all", _scalar(fact, F.sum("revenue")))
     return top.select(
@@ -409,9 +418,12 @@ def mom_growth(fact: DataFrame) -> DataFrame:
 
 @in_order("-total_revenue", "country")
 def country_contribution(fact: DataFrame, dim_customer: DataFrame, k: int = 15) -> DataFrame:
-    """Q-21: ROWS running total by revenue desc (ties by country)."""
-    per_customer = fact.groupBy("customer_id").agg(F.sum("revenue").alias("_r"))
-    g = per_customer.join(dim_customer, "customer_id").groupBy("country").agg(F.sum("_r").alias("_rev"))
+    """Q-21: ROWS running total by revenue desc (ties by country), from lines or cells."""
+    if "bits" in fact.columns:
+        g = fact.where("known").groupBy("country").agg(F.sum("revenue").alias("_rev"))
+    else:
+        per_customer = fact.groupBy("customer_id").agg(F.sum("revenue").alias("_r"))
+        g = per_customer.join(dim_customer, "customer_id").groupBy("country").agg(F.sum("_r").alias("_rev"))
     w_all = Window.partitionBy()
     w_run = Window.orderBy(F.desc("_rev"), F.asc("country")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     g = (g.withColumn("_tot", F.sum("_rev").over(w_all))

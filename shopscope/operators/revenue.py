@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.calendar import month_ordinal, ordinal_label
 from shopscope.functions.exact import money_even, ratio
+from shopscope.operators.cells import rolled_up
 from shopscope.plans.marks import first_rows
 from shopscope.plans.ordering import durable, global_order
 from shopscope.plans.star import FIRST_ORDER
@@ -169,10 +170,15 @@ def top_bottom_share_from(customers: DataFrame, products: DataFrame) -> DataFram
     return out
 
 
-def overall_kpis(clean: DataFrame) -> DataFrame:
-    """C-48: total revenue, orders, customers, AOV = total / orders."""
-    a = clean.agg(F.sum("revenue").alias("_rev"), F.count_distinct("invoice").alias("orders"),
-                  F.count_distinct("customer_id").alias("customers"))
+def overall_kpis(clean: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """C-48: total revenue, orders, customers, AOV = total / orders. ``cells``: bitmaps that give the
+    distinct counts (``operators.cells``), so that lines are only summed."""
+    if cells is None:
+        a = clean.agg(F.sum("revenue").alias("_rev"), F.count_distinct("invoice").alias("orders"),
+                      F.count_distinct("customer_id").alias("customers"))
+    else:
+        counts = rolled_up(cells).select(F.col("total_orders").alias("orders"), F.col("unique_customers").alias("customers"))
+        a = one_row(clean.agg(F.sum("revenue").alias("_rev")), counts)
     return a.select(money_even("_rev").alias("total_revenue"), "orders", "customers",
                     ratio("_rev", "orders", 2, num_scale=4, half_even=True).alias("aov"))
 

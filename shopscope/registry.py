@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopscope.operators import (cleaning, clv, cohorts, integrity, quality, reports, revenue, rfm,
                                  stats)
 from shopscope.operators.activity import activity
+from shopscope.operators.cells import sales_cells
 from shopscope.plans.star import star_for
 from shopscope.sources import sinks
 from shopscope.sources.events import purchases_as_sales
@@ -49,6 +50,11 @@ def _bitsets(spark: SparkSession, sf_dir: str):
     return star_for(spark, sf_dir).derived("customer_months", lambda st: activity(st.fact_sales, reports.sale_month_ordinal(st.fact_sales)))
 
 
+def _cells(spark: SparkSession, sf_dir: str):
+    """Bitmaps of orders and customers per month and country, derived once per star."""
+    return star_for(spark, sf_dir).derived("sales_cells", lambda st: sales_cells(st.fact_sales, st.dim_customer))
+
+
 def _cohort_matrix(spark: SparkSession, sf_dir: str):
     """The long cohort retention matrix, derived once per star."""
     bitsets = _bitsets(spark, sf_dir)
@@ -72,9 +78,9 @@ QUERIES: dict[str, Query] = {
     "segment_pareto": lambda s, d: reports.segment_pareto(_s(s, d).rfm_segments),
     "at_risk_product_affinity": lambda s, d: reports.at_risk_product_affinity(
         _s(s, d).fact_sales, _s(s, d).dim_product, _s(s, d).rfm_segments),
-    "monthly_revenue_trend": lambda s, d: reports.monthly_revenue_trend(_s(s, d).fact_sales),
-    "country_revenue_top10": lambda s, d: reports.country_revenue_top10(_s(s, d).fact_sales, _s(s, d).dim_customer),
-    "rolling_3m_revenue": lambda s, d: reports.rolling_3m_revenue(_s(s, d).fact_sales),
+    "monthly_revenue_trend": lambda s, d: reports.monthly_revenue_trend(_cells(s, d)),
+    "country_revenue_top10": lambda s, d: reports.country_revenue_top10(_cells(s, d), _s(s, d).dim_customer),
+    "rolling_3m_revenue": lambda s, d: reports.rolling_3m_revenue(_cells(s, d)),
     "q4_vs_nonq4": lambda s, d: reports.q4_vs_nonq4(_s(s, d).fact_sales, _s(s, d).dim_date),
     "top_products": lambda s, d: reports.top_products(_s(s, d).fact_sales, _s(s, d).dim_product),
     "cohort_sizes": lambda s, d: reports.cohort_sizes(None, bitsets=_bitsets(s, d)),
@@ -87,8 +93,8 @@ QUERIES: dict[str, Query] = {
     "running_total_revenue": lambda s, d: reports.running_total_revenue(_s(s, d).fact_sales),
     "customer_percentile": lambda s, d: reports.customer_percentile(_s(s, d).rfm_segments),
     "revenue_by_decile": lambda s, d: reports.revenue_by_decile(_s(s, d).rfm_segments),
-    "mom_growth": lambda s, d: reports.mom_growth(_s(s, d).fact_sales),
-    "country_contribution": lambda s, d: reports.country_contribution(_s(s, d).fact_sales, _s(s, d).dim_customer),
+    "mom_growth": lambda s, d: reports.mom_growth(_cells(s, d)),
+    "country_contribution": lambda s, d: reports.country_contribution(_cells(s, d), _s(s, d).dim_customer),
 }
 
 
@@ -143,7 +149,7 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
     "pareto_cutoff": lambda s, d: revenue.pareto_cutoff_from(_cust_pareto(s, d), _prod_pareto(s, d)),
     "top_bottom_share": lambda s, d: revenue.top_bottom_share_from(_cust_pareto(s, d), _prod_pareto(s, d)),
     "product_pareto": lambda s, d: _prod_pareto(s, d),
-    "overall_kpis": lambda s, d: revenue.overall_kpis(_clean(s, d)),
+    "overall_kpis": lambda s, d: revenue.overall_kpis(_clean(s, d), _cells(s, d)),
     "non_product_codes": lambda s, d: revenue.non_product_codes(_clean(s, d)),
     # ---- lifetime value (C-50 ... C-56)
     "customer_clv": lambda s, d: _clv(s, d),
