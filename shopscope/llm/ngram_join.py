@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.components import components
-from shopscope.llm.shared import bitmap, passes, numbered, small_batches, unused, written
+from shopscope.llm.shared import bitmap, numbered, passes, removed, small_batches, stored, unused, written
 from shopscope.llm.words import U, mix, text_batches, window_names, word_names
 
 SHINGLE = 5
@@ -248,8 +248,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE) -> DataFrame:
     return docs.select("row", "text").mapInArrow(sets, "name long, shingles binary")
 
 
-def listed_together(lists: DataFrame) -> DataFrame:
-    """Rows of lists that at least two sets share."""
+def listed_together(lists: DataFrame) -> tuple[DataFrame, str]:
+    """Rows of lists that at least two sets share, and the folder that they are read from."""
     # the low half of a name is enough for the filter, and half as much to shuffle
     held = lists.select(F.expr("cast(shiftright(shiftleft(shingle, 32), 32) as int)").alias("low")).groupBy("low").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     bits = bitmap(held.select(F.expr(f"cast(low as long) & {LOW}L").alias("low")), "low", LIST_BITS)
@@ -258,9 +258,9 @@ def listed_together(lists: DataFrame) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(passes(bits, b.column("shingle").to_numpy() & LOW)))
 
-    rows = written(lists.mapInArrow(keep, "shingle long, name long, n int").distinct(), "filtered-lists")
+    rows, at = stored(lists.mapInArrow(keep, "shingle long, name long, n int").distinct(), "filtered-lists")
     shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("shingle")
-    return rows.join(shared, "shingle")
+    return rows.join(shared, "shingle"), at
 
 
 def _common(n: str, percent: int) -> Column:
@@ -337,25 +337,32 @@ def components_of_rows(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
 def _components_of_numbered(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``components_of_rows`` over (row, doc_id, text)."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     seen = written(profiles(docs, k), "shingle-profiles")
     rows = seen.filter("row is not null").select("row", "doc_id", "name", "n")
     often = seen.filter("row is null").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)
     frequent = np.array([r["name"] for r in often.collect()], dtype=np.int64).view(U)  # FREQUENT names at most
 
-    lists = written(short_lists(docs, frequent, k, percent), "short-lists")
-    members = written(listed_together(lists), "list-members")
+    # each table of lists goes when the next one is written
+    lists, lists_at = stored(short_lists(docs, frequent, k, percent), "short-lists")
+    together, together_at = listed_together(lists)
+    removed(spark, lists_at)
+    members, members_at = stored(together, "list-members")
+    removed(spark, together_at)
     vertices = rows.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
-    members = written(linkable(members, percent), "linkable-members")
-    cells = written(cells_of(members, percent), "cells")
+    linked, linked_at = stored(linkable(members, percent), "linkable-members")
+    removed(spark, members_at)
+    cells = written(cells_of(linked, percent), "cells")
+    removed(spark, linked_at)
     sets = sets_of(docs, cells.join(vertices, "name"), k)
     labels = written(components(links_of(cells, sets, percent)), "components")
 
     joined = vertices.join(labels.withColumnRenamed("id", "name"), "name", "left").select("name", F.coalesce("component", "name").alias("c"), "doc_id")
     classes = joined.join(joined.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("name", "c", "component_id")
     alone = rows.filter("name is null").select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("c"))
-    linked = rows.filter("name is not null").join(classes, "name").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id", "c")
-    return linked.union(alone)
+    grouped = rows.filter("name is not null").join(classes, "name").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id", "c")
+    return grouped.union(alone)
 
 
 def ngram_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -36,18 +36,25 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder, reread: cuts lineage and survives lost executors."""
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows as a table in the shared folder, reread, and where it is: for tables that are ``removed``
+    when what follows from them is written."""
     spark = df.sparkSession
     at = new_folder(spark, name)
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    return spark.read.schema(df.schema).parquet(at), at
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, reread: cuts lineage and survives lost executors."""
+    return stored(df, name)[0]
 
 
-def removed(spark: SparkSession, at: str) -> None:
-    """Delete a folder that this run has written and nothing reads any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)  # noqa: SLF001 - Hadoop FileSystem through the public gateway
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+def removed(spark: SparkSession, *folders: str) -> None:
+    """Delete folders that this run has written and nothing reads any more."""
+    for at in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)  # noqa: SLF001 - Hadoop FileSystem through the public gateway
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
 
 
 def unused(df: DataFrame, name: str) -> str:

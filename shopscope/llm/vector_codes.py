@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopscope.llm.shared import importable, new_folder, removed
+from shopscope.llm.shared import importable, removed, stored
 
 PARTS = 16
 ENTRIES = 64
@@ -220,12 +220,6 @@ def updated(book: np.ndarray, sums: dict[int, int]) -> np.ndarray:
     return _numbers(out.tolist())
 
 
-def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    at = new_folder(df.sparkSession, name)
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at), at
-
-
 def _assigned(rows: DataFrame, books: list[np.ndarray], keep: list[str], last: bool) -> DataFrame:
     parts, width = books[-1].shape[0], books[-1].shape[0] * books[-1].shape[2]
     known = "code" in rows.columns
@@ -274,12 +268,12 @@ def compressed(vectors: DataFrame, *keep: str, parts: int = PARTS, entries: int
     books = [_numbers(start.reshape(len(start), parts, width // parts).swapaxes(0, 1).tolist())]
     at = None
     for _ in range(rounds):
-        rows, written_at = _stored(_assigned(rows, books, fields, False), "vector-bounds")
+        rows, written_at = stored(_assigned(rows, books, fields, False), "vector-bounds")
         if at:
             removed(spark, at)
         at = written_at
         books.append(updated(books[-1], _sums(rows, parts, width, len(start))))
-    done, _ = _stored(_assigned(rows, books, fields, True), "vector-codes")
+    done, _ = stored(_assigned(rows, books, fields, True), "vector-codes")
     if at:
         removed(spark, at)
     return done, [[[int(v) for v in entry] for entry in part] for part in books[-1]]
