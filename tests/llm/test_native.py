@@ -158,7 +158,7 @@ def test_native_queries_run_no_python(spark, capsys):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     want = con.sql(ORACLE[name])
     got = QUERIES[name](spark, "/root/testdata/sf0.001").select(*want.columns)
