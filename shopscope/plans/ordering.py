@@ -10,9 +10,9 @@ lines. The plan, the same at every size:
    it into B contiguous ranges. The order is total (it ends with a unique
    tie-break), so even a value shared by a third of all rows is spread over
    many buckets.
-2. The bucket number and a reliable ``checkpoint()`` to the shared checkpoint
-   folder: the bucket assignment is frozen, so re-running a lost task can
-   never move a row to another bucket.
+2. The bucket number, written to the shared checkpoint folder: the bucket
+   assignment is frozen, so re-running a lost task can never move a row to
+   another bucket.
 3. Per-bucket count / sum (B rows), an exclusive prefix over those B rows,
    broadcast back (B is bounded by configuration).
 4. Local row numbers and running sums per bucket; adding the bucket offsets
@@ -21,6 +21,7 @@ lines. The plan, the same at every size:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,9 +45,11 @@ def _buckets(spark) -> int:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a table in the shared checkpoint folder and cut its lineage. (A reliable
+    ``checkpoint()`` runs the plan twice, once to compute and once to write it, and stores rows.)"""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/durable-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _LOW33 = (1 << 33) - 1
