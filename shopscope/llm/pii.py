@@ -53,7 +53,7 @@ WIDE = {
              r"[A-Za-z0-9-]{1,63}+(?:(?:\.| \. | ?[(\[{<]dot[)\]}>] ?| dot )[A-Za-z0-9-]{1,63}+){1,5}+",
     "ip": r"(?i)(?<![0-9.,:])[0-9]{1,3}+(?:(?: ?(?:\.|[(\[{]\.[)\]}]|[(\[{]dot[)\]}]) ?|[,:]| dot )[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ ./_-]{0,3}[0-9]){11,18}+(?![0-9])",
-    "phone": r"(?<![0-9.+/-])\+?(?:\(?[0-9]{1,4}+\)?(?:[ ./-]{1,2}\(?[0-9]{2,8}+\)?){2,5}+|[0-9]{9,15}+)(?![0-9])",
+    "phone": r"(?<![0-9.+/-])\+?(?:\(?[0-9]{1,4}+\)?(?:[ ./-]{1,2}\(?[0-9]{2,8}+\)?){2,5}+|(?<![A-Za-z])[0-9]{9,15}+(?![A-Za-z]))(?![0-9])",
 }
 # What a text must hold for a pattern to match at all.
 NEEDS = {

@@ -39,7 +39,7 @@ def _alike(rng):
     return rng.choice([
         f"on {n(1900, 2030)}-{n(1, 13):02d}-{n(1, 29):02d} 10:30", f"isbn 978-3-16-{n(100000, 999999)}-0", f"pages {n(1, 99)}-{n(100, 200)}", f"lists {n(1, 9)},{n(10, 20)},{n(20, 30)},{n(30, 40)}",
         f"version {n(1, 9)}.{n(1, 20)}.{n(1, 99)}", f"look at example.com", f"{n(1, 9)},{n(100, 999)},{n(100, 999)}", f"invoice {n(10**9, 10**10)}", f"at noon. then", f"{n(1, 24)}:{n(10, 59)}:{n(10, 59)}",
-        f"from {n(1900, 1950)}-{n(1951, 1999)}", f"the score was {n(1, 9)}:{n(1, 9)}"])
+        f"key {n(16, 250):x}a{n(10**9, 10**10)}f{n(10**9, 10**10)}", f"from {n(1900, 1950)}-{n(1951, 1999)}", f"the score was {n(1, 9)}:{n(1, 9)}"])
 
 
 def _texts(seed, n, base):
