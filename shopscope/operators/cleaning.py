@@ -55,16 +55,17 @@ def first_failing_step(df: DataFrame) -> Column:
              .otherwise(KEPT_STEP))
 
 
-def classify(raw: DataFrame) -> DataFrame:
+def classify(raw: DataFrame, n_rows: int | None = None) -> DataFrame:
     """Distinct raw rows with their number of ``copies`` and the ``step_no``
     of the first cleaning rule they fail (7 = kept).
 
     This is the single whole-row de-duplication of the workflow; the clean
     table, the funnel, the duplicate count and the pre-floor statistics all
     derive from it. Only rows whose fingerprint repeats are shuffled whole
-    (``plans.marks``), the others go straight on.
+    (``plans.marks``), the others go straight on. ``n_rows``: about how many
+    raw rows there are, if known.
     """
-    counted = counted_rows(raw, [f.name for f in schemas.RAW_SALES.fields])
+    counted = counted_rows(raw, [f.name for f in schemas.RAW_SALES.fields], n_rows=n_rows)
     return counted.withColumn("step_no", first_failing_step(counted))
 
 

@@ -39,9 +39,13 @@ def _sort_exprs(order: Order) -> list[Column]:
     return [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
 
 
-def _buckets(spark) -> int:
+#: Rows that one bucket's sort holds in memory (about 100 MB).
+BUCKET_ROWS = 1 << 20
+
+
+def _buckets(spark, rows: int | None = None) -> int:
     b = spark.conf.get(BUCKETS_CONF, None)
-    return int(b) if b else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(b) if b else max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // BUCKET_ROWS))
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -55,18 +59,19 @@ def durable(df: DataFrame) -> DataFrame:
 _LOW33 = (1 << 33) - 1
 
 
-def global_order(df: DataFrame, order: Order, *, running: str | None = None) -> DataFrame:
+def global_order(df: DataFrame, order: Order, *, running: str | None = None, rows: int | None = None) -> DataFrame:
     """Add ``_rn`` (1-based position in ``order``) and optionally ``_cum``
     (running sum of ``running``, ROWS UNBOUNDED PRECEDING).
 
     ``order`` must be total (make its last columns a unique key). After the
     range exchange and the sort in the same stage,
     ``monotonically_increasing_id`` is (bucket << 33) + position in the
-    bucket, so the row number needs no window.
+    bucket, so the row number needs no window. ``rows``: about how many rows
+    there are, if known; more of them get more buckets, not larger ones.
     """
     spark = df.sparkSession
     sort = _sort_exprs(order)
-    staged = durable(df.repartitionByRange(_buckets(spark), *sort)
+    staged = durable(df.repartitionByRange(_buckets(spark, rows), *sort)
                        .sortWithinPartitions(*sort)
                        .withColumn("_mid", F.monotonically_increasing_id()))
     staged = (staged.withColumn("_bucket", F.shiftright("_mid", 33))

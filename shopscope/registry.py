@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopscope import schemas
 from shopscope.operators import (cleaning, clv, cohorts, integrity, quality, reports, revenue, rfm,
                                  stats)
 from shopscope.operators.activity import activity
@@ -165,7 +166,7 @@ QUERIES.update({  # operators (C-01 ... C-75, S-03 ... S-07)
     "dim_customer": lambda s, d: _s(s, d).dim_customer,
     "dim_product": lambda s, d: _s(s, d).dim_product,
     "dim_date": lambda s, d: _s(s, d).dim_date,
-    "fact_sales": lambda s, d: _s(s, d).tables()["fact_sales"],
+    "fact_sales": lambda s, d: _s(s, d).fact_sales.select(*schemas.FACT_SALES.names),
     "fk_orphans": lambda s, d: integrity.fk_orphans(_s(s, d).tables()),
     "pk_violations": lambda s, d: integrity.pk_violations(_s(s, d).tables(), _s(s, d).metrics),
     "load_row_counts": lambda s, d: integrity.load_row_counts(_s(s, d).tables(), _s(s, d).metrics),

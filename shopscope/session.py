@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +54,40 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_WRITING_LOCK = threading.Lock()
+_WRITING: dict[int, list] = {}
+#: Input bytes that one shuffle partition stands for, and folders that a task writes at a time.
+PARTITION_BYTES = 8 << 20
+OPEN_FOLDERS = 32
+
+
+@contextmanager
+def writing(spark: SparkSession, input_bytes: int = 0) -> Iterator[None]:
+    """Settings for writing tables made of so many bytes of input, set back when the last of the
+    writers that overlap has ended. Shuffles start from partitions by the input's size (AQE puts small
+    ones together), so a task's share stays in memory at every size. A task that meets few folders
+    keeps a file open for each instead of sorting its rows by folder first; one that meets more
+    sorts the rest."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), input_bytes // PARTITION_BYTES)
+    wanted = {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FOLDERS)}
+    if input_bytes:
+        wanted["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
+    with _WRITING_LOCK:
+        now = _WRITING.setdefault(id(spark), [0, {k: spark.conf.get(k, None) for k in wanted}])
+        now[0] += 1
+        if now[0] == 1:
+            for k, v in wanted.items():
+                spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _WRITING_LOCK:
+            now[0] -= 1
+            if not now[0]:
+                for k, v in _WRITING.pop(id(spark))[1].items():
+                    spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for durable intermediate tables.
 
