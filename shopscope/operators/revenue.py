@@ -89,7 +89,7 @@ def home_vs_abroad(clean: DataFrame, home: str) -> DataFrame:
 
 def _pareto(per_entity: DataFrame, key: str) -> DataFrame:
     per_entity = durable(per_entity)  # read by the totals and the ordering
-    o = global_order(per_entity, [("revenue", False), (key, True)], running="revenue")
+    o = global_order(per_entity, [("revenue", False), (key, True)], running="revenue", rows=per_entity.count())
     all_of_it = per_entity.select(F.struct(F.sum("revenue").alias("tot"), F.count(F.lit(1)).alias("n"))).scalar()
     return (o.withColumn("_all", all_of_it).withColumn("_tot", F.col("_all.tot")).withColumn("_n", F.col("_all.n")).drop("_all")
              .withColumnRenamed("_rn", "rank").withColumnRenamed("_cum", "cumulative_revenue")
