@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 from shopscope.plans.ordering import durable, global_order
 
 
-def _numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """The rows with ``no``, their place (from 0) in a total order."""
-    return global_order(rows, [(c, True) for c in order]).withColumn("no", F.col("_rn") - 1).drop("_rn")
+def _numbered(rows: DataFrame, at_most: int, *order: str) -> DataFrame:
+    """The rows, ``at_most`` so many, with ``no``, their place (from 0) in a total order."""
+    return global_order(rows, [(c, True) for c in order], rows=at_most).withColumn("no", F.col("_rn") - 1).drop("_rn")
 
 
 def _bits(rows: DataFrame, what: str, no: str) -> DataFrame:
-    bucket = F.bitmap_bucket_number(F.col(no))
-    per = rows.groupBy("sale_month", "country", "known", bucket.alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(no))).alias("bits"))
+    # a bitmap is as long with one bit as with all: places are moved, each once, and every bitmap is made in one task, of 32,768 places at most
+    cell = ["sale_month", "country", "known", "bucket"]
+    places = rows.select(*cell[:3], F.bitmap_bucket_number(F.col(no)).alias("bucket"), F.bitmap_bit_position(F.col(no)).alias("place")).distinct()
+    per = places.repartition(*cell).groupBy(*cell).agg(F.bitmap_construct_agg(F.col("place")).alias("bits"))
     return per.select("sale_month", "country", "known", F.lit(what).alias("what"), "bucket", "bits", F.lit(None).cast("decimal(38,2)").alias("revenue"))
 
 
@@ -35,9 +37,10 @@ def sales_cells(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     'customer's and one row with its 'revenue'. ``known``: the customers are in the dimension, so the
     country is theirs; other lines have cells of their own, without a country."""
     orders = durable(fact.groupBy("sale_month", "invoice", "customer_id").agg(F.sum("revenue").alias("revenue")))
-    invoices = _numbered(orders.groupBy("invoice").agg(F.min("sale_month").alias("_first")), "_first", "invoice").select("invoice", F.col("no").alias("order_no"))
+    n = orders.count()
+    invoices = _numbered(orders.groupBy("invoice").agg(F.min("sale_month").alias("_first")), n, "_first", "invoice").select("invoice", F.col("no").alias("order_no"))
     everyone = orders.select("customer_id").distinct().join(dim_customer.select("customer_id", "country", F.lit(True).alias("known")), "customer_id", "left")
-    customers = _numbered(everyone, "country", "customer_id").withColumnRenamed("no", "customer_no").withColumn("known", F.coalesce("known", F.lit(False)))
+    customers = _numbered(everyone, n, "country", "customer_id").withColumnRenamed("no", "customer_no").withColumn("known", F.coalesce("known", F.lit(False)))
     rows = durable(orders.join(invoices, "invoice").join(customers, "customer_id").select("sale_month", "country", "known", "order_no", "customer_no", "revenue"))
     revenue = rows.groupBy("sale_month", "country", "known").agg(F.sum("revenue").cast("decimal(38,2)").alias("revenue"))
     revenue = revenue.select("sale_month", "country", "known", F.lit("revenue").alias("what"), F.lit(None).cast("bigint").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "revenue")
