@@ -319,8 +319,12 @@ def personal_data(docs: DataFrame, row: str | None = None) -> tuple[DataFrame, D
     for k, v in sorted(limits.items()):
         limit = F.when(F.col("kind_no") == k, F.lit(v)).otherwise(limit)
     spans = spans.filter("row >= 0")
-    base = spans.filter("base").select("row", "kind", "kind_no", "start", "end", "base")
-    extra = featured(spans.filter("not base and valid")).withColumn("score", score).filter(F.col("score") >= limit).select("row", "kind", "kind_no", "start", "end", "base")
+    place = ["row", "kind", "kind_no", "start", "end", "base"]
+    # the trees ask for a feature in many places: in a plan with the features' own expressions, each place would repeat them
+    # (megabytes of plan and code on the driver); the rows that trees and limits pass are stored, so no later plan holds the trees
+    known = written(featured(spans.filter("not base and valid")).select(*dict.fromkeys([*place, *FEATURES])), "features")
+    extra = written(known.withColumn("score", score).filter(F.col("score") >= limit).select(*place), "added")
+    base = spans.filter("base").select(*place)
     # clear of base spans of any kind, and of each other: the earlier one stays
     extra = _clear_of_base(base.union(extra), "row").filter("not base")
     return rows, base.union(_clear_of_kept(extra))
