@@ -13,7 +13,7 @@ from shopscope.llm.mixing import mixed
 from shopscope.llm.ngram_join import one_of_each
 from shopscope.llm.packing import best_fit_packing
 from shopscope.llm.pii import redacted
-from shopscope.llm.shared import importable, table, written
+from shopscope.llm.shared import importable, removed, stored, table
 from shopscope.llm.subword_classifier import THRESHOLD, labelled, scores, trained
 
 
@@ -61,7 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, at = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before = at
+        docs, at = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:  # a stage's table goes when the next one is written
+            removed(spark, before)
     return docs

@@ -2,7 +2,7 @@
 
 Each round is two groupings by vertex; a vertex with very many neighbours only
 ever needs their minimum, so nothing is collected per vertex. The edge table of
-each round is written to the shared folder. The rounds end when a round leaves
+each round is written to the shared folder and removed when the next one is. The rounds end when a round leaves
 the edges unchanged: every vertex then points to its component's smallest one.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import written
+from shopscope.llm.shared import removed, stored
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -35,12 +35,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): every vertex of an edge that joins two different vertices and the
     smallest vertex reachable from it. Null ends and loops are no links."""
     now = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    now, last = written(now, "edges"), None
+    (now, at), last = stored(now, "edges"), None
     while True:
         state = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if state["n"] == 0 or state == last:
             break
         last = state
-        now = written(_small_star(_large_star(now)), "edges")
+        before = at
+        now, at = stored(_small_star(_large_star(now)), "edges")
+        removed(edges.sparkSession, before)
     roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

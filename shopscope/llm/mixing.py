@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import n_words, numbered, unused, written
+from shopscope.llm.shared import made, n_words, numbered, unused, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -173,7 +173,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     whole documents, see ``whole_copies``. Rows without words go."""
     own = unused(docs, "mix_row")
     rows = numbered(docs, own)
-    taken = mixture(sized(rows, F.col(own).alias("mix_row")), "mix_row")
-    copies = whole_copies(taken).filter("copies > 0")
+    taken = lambda: mixture(sized(rows, F.col(own).alias("mix_row")), "mix_row")
+    copies = made(docs.sparkSession, "copies", lambda: whole_copies(taken()).filter("copies > 0"))
     times = copies.select("mix_row", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
     return rows.join(times.select(F.col("mix_row").alias(own)), own).select(*docs.columns)

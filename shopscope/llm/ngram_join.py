@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.components import components
-from shopscope.llm.shared import bitmap, numbered, passes, removed, small_batches, stored, unused, written
+from shopscope.llm.shared import bitmap, made, numbered, parted, passes, removed, small_batches, stored, unused, written
 from shopscope.llm.words import U, mix, text_batches, window_names, word_names
 
 SHINGLE = 5
@@ -344,20 +344,23 @@ def _components_of_numbered(docs: DataFrame, k: int, percent: int) -> DataFrame:
     often = seen.filter("row is null").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)
     frequent = np.array([r["name"] for r in often.collect()], dtype=np.int64).view(U)  # FREQUENT names at most
 
-    # each table of lists goes when the next one is written
-    lists, lists_at = stored(short_lists(docs, frequent, k, percent), "short-lists")
-    together, together_at = listed_together(lists)
-    removed(spark, lists_at)
-    members, members_at = stored(together, "list-members")
-    removed(spark, together_at)
     vertices = rows.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
-    linked, linked_at = stored(linkable(members, percent), "linkable-members")
-    removed(spark, members_at)
-    cells = written(cells_of(linked, percent), "cells")
-    removed(spark, linked_at)
-    sets = sets_of(docs, cells.join(vertices, "name"), k)
-    labels = written(components(links_of(cells, sets, percent)), "components")
 
+    def grouped_sets() -> DataFrame:
+        # each table of lists goes when the next one is written
+        lists, lists_at = stored(short_lists(docs, frequent, k, percent), "short-lists")
+        together, together_at = listed_together(lists)
+        removed(spark, lists_at)
+        members, members_at = stored(together, "list-members")
+        removed(spark, together_at)
+        linked, linked_at = stored(linkable(members, percent), "linkable-members")
+        removed(spark, members_at)
+        cells = written(cells_of(linked, percent), "cells")
+        removed(spark, linked_at)
+        sets = sets_of(docs, cells.join(vertices, "name"), k)
+        return components(links_of(cells, sets, percent))
+
+    labels = made(spark, "components", grouped_sets)
     joined = vertices.join(labels.withColumnRenamed("id", "name"), "name", "left").select("name", F.coalesce("component", "name").alias("c"), "doc_id")
     classes = joined.join(joined.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("name", "c", "component_id")
     alone = rows.filter("name is null").select("row", "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("c"))
@@ -376,7 +379,14 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
     own = unused(docs, "group_row")
     rows = numbered(docs, own)
     texts = rows.select(F.col(own).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = written(_components_of_numbered(texts, k, percent), "row-components")
-    first = found.filter(F.col("c").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("c").agg(F.min("row").alias("row"))
-    stays = first.select("row").union(found.filter("c is null").select("row")).withColumnRenamed("row", "group_row")
-    return rows.join(stays.withColumnRenamed("group_row", own), own, "left_semi").select(*docs.columns)
+
+    def copies() -> DataFrame:
+        found = written(_components_of_numbered(texts, k, percent), "row-components")
+        first = found.filter(F.col("c").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("c").agg(F.min("row").alias("row"))
+        # by row: a component can be large
+        return found.filter("c is not null").select("row").join(first, "row", "left_anti").select(F.col("row").alias(own))
+
+    go = made(docs.sparkSession, "rows-that-go", copies)
+    # only texts that may go are shuffled
+    may, stay = parted(rows, own, go)
+    return may.join(go, own, "left_anti").union(stay).select(*docs.columns)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.llm.shared import numbered, unused, written
+from shopscope.llm.shared import made, numbered, parted, unused, written
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.95
@@ -352,15 +352,21 @@ def redacted(docs: DataFrame) -> DataFrame:
     Overlapping spans are replaced together, named by the first. Null texts stay null."""
     own, held = unused(docs, "pii_row"), unused(docs, "pii_cuts")
     docs, columns = numbered(docs, own), docs.columns
-    _, spans = personal_data(docs, own)
-    by = Window.partitionBy("row").orderBy("start", "kind_no")
-    until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    joint = spans.withColumn("fresh", F.coalesce((until <= F.col("start")).cast("int"), F.lit(1)))
-    joint = joint.withColumn("no", F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    joint = joint.groupBy("row", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min(F.when(F.col("fresh") == 1, F.col("kind"))).alias("kind"))
-    cuts = joint.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("pii_cuts"))
-    cuts = cuts.select(F.col("row").alias(own), F.col("pii_cuts").alias(held))
-    rows = docs.join(cuts, own, "left")
+
+    def found() -> DataFrame:
+        _, spans = personal_data(docs, own)
+        by = Window.partitionBy("row").orderBy("start", "kind_no")
+        until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+        joint = spans.withColumn("fresh", F.coalesce((until <= F.col("start")).cast("int"), F.lit(1)))
+        joint = joint.withColumn("no", F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        joint = joint.groupBy("row", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min(F.when(F.col("fresh") == 1, F.col("kind"))).alias("kind"))
+        cuts = joint.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("pii_cuts"))
+        return cuts.select(F.col("row").alias(own), F.col("pii_cuts").alias(held))
+
+    cuts = made(docs.sparkSession, "cuts", found)
+    # only texts that may have cuts are shuffled
+    may, whole = parted(docs, own, cuts)
+    rows = may.join(cuts, own, "left")
     at = F.col(held)
 
     def piece(x: Column, i: Column) -> Column:
@@ -369,4 +375,4 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     tail = F.substring(F.col("text"), (F.element_at(at, -1)["end"] + 1).cast("int"), F.length("text"))
     text = F.when(at.isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform(at, piece), ""), tail))
-    return rows.withColumn("text", text).select(*columns)
+    return rows.withColumn("text", text).select(*columns).union(whole.select(*columns))

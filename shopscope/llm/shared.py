@@ -10,8 +10,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +35,12 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Folder of the tables that ``made`` removes; none outside of it.
+_STEPS: ContextVar[str | None] = ContextVar("steps", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_STEPS.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -57,6 +64,20 @@ def removed(spark: SparkSession, *folders: str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
 
 
+def made(spark: SparkSession, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """The rows that the function gives as a table in the shared folder, reread. The tables that it
+    writes on the way are removed: nothing else may read them."""
+    at, steps = new_folder(spark, name), new_folder(spark, f"{name}-steps")
+    outer = _STEPS.set(steps)
+    try:
+        df = rows()
+        df.write.parquet(at)
+    finally:
+        _STEPS.reset(outer)
+        removed(spark, steps)
+    return spark.read.schema(df.schema).parquet(at)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the frame doesn't have."""
     taken = {c.lower() for c in df.columns}
@@ -65,10 +86,35 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Bits of a row's place in its file; the bits above hold the file.
+PLACE_BITS = 33
+
+
+def _numbered_by_place(docs: DataFrame, name: str, *columns: Column | str) -> DataFrame | None:
+    """``numbered`` without a copy, where the rows are those of whole files that tell a row's place:
+    file and place are the same in every scan. None for other frames, and where two files get one number."""
+    if not docs.inputFiles() or "_metadata" in docs.columns:
+        return None
+    file = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << (63 - PLACE_BITS)))
+    try:
+        place = docs.select(file.alias("file"), F.col("_metadata.row_index").alias("place"))
+        rows = docs.select(F.shiftleft(file, PLACE_BITS).bitwiseOR(F.col("_metadata.row_index")).alias(name), *columns)
+    except AnalysisException:
+        return None
+    # every place of every file once: a filter leaves some out, a join or explode repeats some
+    places = place.groupBy("file", "place").agg(F.count(F.lit(1)).alias("n"))
+    files = places.groupBy("file").agg(F.count(F.lit(1)).alias("places"), F.sum("n").alias("rows"), F.max("place").alias("last"))
+    return rows if files.filter("places != rows or places != last + 1").isEmpty() else None
+
+
 def numbered(docs: DataFrame, name: str, *columns: Column | str) -> DataFrame:
-    """The rows (or these columns of them) with a number each in column ``name``, written once: a
-    second scan may be split otherwise, when executors come or go, and would number them anew."""
-    return written(docs.select(F.monotonically_increasing_id().alias(name), *(columns or docs.columns)), "rows")
+    """The rows (or these columns of them) with a number each in column ``name``, the same in every
+    scan. Rows of Parquet files are numbered by file and place there; the files must stay while the
+    rows are read. Other rows are numbered as they come and written once: a second scan may be split
+    otherwise, when executors come or go, and would number them anew."""
+    columns = columns or tuple(docs.columns)
+    placed = _numbered_by_place(docs, name, *columns)
+    return written(docs.select(F.monotonically_increasing_id().alias(name), *columns), "rows") if placed is None else placed
 
 
 def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
@@ -102,6 +148,22 @@ def filtered(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
     return rows.mapInArrow(keep, rows.schema)
 
 
+#: Bits of the filter that parts rows (2 MB as a broadcast table at most, by words of 64 bits).
+PART_BITS = 1 << 23
+
+
+def parted(rows: DataFrame, column: str, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose (not null) value may be among the ``names`` in the column of that name, and the others. The
+    bitmap that tells them apart has a fixed size and is broadcast: rows are not shuffled. DataFrame functions only."""
+    word, bits, bit = (unused(rows, x) for x in ("part_word", "part_bits", "part_bit"))
+    place = F.pmod(F.xxhash64(column), F.lit(PART_BITS))
+    marked = lambda df, *keep: df.select(*keep, F.shiftright(place, 6).alias(word), place.alias(bit)).withColumn(bit, F.expr(f"shiftleft(1L, cast(`{bit}` & 63 as int))"))
+    known = marked(names).groupBy(word).agg(F.bit_or(bit).alias(bits))  # PART_BITS / 64 rows at most
+    seen = marked(rows, *rows.columns).join(F.broadcast(known), word, "left")
+    may = F.coalesce(F.col(bits).bitwiseAND(F.col(bit)) != 0, F.lit(False))
+    return seen.filter(may).select(*rows.columns), seen.filter(~may).select(*rows.columns)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers of this machine import the package from where the driver did.
     (A cluster gets it installed or with --py-files.)"""
