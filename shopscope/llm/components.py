@@ -1,8 +1,9 @@
 """Connected components of an edge table: alternating large-star and small-star rounds.
 
 Each round is two groupings by vertex; a vertex with very many neighbours only
-ever needs their minimum, so nothing is collected per vertex. The edge table of
-each round is written to the shared folder and removed when the next one is. The rounds end when a round leaves
+ever needs their minimum, so nothing is collected per vertex. The edges that each
+star gives are written to the shared folder and removed when the next ones are: a plan
+holds one star, and its joins are planned and broadcast once. The rounds end when a round leaves
 the edges unchanged: every vertex then points to its component's smallest one.
 """
 
@@ -21,7 +22,8 @@ def _least(pairs: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _least(both).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    # repeated rows, at most as many as edges, go with the small star
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -41,8 +43,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if state["n"] == 0 or state == last:
             break
         last = state
-        before = at
-        now, at = stored(_small_star(_large_star(now)), "edges")
-        removed(edges.sparkSession, before)
+        for star in (_large_star, _small_star):
+            before = at
+            now, at = stored(star(now), "edges")
+            removed(edges.sparkSession, before)
     roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

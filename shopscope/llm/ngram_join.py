@@ -268,15 +268,20 @@ def _common(n: str, percent: int) -> Column:
     return F.greatest(F.lit(1), F.expr(f"(({percent} * {n} + 99) div 100) div {COMMON}"))
 
 
-def linkable(members: DataFrame, percent: int) -> DataFrame:
+def linkable(members: DataFrame, at: str, percent: int) -> tuple[DataFrame, str]:
     """Members of lists that can still link: in enough lists, and these with others; with the
-    members (``held``) and the least name (``a``) of their list."""
+    members (``held``) and the least name (``a``) of their list. Also the folder that they are read
+    from; the one of the given members goes. Each join is stored: a plan of all of them would repeat
+    what comes before in every branch, 15 broadcasts in place of 4."""
+    spark = members.sparkSession
     for _ in range(2):
         enough = members.groupBy("name", "n").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= _common("n", percent)).select("name")
-        members = members.select("shingle", "name", "n").join(enough, "name", "left_semi")
-        shared = members.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("name").alias("a")).filter("held > 1")
-        members = members.join(shared, "shingle")
-    return members
+        some, some_at = stored(members.select("shingle", "name", "n").join(enough, "name", "left_semi"), "members-in-lists")
+        removed(spark, at)
+        shared = some.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("name").alias("a")).filter("held > 1")
+        members, at = stored(some.join(shared, "shingle"), "linkable-members")
+        removed(spark, some_at)
+    return members, at
 
 
 def cells_of(members: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -342,7 +347,7 @@ def _components_of_numbered(docs: DataFrame, k: int, percent: int) -> DataFrame:
     seen = written(profiles(docs, k), "shingle-profiles")
     rows = seen.filter("row is not null").select("row", "doc_id", "name", "n")
     often = seen.filter("row is null").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(FREQUENT)
-    frequent = np.array([r["name"] for r in often.collect()], dtype=np.int64).view(U)  # FREQUENT names at most
+    frequent = often.select("name").toArrow().column("name").to_numpy().view(U)  # FREQUENT names at most, in order
 
     vertices = rows.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
 
@@ -353,8 +358,7 @@ def _components_of_numbered(docs: DataFrame, k: int, percent: int) -> DataFrame:
         removed(spark, lists_at)
         members, members_at = stored(together, "list-members")
         removed(spark, together_at)
-        linked, linked_at = stored(linkable(members, percent), "linkable-members")
-        removed(spark, members_at)
+        linked, linked_at = linkable(members, members_at, percent)
         cells = written(cells_of(linked, percent), "cells")
         removed(spark, linked_at)
         sets = sets_of(docs, cells.join(vertices, "name"), k)

@@ -116,3 +116,22 @@ def test_only_texts_with_cuts_are_shuffled(spark, frame):
     assert "BroadcastHashJoin" in plan
     want = sorted((i, t.replace(f"m{i}@b.cc", "<EMAIL>")) for i, t in ROWS + ROWS[:20])
     assert sorted((r.doc_id, r.text) for r in got.collect()) == want
+
+
+def test_plans_of_the_join_hold_no_step_twice(spark, monkeypatch, frame):
+    from shopscope.llm import components, ngram_join, shared
+
+    joins = {}
+
+    def counted(df, name, write=shared.stored):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+        joins[name] = max(joins.get(name, 0), plan.count("Join "))
+        return write(df, name)
+
+    for module in (shared, ngram_join, components):
+        monkeypatch.setattr(module, "stored", counted)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+    assert {r.component for r in components.components(edges).collect()} == {0}
+    assert joins["edges"] <= 1  # a star has one join
+    assert ngram_join.one_of_each(frame).count() > 0
+    assert joins["linkable-members"] <= 1
